@@ -37,7 +37,7 @@ def s(expr: str) -> str:
 
 LSEQ = ("lpad(CAST(epoch_us(l_shipdate)//1000 AS VARCHAR), 15, '0') || '|' || lpad(CAST(l_partkey AS VARCHAR), 12, '0')"
         " || '|' || lpad(CAST(l_suppkey AS VARCHAR), 12, '0') || '|' || "
-        "lpad(CAST(CAST(l_extendedprice * 100 AS BIGINT) AS VARCHAR), 15, '0')")
+        "lpad(CAST(CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS VARCHAR), 15, '0')")
 
 CTE = {
     "order_info": f"""
@@ -118,7 +118,7 @@ DETAIL_SQL = with_ctes("order_info", "order_detail", "latest_line", extra={
   SELECT od.id, od.order_id, oi.user_id, od.sku_id, od.sku_name, oi.province_id, act.activity_id,
          act.activity_rule_id, cou.coupon_id, {dstr('od.create_ms')} AS date_id, od.create_time, od.sku_num,
          CAST(CAST(od.sku_num AS DECIMAL(16,2)) * CAST(od.order_price AS DECIMAL(16,2)) AS VARCHAR) AS split_original_amount,
-         od.split_activity_amount, od.split_coupon_amount, od.split_total_amount, od.ts_ms
+         od.split_activity_amount, od.split_coupon_amount, od.split_total_amount, od.ts_ms, od.seq
   FROM order_detail od JOIN order_info oi ON od.order_id = oi.id
   LEFT JOIN act ON od.id = act.order_detail_id
   LEFT JOIN cou ON od.id = cou.order_detail_id"""})
@@ -126,7 +126,7 @@ DETAIL_SQL = with_ctes("order_info", "order_detail", "latest_line", extra={
 REFUND_ORDERS = "SELECT id, user_id, province_id FROM order_info WHERE order_status = '1006'"
 
 ORACLE: dict[str, str] = {
-    "dwd_order_detail": DETAIL_SQL + "SELECT * FROM dwd_detail",
+    "dwd_order_detail": DETAIL_SQL + "SELECT * EXCLUDE (seq) FROM dwd_detail",
     "dwd_order_cancel": DETAIL_SQL.replace("WITH ", "WITH ", 1) + """
 SELECT d.id, d.order_id, d.user_id, d.sku_id, d.sku_name, d.province_id, d.activity_id, d.activity_rule_id,
        d.coupon_id, d.date_id, oc.operate_time AS cancel_time, d.sku_num, d.split_original_amount,
@@ -161,3 +161,182 @@ SELECT id, user_id, sku_id, '2' AS sku_num, ts_ms + 1000 FROM cart_info WHERE k
 SELECT c.id, c.user_id, c.sku_id, c.appraise, d.dic_name AS appraise_name, c.comment_txt, c.ts_ms
 FROM comment_info c JOIN base_dic d ON c.appraise = d.dic_code""",
 }
+
+
+def win(ws: str, width_ms: int) -> str:
+    return f"{dtstr(ws)} AS stt, {dtstr(ws + ' + ' + str(width_ms))} AS edt, {dstr(ws)} AS cur_date"
+
+
+CTE["cart_add"] = """
+  SELECT id, user_id, sku_id, CAST(k % 5 + 1 AS VARCHAR) AS sku_num, ts_ms FROM cart_info"""
+
+CTE["parts"] = """
+  SELECT p_partkey, p_name, p_brand, p_type, p_size,
+         p_type || '/' || CAST(p_size % 4 AS VARCHAR) AS c3id,
+         CASE p_brand WHEN 'Brand#1' THEN 'TCL' WHEN 'Brand#2' THEN '苹果' WHEN 'Brand#3' THEN '联想'
+                      WHEN 'Brand#4' THEN '小米' WHEN 'Brand#5' THEN '欧莱雅' WHEN 'Brand#6' THEN '香奈儿'
+                      ELSE p_brand END AS tname
+  FROM part"""
+
+CTE["c1"] = """
+  SELECT * FROM (VALUES ('ECONOMY', '手机'), ('STANDARD', '数码'), ('PROMO', '家居家装'), ('LARGE', '家用电器'),
+                        ('MEDIUM', '母婴'), ('SMALL', '运动户外')) AS t(id, name)"""
+
+CTE["tree"] = """
+  SELECT DISTINCT p.c3id AS id, p.c3id AS b3name, lower(p.p_type) AS b2name, c1.name AS b1name, p.p_type AS c2id
+  FROM parts p JOIN c1 ON p.p_type = c1.id"""
+
+CTE["logs_raw"] = f"""
+  SELECT e.event_id AS "offset", e.event_type, e.user_id, CAST(json_extract(e.props, '$.k') AS BIGINT) AS k,
+         e.value, {ms('e.ts')} AS ts, p.p_name
+  FROM events e LEFT JOIN part p ON p.p_partkey = CAST(json_extract(e.props, '$.k') AS BIGINT)
+  WHERE e.event_id % 97 <> 0"""
+
+CTE["logs0"] = f"""
+  SELECT "offset", CAST(user_id AS VARCHAR) AS mid,
+         CASE WHEN k % 11 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS uid,
+         'v' || CAST(k % 3 AS VARCHAR) AS vc, ['appstore', 'web', 'oppo'][k % 3 + 1] AS ch,
+         CAST(user_id % 7 AS VARCHAR) AS ar, CASE WHEN "offset" % 2 = 0 THEN '1' ELSE '0' END AS is_new_raw,
+         ['iOS 17', 'Android 14', 'Other 1'][user_id % 3 + 1] AS os, 'model-' || CAST(user_id % 4 AS VARCHAR) AS md,
+         ['Apple', 'Xiaomi', 'Huawei', 'Other'][user_id % 4 + 1] AS ba, 's' || CAST("offset" // 10 AS VARCHAR) AS sid,
+         k % 13 = 0 AS is_start,
+         CASE WHEN k % 13 = 0 THEN NULL ELSE CASE event_type WHEN 'click' THEN 'home' WHEN 'view' THEN 'good_detail'
+              WHEN 'purchase' THEN 'payment' WHEN 'signup' THEN 'login' WHEN 'error' THEN 'mine' END END AS page_id,
+         CASE WHEN k % 13 = 0 THEN NULL WHEN k % 5 = 0 THEN NULL WHEN k % 5 = 1 THEN 'search'
+              WHEN k % 5 = 2 THEN 'login' ELSE 'home' END AS last_page_id,
+         CASE WHEN k % 13 = 0 THEN NULL WHEN k % 5 = 1 THEN p_name ELSE CAST(k AS VARCHAR) END AS item,
+         CASE WHEN k % 13 = 0 THEN NULL WHEN k % 5 = 1 THEN 'keyword' ELSE 'sku_id' END AS item_type,
+         CASE WHEN k % 13 = 0 THEN NULL ELSE CAST(ROUND(value * 1000) AS BIGINT) END AS during_time,
+         ts, k, event_type = 'error' AS has_err,
+         {dstr('ts')} AS day, {dstr('ts - 86400000')} AS prev_day
+  FROM logs_raw"""
+
+CTE["logs"] = """
+  SELECT *, CASE WHEN is_new_raw = '1' AND mid_rn > 1 AND d0 <> day THEN '0' ELSE is_new_raw END AS is_new FROM (
+    SELECT *, row_number() OVER (PARTITION BY mid ORDER BY ts, "offset") AS mid_rn,
+           first_value(CASE WHEN is_new_raw = '1' THEN day ELSE prev_day END)
+             OVER (PARTITION BY mid ORDER BY ts, "offset") AS d0
+    FROM logs0)"""
+
+CTE["pages"] = "SELECT * FROM logs WHERE NOT is_start"
+
+LOGS = ("logs_raw", "logs0", "logs", "pages")
+HOUR = 3600000
+
+ORACLE.update({
+    "dedup_latest": with_ctes("order_detail") + """
+SELECT id, order_id, sku_id, split_total_amount, ts_ms FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY CAST(ts_ms AS VARCHAR) DESC, seq DESC) AS rn FROM order_detail)
+WHERE rn = 1""",
+    "dedup_strictly_newer": with_ctes("order_detail") + """
+SELECT id, sku_id, create_ms AS create_time, seq FROM (
+  SELECT *, max(create_ms) OVER (PARTITION BY id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm
+  FROM order_detail)
+WHERE pm IS NULL OR create_ms > pm""",
+    "dedup_composite": with_ctes("order_detail") + """
+SELECT order_id, ts_ms, id, sku_id, seq FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id, ts_ms ORDER BY seq) AS rn FROM order_detail) WHERE rn = 1""",
+    "dedup_first_of_day": with_ctes("cart_info", "cart_add") + f"""
+SELECT id, user_id, sku_id, sku_num, ts_ms, day FROM (
+  SELECT *, {dstr('ts_ms')} AS day, row_number() OVER (PARTITION BY user_id, {dstr('ts_ms')} ORDER BY ts_ms, id) AS rn
+  FROM cart_add) WHERE rn = 1""",
+    "order_retraction": DETAIL_SQL + """, d AS (SELECT id, order_id, split_total_amount, ts_ms, seq FROM dwd_detail)
+SELECT id, order_id, split_total_amount, ts_ms, seq, false AS is_retraction FROM d
+UNION ALL
+SELECT d.id, d.order_id, CAST(-CAST(d.split_total_amount AS DECIMAL(38,2)) AS VARCHAR), d.ts_ms, d.seq, true
+FROM d JOIN (SELECT id, max(seq) AS ls FROM d GROUP BY id) l ON d.id = l.id WHERE d.seq < l.ls""",
+    "upsert_latest": DETAIL_SQL + """
+SELECT * EXCLUDE (seq, rn) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn FROM dwd_detail)
+WHERE rn = 1""",
+    "dim_category_tree": with_ctes("parts", "c1", "tree") + "SELECT id, b3name, b2name, b1name FROM tree",
+    "dim_sku_wide": with_ctes("parts") + """
+SELECT CAST(p_partkey AS VARCHAR) AS skuid, p_name AS spuid, c3id, tname FROM parts""",
+    "dim_category_cascade": with_ctes("parts", "c1") + """
+SELECT CAST(p_partkey AS VARCHAR) AS id, c3id AS category3_id, c3id AS category3_name, p_type AS category2_id,
+       lower(p_type) AS category2_name, p_type AS category1_id, c1.name AS category1_name
+FROM parts LEFT JOIN c1 ON p_type = c1.id""",
+    "dws_province_order": DETAIL_SQL + f""", r AS (
+  SELECT id, order_id, province_id, split_total_amount, ts_ms FROM dwd_detail
+  UNION ALL
+  SELECT d.id, d.order_id, d.province_id, CAST(-CAST(d.split_total_amount AS DECIMAL(38,2)) AS VARCHAR), d.ts_ms
+  FROM dwd_detail d JOIN (SELECT id, max(seq) AS ls FROM dwd_detail GROUP BY id) l ON d.id = l.id WHERE d.seq < l.ls),
+agg AS (
+  SELECT ts_ms - ts_ms % 10000 AS ws, province_id, count(DISTINCT order_id) AS order_count,
+         CAST(sum(COALESCE(CAST(split_total_amount AS DECIMAL(16,2)), 0)) AS DECIMAL(20,2)) AS order_amount
+  FROM r GROUP BY ALL)
+SELECT {win('ws', 10000)}, province_id, n.n_name AS province_name, order_count, order_amount
+FROM agg LEFT JOIN nation n ON agg.province_id = CAST(n.n_nationkey AS VARCHAR)""",
+    "dws_sku_order": DETAIL_SQL + ", " + ",\n".join(f"{n} AS ({CTE[n]}\n)" for n in ("parts", "c1")) + f""", latest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY CAST(ts_ms AS VARCHAR) DESC, seq DESC) AS rn
+                 FROM dwd_detail) WHERE rn = 1),
+agg AS (
+  SELECT ts_ms - ts_ms % 10000 AS ws, sku_id,
+         CAST(sum(COALESCE(CAST(split_original_amount AS DECIMAL(18,4)), 0)) AS DECIMAL(22,4)) AS original_amount,
+         CAST(sum(COALESCE(CAST(split_activity_amount AS DECIMAL(18,4)), 0)) AS DECIMAL(22,4)) AS activity_reduce_amount,
+         CAST(sum(COALESCE(CAST(split_coupon_amount AS DECIMAL(18,4)), 0)) AS DECIMAL(22,4)) AS coupon_reduce_amount,
+         CAST(sum(COALESCE(CAST(split_total_amount AS DECIMAL(18,4)), 0)) AS DECIMAL(22,4)) AS order_amount
+  FROM latest GROUP BY ALL)
+SELECT {win('ws', 10000)}, p.p_brand AS trademark_id, p.tname AS trademark_name, p.p_type AS category1_id,
+       c1.name AS category1_name, p.p_type AS category2_id, lower(p.p_type) AS category2_name,
+       p.c3id AS category3_id, p.c3id AS category3_name, agg.sku_id, p.p_name AS sku_name, p.p_name AS spu_id,
+       p.p_name AS spu_name, original_amount, activity_reduce_amount, coupon_reduce_amount, order_amount
+FROM agg LEFT JOIN parts p ON agg.sku_id = CAST(p.p_partkey AS VARCHAR) LEFT JOIN c1 ON p.p_type = c1.id""",
+    "dws_cart_uu": with_ctes("cart_info", "cart_add") + f""", firsts AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, {dstr('ts_ms')} ORDER BY ts_ms, id) AS rn
+                 FROM cart_add) WHERE rn = 1)
+SELECT {win('ts_ms - ts_ms % 3600000', HOUR)}, count(*) AS cart_add_uu_ct FROM firsts GROUP BY ALL""",
+    "log_dirty_split": """SELECT event_id AS "offset" FROM events WHERE event_id % 97 = 0""",
+    "log_fix_is_new": with_ctes(*LOGS) + """SELECT "offset", mid, ts, is_new FROM logs""",
+    "log_split_page": with_ctes(*LOGS) + """
+SELECT "offset", mid, uid, vc, ch, ar, is_new, os, md, ba, sid, page_id, last_page_id, item, item_type, during_time, ts
+FROM pages""",
+    "log_split_start": with_ctes(*LOGS) + """
+SELECT "offset", mid, is_new, 'icon' AS entry, k * 10 AS loading_time, k AS open_ad_id, ts,
+       CAST(k % 4 AS INTEGER) AS n_displays
+FROM logs WHERE is_start""",
+    "log_split_err": with_ctes(*LOGS) + """
+SELECT "offset", mid, page_id, is_start AS has_start, k + 1000 AS error_code, 'err ' || CAST(k AS VARCHAR) AS msg, ts
+FROM logs WHERE has_err""",
+    "log_split_err_only": with_ctes(*LOGS) + """
+SELECT "offset", k + 1000 AS error_code, 'err ' || CAST(k AS VARCHAR) AS msg, ts FROM logs WHERE has_err""",
+    "log_split_display": with_ctes(*LOGS) + """
+SELECT "offset", mid, page_id, CAST(k + i AS VARCHAR) AS display_item, CAST(i AS INTEGER) AS pos_id,
+       CAST(i AS INTEGER) AS display_order, ts
+FROM (SELECT *, unnest(range(k % 4)) AS i FROM pages)""",
+    "log_split_action": with_ctes(*LOGS) + """
+SELECT "offset", mid, page_id, CASE WHEN i = 0 THEN 'cart_add' ELSE 'favor_add' END AS action_id,
+       CAST(k + i AS VARCHAR) AS action_item, ts + i * 100 AS action_ts
+FROM (SELECT *, unnest(range(k % 3)) AS i FROM pages)""",
+    "dws_home_detail_uv": with_ctes(*LOGS) + f""", firsts AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY mid, page_id, day ORDER BY ts, "offset") AS rn
+                 FROM pages WHERE page_id IN ('home', 'good_detail')) WHERE rn = 1)
+SELECT {win('ts - ts % 3600000', HOUR)}, CAST(sum(CASE WHEN page_id = 'home' THEN 1 ELSE 0 END) AS BIGINT) AS home_uv_ct,
+       CAST(sum(CASE WHEN page_id = 'good_detail' THEN 1 ELSE 0 END) AS BIGINT) AS good_detail_uv_ct
+FROM firsts GROUP BY ALL""",
+    "dws_traffic_dims": with_ctes(*LOGS) + f""", firsts AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY mid, day ORDER BY ts, "offset") AS rn FROM pages)
+  WHERE rn = 1),
+u AS (
+  SELECT vc, ch, ar, is_new, ts, 0 AS uv, CASE WHEN coalesce(last_page_id, '') = '' THEN 1 ELSE 0 END AS sv, 1 AS pv,
+         coalesce(during_time, 0) AS dur FROM pages
+  UNION ALL
+  SELECT vc, ch, ar, is_new, ts, 1, 0, 0, 0 FROM firsts)
+SELECT {win('ts - ts % 3600000', HOUR)}, vc, ch, ar, is_new, CAST(sum(uv) AS BIGINT) AS uv_ct,
+       CAST(sum(sv) AS BIGINT) AS sv_ct, CAST(sum(pv) AS BIGINT) AS pv_ct, CAST(sum(dur) AS BIGINT) AS dur_sum
+FROM u GROUP BY ALL""",
+    "dws_user_login": with_ctes(*LOGS) + f""", days AS (
+  SELECT uid, day, min(ts) AS ts FROM pages
+  WHERE coalesce(uid, '') <> '' AND (last_page_id = 'login' OR coalesce(last_page_id, '') = '')
+  GROUP BY uid, day),
+f AS (
+  SELECT ts, CASE WHEN prev IS NOT NULL AND (ts - epoch_us(CAST(prev AS TIMESTAMP)) // 1000) // 86400000 >= 8
+                  THEN 1 ELSE 0 END AS back
+  FROM (SELECT *, lag(day) OVER (PARTITION BY uid ORDER BY day) AS prev FROM days))
+SELECT {win('ts - ts % 3600000', HOUR)}, CAST(sum(back) AS BIGINT) AS back_ct, count(*) AS uu_ct FROM f GROUP BY ALL""",
+})
+
+ORACLE["rollup_province_amount"] = (
+    "WITH pr AS (" + ORACLE["dws_province_order"] + ")\n"
+    "SELECT province_name, CAST(sum(order_amount) AS DECIMAL(20,2)) AS order_amount FROM pr GROUP BY province_name")
+ORACLE["rollup_uv_by_channel"] = (
+    "WITH tr AS (" + ORACLE["dws_traffic_dims"] + ")\nSELECT ch, CAST(sum(uv_ct) AS BIGINT) AS uv_ct FROM tr GROUP BY ch")

@@ -21,15 +21,18 @@ DETAIL_COLS = ["id", "order_id", "user_id", "sku_id", "sku_name", "province_id",
                "split_total_amount", "ts_ms"]
 
 
-def order_detail(topic: DataFrame, tz: str = "UTC") -> DataFrame:
-    """order_detail ⋈ order_info ⟕ activity ⟕ coupon (snapshot rows)."""
+def order_detail(topic: DataFrame, tz: str = "UTC", keep_seq: bool = False) -> DataFrame:
+    """order_detail ⋈ order_info ⟕ activity ⟕ coupon (snapshot rows).
+
+    ``keep_seq`` carries the arrival position for downstream version handling.
+    """
     od = cdc_demux(topic, "order_detail", "r").select(
         *[F.col("after")[k].alias(k) for k in
           ("id", "order_id", "sku_id", "sku_name", "create_time", "source_id", "source_type", "sku_num",
            "split_total_amount", "split_activity_amount", "split_coupon_amount")],
         (F.col("after")["sku_num"].cast("decimal(16,2)") * F.col("after")["order_price"].cast("decimal(16,2)"))
         .cast("string").alias("split_original_amount"),
-        "ts_ms")
+        "ts_ms", "seq")
     oi = project_after(cdc_demux(topic, "order_info", "r"), {"oi_id": "id", "user_id": "user_id",
                                                               "province_id": "province_id"}, extra=())
     act = project_after(cdc_demux(topic, "order_detail_activity", "r"),
@@ -41,7 +44,7 @@ def order_detail(topic: DataFrame, tz: str = "UTC") -> DataFrame:
          .join(act, od.id == act.act_detail_id, "left")
          .join(cou, od.id == cou.cou_detail_id, "left"))
     return j.select(*[millis_str_to_date(F.col("create_time"), tz).alias("date_id") if c == "date_id" else F.col(c)
-                      for c in DETAIL_COLS])
+                      for c in DETAIL_COLS + (["seq"] if keep_seq else [])])
 
 
 def order_cancel(topic: DataFrame, detail: DataFrame, tz: str = "UTC", literal: bool = False) -> DataFrame:

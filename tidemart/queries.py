@@ -11,7 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .plans import dwd
+from .functions import scalars as sc
+from .operators import dedup as dd
+from .operators import dims as D
+from .operators import logs as lg
+from .plans import dwd, dws
 from .sources import fixtures as fx
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +75,195 @@ def q_dwd_cart_add_delta(spark, sf_dir):
 @query("dwd_comment_info")
 def q_dwd_comment_info(spark, sf_dir):
     return dwd.comment_info(_topic(spark, sf_dir), fx.base_dic(spark))
+
+
+# ---------------------------------------------------------------- keyed state
+
+def _detail_versions(spark, sf_dir):
+    env = fx.order_detail_env(spark, sf_dir)
+    a = F.col("after")
+    return env.select(a["id"].alias("id"), a["order_id"].alias("order_id"), a["sku_id"].alias("sku_id"),
+                      a["create_time"].cast("long").alias("create_time"),
+                      a["split_total_amount"].alias("split_total_amount"), "ts_ms", "seq")
+
+
+@query("dedup_latest")
+def q_dedup_latest(spark, sf_dir):
+    v = _detail_versions(spark, sf_dir)
+    return dd.dedup_latest(v, "id", "ts_ms", "seq").drop("seq", "create_time")
+
+
+@query("dedup_strictly_newer")
+def q_dedup_strictly_newer(spark, sf_dir):
+    v = _detail_versions(spark, sf_dir)
+    return dd.strictly_newer(v, "id", "create_time", "seq").select("id", "sku_id", "create_time", "seq")
+
+
+@query("dedup_composite")
+def q_dedup_composite(spark, sf_dir):
+    v = _detail_versions(spark, sf_dir)
+    return dd.dedup_composite(v, ["order_id", "ts_ms"], "seq").select("order_id", "ts_ms", "id", "sku_id", "seq")
+
+
+@query("dedup_first_of_day")
+def q_dedup_first_of_day(spark, sf_dir):
+    cart = dwd.cart_add(_topic(spark, sf_dir, "cart_info"))
+    day = sc.ms_to_date_str(F.col("ts_ms"))
+    return dd.first_of_day(cart, "user_id", day, ["ts_ms", "id"]).withColumn("day", day)
+
+
+@query("order_retraction")
+def q_order_retraction(spark, sf_dir):
+    t = _topic(spark, sf_dir)
+    d = dwd.order_detail(t, keep_seq=True).select("id", "order_id", "split_total_amount", "ts_ms", "seq")
+    return dd.retract_versions(d, "id", "seq", ["split_total_amount"]).withColumnRenamed("_retract", "is_retraction")
+
+
+@query("upsert_latest")
+def q_upsert_latest(spark, sf_dir):
+    t = _topic(spark, sf_dir)
+    return dd.upsert_latest(dwd.order_detail(t, keep_seq=True), "id", "seq").drop("seq")
+
+
+# ---------------------------------------------------------------- dims
+
+def _dims(spark, sf_dir):
+    return dict(sku=fx.sku_info(spark, sf_dir), spu=fx.spu_info(spark, sf_dir), tm=fx.base_trademark(spark, sf_dir),
+                c3=fx.base_category3(spark, sf_dir), c2=fx.base_category2(spark, sf_dir),
+                c1=fx.base_category1(spark))
+
+
+@query("dim_category_tree")
+def q_dim_category_tree(spark, sf_dir):
+    d = _dims(spark, sf_dir)
+    return D.category_tree(d["c3"], d["c2"], d["c1"])
+
+
+@query("dim_sku_wide")
+def q_dim_sku_wide(spark, sf_dir):
+    d = _dims(spark, sf_dir)
+    return D.sku_wide(d["sku"], d["spu"], d["tm"])
+
+
+@query("dim_category_cascade")
+def q_dim_category_cascade(spark, sf_dir):
+    d = _dims(spark, sf_dir)
+    return D.category_cascade(d["sku"].select("id", "category3_id"), "category3_id", d["c3"], d["c2"], d["c1"])
+
+
+# ---------------------------------------------------------------- DWS trade
+
+@query("dws_province_order")
+def q_dws_province_order(spark, sf_dir):
+    t = _topic(spark, sf_dir)
+    return dws.province_order(dwd.order_detail(t, keep_seq=True), fx.province_dim(spark, sf_dir), "10 seconds")
+
+
+@query("dws_sku_order")
+def q_dws_sku_order(spark, sf_dir):
+    t = _topic(spark, sf_dir)
+    d = _dims(spark, sf_dir)
+    return dws.sku_order(dwd.order_detail(t, keep_seq=True), d["sku"], d["spu"], d["tm"], d["c3"], d["c2"], d["c1"],
+                         "10 seconds")
+
+
+@query("dws_cart_uu")
+def q_dws_cart_uu(spark, sf_dir):
+    return dws.cart_uu(dwd.cart_add(_topic(spark, sf_dir, "cart_info")), EVENT_WINDOW)
+
+
+@query("rollup_province_amount")
+def q_rollup_province_amount(spark, sf_dir):
+    return dws.rollup_province_amount(q_dws_province_order(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- page logs
+
+EVENT_WINDOW = "1 hour"   # events are minutes apart in the test data; the width is a parameter
+
+
+def _logs(spark, sf_dir, fix: bool = True):
+    parsed, _ = lg.parse_logs(fx.page_log_topic(spark, sf_dir))
+    return lg.repair_is_new(parsed) if fix else parsed
+
+
+def _pages(spark, sf_dir):
+    return lg.split_logs(_logs(spark, sf_dir))["page"]
+
+
+def _flat_common(df):
+    return [F.col(f"common.{c}").alias(c) for c in ("mid", "uid", "vc", "ch", "ar", "is_new", "os", "md", "ba", "sid")]
+
+
+@query("log_dirty_split")
+def q_log_dirty_split(spark, sf_dir):
+    _, dirty = lg.parse_logs(fx.page_log_topic(spark, sf_dir))
+    return dirty.select("offset")
+
+
+@query("log_fix_is_new")
+def q_log_fix_is_new(spark, sf_dir):
+    return _logs(spark, sf_dir).select("offset", F.col("common.mid").alias("mid"), "ts",
+                                       F.col("common.is_new").alias("is_new"))
+
+
+@query("log_split_page")
+def q_log_split_page(spark, sf_dir):
+    p = lg.split_logs(_logs(spark, sf_dir))["page"]
+    return p.select("offset", *_flat_common(p), "page.*", "ts")
+
+
+@query("log_split_start")
+def q_log_split_start(spark, sf_dir):
+    s = lg.split_logs(_logs(spark, sf_dir))["start"]
+    return s.select("offset", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new"),
+                    "start.*", "ts", F.size(F.coalesce("displays", F.array())).alias("n_displays"))
+
+
+@query("log_split_err")
+def q_log_split_err(spark, sf_dir):
+    e = lg.split_logs(_logs(spark, sf_dir))["err"]
+    return e.select("offset", F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"),
+                    F.col("start").isNotNull().alias("has_start"), "err.*", "ts")
+
+
+@query("log_split_err_only")
+def q_log_split_err_only(spark, sf_dir):
+    e = lg.split_logs(_logs(spark, sf_dir), err_only=True)["err"]
+    return e.select("offset", "err.*", "ts")
+
+
+@query("log_split_display")
+def q_log_split_display(spark, sf_dir):
+    d = lg.split_logs(_logs(spark, sf_dir))["display"]
+    return d.select("offset", F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"),
+                    F.col("display.item").alias("display_item"), F.col("display.pos_id").alias("pos_id"),
+                    F.col("display.order").alias("display_order"), "ts")
+
+
+@query("log_split_action")
+def q_log_split_action(spark, sf_dir):
+    a = lg.split_logs(_logs(spark, sf_dir))["action"]
+    return a.select("offset", F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"),
+                    F.col("action.action_id").alias("action_id"), F.col("action.item").alias("action_item"),
+                    F.col("action.ts").alias("action_ts"))
+
+
+@query("dws_home_detail_uv")
+def q_dws_home_detail_uv(spark, sf_dir):
+    return dws.home_detail_uv(_pages(spark, sf_dir), EVENT_WINDOW)
+
+
+@query("dws_traffic_dims")
+def q_dws_traffic_dims(spark, sf_dir):
+    return dws.traffic_dims(_pages(spark, sf_dir), EVENT_WINDOW)
+
+
+@query("dws_user_login")
+def q_dws_user_login(spark, sf_dir):
+    return dws.user_login(_pages(spark, sf_dir), EVENT_WINDOW)
+
+
+@query("rollup_uv_by_channel")
+def q_rollup_uv_by_channel(spark, sf_dir):
+    return dws.rollup_uv_by_channel(q_dws_traffic_dims(spark, sf_dir))

@@ -114,7 +114,7 @@ def _detail_id() -> Column:
 def _lineitem_seq() -> Column:
     """Arrival order of the versions of one detail id (no ties at any sf)."""
     return F.concat_ws("|", _pad(epoch_ms(F.col("l_shipdate")), 15), _pad(F.col("l_partkey"), 12),
-                       _pad(F.col("l_suppkey"), 12), _pad((F.col("l_extendedprice") * 100).cast("long"), 15))
+                       _pad(F.col("l_suppkey"), 12), _pad(F.round(F.col("l_extendedprice") * 100).cast("long"), 15))
 
 
 def _money(x: Column) -> Column:
@@ -358,11 +358,11 @@ def base_category3(spark, sf_dir) -> DataFrame:
 
 def base_category2(spark, sf_dir) -> DataFrame:
     p = table(spark, sf_dir, "part")
-    return p.select(F.col("p_type").alias("id"), F.initcap(F.col("p_type")).alias("name"),
+    return p.select(F.col("p_type").alias("id"), F.lower(F.col("p_type")).alias("name"),
                     F.col("p_type").alias("category1_id")).distinct()
 
 
-def base_category1(spark, sf_dir) -> DataFrame:
+def base_category1(spark) -> DataFrame:
     return spark.createDataFrame(CATEGORY1_BY_TYPE, "id string, name string")
 
 
@@ -383,7 +383,7 @@ def _pick(lst: list[str], idx: Column) -> Column:
 
 def page_log_struct(spark, sf_dir) -> DataFrame:
     """Parsed page-log records (offset = event_id) before serialisation."""
-    ev = table(spark, sf_dir, "events").withColumn("k", _k())
+    ev = table(spark, sf_dir, "events").withColumn("k", _k()).withColumn("ts_ms", epoch_ms(F.col("ts")))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     ev = ev.join(part, ev.k == part.p_partkey, "left")
     k, uid = F.col("k"), F.col("user_id")
@@ -393,7 +393,7 @@ def page_log_struct(spark, sf_dir) -> DataFrame:
     last_page = (F.when(k % 5 == 0, F.lit(None).cast("string")).when(k % 5 == 1, "search")
                  .when(k % 5 == 2, "login").otherwise("home"))
     is_kw = k % 5 == 1
-    ts = epoch_ms(F.col("ts"))
+    ts = F.col("ts_ms")
     common = F.struct(
         _s(uid).alias("mid"),
         F.when(k % 11 == 0, F.lit(None)).otherwise(_s(uid)).alias("uid"),
@@ -436,7 +436,6 @@ def page_log_topic(spark, sf_dir) -> DataFrame:
     """Raw page-log topic: (offset, value) with every 97th record truncated (dirty)."""
     s = page_log_struct(spark, sf_dir)
     js = F.to_json(F.struct("common", "page", "ts", "displays", "actions", "start", "err"))
-    value = F.when(F.col("offset") % DIRTY_EVERY == 0, F.expr("substring(v_, 1, length(v_) - 1)"))
     return (s.select("offset", js.alias("v_"))
             .select("offset", F.when(F.col("offset") % DIRTY_EVERY == 0,
                                      F.expr("substring(v_, 1, length(v_) - 1)")).otherwise(F.col("v_"))
