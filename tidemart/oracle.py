@@ -340,3 +340,76 @@ ORACLE["rollup_province_amount"] = (
     "SELECT province_name, CAST(sum(order_amount) AS DECIMAL(20,2)) AS order_amount FROM pr GROUP BY province_name")
 ORACLE["rollup_uv_by_channel"] = (
     "WITH tr AS (" + ORACLE["dws_traffic_dims"] + ")\nSELECT ch, CAST(sum(uv_ct) AS BIGINT) AS uv_ct FROM tr GROUP BY ch")
+
+CTE["mixed"] = f"""
+  SELECT s_suppkey, s_name, s_nationkey, ['d', 'c', 'u', 'r', 'x'][s_suppkey % 5 + 1] AS op,
+         CASE WHEN s_suppkey % 3 = 0 THEN 'other_db' ELSE 'realtime_v1' END AS db, {T0} + s_suppkey * 1000 AS ts_ms
+  FROM supplier"""
+
+CTE["oms"] = f"""
+  SELECT o_orderkey AS id, {ms('o_orderdate')} + (o_orderkey % 24) * 3600000 AS ms FROM orders"""
+
+CTE["bday"] = """
+  SELECT c_custkey AS id, CAST(DATE '1970-01-01' + CAST((c_custkey * 13) % 16000 AS INTEGER) AS DATE) AS b FROM customer"""
+
+SLOT_SQL = """CASE WHEN h < 6 THEN '凌晨' WHEN h < 9 THEN '早晨' WHEN h < 12 THEN '上午' WHEN h < 14 THEN '中午'
+                   WHEN h < 18 THEN '下午' WHEN h < 22 THEN '晚上' ELSE '夜间' END"""
+
+
+def zodiac_sql(md: str, english: bool = False) -> str:
+    names = (["Capricorn", "Aquarius", "Pisces", "Aries", "Taurus", "Gemini", "Cancer", "Leo", "Virgo", "Libra",
+              "Scorpio", "Sagittarius"] if english else
+             ["摩羯座", "水瓶座", "双鱼座", "白羊座", "金牛座", "双子座", "巨蟹座", "狮子座", "处女座", "天秤座", "天蝎座",
+              "射手座"])
+    bounds = [120, 219, 321, 420, 521, 622, 723, 823, 923, 1024, 1123, 1222]
+    parts = [f"WHEN {md} < {bounds[0]} THEN '{names[0]}'"]
+    for i in range(1, 12):
+        parts.append(f"WHEN {md} < {bounds[i]} THEN '{names[i]}'")
+    return "CASE " + " ".join(parts) + f" ELSE '{names[0]}' END"
+
+
+ORACLE.update({
+    "cdc_parse": with_ctes("order_info", "cart_info") + """
+SELECT 'order_info' AS source_table, 'r' AS op, ts_ms, id, 9 AS n_after, 0 AS n_before FROM order_info
+UNION ALL SELECT 'cart_info', 'r', ts_ms, id, 5, 0 FROM cart_info
+UNION ALL SELECT 'cart_info', 'u', ts_ms + 1000, id, 5, 5 FROM cart_info WHERE k % 7 = 0""",
+    "cdc_gate": with_ctes("mixed") + """
+SELECT CAST(s_suppkey AS VARCHAR) AS id, op FROM mixed WHERE db = 'realtime_v1' AND op IN ('c', 'u', 'r')""",
+    "cdc_gate_deletes": with_ctes("mixed") + """
+SELECT CAST(s_suppkey AS VARCHAR) AS id, op FROM mixed WHERE db = 'realtime_v1' AND op IN ('c', 'u', 'd', 'r')""",
+    "cdc_demux": with_ctes("payment_info") + """
+SELECT order_id AS id, order_id, payment_status, ts_ms FROM payment_info""",
+    "cdc_image": with_ctes("mixed") + """
+SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name_by_op, op, s_name AS name_nonempty, ts_ms FROM mixed""",
+    "ods_snapshot_envelope": """
+SELECT 'realtime_v1' AS db, 'supplier' AS tbl, 'r' AS op, CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name,
+       CAST(s_nationkey AS VARCHAR) AS s_nationkey, 3 AS n_fields FROM supplier""",
+    "event_time_pick": with_ctes("cart_info") + f"""
+SELECT 'cdc' AS src, id, ts_ms AS event_ms FROM cart_info
+UNION ALL SELECT 'cdc', id, ts_ms + 1000 FROM cart_info WHERE k % 7 = 0
+UNION ALL SELECT 'log', CAST(event_id AS VARCHAR), CASE WHEN event_id % 97 = 0 THEN 0 ELSE {ms('ts')} END FROM events""",
+    "fn_datetime": with_ctes("oms") + f"""
+SELECT id, ms, {dstr('ms')} AS date_id, {dtstr('ms')} AS dt, strftime(make_timestamp(ms * 1000), '%Y%m%d') AS ds,
+       {dstr('ms')} AS date_from_str, ms AS dt_ms, ms - ms % 86400000 AS d_ms,
+       {dtstr('ms + 28800000')} AS dt_shanghai
+FROM oms""",
+    "fn_birthday": with_ctes("bday") + f"""
+SELECT id, strftime(b, '%Y-%m-%d') AS birthday, CAST(year(b) // 10 * 10 AS INTEGER) AS decade,
+       CAST(2025 - year(b) - CASE WHEN 512 < month(b) * 100 + day(b) THEN 1 ELSE 0 END AS INTEGER) AS age,
+       {zodiac_sql('(month(b) * 100 + day(b))')} AS zodiac_sign,
+       {zodiac_sql('(month(b) * 100 + day(b))', True)} AS zodiac_en
+FROM bday""",
+    "fn_time_slot": with_ctes("oms") + f"""
+SELECT id, h AS hour, {SLOT_SQL} AS pay_time_slot FROM (SELECT id, hour(make_timestamp(ms * 1000)) AS h FROM oms)""",
+    "fn_string": r"""
+SELECT conv_id AS id, turn, list_extract(string_split(rtrim(text, ','), ','), -1) AS last_tok,
+       string_split(text, ' ')[1] AS first_word, md5(CAST(conv_id AS VARCHAR)) AS row_key,
+       CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR) AS order_ts,
+       CAST(-CAST(CAST(turn AS VARCHAR) AS DECIMAL(38,2)) AS VARCHAR) AS neg_turn,
+       coalesce(regexp_replace(text, '\S', '', 'g'), '') = '' AS no_space
+FROM conversations WHERE role = 'user'""",
+})
+ORACLE["fn_to_json"] = (
+    "WITH uu AS (" + ORACLE["dws_cart_uu"] + ")\n"
+    "SELECT CAST(json_object('stt', stt, 'edt', edt, 'cur_date', cur_date, 'cart_add_uu_ct', cart_add_uu_ct) AS VARCHAR)"
+    " AS json FROM uu")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .functions import scalars as sc
 from .operators import dedup as dd
 from .operators import dims as D
+from .operators import envelope as env_ops
 from .operators import logs as lg
 from .plans import dwd, dws
 from .sources import fixtures as fx
@@ -267,3 +268,116 @@ def q_dws_user_login(spark, sf_dir):
 @query("rollup_uv_by_channel")
 def q_rollup_uv_by_channel(spark, sf_dir):
     return dws.rollup_uv_by_channel(q_dws_traffic_dims(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- envelopes
+
+@query("cdc_parse")
+def q_cdc_parse(spark, sf_dir):
+    raw = env_ops.envelope_to_json(_topic(spark, sf_dir, "order_info", "cart_info"))
+    env = env_ops.parse_cdc(raw)
+    return env.select(F.col("source")["table"].alias("source_table"), "op", "ts_ms",
+                      F.col("after")["id"].alias("id"), F.size("after").alias("n_after"),
+                      F.coalesce(F.size("before"), F.lit(0)).alias("n_before"))
+
+
+@query("cdc_gate")
+def q_cdc_gate(spark, sf_dir):
+    g = env_ops.cdc_gate(fx.mixed_feed(spark, sf_dir), fx.DB)
+    return g.select(F.col("after")["s_suppkey"].alias("id"), "op")
+
+
+@query("cdc_gate_deletes")
+def q_cdc_gate_deletes(spark, sf_dir):
+    g = env_ops.cdc_gate(fx.mixed_feed(spark, sf_dir), fx.DB, accept_deletes=True)
+    return g.select(env_ops.image(g)["s_suppkey"].alias("id"), "op")
+
+
+@query("cdc_demux")
+def q_cdc_demux(spark, sf_dir):
+    p = env_ops.cdc_demux(_topic(spark, sf_dir), "payment_info")
+    return env_ops.project_after(p, ["id", "order_id", "payment_status"])
+
+
+@query("cdc_image")
+def q_cdc_image(spark, sf_dir):
+    f = fx.mixed_feed(spark, sf_dir)
+    a = f.select(env_ops.image(f, "op").alias("img"), "op")
+    b = env_ops.flatten_image(f, ["s_suppkey", "s_name"], variant="nonempty")
+    return (a.select(F.col("img")["s_suppkey"].alias("id"), F.col("img")["s_name"].alias("name_by_op"), "op")
+            .join(b.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name_nonempty"), "ts_ms"), "id"))
+
+
+@query("ods_snapshot_envelope")
+def q_ods_snapshot_envelope(spark, sf_dir):
+    sup = fx.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    env = env_ops.snapshot_to_envelope(sup, fx.DB, "supplier")
+    return env.select(F.col("source")["db"].alias("db"), F.col("source")["table"].alias("tbl"), "op",
+                      F.col("after")["s_suppkey"].alias("s_suppkey"), F.col("after")["s_name"].alias("s_name"),
+                      F.col("after")["s_nationkey"].alias("s_nationkey"), F.size("after").alias("n_fields"))
+
+
+@query("event_time_pick")
+def q_event_time_pick(spark, sf_dir):
+    cdc = env_ops.envelope_to_json(_topic(spark, sf_dir, "cart_info")).select(
+        F.lit("cdc").alias("src"), F.get_json_object("value", "$.after.id").alias("id"), "value")
+    logs = fx.page_log_topic(spark, sf_dir).select(F.lit("log").alias("src"), F.col("offset").cast("string")
+                                                   .alias("id"), "value")
+    return env_ops.event_time_pick(cdc.unionByName(logs)).drop("value")
+
+
+# ---------------------------------------------------------------- scalar functions
+
+AS_OF = "2025-05-12"   # age reference date of the reference's sample rows; a parameter
+
+
+def _orders_ms(spark, sf_dir):
+    o = fx.table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").alias("id"),
+                    (sc.epoch_ms(F.col("o_orderdate")) + (F.col("o_orderkey") % 24) * fx.HOUR_MS).alias("ms"))
+
+
+@query("fn_datetime")
+def q_fn_datetime(spark, sf_dir):
+    o = _orders_ms(spark, sf_dir)
+    o = o.select("id", "ms", sc.ms_to_date_str("ms").alias("date_id"), sc.ms_to_datetime_str("ms").alias("dt"),
+                 sc.ms_to_compact_date("ms").alias("ds"),
+                 sc.millis_str_to_date(F.col("ms").cast("string")).alias("date_from_str"))
+    return o.select("*", sc.datetime_str_to_ms("dt").alias("dt_ms"), sc.date_str_to_ms("date_id").alias("d_ms"),
+                    sc.ms_to_datetime_str("ms", "Asia/Shanghai").alias("dt_shanghai"))
+
+
+@query("fn_birthday")
+def q_fn_birthday(spark, sf_dir):
+    c = fx.table(spark, sf_dir, "customer")
+    b = sc.epoch_day_to_date((F.col("c_custkey") * 13) % 16000)
+    as_of = F.lit(AS_OF).cast("date")
+    return c.select(F.col("c_custkey").alias("id"), F.date_format(b, "yyyy-MM-dd").alias("birthday"),
+                    sc.decade(b).alias("decade"), sc.age_years(b, as_of).alias("age"),
+                    sc.zodiac(b).alias("zodiac_sign"), sc.zodiac(b, english=True).alias("zodiac_en"))
+
+
+@query("fn_time_slot")
+def q_fn_time_slot(spark, sf_dir):
+    o = _orders_ms(spark, sf_dir)
+    return o.select("id", F.hour(sc.ms_to_wall("ms")).alias("hour"), sc.time_slot("ms").alias("pay_time_slot"))
+
+
+@query("fn_string")
+def q_fn_string(spark, sf_dir):
+    cv = fx.table(spark, sf_dir, "conversations").where(F.col("role") == "user")
+    return cv.select(F.col("conv_id").alias("id"), F.col("turn"),
+                     sc.last_token(F.col("text"), ",").alias("last_tok"),
+                     sc.first_token(F.col("text"), " ").alias("first_word"),
+                     sc.md5_key(F.col("conv_id")).alias("row_key"),
+                     sc.composite_key(F.col("conv_id"), F.col("turn"), sep="_").alias("order_ts"),
+                     sc.negate_str(F.col("turn").cast("string")).alias("neg_turn"),
+                     sc.empty_or_null(F.regexp_replace("text", r"\S", "")).alias("no_space"))
+
+
+@query("fn_to_json")
+def q_fn_to_json(spark, sf_dir):
+    uu = q_dws_cart_uu(spark, sf_dir)
+    bean = uu.select("stt", "edt", F.col("cur_date").alias("curDate"),
+                     F.col("cart_add_uu_ct").alias("cartAddUuCt"), F.lit(0).alias("ts"))
+    return bean.select(sc.to_json_snake(bean.columns, hidden=("ts",)).alias("json"))

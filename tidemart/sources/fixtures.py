@@ -440,3 +440,22 @@ def page_log_topic(spark, sf_dir) -> DataFrame:
             .select("offset", F.when(F.col("offset") % DIRTY_EVERY == 0,
                                      F.expr("substring(v_, 1, length(v_) - 1)")).otherwise(F.col("v_"))
                     .alias("value")))
+
+
+def mixed_feed(spark, sf_dir) -> DataFrame:
+    """A change feed with foreign databases, unknown ops and deletes (for P3/P7):
+    supplier rows, db by key % 3, op by key % 5 (0 d, 1 c, 2 u, 3 r, 4 unknown)."""
+    s = table(spark, sf_dir, "supplier")
+    key = F.col("s_suppkey")
+    row = {"s_suppkey": key, "s_name": F.col("s_name"), "s_nationkey": F.col("s_nationkey")}
+    op = F.element_at(F.array(*[F.lit(x) for x in ("d", "c", "u", "r", "x")]), (key % 5 + 1).cast("int"))
+    m = _m(row)
+    return s.select(
+        F.when(op.isin("d", "u"), m).alias("before"),
+        F.when(op == "d", F.create_map().cast(MAP_SS)).otherwise(m).alias("after"),
+        F.create_map(F.lit("db"), F.when(key % 3 == 0, F.lit("other_db")).otherwise(F.lit(DB)),
+                     F.lit("table"), F.lit("supplier")).alias("source"),
+        op.alias("op"),
+        (F.lit(T0_MS) + key * 1000).alias("ts_ms"),
+        _pad(key).alias("seq"),
+    )
