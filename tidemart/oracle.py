@@ -173,6 +173,7 @@ CTE["cart_add"] = """
 CTE["parts"] = """
   SELECT p_partkey, p_name, p_brand, p_type, p_size,
          p_type || '/' || CAST(p_size % 4 AS VARCHAR) AS c3id,
+         lower(p_type) || ' ' || CAST(p_size % 4 AS VARCHAR) AS c3name,
          CASE p_brand WHEN 'Brand#1' THEN 'TCL' WHEN 'Brand#2' THEN '苹果' WHEN 'Brand#3' THEN '联想'
                       WHEN 'Brand#4' THEN '小米' WHEN 'Brand#5' THEN '欧莱雅' WHEN 'Brand#6' THEN '香奈儿'
                       ELSE p_brand END AS tname
@@ -183,12 +184,12 @@ CTE["c1"] = """
                         ('MEDIUM', '母婴'), ('SMALL', '运动户外')) AS t(id, name)"""
 
 CTE["tree"] = """
-  SELECT DISTINCT p.c3id AS id, p.c3id AS b3name, lower(p.p_type) AS b2name, c1.name AS b1name, p.p_type AS c2id
+  SELECT DISTINCT p.c3id AS id, p.c3name AS b3name, lower(p.p_type) AS b2name, c1.name AS b1name, p.p_type AS c2id
   FROM parts p JOIN c1 ON p.p_type = c1.id"""
 
 CTE["logs_raw"] = f"""
   SELECT e.event_id AS "offset", e.event_type, e.user_id, CAST(json_extract(e.props, '$.k') AS BIGINT) AS k,
-         e.value, {ms('e.ts')} AS ts, p.p_name
+         e.value, {ms('e.ts')} AS ts, lower(p.p_type) || ' ' || CAST(p.p_size % 4 AS VARCHAR) AS search_word
   FROM events e LEFT JOIN part p ON p.p_partkey = CAST(json_extract(e.props, '$.k') AS BIGINT)
   WHERE e.event_id % 97 <> 0"""
 
@@ -204,7 +205,7 @@ CTE["logs0"] = f"""
               WHEN 'purchase' THEN 'payment' WHEN 'signup' THEN 'login' WHEN 'error' THEN 'mine' END END AS page_id,
          CASE WHEN k % 13 = 0 THEN NULL WHEN k % 5 = 0 THEN NULL WHEN k % 5 = 1 THEN 'search'
               WHEN k % 5 = 2 THEN 'login' ELSE 'home' END AS last_page_id,
-         CASE WHEN k % 13 = 0 THEN NULL WHEN k % 5 = 1 THEN p_name ELSE CAST(k AS VARCHAR) END AS item,
+         CASE WHEN k % 13 = 0 THEN NULL WHEN k % 5 = 1 THEN search_word ELSE CAST(k AS VARCHAR) END AS item,
          CASE WHEN k % 13 = 0 THEN NULL WHEN k % 5 = 1 THEN 'keyword' ELSE 'sku_id' END AS item_type,
          CASE WHEN k % 13 = 0 THEN NULL ELSE CAST(ROUND(value * 1000) AS BIGINT) END AS during_time,
          ts, k, event_type = 'error' AS has_err,
@@ -252,7 +253,7 @@ WHERE rn = 1""",
     "dim_sku_wide": with_ctes("parts") + """
 SELECT CAST(p_partkey AS VARCHAR) AS skuid, p_name AS spuid, c3id, tname FROM parts""",
     "dim_category_cascade": with_ctes("parts", "c1") + """
-SELECT CAST(p_partkey AS VARCHAR) AS id, c3id AS category3_id, c3id AS category3_name, p_type AS category2_id,
+SELECT CAST(p_partkey AS VARCHAR) AS id, c3id AS category3_id, c3name AS category3_name, p_type AS category2_id,
        lower(p_type) AS category2_name, p_type AS category1_id, c1.name AS category1_name
 FROM parts LEFT JOIN c1 ON p_type = c1.id""",
     "dws_province_order": DETAIL_SQL + f""", r AS (
@@ -278,7 +279,7 @@ agg AS (
   FROM latest GROUP BY ALL)
 SELECT {win('ws', 10000)}, p.p_brand AS trademark_id, p.tname AS trademark_name, p.p_type AS category1_id,
        c1.name AS category1_name, p.p_type AS category2_id, lower(p.p_type) AS category2_name,
-       p.c3id AS category3_id, p.c3id AS category3_name, agg.sku_id, p.p_name AS sku_name, p.p_name AS spu_id,
+       p.c3id AS category3_id, p.c3name AS category3_name, agg.sku_id, p.p_name AS sku_name, p.p_name AS spu_id,
        p.p_name AS spu_name, original_amount, activity_reduce_amount, coupon_reduce_amount, order_amount
 FROM agg LEFT JOIN parts p ON agg.sku_id = CAST(p.p_partkey AS VARCHAR) LEFT JOIN c1 ON p.p_type = c1.id""",
     "dws_cart_uu": with_ctes("cart_info", "cart_add") + f""", firsts AS (
@@ -413,3 +414,186 @@ ORACLE["fn_to_json"] = (
     "WITH uu AS (" + ORACLE["dws_cart_uu"] + ")\n"
     "SELECT CAST(json_object('stt', stt, 'edt', edt, 'cur_date', cur_date, 'cart_add_uu_ct', cart_add_uu_ct) AS VARCHAR)"
     " AS json FROM uu")
+
+# ------------------------------------------------------------------ user labels
+from .functions import weights as _w  # noqa: E402  (fixed weight constants only)
+
+BANDS = ["18_24", "25_29", "30_34", "35_39", "40_49", "50"]
+COEF = {"device": "0.1", "search": "0.15", "pay_time": "0.1", "amount": "0.15", "tname": "0.2", "b1name": "0.3"}
+
+
+def wvalues(rows: dict, default=None) -> str:
+    items = list(rows.items()) + ([("__default__", default)] if default is not None else [])
+    vals = ", ".join("('" + k + "', " + ", ".join(f"'{x}'" for x in ws) + ")" for k, ws in items)
+    return f"SELECT * FROM (VALUES {vals}) AS t(key, w0, w1, w2, w3, w4, w5)"
+
+
+def wcols(alias: str, fam: str) -> str:
+    return ", ".join(f"CAST(ROUND(CAST({alias}.w{i} AS DECIMAL(3,1)) * CAST('{COEF[fam]}' AS DECIMAL(3,2)), 3) "
+                     f"AS DECIMAL(10,3)) AS {fam}_{b}" for i, b in enumerate(BANDS))
+
+
+def fam_cols(fam: str) -> str:
+    return ", ".join(f"{fam}_{b}" for b in BANDS)
+
+
+CTE.update({
+    "w_device": wvalues(_w.DEVICE),
+    "w_search": wvalues(_w.SEARCH, _w.SEARCH_DEFAULT),
+    "w_pay_time": wvalues(_w.PAY_TIME),
+    "w_amount": wvalues(_w.AMOUNT),
+    "w_tname": wvalues(_w.BRAND, _w.BRAND_DEFAULT),
+    "w_b1name": wvalues({**{k: _w.CATEGORY_A for k in _w.CATEGORY_GROUP_A},
+                         **{k: _w.CATEGORY_B for k in _w.CATEGORY_GROUP_B}}, _w.CATEGORY_DEFAULT),
+    "compare": """
+  SELECT * FROM (VALUES ('1', '手机', '科技与数码'), ('2', '数码', '时尚与潮流'), ('3', '家居家装', '家庭与育儿'),
+                        ('4', '家用电器', '性价比'), ('5', '母婴', '健康与养生'), ('6', '图书', '学习与发展'))
+    AS t(id, category_name, search_category)""",
+    "users": f"""
+  SELECT CAST(c_custkey AS VARCHAR) AS uid, ' ' || lower(c_name) || ' ' AS uname,
+         CAST(c_custkey % 3 + 1 AS VARCHAR) AS user_level, 'user' || CAST(c_custkey AS VARCHAR) AS login_name,
+         '138' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS phone_num,
+         'user' || CAST(c_custkey AS VARCHAR) || '@example.com' AS email,
+         CASE WHEN c_custkey % 3 = 0 THEN 'home' WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
+         strftime(b, '%Y-%m-%d') AS birthday, CAST(year(b) // 10 * 10 AS INTEGER) AS decade,
+         CAST(2025 - year(b) - CASE WHEN 512 < month(b) * 100 + day(b) THEN 1 ELSE 0 END AS INTEGER) AS age,
+         {zodiac_sql('(month(b) * 100 + day(b))')} AS zodiac_sign, {T0} + c_custkey * 1000 AS ts_ms
+  FROM (SELECT *, CAST(DATE '1970-01-01' + CAST((c_custkey * 13) % 16000 AS INTEGER) AS DATE) AS b FROM customer)""",
+    "sup": f"""
+  SELECT CAST(c_custkey AS VARCHAR) AS sup_uid, CAST(c_custkey % 180 + 90 AS VARCHAR) AS height,
+         CASE WHEN c_custkey % 2 = 0 THEN 'cm' ELSE 'in' END AS unit_height,
+         CAST(c_custkey % 190 + 25 AS VARCHAR) AS weight,
+         CASE WHEN c_custkey % 3 = 0 THEN 'lb' ELSE 'kg' END AS unit_weight,
+         {T0} + c_custkey * 1000 + 60000 AS sup_ts_ms
+  FROM customer WHERE c_custkey % 4 <> 0""",
+    "lorders": f"""
+  SELECT ts_ms, id, user_id AS uid, consignee, create_ms AS create_time, total_amount AS original_total_amount,
+         total_amount, CAST(province_id AS BIGINT) AS province_id,
+         CASE WHEN h < 6 THEN '凌晨' WHEN h < 9 THEN '早晨' WHEN h < 12 THEN '上午' WHEN h < 14 THEN '中午'
+              WHEN h < 18 THEN '下午' WHEN h < 22 THEN '晚上' ELSE '夜间' END AS pay_time_slot
+  FROM (SELECT *, hour(make_timestamp(create_ms * 1000)) AS h FROM order_info)""",
+    "lod": """
+  SELECT o.id, o.uid, o.consignee, o.create_time, o.original_total_amount, o.total_amount, o.province_id,
+         o.pay_time_slot, o.ts_ms, d.id AS detail_id, d.order_id, d.sku_id, d.sku_name,
+         CAST(d.sku_num AS BIGINT) AS sku_num, d.order_price, d.split_activity_amount, d.split_coupon_amount,
+         d.split_total_amount, d.seq
+  FROM lorders o JOIN order_detail d ON o.id = d.order_id AND d.ts_ms BETWEEN o.ts_ms - 120000 AND o.ts_ms + 120000""",
+    "base4": f"""
+  SELECT j.* EXCLUDE (seq, rn), p.c3id, p.tname, t.b1name AS b1_name, {wcols('wp', 'pay_time')},
+         {wcols('wa', 'amount')}, {wcols('wt', 'tname')}, {wcols('wb', 'b1name')}
+  FROM (SELECT *, row_number() OVER (PARTITION BY detail_id ORDER BY seq) AS rn FROM lod) j
+  LEFT JOIN parts p ON j.sku_id = CAST(p.p_partkey AS VARCHAR)
+  LEFT JOIN (SELECT DISTINCT id, b1name FROM tree) t ON p.c3id = t.id
+  LEFT JOIN w_pay_time wp ON wp.key = j.pay_time_slot
+  LEFT JOIN w_amount wa ON wa.key = CASE WHEN CAST(j.total_amount AS DOUBLE) < 1000 THEN 'low'
+       WHEN CAST(j.total_amount AS DOUBLE) > 1000 AND CAST(j.total_amount AS DOUBLE) < 4000 THEN 'mid' ELSE 'high' END
+  LEFT JOIN w_tname wt ON wt.key = CASE WHEN coalesce(p.tname, '') = '' THEN NULL
+       WHEN p.tname IN (SELECT key FROM w_tname) THEN p.tname ELSE '__default__' END
+  LEFT JOIN w_b1name wb ON wb.key = CASE WHEN coalesce(t.b1name, '') = '' THEN NULL
+       WHEN t.b1name IN (SELECT key FROM w_b1name) THEN t.b1name ELSE '__default__' END
+  WHERE j.rn = 1""",
+    "dev": """
+  SELECT coalesce(uid, '-1') AS uid, ts, ar, ba, ch, md, split_part(os, ' ', 1) AS os, uid AS dev_uid, vc,
+         CASE WHEN item_type = 'keyword' THEN item END AS search_item, "offset"
+  FROM pages""",
+    "prof": """
+  SELECT uid, ts, count(*) OVER w AS pv,
+         array_to_string(list_sort(list_distinct(list(os) OVER w)), ',') AS os,
+         array_to_string(list_sort(list_distinct(list(ch) OVER w)), ',') AS ch,
+         array_to_string(list_sort(list_distinct(list(md) OVER w)), ',') AS md,
+         array_to_string(list_sort(list_distinct(list(ba) OVER w)), ',') AS ba,
+         array_to_string(list_sort(list_distinct(list(search_item) OVER w)), ',') AS search_item
+  FROM (SELECT DISTINCT uid, ts, ar, ba, ch, md, os, dev_uid, vc, search_item FROM dev)
+  WINDOW w AS (PARTITION BY uid ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+    "prof2": """
+  SELECT uid, ws AS wstart, ts AS ts_ms, pv, os, ch, md, ba, search_item FROM (
+    SELECT *, ts - ts % 120000 AS ws, row_number() OVER (PARTITION BY uid, ts - ts % 120000 ORDER BY ts DESC) AS rn
+    FROM prof) WHERE rn = 1""",
+    "base2": f"""
+  SELECT p.uid, p.ts_ms, p.pv, p.os, p.ch, p.md, p.ba, p.search_item, split_part(p.os, ',', 1) AS judge_os,
+         t.b1name AS b1_category, coalesce(c.search_category, 'unknown') AS search_category,
+         {wcols('wd', 'device')}, {wcols('ws', 'search')}
+  FROM prof2 p
+  LEFT JOIN (SELECT DISTINCT b3name, b1name FROM tree) t ON p.search_item = t.b3name AND p.search_item <> ''
+  LEFT JOIN (SELECT category_name, arg_min(search_category, id) AS search_category FROM compare GROUP BY 1) c
+    ON c.category_name = t.b1name
+  LEFT JOIN w_device wd ON wd.key = split_part(p.os, ',', 1)
+  LEFT JOIN w_search ws ON ws.key = CASE WHEN coalesce(c.search_category, 'unknown') IN (SELECT key FROM w_search)
+       THEN coalesce(c.search_category, 'unknown') ELSE '__default__' END""",
+})
+
+LABEL4 = ("order_info", "order_detail", "parts", "c1", "tree", "w_pay_time", "w_amount", "w_tname", "w_b1name",
+          "lorders", "lod", "base4")
+LABEL2 = LOGS + ("parts", "c1", "tree", "compare", "w_device", "w_search", "dev", "prof", "prof2", "base2")
+B4_SCORES = ", ".join(fam_cols(f) for f in ("pay_time", "amount", "tname", "b1name"))
+
+CTE["b24"] = f"""
+  SELECT b2.* EXCLUDE (ts_ms), b2.ts_ms AS base2_ts_ms, b4.id, b4.detail_id, b4.ts_ms AS base4_ts_ms,
+         b4.pay_time_slot, b4.total_amount, b4.tname, b4.b1_name, {B4_SCORES}, b4.ts_ms AS ts_ms
+  FROM base2 b2 JOIN base4 b4 ON b2.uid = b4.uid AND b4.ts_ms BETWEEN b2.ts_ms - 86400000 AND b2.ts_ms + 86400000"""
+
+CTE["base6"] = """
+  SELECT u.uid, u.uname, u.user_level, u.login_name, u.phone_num, u.email, u.gender, u.birthday, u.decade, u.age,
+         u.zodiac_sign, s.height, s.unit_height, s.weight, s.unit_weight, u.ts_ms
+  FROM users u JOIN sup s ON u.uid = s.sup_uid AND s.sup_ts_ms BETWEEN u.ts_ms - 300000 AND u.ts_ms + 300000"""
+
+
+def _total(b: str) -> str:
+    return " + ".join(f"coalesce({f}_{b}, 0)" for f in ("device", "search", "pay_time", "amount", "tname", "b1name"))
+
+
+ORACLE.update({
+    "label_user_flatten": with_ctes("users") + "SELECT * FROM users",
+    "label_name_clean": with_ctes("users") + "SELECT uid, upper(trim(uname)) AS uname FROM users",
+    "label_base6": with_ctes("users", "sup", "base6") + "SELECT * FROM base6",
+    "label_user_join": with_ctes("users", "sup") + """
+SELECT u.uid, u.ts_ms, s.sup_ts_ms, s.height, s.weight
+FROM users u JOIN sup s ON u.uid = s.sup_uid AND s.sup_ts_ms BETWEEN u.ts_ms - 300000 AND u.ts_ms + 300000""",
+    "label_order_flatten": with_ctes("order_info", "lorders") + "SELECT * FROM lorders",
+    "label_order_detail_join": with_ctes("order_info", "order_detail", "lorders", "lod") + "SELECT * FROM lod",
+    "label_base4": with_ctes(*LABEL4) + "SELECT * FROM base4",
+    "label_device_flatten": with_ctes(*LOGS, "dev") + "SELECT * EXCLUDE (\"offset\") FROM dev",
+    "dedup_exact": with_ctes(*LOGS, "dev") + f"""
+SELECT DISTINCT uid, {dstr('ts')} AS day, ar, ba, ch, md, os, dev_uid, vc, search_item FROM dev""",
+    "label_running_profile": with_ctes(*LOGS, "dev", "prof") + "SELECT uid, ts AS ts_ms, * EXCLUDE (uid, ts) FROM prof",
+    "label_profile_2min": with_ctes(*LOGS, "dev", "prof", "prof2") + "SELECT * FROM prof2",
+    "label_base2": with_ctes(*LABEL2) + "SELECT * FROM base2",
+    "label_device_score": with_ctes(*LOGS, "dev", "w_device") + f"""
+SELECT d.uid, d.ts, d.os AS judge_os, {wcols('wd', 'device')} FROM dev d LEFT JOIN w_device wd ON wd.key = d.os""",
+    "label_search_score": with_ctes(*LOGS, "parts", "c1", "tree", "compare", "w_search") + f"""
+SELECT p."offset", p.item AS search_item, t.b1name AS b1_category, coalesce(c.search_category, 'unknown') AS search_category,
+       {wcols('ws', 'search')}
+FROM pages p LEFT JOIN (SELECT DISTINCT b3name, b1name FROM tree) t ON p.item = t.b3name
+LEFT JOIN compare c ON c.category_name = t.b1name
+LEFT JOIN w_search ws ON ws.key = CASE WHEN coalesce(c.search_category, 'unknown') IN (SELECT key FROM w_search)
+     THEN coalesce(c.search_category, 'unknown') ELSE '__default__' END
+WHERE p.item_type = 'keyword'""",
+    "label_time_score": with_ctes("order_info", "lorders", "w_pay_time") + f"""
+SELECT o.id, o.create_time, o.pay_time_slot, {wcols('wp', 'pay_time')}
+FROM lorders o LEFT JOIN w_pay_time wp ON wp.key = o.pay_time_slot""",
+    "label_amount_score": with_ctes("order_info", "lorders", "w_amount") + f"""
+SELECT o.id, o.total_amount, a.amount_class, {wcols('wa', 'amount')}
+FROM lorders o, LATERAL (SELECT CASE WHEN CAST(o.total_amount AS DOUBLE) < 1000 THEN 'low'
+     WHEN CAST(o.total_amount AS DOUBLE) > 1000 AND CAST(o.total_amount AS DOUBLE) < 4000 THEN 'mid'
+     ELSE 'high' END AS amount_class) a
+LEFT JOIN w_amount wa ON wa.key = a.amount_class""",
+    "label_brand_score": with_ctes("parts", "w_tname") + f"""
+SELECT CAST(p.p_partkey AS VARCHAR) AS skuid, p.tname, {wcols('wt', 'tname')}
+FROM parts p LEFT JOIN w_tname wt ON wt.key = CASE WHEN p.tname IN (SELECT key FROM w_tname) THEN p.tname
+                                                    ELSE '__default__' END""",
+    "label_category_score": with_ctes("parts", "c1", "tree", "w_b1name") + f"""
+SELECT t.id, t.b1name, {wcols('wb', 'b1name')}
+FROM tree t LEFT JOIN w_b1name wb ON wb.key = CASE WHEN t.b1name IN (SELECT key FROM w_b1name) THEN t.b1name
+                                                    ELSE '__default__' END""",
+    "label_merge_2_4_6": with_ctes(*dict.fromkeys(LABEL2 + LABEL4), "b24", "users", "sup", "base6") + """
+SELECT m.uid, m.base2_ts_ms, m.detail_id, m.ts_ms, b6.ts_ms AS base6_ts_ms, m.pv, m.judge_os, m.search_category,
+       m.pay_time_slot, m.tname, m.b1_name, b6.gender, b6.age, b6.zodiac_sign
+FROM b24 m JOIN base6 b6 ON m.uid = b6.uid AND b6.ts_ms BETWEEN m.ts_ms - 86400000 AND m.ts_ms + 86400000""",
+    "label_age_band": with_ctes(*dict.fromkeys(LABEL2 + LABEL4), "b24") + """
+SELECT uid, base2_ts_ms, detail_id, ts_ms, """ + ", ".join(
+        f"CAST({_total(b)} AS DECIMAL(12,3)) AS total_{b}" for b in BANDS) + """,
+       CASE """ + " ".join(
+        f"WHEN {' AND '.join(f'({_total(b)}) >= ({_total(o)})' for o in BANDS if o != b)} THEN '{b}'"
+        for b in BANDS) + """ END AS age_band
+FROM b24""",
+})

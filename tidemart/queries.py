@@ -12,11 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import scalars as sc
+from .functions import weights as W
 from .operators import dedup as dd
 from .operators import dims as D
 from .operators import envelope as env_ops
+from .operators import joins as ij
 from .operators import logs as lg
 from .plans import dwd, dws
+from .plans import labels as lb
 from .sources import fixtures as fx
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -381,3 +384,149 @@ def q_fn_to_json(spark, sf_dir):
     bean = uu.select("stt", "edt", F.col("cur_date").alias("curDate"),
                      F.col("cart_add_uu_ct").alias("cartAddUuCt"), F.lit(0).alias("ts"))
     return bean.select(sc.to_json_snake(bean.columns, hidden=("ts",)).alias("json"))
+
+
+# ---------------------------------------------------------------- user labels
+
+def _as_of():
+    return F.lit(AS_OF).cast("date")
+
+
+def _tree(spark, sf_dir):
+    d = _dims(spark, sf_dir)
+    return D.category_tree(d["c3"], d["c2"], d["c1"])
+
+
+@query("label_user_flatten")
+def q_label_user_flatten(spark, sf_dir):
+    return lb.user_flat(_topic(spark, sf_dir, "user_info"), _as_of())
+
+
+@query("label_name_clean")
+def q_label_name_clean(spark, sf_dir):
+    return lb.name_clean(lb.user_flat(_topic(spark, sf_dir, "user_info"), _as_of())).select("uid", "uname")
+
+
+@query("label_base6")
+def q_label_base6(spark, sf_dir):
+    return lb.base6(_topic(spark, sf_dir, "user_info", "user_info_sup_msg"), _as_of())
+
+
+@query("label_user_join")
+def q_label_user_join(spark, sf_dir):
+    t = _topic(spark, sf_dir, "user_info", "user_info_sup_msg")
+    j = ij.interval_join(lb.user_flat(t, _as_of()), lb.user_sup_flat(t), "uid", "sup_uid", "ts_ms", "sup_ts_ms",
+                         -5 * lb.MIN, 5 * lb.MIN)
+    return j.select("uid", "ts_ms", "sup_ts_ms", "height", "weight")
+
+
+@query("label_order_flatten")
+def q_label_order_flatten(spark, sf_dir):
+    return lb.order_flat(_topic(spark, sf_dir, "order_info"))
+
+
+@query("label_order_detail_join")
+def q_label_order_detail_join(spark, sf_dir):
+    return lb.order_detail_join(_topic(spark, sf_dir, "order_info", "order_detail"))
+
+
+@query("label_base4")
+def q_label_base4(spark, sf_dir):
+    d = _dims(spark, sf_dir)
+    return lb.base4(spark, _topic(spark, sf_dir, "order_info", "order_detail"), D.sku_wide(d["sku"], d["spu"], d["tm"]),
+                    _tree(spark, sf_dir))
+
+
+@query("label_device_flatten")
+def q_label_device_flatten(spark, sf_dir):
+    d = lg.device_search_flatten(_pages(spark, sf_dir))
+    return d.select("uid", "ts", *_device_cols(), "search_item")
+
+
+def _device_cols():
+    return [F.col(f"deviceInfo.{c}").alias("dev_uid" if c == "uid" else c)
+            for c in ("ar", "ba", "ch", "md", "os", "uid", "vc")]
+
+
+@query("dedup_exact")
+def q_dedup_exact(spark, sf_dir):
+    d = lg.device_search_flatten(_pages(spark, sf_dir))
+    day = sc.ms_to_date_str(F.col("ts"))
+    return dd.dedup_exact(d.select("uid", day.alias("day"), *_device_cols(), "search_item"))
+
+
+@query("label_running_profile")
+def q_label_running_profile(spark, sf_dir):
+    return lb.running_profile(lb.device_rows(_pages(spark, sf_dir)), 1).drop("wstart")
+
+
+@query("label_profile_2min")
+def q_label_profile_2min(spark, sf_dir):
+    return lb.running_profile(lb.device_rows(_pages(spark, sf_dir)), "2 minutes")
+
+
+@query("label_base2")
+def q_label_base2(spark, sf_dir):
+    return lb.base2(spark, _pages(spark, sf_dir), _tree(spark, sf_dir), fx.category_compare(spark))
+
+
+@query("label_device_score")
+def q_label_device_score(spark, sf_dir):
+    d = lg.device_search_flatten(_pages(spark, sf_dir)).select("uid", "ts", F.col("deviceInfo.os").alias("judge_os"))
+    return W.score(d, spark, "device", F.col("judge_os"))
+
+
+@query("label_search_score")
+def q_label_search_score(spark, sf_dir):
+    p = _pages(spark, sf_dir).where(F.col("page.item_type") == "keyword") \
+        .select("offset", F.col("page.item").alias("search_item"))
+    tr = _tree(spark, sf_dir).select(F.col("b3name").alias("_b3"), F.col("b1name").alias("b1_category"))
+    p = p.join(F.broadcast(tr), p.search_item == tr._b3, "left").drop("_b3")
+    cmp = fx.category_compare(spark).select(F.col("category_name").alias("_cn"), "search_category")
+    p = p.join(F.broadcast(cmp), p.b1_category == cmp._cn, "left").drop("_cn") \
+        .withColumn("search_category", F.coalesce("search_category", F.lit("unknown")))
+    return W.score(p, spark, "search", F.col("search_category"))
+
+
+@query("label_time_score")
+def q_label_time_score(spark, sf_dir):
+    o = lb.order_flat(_topic(spark, sf_dir, "order_info")).select("id", "create_time", "pay_time_slot")
+    return W.score(o, spark, "pay_time", F.col("pay_time_slot"))
+
+
+@query("label_amount_score")
+def q_label_amount_score(spark, sf_dir):
+    o = lb.order_flat(_topic(spark, sf_dir, "order_info")).select("id", "total_amount")
+    return W.score(o.withColumn("amount_class", W.amount_class(F.col("total_amount"))), spark, "amount",
+                   F.col("amount_class"))
+
+
+@query("label_brand_score")
+def q_label_brand_score(spark, sf_dir):
+    d = _dims(spark, sf_dir)
+    s = D.sku_wide(d["sku"], d["spu"], d["tm"]).select("skuid", "tname")
+    return W.score(s, spark, "tname", F.col("tname"), ~sc.empty_or_null(F.col("tname")))
+
+
+@query("label_category_score")
+def q_label_category_score(spark, sf_dir):
+    t = _tree(spark, sf_dir).select("id", "b1name")
+    return W.score(t, spark, "b1name", F.col("b1name"), ~sc.empty_or_null(F.col("b1name")))
+
+
+def _b24(spark, sf_dir):
+    b2 = q_label_base2(spark, sf_dir)
+    b4 = q_label_base4(spark, sf_dir)
+    return lb.merge_2_4(b2, b4)
+
+
+@query("label_merge_2_4_6")
+def q_label_merge_2_4_6(spark, sf_dir):
+    m = lb.merge_2_4_6(_b24(spark, sf_dir), q_label_base6(spark, sf_dir))
+    return m.select("uid", "base2_ts_ms", "detail_id", "ts_ms", "base6_ts_ms", "pv", "judge_os", "search_category",
+                    "pay_time_slot", "tname", "b1_name", "gender", "age", "zodiac_sign")
+
+
+@query("label_age_band")
+def q_label_age_band(spark, sf_dir):
+    return lb.age_band(_b24(spark, sf_dir))

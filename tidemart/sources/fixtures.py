@@ -333,6 +333,10 @@ def _c3_id() -> Column:
     return F.concat(F.col("p_type"), F.lit("/"), _s(F.col("p_size") % 4))
 
 
+def _c3_name() -> Column:
+    return F.concat(F.lower(F.col("p_type")), F.lit(" "), _s(F.col("p_size") % 4))
+
+
 def sku_info(spark, sf_dir) -> DataFrame:
     p = table(spark, sf_dir, "part")
     return p.select(_s(F.col("p_partkey")).alias("id"), F.col("p_name").alias("sku_name"),
@@ -352,7 +356,7 @@ def base_trademark(spark, sf_dir) -> DataFrame:
 
 def base_category3(spark, sf_dir) -> DataFrame:
     p = table(spark, sf_dir, "part")
-    return p.select(_c3_id().alias("id"), _c3_id().alias("name"),
+    return p.select(_c3_id().alias("id"), _c3_name().alias("name"),
                     F.col("p_type").alias("category2_id")).distinct()
 
 
@@ -384,7 +388,7 @@ def _pick(lst: list[str], idx: Column) -> Column:
 def page_log_struct(spark, sf_dir) -> DataFrame:
     """Parsed page-log records (offset = event_id) before serialisation."""
     ev = table(spark, sf_dir, "events").withColumn("k", _k()).withColumn("ts_ms", epoch_ms(F.col("ts")))
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    part = table(spark, sf_dir, "part").select("p_partkey", _c3_name().alias("search_word"))
     ev = ev.join(part, ev.k == part.p_partkey, "left")
     k, uid = F.col("k"), F.col("user_id")
     page_id = F.when(F.lit(False), F.lit(None).cast("string"))
@@ -410,7 +414,7 @@ def page_log_struct(spark, sf_dir) -> DataFrame:
     page = F.when(is_start, F.lit(None)).otherwise(F.struct(
         page_id.alias("page_id"),
         last_page.alias("last_page_id"),
-        F.when(is_kw, F.col("p_name")).otherwise(_s(k)).alias("item"),
+        F.when(is_kw, F.col("search_word")).otherwise(_s(k)).alias("item"),
         F.when(is_kw, "keyword").otherwise("sku_id").alias("item_type"),
         F.round(F.col("value") * 1000).cast("long").alias("during_time"),
     ))
