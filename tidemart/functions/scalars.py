@@ -174,7 +174,7 @@ def empty_or_null(x) -> Column:
 
 def strip_trailing(x, sep: str = ",") -> Column:
     """Java String.split drops trailing empty tokens: 'a,,' -> ['a']."""
-    return F.regexp_replace(_c(x), "(" + _re_escape(sep) + ")+$", "")
+    return F.regexp_replace(_c(x), "(" + _re_escape(sep) + r")+\z", "")
 
 
 def _re_escape(s: str) -> str:

@@ -85,7 +85,8 @@ def route(env: DataFrame, cfg: DataFrame) -> DataFrame:
     """J13 + P8: envelopes of configured tables joined to their config row
     (config is one row per source table: bounded, broadcast), with the image
     pruned to the configured columns."""
-    j = env.join(bounded(cfg), env["source"]["table"] == cfg["source_table"], "inner")
+    c = cfg.select("source_table", "sink_table", "sink_columns", "sink_row_key")
+    j = env.join(bounded(c), env["source"]["table"] == c["source_table"], "inner")
     return j.select(
         F.col("source")["table"].alias("source_table"), "sink_table", "sink_row_key", "op", "ts_ms", "seq",
         prune_columns(F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after")),
@@ -111,6 +112,25 @@ def upsert_merge(routed: DataFrame, columns: list[str]) -> DataFrame:
     return live.groupBy("sink_table", "row_key").agg(*aggs)
 
 
+def upsert_merge_map(routed: DataFrame) -> DataFrame:
+    """K6, generic over the image map: (sink_table, row_key, data map).
+
+    Cells are exploded to (table, key, column) groups -- a partial aggregate
+    per cell, so a hot row key spreads over its columns and map tasks."""
+    r = routed.withColumn("row_key", F.col("data")[F.col("sink_row_key")])
+    last_del = (r.where(F.col("op") == "d").groupBy("sink_table", "row_key")
+                .agg(F.max("seq").alias("_del_seq")))
+    live = (r.join(last_del, ["sink_table", "row_key"], "left")
+            .where(F.col("_del_seq").isNull() | (F.col("seq") > F.col("_del_seq"))).where(F.col("op") != "d"))
+    rows = live.select("sink_table", "row_key").distinct()
+    cells = (live.select("sink_table", "row_key", "seq", F.explode("data").alias("col", "val"))
+             .where(F.coalesce(F.col("val"), F.lit("")) != "")
+             .groupBy("sink_table", "row_key", "col").agg(F.max_by("val", "seq").alias("val"))
+             .groupBy("sink_table", "row_key")
+             .agg(F.map_from_entries(F.collect_list(F.struct("col", "val"))).alias("data")))
+    return rows.join(cells, ["sink_table", "row_key"], "left")
+
+
 def upsert_md5(routed: DataFrame, columns: list[str]) -> DataFrame:
     """K7: row key = md5 hex of the key, whole row written, deletes ignored."""
     r = routed.where(F.col("op") != "d").withColumn("row_key", md5_key(F.col("data")[F.col("sink_row_key")]))

@@ -597,3 +597,130 @@ SELECT uid, base2_ts_ms, detail_id, ts_ms, """ + ", ".join(
         for b in BANDS) + """ END AS age_band
 FROM b24""",
 })
+
+# ------------------------------------------------------------------ keywords, comments, config-driven dims
+TOKEN_RE2 = r"\p{Han}+|[^\P{L}\p{Han}]+|\p{N}+"
+
+CTE["search_pages"] = """
+  SELECT "offset", ts, item AS fullword FROM pages
+  WHERE last_page_id = 'search' AND item_type = 'keyword' AND item IS NOT NULL"""
+CTE["tokens"] = f"""
+  SELECT "offset", ts, fullword, unnest(regexp_extract_all(lower(fullword), '{TOKEN_RE2}')) AS keyword
+  FROM search_pages"""
+CTE["comments"] = """
+  SELECT c.*, CAST(c.user_id AS BIGINT) AS uid_n, CAST(c.sku_id AS BIGINT) AS sku_n,
+         CAST(c.user_id AS BIGINT) AS order_n, coalesce(d.dic_name, 'N/A') AS dic_name
+  FROM comment_info c LEFT JOIN base_dic d ON md5(c.appraise) = md5(d.dic_code)"""
+CTE["cwide"] = """
+  SELECT c.id, c.order_n AS order_id, c.uid_n AS user_id, c.sku_n AS sku_id, c.sku_n AS spu_id, c.appraise,
+         c.dic_name, c.comment_txt AS "commentTxt", c.create_ms AS create_time, c.ts_ms,
+         strftime(make_timestamp(c.ts_ms * 1000), '%Y%m%d') AS ds, o.id AS info_id, 'r' AS info_op,
+         o.ts_ms AS info_tm_ms, o.consignee AS info_consignee, o.total_amount AS info_total_amount,
+         o.order_status AS info_order_status
+  FROM comments c JOIN order_info o ON c.order_n = CAST(o.id AS BIGINT)
+   AND o.ts_ms BETWEEN c.ts_ms - 60000 AND c.ts_ms + 60000"""
+CTE["swords"] = """
+  SELECT DISTINCT list_extract(string_split(rtrim(comment_txt, ','), ','), -1) AS word FROM comment_info
+  WHERE CAST(user_id AS BIGINT) % 10 = 0 AND coalesce(list_extract(string_split(rtrim(comment_txt, ','), ','), -1), '') <> ''"""
+CTE["cfg"] = """
+  SELECT * FROM (VALUES
+    ('user_info', 'dim_user_info', 'birthday,email,gender,id,login_name,name,phone_num,user_level', 'r', '1'),
+    ('payment_info', 'dim_payment_info', 'callback_time,id,order_id,payment_status,payment_type,user_id', 'r', '1'),
+    ('payment_info', 'dim_payment_info', 'id,payment_type', 'u', '2'),
+    ('cart_info', 'dim_cart_info', 'create_time,id,sku_id,sku_num,user_id', 'r', '1'),
+    ('cart_info', 'dim_cart_info', 'create_time,id,sku_id,sku_num,user_id', 'd', '3'),
+    ('comment_info', 'dim_comment_info', 'appraise,comment_txt,create_time,id,order_id,sku_id,spu_id,user_id', 'r', '1'),
+    ('supplier', 'dim_supplier', 'id,s_name,s_nationkey,s_suppkey', 'r', '1'))
+  AS t(source_table, sink_table, sink_columns, op, seq)"""
+CTE["sfeed"] = f"""
+  SELECT CAST(s_suppkey AS VARCHAR) AS id, 'r' AS op, 1 AS n, s_name, CAST(s_nationkey AS VARCHAR) AS nk,
+         s_suppkey, {T0} + s_suppkey * 1000 AS ts FROM supplier
+  UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 'u', 2, upper(s_name), '', s_suppkey, {T0} + s_suppkey * 1000
+    FROM supplier WHERE s_suppkey % 2 = 0
+  UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 'd', 3, s_name, CAST(s_nationkey AS VARCHAR), s_suppkey,
+    {T0} + s_suppkey * 1000 FROM supplier WHERE s_suppkey % 5 = 0
+  UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 'c', 4, 'reborn ' || CAST(s_suppkey AS VARCHAR), '', s_suppkey,
+    {T0} + s_suppkey * 1000 FROM supplier WHERE s_suppkey % 10 = 0"""
+CTE["routed"] = """
+  SELECT 'user_info' AS source_table, 'dim_user_info' AS sink_table, 'r' AS op,
+         lpad(CAST(ts_ms AS VARCHAR), 16, '0') AS seq, uid AS row_key, 8 AS n_cols,
+         'birthday,email,gender,id,login_name,name,phone_num,user_level' AS columns FROM users
+  UNION ALL SELECT 'payment_info', 'dim_payment_info', 'r', lpad(CAST(ts_ms AS VARCHAR), 16, '0'), order_id, 2,
+         'id,payment_type' FROM payment_info
+  UNION ALL SELECT 'comment_info', 'dim_comment_info', 'r', lpad(CAST(ts_ms AS VARCHAR), 16, '0'), id, 8,
+         'appraise,comment_txt,create_time,id,order_id,sku_id,spu_id,user_id' FROM comment_info
+  UNION ALL SELECT 'supplier', 'dim_supplier', op, lpad(CAST(ts AS VARCHAR), 16, '0') || '-' || CAST(n AS VARCHAR),
+         id, 4, 'id,s_name,s_nationkey,s_suppkey' FROM sfeed"""
+CTE["sup_live"] = """
+  SELECT f.* FROM sfeed f LEFT JOIN (SELECT id, max(n) AS dn FROM sfeed WHERE op = 'd' GROUP BY id) d ON f.id = d.id
+  WHERE (d.dn IS NULL OR f.n > d.dn) AND f.op <> 'd'"""
+
+DIMS_BASE = ("users", "payment_info", "comment_info", "sfeed")
+
+ORACLE.update({
+    "keyword_tokenize": with_ctes(*LOGS, "search_pages", "tokens") + 'SELECT "offset", fullword, keyword FROM tokens',
+    "dws_keyword": with_ctes(*LOGS, "search_pages", "tokens") + f"""
+SELECT {win('ts - ts % 3600000', HOUR)}, keyword, count(*) AS keyword_count FROM tokens GROUP BY ALL""",
+    "dim_enrich_default": with_ctes("comment_info", "base_dic", "comments") + "SELECT id, appraise, dic_name FROM comments",
+    "comment_order_join": with_ctes("comment_info", "base_dic", "comments", "order_info", "cwide") + """
+SELECT id, order_id, user_id, appraise, dic_name, ts_ms, info_id, info_op, info_tm_ms, info_consignee,
+       info_total_amount, info_order_status FROM cwide""",
+    "comment_wide": with_ctes("comment_info", "base_dic", "comments", "order_info", "cwide") + """
+SELECT id, order_id, user_id, sku_id, spu_id, appraise, dic_name, "commentTxt", create_time, ts_ms, ds,
+       info_consignee, info_tm_ms FROM cwide""",
+    "comment_sensitive": with_ctes("comment_info", "base_dic", "comments", "order_info", "cwide", "swords") + """
+SELECT w.user_id, w.info_consignee AS consignee, w.ts_ms, w.ds, w."commentTxt" AS msg,
+       CASE WHEN s.word IS NOT NULL THEN 1 ELSE 0 END AS is_violation,
+       CASE WHEN s.word IS NOT NULL THEN 'P0' ELSE '' END AS violation_grade,
+       CASE WHEN s.word IS NOT NULL THEN s.word ELSE '' END AS violation_msg
+FROM cwide w LEFT JOIN swords s
+  ON coalesce(list_extract(string_split(rtrim(w."commentTxt", ','), ','), -1), '') = s.word""",
+    "dim_point_lookup": with_ctes("cart_info") + """
+SELECT c.id, c.sku_id, p.p_name AS dim_sku_name, p.p_brand AS dim_tm_id
+FROM cart_info c LEFT JOIN part p ON c.sku_id = CAST(p.p_partkey AS VARCHAR)""",
+    "dim_enrich_generic": with_ctes("order_info") + """
+SELECT o.id, o.province_id, n.n_name AS province_name
+FROM order_info o LEFT JOIN nation n ON o.province_id = CAST(n.n_nationkey AS VARCHAR)""",
+    "interval_join": f"""
+WITH ev AS (SELECT event_id, user_id, event_type, {ms('ts')} AS ms FROM events)
+SELECT b.event_id AS purchase_id, v.event_id AS view_id, b.user_id AS uid, b.ms - v.ms AS lag_ms
+FROM ev b JOIN ev v ON b.user_id = v.user_id AND v.ms BETWEEN b.ms - 21600000 AND b.ms
+WHERE b.event_type = 'purchase' AND v.event_type = 'view'""",
+    "dim_config_scan": with_ctes("cfg") + """
+SELECT source_table AS "sourceTable", sink_table AS "sinkTable", sink_columns AS "sinkColumns",
+       'info' AS "sinkFamily", 'id' AS "sinkRowKey"
+FROM (SELECT *, row_number() OVER (PARTITION BY source_table ORDER BY seq DESC) AS rn FROM cfg)
+WHERE rn = 1 AND op <> 'd'""",
+    "dim_table_plan": with_ctes("cfg") + """
+SELECT seq, 0 AS step, CASE WHEN op IN ('r', 'c') THEN 'create' ELSE 'drop' END AS action, sink_table,
+       'info' AS sink_family, CASE WHEN op IN ('r', 'c') THEN sink_columns END AS columns FROM cfg
+UNION ALL SELECT seq, 1, 'create', sink_table, 'info', sink_columns FROM cfg WHERE op = 'u'""",
+    "dim_route": with_ctes(*DIMS_BASE, "routed") + "SELECT source_table, sink_table, op, seq, row_key, n_cols FROM routed",
+    "dim_column_prune": with_ctes(*DIMS_BASE, "routed") + "SELECT sink_table, seq, columns FROM routed",
+    "dim_upsert_merge": with_ctes("sfeed", "sup_live") + """
+SELECT 'dim_supplier' AS sink_table, id AS row_key, id, arg_max(s_name, n) AS s_name,
+       arg_max(nk, n) FILTER (WHERE nk <> '') AS s_nationkey
+FROM sup_live GROUP BY id""",
+    "dim_upsert_md5": with_ctes("sfeed") + """
+SELECT 'dim_supplier' AS sink_table, md5(id) AS row_key, id, arg_max(s_name, n) AS s_name, arg_max(nk, n) AS s_nationkey
+FROM sfeed WHERE op <> 'd' GROUP BY id""",
+    "dim_build": with_ctes("users", "payment_info", "comment_info", "sfeed", "sup_live") + """, cells AS (
+  SELECT 'dim_user_info' AS sink_table, uid AS row_key, k, v FROM (
+    SELECT uid, unnest(['birthday', 'email', 'gender', 'id', 'login_name', 'name', 'phone_num', 'user_level']) AS k,
+           unnest([CAST((CAST(uid AS BIGINT) * 13) % 16000 AS VARCHAR), email,
+                   CASE WHEN gender = 'home' THEN NULL ELSE gender END, uid, login_name, uname, phone_num,
+                   user_level]) AS v
+    FROM users)
+  UNION ALL SELECT 'dim_payment_info', order_id, 'id', order_id FROM payment_info
+  UNION ALL SELECT 'dim_payment_info', order_id, 'payment_type', payment_type FROM payment_info
+  UNION ALL SELECT 'dim_comment_info', id, unnest(['appraise', 'comment_txt', 'create_time', 'id', 'order_id',
+                   'sku_id', 'spu_id', 'user_id']),
+                   unnest([appraise, comment_txt, CAST(create_ms AS VARCHAR), id, user_id, sku_id, sku_id, user_id])
+            FROM comment_info
+  UNION ALL SELECT 'dim_supplier', id, 'id', id FROM sup_live
+  UNION ALL SELECT 'dim_supplier', id, 's_suppkey', CAST(s_suppkey AS VARCHAR) FROM sup_live
+  UNION ALL SELECT 'dim_supplier', id, 's_name', arg_max(s_name, n) FROM sup_live GROUP BY id
+  UNION ALL SELECT 'dim_supplier', id, 's_nationkey', arg_max(nk, n) FILTER (WHERE nk <> '') FROM sup_live GROUP BY id)
+SELECT sink_table, row_key, string_agg(k || '=' || v, ';' ORDER BY k || '=' || v) AS cells
+FROM (SELECT DISTINCT * FROM cells WHERE coalesce(v, '') <> '') GROUP BY sink_table, row_key""",
+})

@@ -18,7 +18,10 @@ from .operators import dims as D
 from .operators import envelope as env_ops
 from .operators import joins as ij
 from .operators import logs as lg
+from .operators import text as tx
 from .plans import dwd, dws
+from .plans import comments as cm
+from .plans import dimbuild as db
 from .plans import labels as lb
 from .sources import fixtures as fx
 
@@ -530,3 +533,143 @@ def q_label_merge_2_4_6(spark, sf_dir):
 @query("label_age_band")
 def q_label_age_band(spark, sf_dir):
     return lb.age_band(_b24(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- keywords, comments
+
+def _search_pages(spark, sf_dir):
+    """Search result pages with a keyword."""
+    p = _pages(spark, sf_dir)
+    return p.where((F.col("page.last_page_id") == "search") & (F.col("page.item_type") == "keyword")
+                   & F.col("page.item").isNotNull()).select("offset", "ts", F.col("page.item").alias("fullword"))
+
+
+@query("keyword_tokenize")
+def q_keyword_tokenize(spark, sf_dir):
+    return tx.explode_tokens(_search_pages(spark, sf_dir), "fullword").select("offset", "fullword", "keyword")
+
+
+@query("dws_keyword")
+def q_dws_keyword(spark, sf_dir):
+    return dws.keyword(tx.explode_tokens(_search_pages(spark, sf_dir), "fullword"), EVENT_WINDOW)
+
+
+def _comment_topic(spark, sf_dir):
+    return _topic(spark, sf_dir, "comment_info", "order_info")
+
+
+@query("dim_enrich_default")
+def q_dim_enrich_default(spark, sf_dir):
+    e = cm.enrich_dic_default(_comment_topic(spark, sf_dir), fx.base_dic(spark))
+    return e.select(F.col("after")["id"].alias("id"), F.col("after")["appraise"].alias("appraise"), "dic_name")
+
+
+@query("comment_order_join")
+def q_comment_order_join(spark, sf_dir):
+    j = cm.comment_order_join(_comment_topic(spark, sf_dir), fx.base_dic(spark))
+    return j.select("id", "order_id", "user_id", "appraise", "dic_name", "ts_ms", "info_id", "info_op",
+                    "info_tm_ms", "info_consignee", "info_total_amount", "info_order_status")
+
+
+@query("comment_wide")
+def q_comment_wide(spark, sf_dir):
+    w = cm.comment_wide(_comment_topic(spark, sf_dir), fx.base_dic(spark))
+    return w.select("id", "order_id", "user_id", "sku_id", "spu_id", "appraise", "dic_name", "commentTxt", "create_time",
+                    "ts_ms", "ds", "info_consignee", "info_tm_ms")
+
+
+@query("comment_sensitive")
+def q_comment_sensitive(spark, sf_dir):
+    t = _comment_topic(spark, sf_dir)
+    return cm.sensitive_check(cm.comment_wide(t, fx.base_dic(spark)), cm.derived_sensitive_words(t))
+
+
+# ---------------------------------------------------------------- generic joins / lookups
+
+@query("dim_point_lookup")
+def q_dim_point_lookup(spark, sf_dir):
+    keys = dwd.cart_add(_topic(spark, sf_dir, "cart_info")).select("id", "sku_id")
+    sku = fx.sku_info(spark, sf_dir).select("id", "sku_name", "tm_id")
+    return D.point_lookup(keys, "sku_id", sku, "id").drop("dim_id")
+
+
+@query("dim_enrich_generic")
+def q_dim_enrich_generic(spark, sf_dir):
+    o = lb.order_flat(_topic(spark, sf_dir, "order_info")).select("id", F.col("province_id").cast("string")
+                                                                   .alias("province_id"))
+    return D.enrich(o, fx.province_dim(spark, sf_dir), "province_id", "id", {"province_name": "name"}, small=True)
+
+
+@query("interval_join")
+def q_interval_join(spark, sf_dir):
+    """Purchases ⋈ the same user's views in the 6 hours before (inclusive)."""
+    ev = fx.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type",
+                                                  sc.epoch_ms(F.col("ts")).alias("ms"))
+    buy = ev.where(F.col("event_type") == "purchase").select(F.col("event_id").alias("purchase_id"),
+                                                             F.col("user_id").alias("uid"), F.col("ms").alias("buy_ms"))
+    view = ev.where(F.col("event_type") == "view").select(F.col("event_id").alias("view_id"),
+                                                          F.col("user_id").alias("v_uid"), F.col("ms").alias("view_ms"))
+    j = ij.interval_join(buy, view, "uid", "v_uid", "buy_ms", "view_ms", -6 * 3_600_000, 0)
+    return j.select("purchase_id", "view_id", "uid", (F.col("buy_ms") - F.col("view_ms")).alias("lag_ms"))
+
+
+# ---------------------------------------------------------------- config-driven dims (L1: J13, P8, K6, K7, K10, S5)
+
+def _dim_topic(spark, sf_dir):
+    return _topic(spark, sf_dir, "user_info", "payment_info", "cart_info", "comment_info").unionByName(
+        fx.supplier_change_feed(spark, sf_dir))
+
+
+def _routed(spark, sf_dir):
+    t = _dim_topic(spark, sf_dir)
+    gated = env_ops.cdc_gate(t, fx.DB, accept_deletes=True)
+    return D.route(gated, D.latest_config(db.config_feed(t)))
+
+
+def _kv(m):
+    return F.array_join(F.array_sort(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="),
+                                                                                      F.coalesce(e["value"], F.lit(""))))),
+                        ";")
+
+
+@query("dim_config_scan")
+def q_dim_config_scan(spark, sf_dir):
+    cfg = D.latest_config(db.config_feed(_dim_topic(spark, sf_dir))).drop("op", "seq")
+    return cfg.toDF(*[sc.snake_to_camel(c) for c in cfg.columns])
+
+
+@query("dim_table_plan")
+def q_dim_table_plan(spark, sf_dir):
+    return D.table_plan(db.config_feed(_dim_topic(spark, sf_dir)))
+
+
+@query("dim_route")
+def q_dim_route(spark, sf_dir):
+    r = _routed(spark, sf_dir)
+    return r.select("source_table", "sink_table", "op", "seq", F.col("data")[F.col("sink_row_key")].alias("row_key"),
+                    F.size("data").alias("n_cols"))
+
+
+@query("dim_column_prune")
+def q_dim_column_prune(spark, sf_dir):
+    r = _routed(spark, sf_dir)
+    return r.select("sink_table", "seq", F.array_join(F.array_sort(F.map_keys("data")), ",").alias("columns"))
+
+
+@query("dim_upsert_merge")
+def q_dim_upsert_merge(spark, sf_dir):
+    r = _routed(spark, sf_dir).where(F.col("sink_table") == "dim_supplier")
+    return D.upsert_merge(r, ["id", "s_name", "s_nationkey"])
+
+
+@query("dim_upsert_md5")
+def q_dim_upsert_md5(spark, sf_dir):
+    r = _routed(spark, sf_dir).where(F.col("sink_table") == "dim_supplier")
+    return D.upsert_md5(r, ["id", "s_name", "s_nationkey"])
+
+
+@query("dim_build")
+def q_dim_build(spark, sf_dir):
+    t = _dim_topic(spark, sf_dir)
+    out = db.dim_build(t, db.config_feed(t), fx.DB)
+    return out.select("sink_table", "row_key", _kv(F.col("data")).alias("cells"))

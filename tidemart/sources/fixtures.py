@@ -463,3 +463,30 @@ def mixed_feed(spark, sf_dir) -> DataFrame:
         (F.lit(T0_MS) + key * 1000).alias("ts_ms"),
         _pad(key).alias("seq"),
     )
+
+
+def supplier_change_feed(spark, sf_dir) -> DataFrame:
+    """Versioned supplier changes for dimension upserts (K6/K7):
+    r full row for every key; u (even keys) upper-cased name with an empty
+    nation cell; d (keys % 5 = 0); c again after the delete (keys % 10 = 0)
+    with a new name and an empty nation cell."""
+    s = table(spark, sf_dir, "supplier")
+    key = F.col("s_suppkey")
+    full = {"id": key, "s_suppkey": key, "s_name": F.col("s_name"), "s_nationkey": F.col("s_nationkey")}
+    ts = F.lit(T0_MS) + key * 1000
+
+    def env(df, op, after, before, n):
+        return df.select(
+            (_m(before) if before else F.lit(None).cast(MAP_SS)).alias("before"),
+            (_m(after) if after else F.create_map().cast(MAP_SS)).alias("after"),
+            F.create_map(F.lit("db"), F.lit(DB), F.lit("table"), F.lit("supplier")).alias("source"),
+            F.lit(op).alias("op"), (ts + n).alias("ts_ms"), F.concat(_pad(ts), F.lit(f"-{n}")).alias("seq"))
+
+    return reduce(DataFrame.unionByName, [
+        env(s, "r", full, None, 1),
+        env(s.where(key % 2 == 0), "u", {"id": key, "s_suppkey": key, "s_name": F.upper("s_name"),
+                                         "s_nationkey": F.lit("")}, full, 2),
+        env(s.where(key % 5 == 0), "d", None, full, 3),
+        env(s.where(key % 10 == 0), "c", {"id": key, "s_suppkey": key, "s_name": F.concat(F.lit("reborn "), _s(key)),
+                                          "s_nationkey": F.lit("")}, None, 4),
+    ])
