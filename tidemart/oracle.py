@@ -724,3 +724,105 @@ FROM sfeed WHERE op <> 'd' GROUP BY id""",
 SELECT sink_table, row_key, string_agg(k || '=' || v, ';' ORDER BY k || '=' || v) AS cells
 FROM (SELECT DISTINCT * FROM cells WHERE coalesce(v, '') <> '') GROUP BY sink_table, row_key""",
 })
+
+# ------------------------------------------------------------------ design-note tags
+AGE_RANGE_SQL = """CASE WHEN {a} IS NULL THEN NULL WHEN {a} < 25 THEN '18-24' WHEN {a} < 30 THEN '25-29'
+  WHEN {a} < 35 THEN '30-34' WHEN {a} < 40 THEN '35-39' WHEN {a} < 50 THEN '40-49' ELSE '50+' END"""
+
+CTE["ages2"] = """
+  SELECT uid, b, 2025 - year(b) - CASE WHEN 512 < month(b) * 100 + day(b) THEN 1 ELSE 0 END AS age_new,
+         2024 - year(b) - CASE WHEN 512 < month(b) * 100 + day(b) THEN 1 ELSE 0 END AS age_old
+  FROM (SELECT CAST(c_custkey AS VARCHAR) AS uid,
+               CAST(DATE '1970-01-01' + CAST((c_custkey * 13) % 16000 AS INTEGER) AS DATE) AS b FROM customer)"""
+
+CTE["beh"] = """
+  SELECT "offset", uid, ts, item, CASE WHEN page_id = 'payment' THEN 'purchase' ELSE 'browse' END AS kind FROM pages
+  WHERE uid IS NOT NULL AND page_id IN ('payment', 'good_detail')
+  UNION ALL
+  SELECT "offset", uid, ts + i * 100, CAST(k + i AS VARCHAR), 'cart' FROM (SELECT *, unnest(range(k % 3)) AS i FROM pages)
+  WHERE uid IS NOT NULL"""
+
+CTE["beh_cat"] = """
+  SELECT b.uid, t.b1name, CAST(CASE b.kind WHEN 'purchase' THEN 0.5 WHEN 'cart' THEN 0.3 ELSE 0.2 END AS DECIMAL(4,2)) AS w,
+         CASE WHEN t.b1name IN ('母婴', '个护化妆', '服饰内衣', '家居家装') THEN 'female'
+              WHEN t.b1name IN ('数码', '手机', '电脑办公', '家用电器', '汽车用品') THEN 'male' ELSE 'family' END AS lean
+  FROM beh b JOIN parts p ON b.item = CAST(p.p_partkey AS VARCHAR) JOIN (SELECT DISTINCT id, b1name FROM tree) t ON p.c3id = t.id"""
+
+ORACLE.update({
+    "tag_zodiac": with_ctes("users") + f"""
+SELECT uid AS user_id, lower({zodiac_sql('(month(CAST(birthday AS DATE)) * 100 + day(CAST(birthday AS DATE)))', True)})
+       AS zodiac, birthday, 'profile' AS birthday_source FROM users""",
+    "tag_generation": with_ctes("users") + """
+SELECT uid AS user_id, CASE WHEN y BETWEEN 2000 AND 2009 THEN 'post-00s' WHEN y BETWEEN 1990 AND 1999 THEN 'post-90s'
+       WHEN y BETWEEN 1980 AND 1989 THEN 'post-80s' WHEN y BETWEEN 1970 AND 1979 THEN 'post-70s'
+       WHEN y BETWEEN 1960 AND 1969 THEN 'post-60s' ELSE 'other' END AS generation, y AS birth_year,
+       'profile' AS data_source
+FROM (SELECT uid, CAST(year(CAST(birthday AS DATE)) AS INTEGER) AS y FROM users)""",
+    "tag_update_log": with_ctes("ages2") + f"""
+SELECT uid AS user_id, 'age' AS tag_type, o AS old_value, n AS new_value, 'recompute' AS update_reason,
+       'system' AS operator
+FROM (SELECT uid, {AGE_RANGE_SQL.format(a='age_old')} AS o, {AGE_RANGE_SQL.format(a='age_new')} AS n FROM ages2)
+WHERE o IS DISTINCT FROM n""",
+    "tag_weight": """
+SELECT user_id, weight, 'profile' AS data_source, 0 AS is_abnormal FROM (
+  SELECT CAST(c_custkey AS VARCHAR) AS user_id,
+         CAST(ROUND(CASE WHEN c_custkey % 3 = 0
+                         THEN CAST(c_custkey % 190 + 25 AS DECIMAL(10,2)) * CAST('0.4536' AS DECIMAL(6,4))
+                         ELSE CAST(c_custkey % 190 + 25 AS DECIMAL(10,2)) END, 1) AS DECIMAL(5,1)) AS weight
+  FROM customer WHERE c_custkey % 4 <> 0)
+WHERE weight BETWEEN 30 AND 200""",
+    "tag_height": """
+SELECT user_id, height, 'profile' AS data_source FROM (
+  SELECT CAST(c_custkey AS VARCHAR) AS user_id,
+         CAST(ROUND(CASE WHEN c_custkey % 2 <> 0
+                         THEN CAST(c_custkey % 180 + 90 AS DECIMAL(10,2)) * CAST('2.54' AS DECIMAL(4,2))
+                         ELSE CAST(c_custkey % 180 + 90 AS DECIMAL(10,2)) END, 0) AS INTEGER) AS height
+  FROM customer WHERE c_custkey % 4 <> 0)
+WHERE height BETWEEN 100 AND 250""",
+    "tag_gender": with_ctes(*LOGS, "parts", "c1", "tree", "beh", "beh_cat") + """
+SELECT a.uid AS user_id,
+       CASE WHEN f > m * CAST(1.1 AS DECIMAL(3,1)) THEN 'female' WHEN m > f * CAST(1.1 AS DECIMAL(3,1)) THEN 'male'
+            ELSE 'family' END AS gender,
+       f AS female_score, m AS male_score, fa AS family_score, mc.b1name AS main_category
+FROM (SELECT uid, CAST(sum(CASE WHEN lean = 'female' THEN w ELSE 0 END) AS DECIMAL(12,2)) AS f,
+             CAST(sum(CASE WHEN lean = 'male' THEN w ELSE 0 END) AS DECIMAL(12,2)) AS m,
+             CAST(sum(CASE WHEN lean = 'family' THEN w ELSE 0 END) AS DECIMAL(12,2)) AS fa
+      FROM beh_cat GROUP BY uid) a
+JOIN (SELECT uid, b1name FROM (SELECT uid, b1name, row_number() OVER (PARTITION BY uid ORDER BY cw DESC, b1name DESC) AS rn
+      FROM (SELECT uid, b1name, sum(w) AS cw FROM beh_cat GROUP BY uid, b1name)) WHERE rn = 1) mc ON a.uid = mc.uid""",
+    "tag_behavior_summary": with_ctes(*LOGS, "cart_info", "comment_info") + f""", u AS (
+  SELECT CAST(uid AS BIGINT) AS user_id, {dstr('ts')} AS data_date, ts,
+         CASE WHEN page_id = 'good_detail' THEN 1 ELSE 0 END AS v, CASE WHEN item_type = 'keyword' THEN 1 ELSE 0 END AS s,
+         0 AS fav, 0 AS cart, CASE WHEN page_id = 'payment' THEN 1 ELSE 0 END AS o, 0 AS pay, 0 AS cm, os
+  FROM pages WHERE uid IS NOT NULL
+  UNION ALL
+  SELECT CAST(uid AS BIGINT), {dstr('ts + i * 100')}, ts + i * 100, 0, 0, CASE WHEN i > 0 THEN 1 ELSE 0 END,
+         CASE WHEN i = 0 THEN 1 ELSE 0 END, 0, 0, 0, NULL
+  FROM (SELECT *, unnest(range(k % 3)) AS i FROM pages) WHERE uid IS NOT NULL
+  UNION ALL
+  SELECT CAST(user_id AS BIGINT), {dstr('ts_ms')}, ts_ms, 0, 0, 0, 0, 0, 1, 0, NULL FROM cart_info
+  UNION ALL
+  SELECT CAST(user_id AS BIGINT), {dstr('create_ms')}, create_ms, 0, 0, 0, 0, 0, 0, 1, NULL FROM comment_info)
+SELECT user_id, data_date, CAST(sum(v) AS INTEGER) AS view_count, CAST(sum(s) AS INTEGER) AS search_count,
+       CAST(sum(fav) AS INTEGER) AS favorite_count, CAST(sum(cart) AS INTEGER) AS cart_count,
+       CAST(sum(o) AS INTEGER) AS order_count, CAST(sum(pay) AS INTEGER) AS payment_count,
+       0 AS live_view_count, CAST(sum(cm) AS INTEGER) AS comment_count, 0 AS share_count,
+       arg_min(os, ts) FILTER (WHERE os IS NOT NULL) AS device_type
+FROM u GROUP BY user_id, data_date""",
+})
+
+ORACLE["tag_age"] = (
+    "WITH ab AS (" + ORACLE["label_age_band"] + "),\n" +
+    ",\n".join(f"{n} AS ({CTE[n]}\n)" for n in ("users",)) + """,
+sums AS (SELECT uid, """ + ", ".join(f"sum(total_{b}) AS t_{b}" for b in BANDS) + """ FROM ab GROUP BY uid),
+beh AS (SELECT uid, """ + "CASE " + " ".join(
+        f"WHEN {' AND '.join(f't_{b} >= t_{o}' for o in BANDS if o != b)} THEN '{r}'"
+        for b, r in zip(BANDS, ["18-24", "25-29", "30-34", "35-39", "40-49", "50+"])) + """ END AS b_range,
+        CASE WHEN (""" + " + ".join(f"t_{b}" for b in BANDS) + ") > 0 THEN greatest(" + ", ".join(
+        f"t_{b}" for b in BANDS) + ") / (" + " + ".join(f"t_{b}" for b in BANDS) + """) ELSE 0 END AS b_conf FROM sums)
+SELECT coalesce(u.uid, b.uid) AS user_id,
+       CASE WHEN u.uid IS NOT NULL THEN """ + AGE_RANGE_SQL.format(a="u.age") + """ ELSE b.b_range END AS age_range,
+       CAST(CASE WHEN u.uid IS NOT NULL THEN 1 ELSE b.b_conf END AS DECIMAL(5,2)) AS confidence_score,
+       CASE WHEN u.uid IS NOT NULL THEN 'birth_year' ELSE 'behavior_analysis' END AS data_source,
+       CAST(year(CAST(u.birthday AS DATE)) AS INTEGER) AS birth_year
+FROM users u FULL JOIN beh b ON u.uid = b.uid""")

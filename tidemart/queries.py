@@ -23,6 +23,7 @@ from .plans import dwd, dws
 from .plans import comments as cm
 from .plans import dimbuild as db
 from .plans import labels as lb
+from .plans import tags as tg
 from .sources import fixtures as fx
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -673,3 +674,73 @@ def q_dim_build(spark, sf_dir):
     t = _dim_topic(spark, sf_dir)
     out = db.dim_build(t, db.config_feed(t), fx.DB)
     return out.select("sink_table", "row_key", _kv(F.col("data")).alias("cells"))
+
+
+# ---------------------------------------------------------------- design-note tags
+
+def _users(spark, sf_dir, as_of=None):
+    return lb.user_flat(_topic(spark, sf_dir, "user_info"), as_of if as_of is not None else _as_of())
+
+
+def _sup_readings(spark, sf_dir, what: str):
+    s = lb.user_sup_flat(_topic(spark, sf_dir, "user_info_sup_msg"))
+    return s.select(F.col("sup_uid").alias("user_id"), F.col(what).alias("value"),
+                    F.col(f"unit_{what}").alias("unit"), F.lit("profile").alias("data_source"),
+                    F.col("create_ts").alias("ts"))
+
+
+@query("tag_age")
+def q_tag_age(spark, sf_dir):
+    return tg.tag_age(_users(spark, sf_dir), q_label_age_band(spark, sf_dir))
+
+
+@query("tag_gender")
+def q_tag_gender(spark, sf_dir):
+    logs = lg.split_logs(_logs(spark, sf_dir))
+    ev = tg.behaviour_events(logs["page"], logs["action"])
+    d = _dims(spark, sf_dir)
+    tree = D.category_tree(d["c3"], d["c2"], d["c1"])
+    skc = (d["sku"].join(F.broadcast(tree.select(F.col("id").alias("c3"), "b1name")),
+                         F.col("category3_id") == F.col("c3")).select(F.col("id").alias("sku_id"), "b1name"))
+    return tg.tag_gender(ev, skc)
+
+
+@query("tag_weight")
+def q_tag_weight(spark, sf_dir):
+    return tg.tag_weight(_sup_readings(spark, sf_dir, "weight"))
+
+
+@query("tag_height")
+def q_tag_height(spark, sf_dir):
+    return tg.tag_height(_sup_readings(spark, sf_dir, "height"))
+
+
+@query("tag_zodiac")
+def q_tag_zodiac(spark, sf_dir):
+    return tg.tag_zodiac(_users(spark, sf_dir))
+
+
+@query("tag_generation")
+def q_tag_generation(spark, sf_dir):
+    return tg.tag_generation(_users(spark, sf_dir))
+
+
+@query("tag_update_log")
+def q_tag_update_log(spark, sf_dir):
+    """Age tags recomputed a year apart: users whose range changed."""
+    old = _users(spark, sf_dir, F.lit("2024-05-12").cast("date")).select("uid", "age")
+    new = _users(spark, sf_dir).select("uid", "age")
+
+    def snap(u):
+        return u.select(F.col("uid").alias("user_id"), tg.age_range(F.col("age")).alias("age_range"))
+    return tg.tag_update_log(snap(old), snap(new), "age", "age_range")
+
+
+@query("tag_behavior_summary")
+def q_tag_behavior_summary(spark, sf_dir):
+    logs = lg.split_logs(_logs(spark, sf_dir))
+    t = _topic(spark, sf_dir, "cart_info", "comment_info")
+    purchases = dwd.cart_add(t)
+    comments = env_ops.project_after(env_ops.cdc_demux(t, "comment_info"), ["user_id", "create_time"]) \
+        .withColumn("create_time", F.col("create_time").cast("long"))
+    return tg.behavior_summary(logs["page"], logs["action"], purchases, comments)
