@@ -826,3 +826,20 @@ SELECT coalesce(u.uid, b.uid) AS user_id,
        CASE WHEN u.uid IS NOT NULL THEN 'birth_year' ELSE 'behavior_analysis' END AS data_source,
        CAST(year(CAST(u.birthday AS DATE)) AS INTEGER) AS birth_year
 FROM users u FULL JOIN beh b ON u.uid = b.uid""")
+
+ORACLE.update({
+    "src_file_stream": with_ctes("cart_info") + """
+SELECT id, 'r' AS op, CAST(k % 5 + 1 AS VARCHAR) AS sku_num, ts_ms FROM cart_info
+UNION ALL SELECT id, 'u', CAST(k % 5 + 3 AS VARCHAR), ts_ms + 1000 FROM cart_info WHERE k % 7 = 0""",
+    "sink_dynamic_topic": with_ctes("cart_info", "comment_info", "payment_info") + """
+SELECT 'dwd_cart_info' AS topic, (SELECT count(*) FROM cart_info) + (SELECT count(*) FROM cart_info WHERE k % 7 = 0)
+       AS records
+UNION ALL SELECT 'dwd_comment_info', count(*) FROM comment_info
+UNION ALL SELECT 'dwd_payment_info', count(*) FROM payment_info""",
+})
+ORACLE["sink_jsonl_roundtrip"] = ORACLE["dws_cart_uu"]
+
+ORACLE["late_drop"] = f"""
+WITH e AS (SELECT {ms('ts')} AS ts FROM events WHERE {ms('ts')} >= {T0} + 2 * 86400000),
+w AS (SELECT ts - ts % 3600000 AS wstart, count(*) AS n FROM e GROUP BY 1)
+SELECT wstart, n FROM w WHERE wstart < (SELECT max(wstart) FROM w)"""

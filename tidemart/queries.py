@@ -744,3 +744,72 @@ def q_tag_behavior_summary(spark, sf_dir):
     comments = env_ops.project_after(env_ops.cdc_demux(t, "comment_info"), ["user_id", "create_time"]) \
         .withColumn("create_time", F.col("create_time").cast("long"))
     return tg.behavior_summary(logs["page"], logs["action"], purchases, comments)
+
+
+# ---------------------------------------------------------------- sources, sinks, late data
+
+def _scratch(spark, name):
+    import uuid
+    from .session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
+
+
+@query("src_file_stream")
+def q_src_file_stream(spark, sf_dir):
+    """S1 [S]: the cart change topic written as JSON lines, consumed as a file
+    stream (several micro-batches), parsed and projected."""
+    from .streaming import runners as R
+    path = _scratch(spark, "topic_cart")
+    raw = env_ops.envelope_to_json(_topic(spark, sf_dir, "cart_info"))
+    R.write_jsonl(raw.repartition(4), path)
+    stream = spark.readStream.option("maxFilesPerTrigger", 2).text(path)
+    env = env_ops.parse_cdc(stream)
+    flat = env.select(F.col("after")["id"].alias("id"), "op", F.col("after")["sku_num"].alias("sku_num"), "ts_ms")
+    return R.run_available_now(flat, "src_file_stream")
+
+
+@query("late_drop")
+def q_late_drop(spark, sf_dir):
+    """T16 [S]: events arrive as three files -- days 15-30, then days 3-14, then
+    days 1-2 -- with a 0 s watermark. Spark filters late rows with the
+    watermark of the previous micro-batch, so the second file still counts and
+    the third (behind a watermark already at day 30) is dropped, as the
+    reference drops late data (no allowed lateness, no late side output)."""
+    from .streaming import jobs as J
+    from .streaming import runners as R
+    ev = fx.table(spark, sf_dir, "events").select("event_id", sc.epoch_ms(F.col("ts")).alias("ts"))
+    path = _scratch(spark, "late_events")
+    day = 86_400_000
+    parts = [("a", F.col("ts") >= fx.T0_MS + 14 * day),
+             ("b", (F.col("ts") >= fx.T0_MS + 2 * day) & (F.col("ts") < fx.T0_MS + 14 * day)),
+             ("c", F.col("ts") < fx.T0_MS + 2 * day)]
+    for name, cond in parts:
+        ev.where(cond).coalesce(1).write.mode("overwrite").json(f"{path}/{name}")
+    stream = (spark.readStream.schema("event_id long, ts long").option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").json(path))
+    return R.run_available_now(J.window_counts(stream, "ts", "1 hour"), "late_drop")
+
+
+@query("sink_jsonl_roundtrip")
+def q_sink_jsonl_roundtrip(spark, sf_dir):
+    """K1: a DWS result serialised to JSON lines (nulls omitted) and read back."""
+    from .streaming import runners as R
+    res = q_dws_cart_uu(spark, sf_dir)
+    path = _scratch(spark, "sink_cart_uu")
+    R.write_jsonl(R.to_value(res), path)
+    back = spark.read.text(path).select(F.from_json("value", res.schema).alias("r")).select("r.*")
+    return back
+
+
+@query("sink_dynamic_topic")
+def q_sink_dynamic_topic(spark, sf_dir):
+    """K2: each record routed to the topic named by its config (dwd_<table>),
+    written one folder per topic; read back as (topic, records)."""
+    from .streaming import runners as R
+    t = _topic(spark, sf_dir, "cart_info", "comment_info", "payment_info")
+    routed = t.select(F.concat(F.lit("dwd_"), F.col("source")["table"]).alias("topic"),
+                      F.to_json(F.struct("after", "op", "ts_ms")).alias("value"))
+    path = _scratch(spark, "sink_topics")
+    R.write_jsonl(routed, path, partition_by="topic")
+    back = spark.read.text(path)
+    return back.groupBy("topic").agg(F.count(F.lit(1)).alias("records"))
