@@ -16,6 +16,13 @@ def build_session(master: str | None = None, app: str = "tidemart",
     partition count then comes from the cluster config (AQE coalesces it at
     runtime). Locally we size it to the core count.
     """
+    # Python workers (Arrow UDFs, transformWithStateInPandas) import this
+    # package by name: make it importable for workers started from this driver.
+    # On a cluster ship it with --py-files instead.
+    pkg_root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if pkg_root not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([pkg_root, *paths])
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)

@@ -16,10 +16,12 @@ def _schema(df: DataFrame, cols: list[str], extra: list[StructField] = ()) -> St
 
 
 def first_of_day(df: DataFrame, key: str, ts: str, order: list[str], columns: list[str],
-                 flag: bool = False) -> DataFrame:
-    """T7 stream: per key, first record of each day (or all records + first_flag)."""
+                 flag: bool = False, ttl_ms: int | None = None) -> DataFrame:
+    """T7 stream: per key, first record of each day (or all records + first_flag).
+    ``ttl_ms`` (processing time) bounds idle-key state as the reference's 1-day TTL."""
     extra = [StructField("first_flag", LongType())] if flag else []
-    return P.apply(df, [key], P.FirstOfDay(ts, order, columns, flag), _schema(df, columns, extra))
+    return P.apply(df, [key], P.FirstOfDay(ts, order, columns, flag, ttl_ms=ttl_ms), _schema(df, columns, extra),
+                   time_mode="ProcessingTime" if ttl_ms else "None")
 
 
 def strictly_newer(df: DataFrame, key: str, ts: str, seq: str, columns: list[str]) -> DataFrame:
@@ -44,8 +46,10 @@ def latest_after_wait(df: DataFrame, key: str, ts: str, seq: str, columns: list[
 
 
 def fix_is_new(flat: DataFrame, columns: list[str]) -> DataFrame:
-    """T8 stream over flat page rows (mid, ts, offset, is_new, ...)."""
-    return P.apply(flat, ["mid"], P.FixIsNew(columns), _schema(flat, columns))
+    """T8 stream over flat page rows (mid, ts, offset, is_new, ...); emits
+    ``columns`` plus the repaired ``is_new``."""
+    cols = [c for c in columns if c != "is_new"]
+    return P.apply(flat, ["mid"], P.FixIsNew(cols), _schema(flat, cols + ["is_new"]))
 
 
 def running_profile(rows: DataFrame) -> DataFrame:
