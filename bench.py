@@ -14,11 +14,13 @@ import json
 import os
 import sys
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidemart.queries import REGISTRY  # noqa: E402
-from tidemart.session import build_session  # noqa: E402
+from tidemart.session import build_session, scratch_path  # noqa: E402
+from tidemart.sources.fixtures import materialize_topics  # noqa: E402
 
 HEADLINE = [
     "dwd_order_detail", "dwd_pay_success", "order_retraction", "dws_province_order", "dws_sku_order",
@@ -40,6 +42,12 @@ def main() -> None:
     REGISTRY["fn_time_slot"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     cold: dict[str, float] = {}
+    # ingest: the change topic and the page-log topic are derived from the
+    # tables once and written to the shared folder (as the upstream capture
+    # would), then every pipeline reads them; the ingest time is part of the total
+    t0 = time.perf_counter()
+    materialize_topics(spark, sf_dir, scratch_path(spark, f"topics-{uuid.uuid4().hex[:8]}"))
+    times["ingest_topics"] = cold["ingest_topics"] = round(time.perf_counter() - t0, 3)
     for name in names:
         for run in range(2):
             t0 = time.perf_counter()

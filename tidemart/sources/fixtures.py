@@ -297,16 +297,51 @@ ENVELOPES = {
 }
 
 
+TOPIC_PATH = "spark.tidemart.topic.path"
+TOPIC_SF = "spark.tidemart.topic.sfDir"
+
+
+def _materialized(spark: SparkSession, sf_dir: str) -> str | None:
+    path = spark.conf.get(TOPIC_PATH, None)
+    return path if path and spark.conf.get(TOPIC_SF, None) == sf_dir else None
+
+
 def topic_db(spark: SparkSession, sf_dir: str, tables: tuple[str, ...] | None = None) -> DataFrame:
     """The whole change topic: union of every bound table's envelopes.
 
     Consumers filter on ``source['table']``; because ``source`` is a literal map
-    per branch, Catalyst folds the filter and prunes the other branches.
+    per branch, Catalyst folds the filter and prunes the other branches. When
+    the topic has been materialized (``materialize_topics``) it is read back
+    instead, with partition pruning on the table.
     """
     names = tables or tuple(ENVELOPES)
+    path = _materialized(spark, sf_dir)
+    if path:
+        # one branch per table partition; every record of the partition has the
+        # same source map, so it is restated as a literal and consumers' table
+        # filters fold exactly as on the derived topic (other partitions unread)
+        t = spark.read.parquet(f"{path}/topic_db")
+        return reduce(DataFrame.unionByName, [
+            t.where(F.col("tbl") == n).select(
+                "before", "after",
+                F.create_map(F.lit("db"), F.lit(DB), F.lit("table"), F.lit(n)).alias("source"),
+                "op", "ts_ms", "seq")
+            for n in names])
     return reduce(DataFrame.unionByName, [ENVELOPES[n](spark, sf_dir) for n in names])
 
 
+def materialize_topics(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Write the change topic (partitioned by source table) and the page-log
+    topic once, as the upstream capture would; later ``topic_db`` /
+    ``page_log_topic`` calls for ``sf_dir`` read them instead of deriving."""
+    spark.conf.unset(TOPIC_PATH)
+    (topic_db(spark, sf_dir).withColumn("tbl", F.col("source")["table"])
+     .write.mode("overwrite").partitionBy("tbl").parquet(f"{path}/topic_db"))
+    page_log_topic(spark, sf_dir).write.mode("overwrite").parquet(f"{path}/page_log")
+    spark.conf.set(TOPIC_PATH, path)
+    spark.conf.set(TOPIC_SF, sf_dir)
+
+
 # ------------------------------------------------------------------ dimensions
 
 # Appraise dictionary (code 1205 is left out on purpose).
@@ -454,6 +489,9 @@ def page_log_struct(spark, sf_dir) -> DataFrame:
 
 def page_log_topic(spark, sf_dir) -> DataFrame:
     """Raw page-log topic: (offset, value) with every 97th record truncated (dirty)."""
+    path = _materialized(spark, sf_dir)
+    if path:
+        return spark.read.parquet(f"{path}/page_log")
     s = page_log_struct(spark, sf_dir)
     js = F.to_json(F.struct("common", "page", "ts", "displays", "actions", "start", "err"))
     return (s.select("offset", js.alias("v_"))
