@@ -34,6 +34,22 @@ def test_strictly_newer_and_latest_tie(spark):
     assert dd.dedup_latest(tie, "key", "ts", "seq").first()["seq"] == "04"
 
 
+def test_strictly_newer_chunked_matches_brute_force(spark):
+    rnd = random.Random(11)
+    rows = [(rnd.choice("aab"), rnd.randint(0, 50), f"{i:06d}") for i in range(400)]
+    df = spark.createDataFrame(rows, "key string, ts long, seq string")
+    want = []
+    best: dict = {}
+    for k, t, s in sorted(rows, key=lambda r: r[2]):
+        if k not in best or t > best[k]:
+            want.append((k, s))
+            best[k] = t
+    got = dd.strictly_newer(df, "key", "ts", "seq", chunk=F.substring("seq", 1, 4))
+    assert sorted((r["key"], r["seq"]) for r in got.collect()) == sorted(want)
+    plain = dd.strictly_newer(df, "key", "ts", "seq")
+    assert sorted((r["key"], r["seq"]) for r in plain.collect()) == sorted(want)
+
+
 def test_first_of_day_and_exact(spark):
     rows = [("u", 1000, "a"), ("u", 2000, "b"), ("u", DAY + 5, "c"), ("v", 3000, "d"), ("v", 3000, "d")]
     df = spark.createDataFrame(rows, "user string, ts long, id string")

@@ -70,12 +70,29 @@ def dedup_composite(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
     return first_per_key(df, keys, [seq])
 
 
-def strictly_newer(df: DataFrame, key: str, ts: str, seq: str) -> DataFrame:
+def strictly_newer(df: DataFrame, key: str, ts: str, seq: str, chunk: Column | None = None) -> DataFrame:
     """Pass a row only if its ``ts`` is greater than every earlier arrival's
-    (the first row of a key always passes)."""
-    w = (Window.partitionBy(key).orderBy(F.col(seq))
-         .rowsBetween(Window.unboundedPreceding, -1))
-    marked = df.withColumn("_prev_max", F.max(F.col(ts)).over(w))
+    (the first row of a key always passes).
+
+    ``chunk`` (an order-preserving coarsening of ``seq``, e.g. a prefix of it)
+    makes the scan two-level so a hot key is not sorted in one task: the max
+    of every earlier chunk comes from a small per-(key, chunk) aggregate, and
+    the running max inside a chunk is a window over (key, chunk) only.
+    """
+    if chunk is None:
+        w = (Window.partitionBy(key).orderBy(F.col(seq))
+             .rowsBetween(Window.unboundedPreceding, -1))
+        marked = df.withColumn("_prev_max", F.max(F.col(ts)).over(w))
+    else:
+        c = df.withColumn("_chunk", chunk)
+        per_chunk = c.groupBy(key, "_chunk").agg(F.max(ts).alias("_cmax"))
+        before = per_chunk.withColumn("_before", F.max("_cmax").over(
+            Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1))) \
+            .drop("_cmax")
+        inside = Window.partitionBy(key, "_chunk").orderBy(F.col(seq)).rowsBetween(Window.unboundedPreceding, -1)
+        marked = (c.join(before, [key, "_chunk"], "inner")
+                  .withColumn("_prev_max", F.greatest(F.col("_before"), F.max(F.col(ts)).over(inside)))
+                  .drop("_chunk", "_before"))
     return marked.where(F.col("_prev_max").isNull() | (F.col(ts) > F.col("_prev_max"))).drop("_prev_max")
 
 

@@ -104,7 +104,8 @@ def base4(spark: SparkSession, topic: DataFrame, sku_wide: DataFrame, tree: Data
     """Joined order details, first version per detail id (T12 on the order
     create time), sku -> c3 / brand, c3 -> top category, then time / amount /
     brand / category scores."""
-    j = strictly_newer(order_detail_join(topic, tz), "detail_id", "create_time", "seq")
+    j = strictly_newer(order_detail_join(topic, tz), "detail_id", "create_time", "seq",
+                       chunk=F.substring("seq", 1, 10))
     sw = sku_wide.select(F.col("skuid").alias("_skuid"), "c3id", "tname")
     j = j.join(sw, j.sku_id == sw._skuid, "left").drop("_skuid")
     tr = tree.select(F.col("id").alias("_c3"), F.col("b1name").alias("b1_name"))

@@ -544,3 +544,20 @@ def supplier_change_feed(spark, sf_dir) -> DataFrame:
         env(s.where(key % 10 == 0), "c", {"id": key, "s_suppkey": key, "s_name": F.concat(F.lit("reborn "), _s(key)),
                                           "s_nationkey": F.lit("")}, None, 4),
     ])
+
+
+def jdbc_scan(spark: SparkSession, url: str, query: str, properties: dict | None = None,
+              camel_case: bool = False, partition_column: str | None = None, lower: int = 0, upper: int = 0,
+              num_partitions: int = 1) -> DataFrame:
+    """JDBC query scan (config / dimension tables), optional snake->camel
+    column names (F24). A numeric ``partition_column`` splits the read into
+    ``num_partitions`` parallel range queries."""
+    from ..functions.scalars import snake_to_camel
+    r = spark.read.format("jdbc").option("url", url).option("query", query) if not partition_column else \
+        spark.read.format("jdbc").option("url", url).option("dbtable", f"({query}) q") \
+        .option("partitionColumn", partition_column).option("lowerBound", lower).option("upperBound", upper) \
+        .option("numPartitions", num_partitions)
+    for k, v in (properties or {}).items():
+        r = r.option(k, v)
+    df = r.load()
+    return df.toDF(*[snake_to_camel(c) for c in df.columns]) if camel_case else df
