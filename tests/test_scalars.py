@@ -82,6 +82,8 @@ def test_millis_round_trip_is_zone_explicit(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
     try:
         assert one(spark, sc.ms_to_date_str(F.lit(ms))) == "2024-01-01"
+        # 1995-04-02 02:00 Shanghai is inside Los Angeles' spring-forward gap
+        assert one(spark, sc.ms_to_datetime_str(F.lit(796759200000), "Asia/Shanghai")) == "1995-04-02 02:00:00"
         assert one(spark, sc.epoch_ms(F.lit("2024-07-01 12:00:00").cast("timestamp_ntz"))) == 1719835200000
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -32,34 +32,50 @@ def epoch_ms(ts) -> Column:
 
 
 def ms_to_wall(ms, tz: str = "UTC") -> Column:
-    """epoch millis -> timestamp_ntz wall clock in ``tz``."""
-    utc = F.timestamp_add("MILLISECOND", _c(ms).cast("long"), F.expr(EPOCH_NTZ))
-    if tz in ("UTC", "Z", "+00:00"):
-        return utc
-    return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
+    """epoch millis -> timestamp_ntz wall clock in ``tz``.
+
+    Built from calendar fields (``make_timestamp_ntz``): timestamp arithmetic on
+    ``timestamp_ntz`` steps through the session zone and would shift wall times
+    that fall into that zone's daylight-saving gap.
+    """
+    m = _c(ms).cast("long")
+    if tz not in ("UTC", "Z", "+00:00"):
+        # shift the instant by the zone's offset at that instant; from_utc_timestamp
+        # works on the internal value, so the result is independent of the session zone
+        m = F.unix_millis(F.from_utc_timestamp(F.timestamp_millis(m), tz))
+    days = F.floor(m / F.lit(86_400_000))
+    d = F.date_from_unix_date(days.cast("int"))
+    rem = m - days * 86_400_000
+    secs = (F.pmod(rem, F.lit(60_000)).cast("decimal(8,0)") / F.lit(1000)).cast("decimal(8,3)")
+    return F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d), F.floor(rem / 3_600_000).cast("int"),
+                                F.pmod(F.floor(rem / 60_000), F.lit(60)).cast("int"), secs)
 
 
 def wall_to_ms(wall, tz: str = "UTC") -> Column:
     """timestamp_ntz wall clock in ``tz`` -> epoch millis."""
-    w = _c(wall)
-    if tz not in ("UTC", "Z", "+00:00"):
-        w = F.convert_timezone(F.lit(tz), F.lit("UTC"), w)
-    return epoch_ms(w)
+    local = epoch_ms(_c(wall))
+    if tz in ("UTC", "Z", "+00:00"):
+        return local
+    return F.unix_millis(F.to_utc_timestamp(F.timestamp_millis(local), tz))
+
 
+# Formatting goes through the string form of timestamp_ntz: date_format() on a
+# timestamp_ntz converts through the session zone and shifts wall times that
+# fall into that zone's daylight-saving gap.
 
 def ms_to_date_str(ms, tz: str = "UTC") -> Column:
     """F2/F3 tsToDate: millis -> 'yyyy-MM-dd'."""
-    return F.date_format(ms_to_wall(ms, tz), "yyyy-MM-dd")
+    return F.to_date(ms_to_wall(ms, tz)).cast("string")
 
 
 def ms_to_datetime_str(ms, tz: str = "UTC") -> Column:
     """F3 tsToDateTime: millis -> 'yyyy-MM-dd HH:mm:ss'."""
-    return F.date_format(ms_to_wall(ms, tz), "yyyy-MM-dd HH:mm:ss")
+    return F.substring(ms_to_wall(ms, tz).cast("string"), 1, 19)
 
 
 def ms_to_compact_date(ms, tz: str = "UTC") -> Column:
     """Millis -> 'yyyyMMdd'."""
-    return F.date_format(ms_to_wall(ms, tz), "yyyyMMdd")
+    return F.regexp_replace(ms_to_date_str(ms, tz), "-", "")
 
 
 def datetime_str_to_ms(s, tz: str = "UTC") -> Column:
