@@ -107,7 +107,11 @@ def joined(spans: Column) -> Column:
 def report(docs: DataFrame) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added) of every row; repeated rows repeat."""
     found = find(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).drop("text")
-    count = [F.size(F.filter("_spans", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(list(PATTERNS)[:BASE_KINDS])]
+
+    def of(number):
+        return F.size(F.filter("_spans", lambda s: s["kind"] == number)).cast("long")
+
+    count = [of(i).alias(f"n_{k}") for i, k in enumerate(list(PATTERNS)[:BASE_KINDS])]
     base = F.filter("_spans", lambda s: s["kind"] < BASE_KINDS)
     return found.select("doc_id", *count, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("_spans")).alias("spans"), (F.size("_spans") - F.size(base)).cast("long").alias("n_added"))
 

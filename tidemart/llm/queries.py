@@ -66,8 +66,8 @@ FROM n WINDOW w AS (PARTITION BY norm ORDER BY chars DESC, doc_id)
 """,
     "op7_minhash_dedup": r"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
-s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]] ELSE list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) END AS s FROM w),
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]] ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM w),
 c AS (SELECT list_sort(s) AS s, min(doc_id) AS node, len(any_value(s)) AS n FROM s WHERE len(s) > 0 GROUP BY 1),
 t AS (SELECT node, n, unnest(s) AS x FROM c),
 f AS (SELECT node, n, x, row_number() OVER (PARTITION BY node ORDER BY k, x) AS r FROM (SELECT *, count(*) OVER (PARTITION BY x) AS k FROM t)),
