@@ -25,8 +25,8 @@ from .common import DOC_COLUMNS, SPACES, first_of_copies, id_in, id_out, saved,
 
 KEY_BITS = 63
 FOLD_BYTES = 32 << 20
-BUCKET_BYTES = 16 << 20
-MAX_BUCKETS = 1 << 15
+BUCKET_BYTES = 1 << 20
+MAX_BUCKETS = 1 << 17
 
 ENTRY = "id long, th long, key long, sha binary, norm binary, n_bytes long, n long, best_chars long, best_id long, best_th long"
 GROUP = "bucket int, key long, slot int, sha binary, keep_id long, keep_th long, group_size long"
