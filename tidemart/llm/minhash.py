@@ -22,6 +22,8 @@ HASHES = BANDS * ROWS
 SLACK = 5.0
 #: Classes of a bucket that one task compares with as many others.
 BLOCK = 2048
+#: Shingle hashes of a bottom sketch.
+SMALLEST = 1024
 #: Ids of candidate documents that are broadcast at most (16 bytes each).
 BROADCAST_IDS = 1_000_000
 
@@ -161,40 +163,71 @@ def components(links: DataFrame, path: str) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("comp")).select(F.col("u").alias("node"), "comp")
 
 
+def _sketch_of(k: int):
+    """(node, low) of (node, text): the SMALLEST lowest shingle hashes, in order, as unsigned 32-bit numbers."""
+
+    def run(batches):
+        for batch in batches:
+            low = [(shingle_hashes(t.as_py().lower().split(), k)[:SMALLEST] >> np.uint64(32)).astype(np.uint32).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(low, pa.binary())], names=["node", "low"])
+
+    return run
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> tuple[float, int]:
+    """Estimate from two bottom sketches, and how many hashes it rests on; exact if neither sketch is full."""
+    both = np.sort(np.concatenate([a, b]))
+    twice = both[:-1][both[1:] == both[:-1]]
+    union = len(both) - len(twice)
+    if max(len(a), len(b)) < SMALLEST:
+        return len(twice) / max(1, union), 0
+    edge = np.unique(both)[SMALLEST - 1]
+    return np.count_nonzero(twice <= edge) / SMALLEST, SMALLEST
+
+
 def _pairs_in_blocks(threshold: int):
-    """Rows (key, i, j, block, node, comp, sig) in order of key, i, j: pairs of different components whose signatures agree."""
-    floor = agreement_floor(threshold)
+    """Pairs of different components of rows (key, i, j, block, node, comp, sig, bands, low) in order of key, i, j.
+
+    A pair is looked at in its first common bucket only. Its signatures must agree, then its bottom sketches: they
+    are whole sets up to SMALLEST shingles and leave five standard deviations beyond.
+    """
+    floor, j0 = agreement_floor(threshold), threshold / 100
 
     def pairs(rows):
-        nodes, comps = np.array([r[4] for r in rows]), np.array([r[5] for r in rows])
-        block = np.array([r[3] for r in rows])
+        nodes, comps, block = (np.array([r[c] for r in rows]) for c in (4, 5, 3))
         sig = np.frombuffer(b"".join(r[6] for r in rows), np.uint8).reshape(-1, HASHES)
-        i, j = rows[0][1], rows[0][2]
-        left = np.flatnonzero(block == i)
-        for x in left:
-            other = (comps != comps[x]) & ((block == j) if i != j else (nodes > nodes[x]))
-            at = np.flatnonzero(other)
-            if len(at):
-                at = at[(sig[at] == sig[x]).mean(axis=1) >= floor]
-                for y in at:
+        bands = np.array([r[7] for r in rows])
+        low = [np.frombuffer(r[8], np.uint32) for r in rows]
+        key, i, j = rows[0][:3]
+        for x in np.flatnonzero(block == i):
+            at = np.flatnonzero((comps != comps[x]) & ((block == j) if i != j else (nodes > nodes[x])))
+            if not len(at):
+                continue
+            at = at[(sig[at] == sig[x]).mean(axis=1) >= floor]
+            at = at[bands[x][(bands[at] == bands[x]).argmax(axis=1)] == key]
+            for y in at:
+                s, n = similarity(low[x], low[y])
+                if s >= j0 - (SLACK * (j0 * (1 - j0) / n) ** 0.5 if n else 0.002):
                     yield min(nodes[x], nodes[y]), max(nodes[x], nodes[y])
 
+    def batch_of(out):
+        return pa.RecordBatch.from_arrays([pa.array([p[c] for p in out], pa.int64()) for c in (0, 1)], names=["a", "b"])
+
     def run(batches):
-        held, at = [], None
-        out = []
+        held, at, out = [], None, []
         for batch in batches:
-            for row in zip(*[batch.column(c).to_pylist() for c in range(7)]):
+            for row in zip(*[batch.column(c).to_pylist() for c in range(9)]):
                 if row[:3] != at:
                     if len(held) > 1:
                         out += pairs(held)
                     held, at = [], row[:3]
                 held.append(row)
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array([p[c] for p in out], pa.int64()) for c in (0, 1)], names=["a", "b"])
+                yield batch_of(out)
                 out = []
         if len(held) > 1:
             out += pairs(held)
-        yield pa.RecordBatch.from_arrays([pa.array([p[c] for p in out], pa.int64()) for c in (0, 1)], names=["a", "b"])
+        yield batch_of(out)
 
     return run
 
@@ -261,8 +294,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
     block = F.pmod(F.xxhash64("node", F.lit(2)), blocks).cast("int")
     left = left.withColumn("blocks", blocks).withColumn("block", block)
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    left = left.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "comp").join(nodes.select("node", "sig"), "node")
-    left = left.select("key", "i", "j", "block", "node", "comp", "sig").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    left = left.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "comp")
+    open_nodes = left.select("node").distinct().join(classes.select("node", "th", "sig", "bands"), "node")
+    low = open_nodes.join(texts.withColumnRenamed("id", "node"), ["node", "th"]).select("node", "text").mapInArrow(_sketch_of(k), "node long, low binary")
+    known = saved(open_nodes.select("node", "sig", "bands").join(low, "node"), f"{path}/known")
+    left = left.join(known, "node").select("key", "i", "j", "block", "node", "comp", "sig", "bands", "low").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     rest = left.mapInArrow(_pairs_in_blocks(threshold), "a long, b long").distinct()
     links = links.union(confirmed(rest, False, "links2"))
     comp = saved(components(links, f"{path}/cc2"), f"{path}/comp2")
