@@ -31,7 +31,25 @@ from pyspark.sql import functions as F
 #: Unicode white space as the tokenizer libraries understand \s (fixed values).
 WHITE = r"\t-\r \x85\xa0  -     　"
 
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 150_000
+
+
+class Memo(dict):
+    """Results of ``make`` in two generations of ``size``: what was used in the last one outlives the next."""
+
+    def __init__(self, make, size=CACHE_ENTRIES):
+        super().__init__()
+        self.make, self.size, self.old = make, size, {}
+
+    def __missing__(self, key):
+        value = self.old.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
 
 
 class Transducer:
@@ -45,18 +63,15 @@ class Transducer:
         self._restart()
 
     def _restart(self):
-        self.ids = {}
-        self.states, self.moves, self.finals = [], [], []
-        self._state((("", (), ""),))
+        self.states = {}
+        self.start = self._state((("", (), ""),))
 
     def _state(self, entries):
-        n = self.ids.get(entries)
-        if n is None:
-            n = self.ids[entries] = len(self.states)
-            self.states.append(entries)
-            self.moves.append({})
-            self.finals.append(next((out for held, out, _ in entries if not held), ()))
-        return n
+        """A state is its moves, unit -> (state, output); under None it keeps its entries and its output at the end."""
+        state = self.states.get(entries)
+        if state is None:
+            state = self.states[entries] = {None: (entries, next((out for held, out, _ in entries if not held), ()))}
+        return state
 
     def _edges(self, token):
         """How the merge loop builds ``token`` alone: (reached, its leftmost parts, its rightmost parts).
@@ -102,7 +117,7 @@ class Transducer:
 
     def _move(self, state, unit):
         entries, closed = [], None
-        for held, out, last in self.states[state]:
+        for held, out, last in state[None][0]:
             token = held + unit
             if closed is None and token in self.vocab and self._follows(last, token):
                 closed = ("", (*out, self.vocab[token]), token)
@@ -117,19 +132,21 @@ class Transducer:
             while out[:agreed] != first[:agreed]:
                 agreed -= 1
         entries = tuple(sorted((held, out[agreed:], last) for held, out, last in entries))
-        move = self.moves[state][unit] = (self._state(entries), first[:agreed])
+        move = state[unit] = (self._state(entries), first[:agreed])
         return move
 
     def encode(self, piece) -> list[int]:
         if len(self.states) > self.max_states:
             self._restart()
-        state, out, moves = 0, [], self.moves
+        state, out = self.start, []
         for unit in piece:
-            move = moves[state].get(unit) or self._move(state, unit)
-            state = move[0]
-            if move[1]:
-                out += move[1]
-        out += self.finals[state]
+            try:
+                state, closed = state[unit]
+            except KeyError:
+                state, closed = self._move(state, unit)
+            if closed:
+                out += closed
+        out += state[None][1]
         return out
 
 
@@ -185,10 +202,21 @@ class ByteBpe:
         self.bytes_of = {n: t for t, n in ranks.items()}
         vocab = {t.decode("latin-1"): n for t, n in ranks.items()}
         self.vocab = vocab
-        self.machine = Transducer(vocab, lambda a, b: vocab.get(a + b))
+        self.machine = Transducer(vocab, lambda a, b: vocab.get(a + b), 500_000)
         self.pieces = regex.compile(pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\s", f"[{WHITE}]").replace(r"\S", f"[^{WHITE}]"))
         self.loose = regex.compile(f" [{WHITE}]|[{WHITE}] |^[{WHITE}]|[{WHITE}]$")
-        self.cache: dict[str, list[int]] = {}
+        self.cache = Memo(self.encode_span)
+        self.digested = Memo(self._digested)
+        self.digested_pieces = Memo(self._digested_piece)
+
+    def _digested_piece(self, piece: str) -> tuple[str, bytes, bytes]:
+        """The ids as decimal text and as little-endian 32-bit numbers, and the bytes decoded from them."""
+        ids = self.encode_piece(piece)
+        return " ".join(map(str, ids)), array("I", ids).tobytes(), self.decode(ids).encode("utf-8")
+
+    def _digested(self, span: str) -> tuple[str, bytes, bytes]:
+        got = [self.digested_pieces[p] for p in self.split(span)]
+        return got[0] if len(got) == 1 else (" ".join([g[0] for g in got]), b"".join([g[1] for g in got]), b"".join([g[2] for g in got]))
 
     def encode_piece(self, piece: str) -> list[int]:
         units = piece.encode("utf-8", "surrogatepass").decode("latin-1")
@@ -211,18 +239,22 @@ class ByteBpe:
 
     def encode_span(self, span: str) -> list[int]:
         ids = []
-        for piece in self.pieces.findall(span):
+        for piece in self.split(span):
             ids += self.encode_piece(piece)
         return ids
 
+    def split(self, span: str) -> list[str]:
+        """Pre-tokens of a span; a word of letters with its space, and one character after it, needs no pattern."""
+        word = span[1:] if span[0] == " " else span
+        if word.isalpha():
+            return [span]
+        if word[:-1].isalpha():
+            return [span[:-1], span[-1]]
+        return self.pieces.findall(span)
+
     def encode(self, text: str) -> list[int]:
         out = []
-        for span in self.spans(text):
-            ids = self.cache.get(span)
-            if ids is None:
-                if len(self.cache) >= CACHE_ENTRIES:
-                    self.cache.clear()
-                ids = self.cache[span] = self.encode_span(span)
+        for ids in map(self.cache.__getitem__, self.spans(text)):
             out += ids
         return out
 
@@ -266,10 +298,11 @@ class WordBpe:
         for i, m in enumerate(model["merges"]):
             a, b = m if isinstance(m, list) else m.split(" ")
             merges[units(a), units(b)] = i
-        self.machine = Transducer(vocab, lambda a, b: merges.get((a, b)))
+        self.machine = Transducer(vocab, lambda a, b: merges.get((a, b)), 300_000)
         self.pieces = regex.compile(self.PIECES)
         self.path = path
-        self.cache: dict[str, bytes] = {}
+        self.cache = Memo(self._run, 250_000)
+        self.words = Memo(self._word, 250_000)
 
     @property
     def library(self):
@@ -280,32 +313,28 @@ class WordBpe:
             self._library.encode_special_tokens = True
         return self._library
 
-    def _run(self, run: str) -> list[int]:
+    def _word(self, piece: str) -> bytes:
+        u = piece.encode().decode("latin-1")
+        return array("H", self.machine.encode(u[:-1] + chr(ord(u[-1]) + 256))).tobytes()
+
+    def _run(self, run: str) -> bytes:
         if not run.isascii():
-            if max(run) > "ɏ":
-                return self.library.encode(run, add_special_tokens=False).ids
+            if max(run) > "\u024f":
+                return array("H", self.library.encode(run, add_special_tokens=False).ids).tobytes()
             run = "".join(c.lower() for c in unicodedata.normalize("NFC", run))
         else:
             run = run.lower()
-        out = []
-        for piece in self.pieces.findall(run):
-            u = piece.encode().decode("latin-1")
-            out += self.machine.encode(u[:-1] + chr(ord(u[-1]) + 256))
-        return out
+        if run.isalpha():
+            return self.words[run]
+        if run[:-1].isalpha():
+            return self.words[run[:-1]] + self.words[run[-1]]
+        return b"".join(map(self.words.__getitem__, self.pieces.findall(run)))
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 16-bit numbers."""
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return array("H", self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        cache, out = self.cache, []
-        for run in text.split():
-            ids = cache.get(run)
-            if ids is None:
-                if len(cache) >= CACHE_ENTRIES:
-                    cache.clear()
-                ids = cache[run] = array("H", self._run(run)).tobytes()
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.cache.__getitem__, text.split()))
 
 
 def _long_lived() -> None:
@@ -342,24 +371,15 @@ def encode_decode(docs: DataFrame, ranks: str = "byte_bpe_50k.tiktoken", keep_id
     """
     import hashlib
 
-    import numpy as np
     import pyarrow as pa
 
     def run(batches):
         bpe = byte_bpe(ranks)
-        known: dict[str, tuple] = {}
+        known = bpe.digested
         for batch in batches:
             n, packed, ids_sha, back_sha = [], [], [], []
             for text in batch.column(1).to_pylist():
-                got = []
-                for span in bpe.spans(text or ""):
-                    v = known.get(span)
-                    if v is None:
-                        if len(known) >= CACHE_ENTRIES:
-                            known.clear()
-                        ids = bpe.encode_span(span)
-                        v = known[span] = (" ".join(map(str, ids)), np.array(ids, "<u4").tobytes(), bpe.decode(ids).encode("utf-8"))
-                    got.append(v)
+                got = list(map(known.__getitem__, bpe.spans(text or "")))
                 raw = b"".join([v[1] for v in got])
                 n.append(len(raw) // 4)
                 packed.append(raw if keep_ids else None)
