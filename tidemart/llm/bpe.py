@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 #: Unicode white space as the tokenizer libraries understand \s (fixed values).
 WHITE = r"\t-\r \x85\xa0  -     　"
 
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 100_000
 
 
 class Memo(dict):
@@ -104,7 +104,7 @@ class Transducer:
             return reached
         known = self.apart.get((last, token))
         if known is None:
-            if len(self.apart) > 300_000:
+            if len(self.apart) > 150_000:
                 self.apart.clear()
             known = reached
             for a, made_a, used_a in self._edges(last)[2] if reached else ():
@@ -202,7 +202,7 @@ class ByteBpe:
         self.bytes_of = {n: t for t, n in ranks.items()}
         vocab = {t.decode("latin-1"): n for t, n in ranks.items()}
         self.vocab = vocab
-        self.machine = Transducer(vocab, lambda a, b: vocab.get(a + b), 500_000)
+        self.machine = Transducer(vocab, lambda a, b: vocab.get(a + b), 250_000)
         self.pieces = regex.compile(pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\s", f"[{WHITE}]").replace(r"\S", f"[^{WHITE}]"))
         self.loose = regex.compile(f" [{WHITE}]|[{WHITE}] |^[{WHITE}]|[{WHITE}]$")
         self.cache = Memo(self.encode_span)
@@ -298,11 +298,11 @@ class WordBpe:
         for i, m in enumerate(model["merges"]):
             a, b = m if isinstance(m, list) else m.split(" ")
             merges[units(a), units(b)] = i
-        self.machine = Transducer(vocab, lambda a, b: merges.get((a, b)), 300_000)
+        self.machine = Transducer(vocab, lambda a, b: merges.get((a, b)), 150_000)
         self.pieces = regex.compile(self.PIECES)
         self.path = path
-        self.cache = Memo(self._run, 250_000)
-        self.words = Memo(self._word, 250_000)
+        self.cache = Memo(self._run, 150_000)
+        self.words = Memo(self._word, 150_000)
 
     @property
     def library(self):
