@@ -155,3 +155,36 @@ def test_running_profile_matches_brute_force(spark):
         assert r["os"] == ",".join(sorted(st["os"]))
         assert r["ch"] == ",".join(sorted(st["ch"]))
         assert r["search_item"] == ",".join(sorted(st["si"]))
+
+
+def test_topic_frame_routes_by_column(spark):
+    from tidemart.streaming.runners import topic_frame
+    df = spark.createDataFrame([("t1", 1, None), ("t2", 2, "x")], "topic string, a int, b string")
+    assert {tuple(r) for r in topic_frame(df, ["a"]).collect()} == {("t1", '{"a":1}', '{"a":1}'), ("t2", '{"a":2}', '{"a":2,"b":"x"}')}
+
+
+def test_interval_join_refuses_right(spark):
+    import pytest
+    from tidemart.operators.joins import interval_join
+    left = spark.createDataFrame([("a", 5)], "k string, t long")
+    right = spark.createDataFrame([("a", 5)], "k2 string, t2 long")
+    with pytest.raises(ValueError):
+        interval_join(left, right, "k", "k2", "t", "t2", -2, 2, how="right")
+
+
+def test_fix_is_new_keeps_records_without_mid(spark):
+    from pyspark.sql import functions as F
+    from tidemart.operators.dedup import fix_is_new
+    df = spark.createDataFrame([("m", 1, 1, "1"), (None, 2, 2, "1"), (None, 3, 3, "0")], "mid string, ts long, o long, n string")
+    out = fix_is_new(df, F.col("mid"), "ts", "o", F.col("n"), F.lit("d1"), F.lit("d0")).collect()
+    assert sorted(r.ts for r in out) == [1, 2, 3]
+
+
+def test_strictly_newer_with_long_offsets_and_null_keys(spark):
+    from tidemart.operators.dedup import arrival_chunk, strictly_newer
+    rows = [(k, ts, str(o).zfill(20)) for k in ("a", None) for ts, o in ((5, 1), (4, 1_000_001), (7, 2_000_001), (7, 2_000_002), (9, 3_000_000))]
+    df = spark.createDataFrame(rows, "k string, ts long, seq string")
+    assert df.select(arrival_chunk("seq")).distinct().count() == 4
+    a = strictly_newer(df, "k", "ts", "seq", chunk=arrival_chunk("seq")).collect()
+    b = strictly_newer(df, "k", "ts", "seq").collect()
+    assert sorted(map(tuple, a), key=str) == sorted(map(tuple, b), key=str) and len(a) == 6

@@ -154,33 +154,13 @@ def time_slot(ms, tz: str = "UTC") -> Column:
     return F.when(_c(ms).isNull(), F.lit(None).cast("string")).otherwise(expr)
 
 
-def days_between(later_date, earlier_date) -> Column:
-    """whole days between two dates."""
-    return F.datediff(_c(later_date), _c(earlier_date)).cast("long")
-
-
-def today_int(tz: str = "UTC") -> Column:
-    """today's date as yyyyMMdd int."""
-    return F.date_format(F.convert_timezone(F.lit(tz), F.localtimestamp()), "yyyyMMdd").cast("int")
-
-
 # ---------------------------------------------------------------- numbers
 
-def dec_mul_str(a, b) -> Column:
-    """cast(cast(a as decimal(16,2)) * cast(b as decimal(16,2)) as string)."""
-    return (_c(a).cast("decimal(16,2)") * _c(b).cast("decimal(16,2)")).cast("string")
-
-
 def negate_str(x) -> Column:
     """sign flip of a decimal carried as a string (null stays null)."""
     return (-_c(x).cast("decimal(38,2)")).cast("string")
 
 
-def round3(x) -> Column:
-    """half-up rounding to three places."""
-    return F.round(_c(x), 3)
-
-
 # ---------------------------------------------------------------- strings
 
 def empty_or_null(x) -> Column:
@@ -222,11 +202,6 @@ def composite_key(*cols, sep: str = "_") -> Column:
     return F.concat_ws(sep, *[_c(c).cast("string") for c in cols])
 
 
-def default_if_null(x, default) -> Column:
-    """F23."""
-    return F.coalesce(_c(x), F.lit(default))
-
-
 def snake_to_camel(name: str) -> str:
     """column name helper (driver-side, names only)."""
     head, *rest = name.split("_")

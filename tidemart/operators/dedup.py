@@ -70,11 +70,16 @@ def dedup_composite(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
     return first_per_key(df, keys, [seq])
 
 
+def arrival_chunk(seq: str, width: int = 1_000_000) -> Column:
+    """Chunk of an arrival position: the number in ``seq`` div ``width``, whatever its padding."""
+    return F.floor(F.col(seq).try_cast("decimal(38,0)") / F.lit(width).cast("decimal(20,0)"))
+
+
 def strictly_newer(df: DataFrame, key: str, ts: str, seq: str, chunk: Column | None = None) -> DataFrame:
     """Pass a row only if its ``ts`` is greater than every earlier arrival's
     (the first row of a key always passes).
 
-    ``chunk`` (an order-preserving coarsening of ``seq``, e.g. a prefix of it)
+    ``chunk`` (an order-preserving coarsening of ``seq``, see ``arrival_chunk``)
     makes the scan two-level so a hot key is not sorted in one task: the max
     of every earlier chunk comes from a small per-(key, chunk) aggregate, and
     the running max inside a chunk is a window over (key, chunk) only.
@@ -88,9 +93,10 @@ def strictly_newer(df: DataFrame, key: str, ts: str, seq: str, chunk: Column | N
         per_chunk = c.groupBy(key, "_chunk").agg(F.max(ts).alias("_cmax"))
         before = per_chunk.withColumn("_before", F.max("_cmax").over(
             Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1))) \
-            .drop("_cmax")
+            .select(F.col(key).alias("_k"), F.col("_chunk").alias("_c"), "_before")
         inside = Window.partitionBy(key, "_chunk").orderBy(F.col(seq)).rowsBetween(Window.unboundedPreceding, -1)
-        marked = (c.join(before, [key, "_chunk"], "inner")
+        same = c[key].eqNullSafe(before["_k"]) & c["_chunk"].eqNullSafe(before["_c"])
+        marked = (c.join(before, same, "left").drop("_k", "_c")
                   .withColumn("_prev_max", F.greatest(F.col("_before"), F.max(F.col(ts)).over(inside)))
                   .drop("_chunk", "_before"))
     return marked.where(F.col("_prev_max").isNull() | (F.col(ts) > F.col("_prev_max"))).drop("_prev_max")
@@ -127,8 +133,9 @@ def fix_is_new(log: DataFrame, mid: Column, ts: str, offset: str, is_new: Column
                                     F.when(F.col("_isnew") == "1", F.col("_day")).otherwise(F.col("_prev"))
                                     .alias("d0")),
                            F.struct(F.col(ts), F.col(offset))).alias("_f"))
-             .select("_mid", "_f.*"))
-    j = tagged.join(first, on="_mid", how="inner")
+             .select(F.col("_mid").alias("_fmid"), "_f.*"))
+    # a record without a mid is state of its own key, not lost
+    j = tagged.join(first, tagged["_mid"].eqNullSafe(first["_fmid"]), "left").drop("_fmid")
     is_first = (F.col(ts) == F.col("fts")) & (F.col(offset) == F.col("foff"))
     fixed = F.when((F.col("_isnew") == "1") & ~is_first & (F.col("d0") != F.col("_day")), F.lit("0")) \
         .otherwise(F.col("_isnew"))

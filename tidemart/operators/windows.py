@@ -30,11 +30,6 @@ def window_start(ts_ms, width) -> Column:
     return t - F.pmod(t, F.lit(w))
 
 
-def with_window(df: DataFrame, ts_ms: str, width, tz: str = "UTC") -> DataFrame:
-    """Adds ``wstart`` (millis) for a batch tumbling window."""
-    return df.withColumn("wstart", window_start(ts_ms, width))
-
-
 def label_columns(width, tz: str = "UTC", start: str = "wstart") -> list[Column]:
     """Stt / edt ('yyyy-MM-dd HH:mm:ss') and cur_date of a window start."""
     w = width_ms(width)

@@ -344,7 +344,7 @@ ORACLE["rollup_uv_by_channel"] = (
 
 CTE["mixed"] = f"""
   SELECT s_suppkey, s_name, s_nationkey, ['d', 'c', 'u', 'r', 'x'][s_suppkey % 5 + 1] AS op,
-         CASE WHEN s_suppkey % 3 = 0 THEN 'other_db' ELSE 'realtime_v1' END AS db, {T0} + s_suppkey * 1000 AS ts_ms
+         CASE WHEN s_suppkey % 3 = 0 THEN 'other_db' ELSE 'shop' END AS db, {T0} + s_suppkey * 1000 AS ts_ms
   FROM supplier"""
 
 CTE["oms"] = f"""
@@ -375,15 +375,15 @@ SELECT 'order_info' AS source_table, 'r' AS op, ts_ms, id, 9 AS n_after, 0 AS n_
 UNION ALL SELECT 'cart_info', 'r', ts_ms, id, 5, 0 FROM cart_info
 UNION ALL SELECT 'cart_info', 'u', ts_ms + 1000, id, 5, 5 FROM cart_info WHERE k % 7 = 0""",
     "cdc_gate": with_ctes("mixed") + """
-SELECT CAST(s_suppkey AS VARCHAR) AS id, op FROM mixed WHERE db = 'realtime_v1' AND op IN ('c', 'u', 'r')""",
+SELECT CAST(s_suppkey AS VARCHAR) AS id, op FROM mixed WHERE db = 'shop' AND op IN ('c', 'u', 'r')""",
     "cdc_gate_deletes": with_ctes("mixed") + """
-SELECT CAST(s_suppkey AS VARCHAR) AS id, op FROM mixed WHERE db = 'realtime_v1' AND op IN ('c', 'u', 'd', 'r')""",
+SELECT CAST(s_suppkey AS VARCHAR) AS id, op FROM mixed WHERE db = 'shop' AND op IN ('c', 'u', 'd', 'r')""",
     "cdc_demux": with_ctes("payment_info") + """
 SELECT order_id AS id, order_id, payment_status, ts_ms FROM payment_info""",
     "cdc_image": with_ctes("mixed") + """
 SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name_by_op, op, s_name AS name_nonempty, ts_ms FROM mixed""",
     "ods_snapshot_envelope": """
-SELECT 'realtime_v1' AS db, 'supplier' AS tbl, 'r' AS op, CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name,
+SELECT 'shop' AS db, 'supplier' AS tbl, 'r' AS op, CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name,
        CAST(s_nationkey AS VARCHAR) AS s_nationkey, 3 AS n_fields FROM supplier""",
     "event_time_pick": with_ctes("cart_info") + f"""
 SELECT 'cdc' AS src, id, ts_ms AS event_ms FROM cart_info
@@ -408,7 +408,7 @@ SELECT conv_id AS id, turn, list_extract(string_split(rtrim(text, ','), ','), -1
        CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR) AS order_ts,
        CAST(-CAST(CAST(turn AS VARCHAR) AS DECIMAL(38,2)) AS VARCHAR) AS neg_turn,
        coalesce(regexp_replace(text, '\S', '', 'g'), '') = '' AS no_space
-FROM conversations WHERE role = 'user'""",
+FROM conversations""",
 })
 ORACLE["fn_to_json"] = (
     "WITH uu AS (" + ORACLE["dws_cart_uu"] + ")\n"
@@ -465,7 +465,7 @@ CTE.update({
          CAST(c_custkey % 190 + 25 AS VARCHAR) AS weight,
          CASE WHEN c_custkey % 3 = 0 THEN 'lb' ELSE 'kg' END AS unit_weight,
          {T0} + c_custkey * 1000 + 60000 AS sup_ts_ms
-  FROM customer WHERE c_custkey % 4 <> 0""",
+  FROM customer""",
     "lorders": f"""
   SELECT ts_ms, id, user_id AS uid, consignee, create_ms AS create_time, total_amount AS original_total_amount,
          total_amount, CAST(province_id AS BIGINT) AS province_id,
@@ -621,7 +621,7 @@ CTE["cwide"] = """
    AND o.ts_ms BETWEEN c.ts_ms - 60000 AND c.ts_ms + 60000"""
 CTE["swords"] = """
   SELECT DISTINCT list_extract(string_split(rtrim(comment_txt, ','), ','), -1) AS word FROM comment_info
-  WHERE CAST(user_id AS BIGINT) % 10 = 0 AND coalesce(list_extract(string_split(rtrim(comment_txt, ','), ','), -1), '') <> ''"""
+  WHERE coalesce(list_extract(string_split(rtrim(comment_txt, ','), ','), -1), '') <> ''"""
 CTE["cfg"] = """
   SELECT * FROM (VALUES
     ('user_info', 'dim_user_info', 'birthday,email,gender,id,login_name,name,phone_num,user_level', 'r', '1'),
@@ -769,7 +769,7 @@ SELECT user_id, weight, 'profile' AS data_source, 0 AS is_abnormal FROM (
          CAST(ROUND(CASE WHEN c_custkey % 3 = 0
                          THEN CAST(c_custkey % 190 + 25 AS DECIMAL(10,2)) * CAST('0.4536' AS DECIMAL(6,4))
                          ELSE CAST(c_custkey % 190 + 25 AS DECIMAL(10,2)) END, 1) AS DECIMAL(5,1)) AS weight
-  FROM customer WHERE c_custkey % 4 <> 0)
+  FROM customer)
 WHERE weight BETWEEN 30 AND 200""",
     "tag_height": """
 SELECT user_id, height, 'profile' AS data_source FROM (
@@ -777,7 +777,7 @@ SELECT user_id, height, 'profile' AS data_source FROM (
          CAST(ROUND(CASE WHEN c_custkey % 2 <> 0
                          THEN CAST(c_custkey % 180 + 90 AS DECIMAL(10,2)) * CAST('2.54' AS DECIMAL(4,2))
                          ELSE CAST(c_custkey % 180 + 90 AS DECIMAL(10,2)) END, 0) AS INTEGER) AS height
-  FROM customer WHERE c_custkey % 4 <> 0)
+  FROM customer)
 WHERE height BETWEEN 100 AND 250""",
     "tag_gender": with_ctes(*LOGS, "parts", "c1", "tree", "beh", "beh_cat") + """
 SELECT a.uid AS user_id,

@@ -64,11 +64,10 @@ def sensitive_check(wide: DataFrame, words: DataFrame) -> DataFrame:
                     F.col("commentTxt").alias("msg"), "is_violation", "violation_grade", "violation_msg")
 
 
-def derived_sensitive_words(topic: DataFrame, every: int = 10) -> DataFrame:
+def derived_sensitive_words(topic: DataFrame) -> DataFrame:
     """Word list derived from the comments themselves: the last comma token of
-    every ``every``-th conversation's comments (so some comments hit)."""
+    every comment."""
     c = cdc_demux(topic, "comment_info")
     a = F.col("after")
-    return (c.where(a["order_id"].cast("long") % every == 0)
-            .select(F.coalesce(sc.last_token(a["comment_txt"], ","), F.lit("")).alias("word"))
+    return (c.select(F.coalesce(sc.last_token(a["comment_txt"], ","), F.lit("")).alias("word"))
             .where(F.col("word") != "").distinct())

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as sc
 from ..functions import weights as W
-from ..operators.dedup import dedup_exact, strictly_newer
+from ..operators.dedup import arrival_chunk, dedup_exact, strictly_newer
 from ..operators.envelope import cdc_demux
 from ..operators.joins import interval_join
 from ..operators.logs import device_search_flatten
@@ -105,11 +105,11 @@ def base4(spark: SparkSession, topic: DataFrame, sku_wide: DataFrame, tree: Data
     create time), sku -> c3 / brand, c3 -> top category, then time / amount /
     brand / category scores."""
     j = strictly_newer(order_detail_join(topic, tz), "detail_id", "create_time", "seq",
-                       chunk=F.substring("seq", 1, 10))
+                       chunk=arrival_chunk("seq"))
     sw = sku_wide.select(F.col("skuid").alias("_skuid"), "c3id", "tname")
     j = j.join(sw, j.sku_id == sw._skuid, "left").drop("_skuid")
     tr = tree.select(F.col("id").alias("_c3"), F.col("b1name").alias("b1_name"))
-    j = j.join(F.broadcast(tr), j.c3id == tr._c3, "left").drop("_c3")   # category tree: bounded
+    j = j.join(tr, j.c3id == tr._c3, "left").drop("_c3")
     j = W.score(j, spark, "pay_time", F.col("pay_time_slot"), ~sc.empty_or_null(F.col("pay_time_slot")))
     j = W.score(j, spark, "amount", W.amount_class(F.col("total_amount")))
     j = W.score(j, spark, "tname", F.col("tname"), ~sc.empty_or_null(F.col("tname")))
@@ -164,7 +164,7 @@ def base2(spark: SparkSession, pages: DataFrame, tree: DataFrame, compare: DataF
     p = p.withColumn("judge_os", sc.first_token(F.col("os"), ","))
     # search words -> top category by category3 name (map load: last duplicate wins; names are unique here)
     tr = tree.select(F.col("b3name").alias("_b3"), F.col("b1name").alias("b1_category"))
-    p = p.join(F.broadcast(tr), (p.search_item == tr._b3) & (F.col("search_item") != ""), "left").drop("_b3")
+    p = p.join(tr, (p.search_item == tr._b3) & (F.col("search_item") != ""), "left").drop("_b3")
     # top category -> search class (first match of the compare list)
     cmp = (compare.groupBy("category_name").agg(F.min_by("search_category", "id").alias("_sc"))
            .withColumnRenamed("category_name", "_cn"))

@@ -104,8 +104,7 @@ def q_dedup_latest(spark, sf_dir):
 @query("dedup_strictly_newer")
 def q_dedup_strictly_newer(spark, sf_dir):
     v = _detail_versions(spark, sf_dir)
-    # chunks: arrival positions sharing their first 10 characters (100 s of ship time)
-    return dd.strictly_newer(v, "id", "create_time", "seq", chunk=F.substring("seq", 1, 10)) \
+    return dd.strictly_newer(v, "id", "create_time", "seq", chunk=dd.arrival_chunk("seq")) \
         .select("id", "sku_id", "create_time", "seq")
 
 
@@ -374,7 +373,7 @@ def q_fn_time_slot(spark, sf_dir):
 
 @query("fn_string")
 def q_fn_string(spark, sf_dir):
-    cv = fx.table(spark, sf_dir, "conversations").where(F.col("role") == "user")
+    cv = fx.table(spark, sf_dir, "conversations")
     return cv.select(F.col("conv_id").alias("id"), F.col("turn"),
                      sc.last_token(F.col("text"), ",").alias("last_tok"),
                      sc.first_token(F.col("text"), " ").alias("first_word"),
@@ -487,7 +486,7 @@ def q_label_search_score(spark, sf_dir):
     p = _pages(spark, sf_dir).where(F.col("page.item_type") == "keyword") \
         .select("offset", F.col("page.item").alias("search_item"))
     tr = _tree(spark, sf_dir).select(F.col("b3name").alias("_b3"), F.col("b1name").alias("b1_category"))
-    p = p.join(F.broadcast(tr), p.search_item == tr._b3, "left").drop("_b3")
+    p = p.join(tr, p.search_item == tr._b3, "left").drop("_b3")
     cmp = fx.category_compare(spark).select(F.col("category_name").alias("_cn"), "search_category")
     p = p.join(F.broadcast(cmp), p.b1_category == cmp._cn, "left").drop("_cn") \
         .withColumn("search_category", F.coalesce("search_category", F.lit("unknown")))
@@ -702,7 +701,7 @@ def q_tag_gender(spark, sf_dir):
     ev = tg.behaviour_events(logs["page"], logs["action"])
     d = _dims(spark, sf_dir)
     tree = D.category_tree(d["c3"], d["c2"], d["c1"])
-    skc = (d["sku"].join(F.broadcast(tree.select(F.col("id").alias("c3"), "b1name")),
+    skc = (d["sku"].join(tree.select(F.col("id").alias("c3"), "b1name"),
                          F.col("category3_id") == F.col("c3")).select(F.col("id").alias("sku_id"), "b1name"))
     return tg.tag_gender(ev, skc)
 
@@ -763,7 +762,7 @@ def q_src_file_stream(spark, sf_dir):
     from .streaming import runners as R
     path = _scratch(spark, "topic_cart")
     raw = env_ops.envelope_to_json(_topic(spark, sf_dir, "cart_info"))
-    R.write_jsonl(raw.repartition(4), path)
+    R.write_jsonl(raw, path)
     stream = spark.readStream.option("maxFilesPerTrigger", 2).text(path)
     env = env_ops.parse_cdc(stream)
     flat = env.select(F.col("after")["id"].alias("id"), "op", F.col("after")["sku_num"].alias("sku_num"), "ts_ms")

@@ -65,12 +65,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub folder of the shared checkpoint folder for written intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)

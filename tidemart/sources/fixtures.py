@@ -25,7 +25,7 @@ from ..functions.scalars import epoch_ms
 
 # Fixed values of the synthetic feed.
 T0_MS = 1704067200000          # 2024-01-01 00:00:00 UTC, base of change-record times
-DB = "realtime_v1"
+DB = "shop"
 HOUR_MS = 3_600_000
 MAP_SS = "map<string,string>"
 
@@ -269,7 +269,7 @@ def user_info_env(spark, sf_dir) -> DataFrame:
 
 
 def user_info_sup_env(spark, sf_dir) -> DataFrame:
-    c = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 4 != 0)
+    c = table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
     ts = F.lit(T0_MS) + key * 1000 + 60_000
     return to_envelope(c, "user_info_sup_msg", {

@@ -49,11 +49,16 @@ def to_value(df: DataFrame, key_cols: list[str] | None = None) -> DataFrame:
     return df.select(*cols)
 
 
+def topic_frame(df: DataFrame, key_cols: list[str] | None = None) -> DataFrame:
+    """K2 frame: (topic, [key,] value); every other column goes into ``value``, null ones are omitted."""
+    body = F.to_json(F.struct(*[F.col(c) for c in df.columns if c != "topic"])).alias("value")
+    key = [F.to_json(F.struct(*[F.col(c) for c in key_cols])).alias("key")] if key_cols else []
+    return df.select("topic", *key, body)
+
+
 def kafka_sink(df: DataFrame, servers: str, topic: str | None, checkpoint: str, key_cols: list[str] | None = None):
     """K1/K2/K4: stream -> topic; ``topic=None`` routes by a ``topic`` column (K2)."""
-    out = to_value(df.drop("topic") if "topic" in df.columns else df, key_cols)
-    if topic is None:
-        out = out.withColumn("topic", df["topic"])
+    out = topic_frame(df, key_cols) if topic is None else to_value(df, key_cols)
     w = (out.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
          .option("checkpointLocation", checkpoint))
     if topic is not None:
