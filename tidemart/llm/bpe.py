@@ -18,6 +18,8 @@ of its own (byte + 256).
 from __future__ import annotations
 
 import base64
+import contextlib
+import ctypes
 import gc
 import json
 import unicodedata
@@ -150,6 +152,12 @@ class Transducer:
         return out
 
 
+    def forget(self) -> None:
+        self.apart.clear()
+        self.edges.clear()
+        self._restart()
+
+
 class Utf8Decoder:
     """Incremental UTF-8: bytes in any cuts, text of the complete characters out; bad bytes become U+FFFD.
 
@@ -337,6 +345,9 @@ class WordBpe:
         return b"".join(map(self.cache.__getitem__, text.split()))
 
 
+_encoders: list = []
+
+
 def _long_lived() -> None:
     """The automaton is many small objects that all live on: keep the cyclic collector from walking them often."""
     gc.freeze()
@@ -349,6 +360,7 @@ def byte_bpe(name: str) -> ByteBpe:
     import public_tokenizers as P
 
     out = ByteBpe(P.path(name), P.PATTERN)
+    _encoders.append(out)
     _long_lived()
     return out
 
@@ -358,10 +370,30 @@ def word_bpe(name: str) -> WordBpe:
     import public_tokenizers as P
 
     out = WordBpe(P.path(name))
+    _encoders.append(out)
     _long_lived()
     return out
 
 
+def release_encoders() -> None:
+    """Give back what the encoders of this Python worker remember; tasks of other operators begin with it.
+
+    Spark keeps workers from one stage to the next, and with them the memory of an encoder that nobody uses then.
+    """
+    held = list(_encoders)
+    if not any(len(e.cache) + len(e.cache.old) + len(e.machine.states) > 1000 for e in held):
+        return
+    for e in held:
+        e.machine.forget()
+        for memo in vars(e).values():
+            if isinstance(memo, Memo):
+                memo.clear()
+                memo.old = {}
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def encode_decode(docs: DataFrame, ranks: str = "byte_bpe_50k.tiktoken", keep_ids: bool = True) -> DataFrame:
     """Ids of each whole text and the digest of the bytes decoded from them.
 

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import release_encoders
 from .common import DOC_COLUMNS, SPACES, first_of_copies, id_in, id_out, saved, work_dir
 
 KEY_BITS = 63
@@ -47,6 +48,7 @@ def _fold(batches):
              *[pa.array([h[2][i] for _, h in rows], pa.int64()) for i in range(3)]], names=names)
 
     names = [c.split()[0] for c in ENTRY.split(", ")]
+    release_encoders()
     held: dict[bytes, list] = {}
     size = 0
     for batch in batches:

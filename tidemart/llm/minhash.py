@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import release_encoders
 from .common import first_of_copies, id_in, id_out, saved, work_dir
 
 BANDS, ROWS = 50, 6
@@ -67,6 +68,7 @@ def _sketcher(k: int):
     def run(batches):
         import xxhash
 
+        release_encoders()
         a, b = _coefficients()
         weights = np.random.default_rng(7).integers(0, 1 << 63, HASHES, np.uint64) | np.uint64(1)
         band_salt = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)

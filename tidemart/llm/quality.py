@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import release_encoders
 from .minhash import mixed
 
 BITS = 16
@@ -182,7 +183,8 @@ def quality(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None,
     carry = docs.columns if carry is None else carry
 
     def run(batches):
-        for batch in batches:
+        release_encoders()
+        for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
             rows = []
             for text in (batch.column("_text") if "_text" in batch.schema.names else batch.column("_row").field("text")).to_pylist():
                 text = text or ""
