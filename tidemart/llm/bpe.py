@@ -10,9 +10,7 @@ them agree on is emitted at once, so the lookahead is bounded by the longest
 token. Transitions are remembered, and the whole machine starts anew when it
 holds ``max_states`` states.
 
-Pieces are strings of units. For byte ranks a unit is one byte (as a Latin-1
-character). For vocabularies with word ends the last byte of a word is a unit
-of its own (byte + 256).
+Pieces are strings of units; a unit is one byte (as a Latin-1 character).
 """
 
 from __future__ import annotations
@@ -21,8 +19,7 @@ import base64
 import contextlib
 import ctypes
 import gc
-import json
-import unicodedata
+import re
 from array import array
 from functools import lru_cache
 
@@ -47,11 +44,20 @@ class Memo(dict):
         value = self.old.pop(key, None)
         if value is None:
             value = self.make(key)
+        self.put(key, value)
+        return value
+
+    def put(self, key, value):
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
         self[key] = value
-        return value
+
+    def drop(self) -> int:
+        n = len(self) + len(self.old)
+        self.clear()
+        self.old = {}
+        return n
 
 
 class Transducer:
@@ -152,10 +158,12 @@ class Transducer:
         return out
 
 
-    def forget(self) -> None:
+    def forget(self) -> int:
+        n = len(self.states)
         self.apart.clear()
         self.edges.clear()
         self._restart()
+        return n
 
 
 class Utf8Decoder:
@@ -217,6 +225,10 @@ class ByteBpe:
         self.digested = Memo(self._digested)
         self.digested_pieces = Memo(self._digested_piece)
 
+    def forget(self) -> int:
+        """Drop what is remembered; returns how much it was."""
+        return self.machine.forget() + self.cache.drop() + self.digested.drop() + self.digested_pieces.drop()
+
     def _digested_piece(self, piece: str) -> tuple[str, bytes, bytes]:
         """The ids as decimal text and as little-endian 32-bit numbers, and the bytes decoded from them."""
         ids = self.encode_piece(piece)
@@ -280,69 +292,55 @@ class ByteBpe:
 class WordBpe:
     """Encoder for a tokenizers file: lower case, white space dropped, BPE with word ends.
 
-    Runs without white space are encoded one by one and remembered. Letters beyond Latin blocks and texts with the
-    separators U+001C to U+001F go to the tokenizers library itself, whose normaliser then decides.
+    Pre-tokens are remembered; a new one goes to the model of the tokenizers library. Runs with letters beyond the
+    Latin blocks, and texts with the separators U+001C to U+001F, go through the whole library, whose normaliser
+    then decides.
     """
 
-    #: Pre-token pattern of the file's splitter (fixed value).
-    PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+    #: Pre-token pattern of the file's splitter (fixed value), with its letters and numbers up to U+024F.
+    LETTERS, NUMBERS = "a-zªµºß-öø-ɏ", "0-9²³¹¼½¾"
+    PIECES = rf"[{LETTERS}]+|[{NUMBERS}]|'s|'t|'re|'ve|'m|'ll|'d|[^\s{LETTERS}{NUMBERS}]+"
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
-        # the byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow from 256 on
-        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        byte_of = {chr(b): chr(b) for b in own} | {chr(256 + i): chr(b) for i, b in enumerate(b for b in range(256) if b not in own)}
-        end = model["end_of_word_suffix"]
-
-        def units(token: str) -> str:
-            if token.endswith(end):
-                token = "".join(map(byte_of.__getitem__, token[: -len(end)]))
-                return token[:-1] + chr(ord(token[-1]) + 256)
-            return "".join(map(byte_of.__getitem__, token))
-
-        vocab = {units(t): n for t, n in model["vocab"].items() if not t.startswith("<|")}
-        merges = {}
-        for i, m in enumerate(model["merges"]):
-            a, b = m if isinstance(m, list) else m.split(" ")
-            merges[units(a), units(b)] = i
-        self.machine = Transducer(vocab, lambda a, b: merges.get((a, b)), 150_000)
-        self.pieces = regex.compile(self.PIECES)
-        self.path = path
-        self.cache = Memo(self._run, 150_000)
-        self.words = Memo(self._word, 150_000)
-
-    @property
-    def library(self):
         from tokenizers import Tokenizer
 
-        if not hasattr(self, "_library"):
-            self._library = Tokenizer.from_file(self.path)
-            self._library.encode_special_tokens = True
-        return self._library
-
-    def _word(self, piece: str) -> bytes:
-        u = piece.encode().decode("latin-1")
-        return array("H", self.machine.encode(u[:-1] + chr(ord(u[-1]) + 256))).tobytes()
-
-    def _run(self, run: str) -> bytes:
-        if not run.isascii():
-            if max(run) > "\u024f":
-                return array("H", self.library.encode(run, add_special_tokens=False).ids).tobytes()
-            run = "".join(c.lower() for c in unicodedata.normalize("NFC", run))
-        else:
-            run = run.lower()
-        if run.isalpha():
-            return self.words[run]
-        if run[:-1].isalpha():
-            return self.words[run[:-1]] + self.words[run[-1]]
-        return b"".join(map(self.words.__getitem__, self.pieces.findall(run)))
+        # the byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow from 256 on
+        own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        others = (b for b in range(256) if b not in own)
+        self.alphabet = {b: 256 + i for i, b in enumerate(others)}
+        self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = True
+        self.model = self.library.model
+        self.pieces = re.compile(self.PIECES)
+        # a text whose lower case stays within the Latin blocks is in normal form C but for Kelvin and Angstrom signs
+        self.beyond = re.compile("[^\0-\u024f]")
+        self.cache = Memo(self._piece, 200_000)
+
+    def forget(self) -> int:
+        """Drop what is remembered; returns how much it was."""
+        return self.cache.drop()
+
+    def _whole(self, text: str) -> bytes:
+        return array("H", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        if not piece.isascii() and self.beyond.search(piece.lower()):
+            return self._whole(piece)
+        units = piece.encode().decode("latin-1").translate(self.alphabet)
+        return array("H", [t.id for t in self.model.tokenize(units)]).tobytes()
+
+    def _split(self, text: str) -> list[str]:
+        """Pre-tokens in lower case; a run with letters beyond the Latin blocks stays whole."""
+        low = text.lower()
+        if low.isascii() or not self.beyond.search(low):
+            return self.pieces.findall(low)
+        return [p for r in text.split() for p in ([r] if self.beyond.search(r.lower()) else self.pieces.findall(r.lower()))]
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 16-bit numbers."""
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return array("H", self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        return b"".join(map(self.cache.__getitem__, text.split()))
+            return self._whole(text)
+        return b"".join(map(self.cache.__getitem__, self._split(text)))
 
 
 _encoders: list = []
@@ -380,15 +378,8 @@ def release_encoders() -> None:
 
     Spark keeps workers from one stage to the next, and with them the memory of an encoder that nobody uses then.
     """
-    held = list(_encoders)
-    if not any(len(e.cache) + len(e.cache.old) + len(e.machine.states) > 1000 for e in held):
+    if sum(e.forget() for e in _encoders) <= 1000:
         return
-    for e in held:
-        e.machine.forget()
-        for memo in vars(e).values():
-            if isinstance(memo, Memo):
-                memo.clear()
-                memo.old = {}
     gc.collect()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
