@@ -61,10 +61,10 @@ class Memo(dict):
 
 
 class Transducer:
-    """``vocab``: unit string -> id; ``rank(left, right)``: priority of a merge or None."""
+    """``vocab``: unit string -> id, which is the rank of the merge that makes it too."""
 
-    def __init__(self, vocab, rank, max_states=200_000):
-        self.vocab, self.rank, self.max_states = vocab, rank, max_states
+    def __init__(self, vocab, max_states=200_000):
+        self.vocab, self.max_states = vocab, max_states
         self.open = {h: h for t in vocab for h in (t[:i] for i in range(1, len(t)))}
         self.edges: dict[str, tuple] = {}
         self.apart: dict[tuple[str, str], bool] = {}
@@ -93,7 +93,7 @@ class Transducer:
         parts = list(token)
         left, right = [[parts[0], -1, None]], [[parts[-1], -1, None]]
         while len(parts) > 1:
-            ranks = [(r, i) for i in range(len(parts) - 1) if (r := self.rank(parts[i], parts[i + 1])) is not None]
+            ranks = [(r, i) for i in range(len(parts) - 1) if (r := self.vocab.get(parts[i] + parts[i + 1])) is not None]
             if not ranks:
                 break
             r, i = min(ranks)
@@ -114,10 +114,10 @@ class Transducer:
         if known is None:
             if len(self.apart) > 150_000:
                 self.apart.clear()
-            known = reached
+            known, rank = reached, self.vocab.get
             for a, made_a, used_a in self._edges(last)[2] if reached else ():
                 for b, made_b, used_b in left:
-                    r = self.rank(a, b)
+                    r = rank(a + b)
                     if r is not None and r > made_a and r > made_b and (used_a is None or r < used_a) and (used_b is None or r <= used_b):
                         known = False
             self.apart[last, token] = known
@@ -177,33 +177,41 @@ class Utf8Decoder:
         self.need, self.low, self.high, self.code = 0, 0x80, 0xBF, 0
 
     def feed(self, data: bytes) -> str:
-        if self.need == 0 and data.isascii():
-            return data.decode("ascii")
-        out = []
-        for b in data:
-            if self.need:
-                if self.low <= b <= self.high:
-                    self.code, self.need = self.code << 6 | b & 0x3F, self.need - 1
-                    self.low, self.high = 0x80, 0xBF
-                    if not self.need:
-                        out.append(chr(self.code))
-                    continue
-                out.append("�")
-                self.need, self.low, self.high = 0, 0x80, 0xBF
-            if b < 0x80:
-                out.append(chr(b))
-            elif 0xC2 <= b <= 0xDF:
-                self.need, self.code = 1, b & 0x1F
-            elif 0xE0 <= b <= 0xEF:
-                self.need, self.code = 2, b & 0x0F
-                self.low, self.high = (0xA0, 0xBF) if b == 0xE0 else (0x80, 0x9F) if b == 0xED else (0x80, 0xBF)
-            elif 0xF0 <= b <= 0xF4:
-                self.need, self.code = 3, b & 0x07
-                self.low, self.high = (0x90, 0xBF) if b == 0xF0 else (0x80, 0x8F) if b == 0xF4 else (0x80, 0xBF)
-            else:
-                out.append("�")
+        out, at = [], 0
+        while at < len(data):
+            if not self.need:
+                try:
+                    out.append(data[at:].decode())
+                    break
+                except UnicodeDecodeError as e:
+                    out.append(data[at : at + e.start].decode())
+                    at += e.start
+            out.append(self._byte(data[at]))
+            at += 1
         return "".join(out)
 
+    def _byte(self, b: int) -> str:
+        bad = ""
+        if self.need:
+            if self.low <= b <= self.high:
+                self.code, self.need = self.code << 6 | b & 0x3F, self.need - 1
+                self.low, self.high = 0x80, 0xBF
+                return "" if self.need else chr(self.code)
+            bad, self.need, self.low, self.high = "\ufffd", 0, 0x80, 0xBF
+        if b < 0x80:
+            return bad + chr(b)
+        if 0xC2 <= b <= 0xDF:
+            self.need, self.code = 1, b & 0x1F
+        elif 0xE0 <= b <= 0xEF:
+            self.need, self.code = 2, b & 0x0F
+            self.low, self.high = (0xA0, 0xBF) if b == 0xE0 else (0x80, 0x9F) if b == 0xED else (0x80, 0xBF)
+        elif 0xF0 <= b <= 0xF4:
+            self.need, self.code = 3, b & 0x07
+            self.low, self.high = (0x90, 0xBF) if b == 0xF0 else (0x80, 0x8F) if b == 0xF4 else (0x80, 0xBF)
+        else:
+            return bad + "\ufffd"
+        return bad
+
     def close(self) -> str:
         bad, self.need, self.low, self.high = self.need, 0, 0x80, 0xBF
         return "�" if bad else ""
@@ -216,27 +224,17 @@ class ByteBpe:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bytes_of = {n: t for t, n in ranks.items()}
+        self.decimals = {n: str(n) for n in self.bytes_of}
         vocab = {t.decode("latin-1"): n for t, n in ranks.items()}
         self.vocab = vocab
-        self.machine = Transducer(vocab, lambda a, b: vocab.get(a + b), 250_000)
+        self.machine = Transducer(vocab, 250_000)
         self.pieces = regex.compile(pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\s", f"[{WHITE}]").replace(r"\S", f"[^{WHITE}]"))
         self.loose = regex.compile(f" [{WHITE}]|[{WHITE}] |^[{WHITE}]|[{WHITE}]$")
-        self.cache = Memo(self.encode_span)
-        self.digested = Memo(self._digested)
-        self.digested_pieces = Memo(self._digested_piece)
+        self.cache = Memo(self._packed, 200_000)
 
     def forget(self) -> int:
         """Drop what is remembered; returns how much it was."""
-        return self.machine.forget() + self.cache.drop() + self.digested.drop() + self.digested_pieces.drop()
-
-    def _digested_piece(self, piece: str) -> tuple[str, bytes, bytes]:
-        """The ids as decimal text and as little-endian 32-bit numbers, and the bytes decoded from them."""
-        ids = self.encode_piece(piece)
-        return " ".join(map(str, ids)), array("I", ids).tobytes(), self.decode(ids).encode("utf-8")
-
-    def _digested(self, span: str) -> tuple[str, bytes, bytes]:
-        got = [self.digested_pieces[p] for p in self.split(span)]
-        return got[0] if len(got) == 1 else (" ".join([g[0] for g in got]), b"".join([g[1] for g in got]), b"".join([g[2] for g in got]))
+        return self.machine.forget() + self.cache.drop()
 
     def encode_piece(self, piece: str) -> list[int]:
         units = piece.encode("utf-8", "surrogatepass").decode("latin-1")
@@ -258,10 +256,14 @@ class ByteBpe:
         return [first, *[" " + w for w in rest]]
 
     def encode_span(self, span: str) -> list[int]:
-        ids = []
-        for piece in self.split(span):
-            ids += self.encode_piece(piece)
-        return ids
+        return [n for p in self.split(span) for n in self.encode_piece(p)]
+
+    def _packed(self, span: str) -> bytes:
+        """The ids as little-endian unsigned 32-bit numbers; pre-tokens are remembered among the spans."""
+        parts = self.split(span)
+        if len(parts) == 1:
+            return array("I", self.encode_piece(span)).tobytes()
+        return b"".join(map(self.cache.__getitem__, parts))
 
     def split(self, span: str) -> list[str]:
         """Pre-tokens of a span; a word of letters with its space, and one character after it, needs no pattern."""
@@ -273,20 +275,17 @@ class ByteBpe:
         return self.pieces.findall(span)
 
     def encode(self, text: str) -> list[int]:
-        out = []
-        for ids in map(self.cache.__getitem__, self.spans(text)):
-            out += ids
-        return out
+        return array("I", b"".join(map(self.cache.__getitem__, self.spans(text)))).tolist()
 
-    def decode_stream(self, ids):
-        """Text as it becomes complete, token by token."""
+    def decode_stream(self, ids, block=1):
+        """Text as it becomes complete, ``block`` tokens at a time."""
         machine, bytes_of = Utf8Decoder(), self.bytes_of
-        for n in ids:
-            yield machine.feed(bytes_of[n])
+        for i in range(0, len(ids), block):
+            yield machine.feed(b"".join(map(bytes_of.__getitem__, ids[i : i + block])))
         yield machine.close()
 
     def decode(self, ids) -> str:
-        return "".join(self.decode_stream(ids))
+        return "".join(self.decode_stream(ids, 4096))
 
 
 class WordBpe:
@@ -398,16 +397,15 @@ def encode_decode(docs: DataFrame, ranks: str = "byte_bpe_50k.tiktoken", keep_id
 
     def run(batches):
         bpe = byte_bpe(ranks)
-        known = bpe.digested
+        decimal = bpe.decimals.__getitem__
         for batch in batches:
             n, packed, ids_sha, back_sha = [], [], [], []
             for text in batch.column(1).to_pylist():
-                got = list(map(known.__getitem__, bpe.spans(text or "")))
-                raw = b"".join([v[1] for v in got])
-                n.append(len(raw) // 4)
-                packed.append(raw if keep_ids else None)
-                ids_sha.append(hashlib.sha256(" ".join([v[0] for v in got]).encode()).hexdigest())
-                back_sha.append(hashlib.sha256(b"".join([v[2] for v in got])).hexdigest())
+                ids = bpe.encode(text or "")
+                n.append(len(ids))
+                packed.append(array("I", ids).tobytes() if keep_ids else None)
+                ids_sha.append(hashlib.sha256(" ".join(map(decimal, ids)).encode()).hexdigest())
+                back_sha.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(packed, pa.binary()), pa.array(ids_sha), pa.array(back_sha)],
                 names=["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"])
