@@ -127,3 +127,36 @@ def test_upsert_table_stream(spark):
     got = table.read(spark)
     want = dd.upsert_latest(v, "id", "seq")
     assert _rows(got) == _rows(want.select(*got.columns))
+
+
+def test_stream_join_bound_and_outer_nulls(spark):
+    """Partners farther apart than the bound don't join; a left row without a partner gets nulls."""
+    from tidemart.operators.envelope import envelope_to_json, parse_cdc
+    from tidemart.streaming import joins as SJ
+
+    def rec(tbl, ts, **after):
+        return (None, {k: str(v) for k, v in after.items()}, {"db": "x", "table": tbl}, "r", t0 + ts)
+
+    b, t0 = SJ.BOUND_MS, 1_700_000_000_000
+    detail = dict(sku_id=1, sku_name="s", create_time=0, sku_num=1, order_price="2.00")
+    rows = [rec("order_info", 0, id="o1", user_id="u", province_id="p"),
+            rec("order_detail", b, id="d1", order_id="o1", **detail),                    # exactly at the bound: joins
+            rec("order_detail", b + 1, id="d2", order_id="o1", **detail),                # one past it: doesn't
+            rec("order_detail_activity", 2 * b, id="a1", order_detail_id="d1", activity_id="7", activity_rule_id="8"),
+            rec("order_info", 10 * b, id="o3", user_id="u", province_id="p"),
+            rec("order_detail", 10 * b, id="d3", order_id="o3", **detail),
+            rec("order_detail_activity", 11 * b + 1, id="a3", order_detail_id="d3", activity_id="7"),  # past it: nulls
+            rec("order_detail_coupon", 10 * b, id="c3", order_detail_id="d3", coupon_id="9")]
+    schema = ("before map<string,string>, after map<string,string>, source map<string,string>, op string, "
+              "ts_ms bigint")
+    topic = spark.createDataFrame(rows, schema)
+    phases = [topic.where(F.col("ts_ms") <= t0 + 2 * b), topic.where(F.col("ts_ms") > t0 + 2 * b),
+              SJ.heartbeat(topic, t0 + 50 * b)]
+    got = R.replay(spark, [envelope_to_json(p) for p in phases], lambda raw: SJ.order_detail(parse_cdc(raw)), "bound")
+    assert sorted((r.id, r.activity_id, r.coupon_id) for r in got.collect()) == [("d1", "7", None), ("d3", None, "9")]
+
+
+def test_stream_join_kinds(spark):
+    from tidemart.streaming import joins as SJ
+    with pytest.raises(ValueError):
+        SJ.join_within(None, None, None, "a", "b", "right")

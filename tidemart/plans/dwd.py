@@ -9,7 +9,7 @@ branch scans only its own table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import millis_str_to_date
@@ -21,30 +21,131 @@ DETAIL_COLS = ["id", "order_id", "user_id", "sku_id", "sku_name", "province_id",
                "split_total_amount", "ts_ms"]
 
 
-def order_detail(topic: DataFrame, tz: str = "UTC", keep_seq: bool = False) -> DataFrame:
-    """order_detail ⋈ order_info ⟕ activity ⟕ coupon (snapshot rows).
+# Each side of a join is one projection, used by the batch plans here and by the stream joins
+# (``streaming.joins``); every side carries its own record time.
 
-    ``keep_seq`` carries the arrival position for downstream version handling.
-    """
-    od = cdc_demux(topic, "order_detail", "r").select(
+def detail_side(env: DataFrame, *extra: str) -> DataFrame:
+    return env.select(
         *[F.col("after")[k].alias(k) for k in
           ("id", "order_id", "sku_id", "sku_name", "create_time", "source_id", "source_type", "sku_num",
            "split_total_amount", "split_activity_amount", "split_coupon_amount")],
         (F.col("after")["sku_num"].cast("decimal(16,2)") * F.col("after")["order_price"].cast("decimal(16,2)"))
         .cast("string").alias("split_original_amount"),
-        "ts_ms", "seq")
-    oi = project_after(cdc_demux(topic, "order_info", "r"), {"oi_id": "id", "user_id": "user_id",
-                                                              "province_id": "province_id"}, extra=())
-    act = project_after(cdc_demux(topic, "order_detail_activity", "r"),
-                        {"act_detail_id": "order_detail_id", "activity_id": "activity_id",
-                         "activity_rule_id": "activity_rule_id"}, extra=())
-    cou = project_after(cdc_demux(topic, "order_detail_coupon", "r"),
-                        {"cou_detail_id": "order_detail_id", "coupon_id": "coupon_id"}, extra=())
+        "ts_ms", *extra)
+
+
+def _side(env: DataFrame, ts: str, fields: dict[str, str]) -> DataFrame:
+    return env.select(*[F.col("after")[k].alias(out) for out, k in fields.items()], F.col("ts_ms").alias(ts))
+
+
+def order_side(env: DataFrame) -> DataFrame:
+    return _side(env, "oi_ts", {"oi_id": "id", "user_id": "user_id", "province_id": "province_id"})
+
+
+def activity_side(env: DataFrame) -> DataFrame:
+    return _side(env, "act_ts", {"act_detail_id": "order_detail_id", "activity_id": "activity_id",
+                                 "activity_rule_id": "activity_rule_id"})
+
+
+def coupon_side(env: DataFrame) -> DataFrame:
+    return _side(env, "cou_ts", {"cou_detail_id": "order_detail_id", "coupon_id": "coupon_id"})
+
+
+def cancel_side(env: DataFrame) -> DataFrame:
+    return _side(env, "oc_ts", {"oc_id": "id", "cancel_time": "operate_time"})
+
+
+def payment_side(env: DataFrame) -> DataFrame:
+    return _side(env, "pi_ts", {"pi_order_id": "order_id", "payment_type_code": "payment_type",
+                                "callback_time": "callback_time"})
+
+
+def refund_side(env: DataFrame) -> DataFrame:
+    return project_after(env, ["id", "user_id", "order_id", "sku_id", "refund_type", "refund_num", "refund_amount",
+                               "refund_reason_type", "refund_reason_txt", "create_time"])
+
+
+def refund_order_side(env: DataFrame) -> DataFrame:
+    return _side(env, "oi_ts", {"oi_id": "id", "oi_user_id": "user_id", "province_id": "province_id"})
+
+
+def refund_payment_side(env: DataFrame) -> DataFrame:
+    return project_after(env, ["id", "order_id", "sku_id", "payment_type", "callback_time", "total_amount"])
+
+
+def refund_slip_side(env: DataFrame) -> DataFrame:
+    return _side(env, "ori_ts", {"ori_order_id": "order_id", "ori_sku_id": "sku_id", "refund_num": "refund_num"})
+
+
+# P6 status predicates over the after image; a null status never passes
+
+def is_cancelled() -> Column:
+    return F.col("after")["order_status"].isin("1001", "1003")
+
+
+def is_paid() -> Column:
+    return F.col("after")["payment_status"] == "1602"
+
+
+def is_refunding() -> Column:
+    return F.col("after")["order_status"] == "1006"
+
+
+def is_refund_paid() -> Column:
+    return F.col("after")["refund_status"] == "1602"
+
+
+def is_refund_accepted() -> Column:
+    return F.col("after")["refund_status"] == "0705"
+
+
+def detail_shape(j: DataFrame, tz: str, *extra: str) -> DataFrame:
+    return j.select(*[millis_str_to_date(F.col("create_time"), tz).alias("date_id") if c == "date_id" else F.col(c)
+                      for c in DETAIL_COLS], *extra)
+
+
+def cancel_shape(j: DataFrame) -> DataFrame:
+    cols = [c if c != "create_time" else "cancel_time" for c in DETAIL_COLS if c != "ts_ms"]
+    return j.select(*cols, F.col("oc_ts").alias("ts_ms"))
+
+
+def payment_shape(j: DataFrame) -> DataFrame:
+    return j.select(F.col("id").alias("order_detail_id"), "order_id", "user_id", "sku_id", "sku_name",
+                    "province_id", "activity_id", "activity_rule_id", "coupon_id", "payment_type_code",
+                    "callback_time", "sku_num", "split_original_amount", "split_activity_amount",
+                    "split_coupon_amount", F.col("split_total_amount").alias("split_payment_amount"),
+                    F.col("pi_ts").alias("ts_ms"))
+
+
+def refund_shape(j: DataFrame, tz: str) -> DataFrame:
+    return j.select("id", "user_id", "order_id", "sku_id", "province_id",
+                    millis_str_to_date(F.col("create_time"), tz).alias("date_id"), "create_time",
+                    F.col("refund_type").alias("refund_type_code"),
+                    F.col("refund_reason_type").alias("refund_reason_type_code"), "refund_reason_txt",
+                    "refund_num", "refund_amount", "ts_ms")
+
+
+def refund_pay_shape(j: DataFrame, tz: str) -> DataFrame:
+    return j.select("id", F.col("oi_user_id").alias("user_id"), "order_id", "sku_id", "province_id",
+                    F.col("payment_type").alias("payment_type_code"),
+                    millis_str_to_date(F.col("callback_time"), tz).alias("date_id"), "callback_time",
+                    "refund_num", F.col("total_amount").alias("refund_amount"), "ts_ms")
+
+
+def order_detail(topic: DataFrame, tz: str = "UTC", keep_seq: bool = False) -> DataFrame:
+    """order_detail ⋈ order_info ⟕ activity ⟕ coupon (snapshot rows).
+
+    ``keep_seq`` carries the arrival position for downstream version handling.
+    """
+    seq = ("seq",) if keep_seq else ()
+    od = detail_side(cdc_demux(topic, "order_detail", "r"), *seq)
+    oi = order_side(cdc_demux(topic, "order_info", "r"))
+    act = activity_side(cdc_demux(topic, "order_detail_activity", "r"))
+    cou = coupon_side(cdc_demux(topic, "order_detail_coupon", "r"))
     j = (od.join(oi, od.order_id == oi.oi_id, "inner")
          .join(act, od.id == act.act_detail_id, "left")
          .join(cou, od.id == cou.cou_detail_id, "left"))
-    return j.select(*[millis_str_to_date(F.col("create_time"), tz).alias("date_id") if c == "date_id" else F.col(c)
-                      for c in DETAIL_COLS + (["seq"] if keep_seq else [])])
+    return detail_shape(j, tz, *seq)
 
 
 def order_cancel(topic: DataFrame, detail: DataFrame, tz: str = "UTC", literal: bool = False) -> DataFrame:
@@ -55,63 +156,32 @@ def order_cancel(topic: DataFrame, detail: DataFrame, tz: str = "UTC", literal:
     """
     status = F.col("after")["order_status"]
     is_order = (F.col("source")["table"] == "order_info") & (F.col("op") == "r")
-    cond = (is_order & (status == "1001")) | (status == "1003") if literal else is_order & status.isin("1001", "1003")
-    oc = topic.where(cond).select(F.col("after")["id"].alias("oc_id"),
-                                  F.col("after")["operate_time"].alias("cancel_time"), F.col("ts_ms").alias("oc_ts"))
-    j = detail.drop("ts_ms").join(oc, detail.order_id == oc.oc_id, "inner")
-    cols = [c if c != "create_time" else "cancel_time" for c in DETAIL_COLS if c != "ts_ms"]
-    return j.select(*cols, F.col("oc_ts").alias("ts_ms"))
+    cond = (is_order & (status == "1001")) | (status == "1003") if literal else is_order & is_cancelled()
+    oc = cancel_side(topic.where(cond))
+    return cancel_shape(detail.drop("ts_ms").join(oc, detail.order_id == oc.oc_id, "inner"))
 
 
 def pay_success(topic: DataFrame, detail: DataFrame) -> DataFrame:
     """Successful payments (status 1602) ⋈ order detail."""
-    pi = (cdc_demux(topic, "payment_info", "r")
-          .where(F.col("after")["payment_status"].isNotNull() & (F.col("after")["payment_status"] == "1602"))
-          .select(F.col("after")["order_id"].alias("pi_order_id"),
-                  F.col("after")["payment_type"].alias("payment_type_code"),
-                  F.col("after")["callback_time"].alias("callback_time"), F.col("ts_ms").alias("pi_ts")))
-    j = pi.join(detail.drop("ts_ms"), pi.pi_order_id == detail.order_id, "inner")
-    return j.select(F.col("id").alias("order_detail_id"), "order_id", "user_id", "sku_id", "sku_name",
-                    "province_id", "activity_id", "activity_rule_id", "coupon_id", "payment_type_code",
-                    "callback_time", "sku_num", "split_original_amount", "split_activity_amount",
-                    "split_coupon_amount", F.col("split_total_amount").alias("split_payment_amount"),
-                    F.col("pi_ts").alias("ts_ms"))
-
-
-def _refund_orders(topic: DataFrame) -> DataFrame:
-    return (cdc_demux(topic, "order_info", "r")
-            .where(F.col("after")["order_status"].isNotNull() & (F.col("after")["order_status"] == "1006"))
-            .select(F.col("after")["id"].alias("oi_id"), F.col("after")["user_id"].alias("oi_user_id"),
-                    F.col("after")["province_id"].alias("province_id")))
+    pi = payment_side(cdc_demux(topic, "payment_info", "r").where(is_paid()))
+    return payment_shape(pi.join(detail.drop("ts_ms"), pi.pi_order_id == detail.order_id, "inner"))
 
 
 def order_refund(topic: DataFrame, tz: str = "UTC") -> DataFrame:
     """Refund slips ⋈ orders in refund status 1006."""
-    ri = project_after(cdc_demux(topic, "order_refund_info", "r"),
-                       ["id", "user_id", "order_id", "sku_id", "refund_type", "refund_num", "refund_amount",
-                        "refund_reason_type", "refund_reason_txt", "create_time"])
-    j = ri.join(_refund_orders(topic), ri.order_id == F.col("oi_id"), "inner")
-    return j.select("id", "user_id", "order_id", "sku_id", "province_id",
-                    millis_str_to_date(F.col("create_time"), tz).alias("date_id"), "create_time",
-                    F.col("refund_type").alias("refund_type_code"),
-                    F.col("refund_reason_type").alias("refund_reason_type_code"), "refund_reason_txt",
-                    "refund_num", "refund_amount", "ts_ms")
+    ri = refund_side(cdc_demux(topic, "order_refund_info", "r"))
+    oi = refund_order_side(cdc_demux(topic, "order_info", "r").where(is_refunding()))
+    return refund_shape(ri.join(oi, ri.order_id == oi.oi_id, "inner"), tz)
 
 
 def refund_pay_success(topic: DataFrame, tz: str = "UTC") -> DataFrame:
     """Refund payments (1602) ⋈ refund slips (0705) on (order, sku) ⋈ orders (1006)."""
-    rp = (cdc_demux(topic, "refund_payment", "r").where(F.col("after")["refund_status"] == "1602")
-          .select(*[F.col("after")[k].alias(k) for k in ("id", "order_id", "sku_id", "payment_type",
-                                                         "callback_time", "total_amount")], "ts_ms"))
-    ori = (cdc_demux(topic, "order_refund_info", "r").where(F.col("after")["refund_status"] == "0705")
-           .select(F.col("after")["order_id"].alias("ori_order_id"), F.col("after")["sku_id"].alias("ori_sku_id"),
-                   F.col("after")["refund_num"].alias("refund_num")))
+    rp = refund_payment_side(cdc_demux(topic, "refund_payment", "r").where(is_refund_paid()))
+    ori = refund_slip_side(cdc_demux(topic, "order_refund_info", "r").where(is_refund_accepted()))
+    oi = refund_order_side(cdc_demux(topic, "order_info", "r").where(is_refunding()))
     j = (rp.join(ori, (rp.order_id == ori.ori_order_id) & (rp.sku_id == ori.ori_sku_id), "inner")
-         .join(_refund_orders(topic), rp.order_id == F.col("oi_id"), "inner"))
-    return j.select("id", F.col("oi_user_id").alias("user_id"), "order_id", "sku_id", "province_id",
-                    F.col("payment_type").alias("payment_type_code"),
-                    millis_str_to_date(F.col("callback_time"), tz).alias("date_id"), "callback_time",
-                    "refund_num", F.col("total_amount").alias("refund_amount"), "ts_ms")
+         .join(oi, rp.order_id == oi.oi_id, "inner"))
+    return refund_pay_shape(j, tz)
 
 
 def cart_add(topic: DataFrame, delta: bool = False) -> DataFrame:

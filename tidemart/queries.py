@@ -769,6 +769,55 @@ def q_src_file_stream(spark, sf_dir):
     return R.run_available_now(flat, "src_file_stream")
 
 
+def _dwd_stream(spark, sf_dir, name, tables, build):
+    """[S] form of a DWD job over the whole change topic of ``tables``: JSON records in two halves by record time,
+    then a heartbeat beyond every bound, each half drained before the next arrives."""
+    from .streaming import joins as SJ
+    from .streaming import runners as R
+    topic = _topic(spark, sf_dir, *tables).drop("seq")
+    lo, hi = topic.agg(F.min("ts_ms"), F.max("ts_ms")).first()
+    lo, hi = lo or 0, hi or 0
+    mid = (lo + hi) // 2
+    parts = [topic.where(F.col("ts_ms") <= mid), topic.where(F.col("ts_ms") > mid),
+             SJ.heartbeat(topic, hi + 10 * SJ.BOUND_MS)]
+    return R.replay(spark, [env_ops.envelope_to_json(p) for p in parts],
+                    lambda raw: build(env_ops.parse_cdc(raw)), name)
+
+
+DETAIL_TABLES = ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
+
+
+@query("dwd_order_detail_stream")
+def q_dwd_order_detail_stream(spark, sf_dir):
+    from .streaming import joins as SJ
+    return _dwd_stream(spark, sf_dir, "dwd_order_detail", DETAIL_TABLES, SJ.order_detail)
+
+
+@query("dwd_order_cancel_stream")
+def q_dwd_order_cancel_stream(spark, sf_dir):
+    from .streaming import joins as SJ
+    return _dwd_stream(spark, sf_dir, "dwd_order_cancel", DETAIL_TABLES, SJ.order_cancel)
+
+
+@query("dwd_pay_success_stream")
+def q_dwd_pay_success_stream(spark, sf_dir):
+    from .streaming import joins as SJ
+    return _dwd_stream(spark, sf_dir, "dwd_pay_success", (*DETAIL_TABLES, "payment_info"), SJ.pay_success)
+
+
+@query("dwd_order_refund_stream")
+def q_dwd_order_refund_stream(spark, sf_dir):
+    from .streaming import joins as SJ
+    return _dwd_stream(spark, sf_dir, "dwd_order_refund", ("order_refund_info", "order_info"), SJ.order_refund)
+
+
+@query("dwd_refund_pay_success_stream")
+def q_dwd_refund_pay_success_stream(spark, sf_dir):
+    from .streaming import joins as SJ
+    return _dwd_stream(spark, sf_dir, "dwd_refund_pay_success", ("refund_payment", "order_refund_info", "order_info"),
+                       SJ.refund_pay_success)
+
+
 @query("late_drop")
 def q_late_drop(spark, sf_dir):
     """T16 [S]: events arrive as three files -- days 15-30, then days 3-14, then

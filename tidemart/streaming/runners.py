@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,6 +90,22 @@ def run_available_now(stream: DataFrame, name: str, fmt: str = "parquet", mode:
     return spark.read.format(fmt).load(os.path.join(base, "out"))
 
 
+def replay(spark: SparkSession, phases: list[DataFrame], build: Callable[[DataFrame], DataFrame],
+           name: str) -> DataFrame:
+    """Drain a topic that arrives in ``phases`` (frames of one text column ``value``): each is appended to the
+    topic's folder by as many tasks as it has, then the query resumes from its checkpoint and takes it as one
+    micro-batch. State and watermarks live across the restarts. Returns the stream's rows as a batch frame."""
+    base = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
+    topic, out = os.path.join(base, "topic"), os.path.join(base, "out")
+    for i, part in enumerate(phases):
+        part.write.text(os.path.join(topic, f"p{i:03d}"))
+        q = (build(spark.readStream.text(os.path.join(topic, "*"))).writeStream.format("parquet").outputMode("append")
+             .option("path", out).option("checkpointLocation", os.path.join(base, "ckpt"))
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    return spark.read.parquet(out)
+
+
 class UpsertTable:
     """K4/K6 stream sink without a lake-table library: every micro-batch merges
     into the latest version (last row per key by ``seq``) and writes
