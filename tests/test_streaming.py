@@ -160,3 +160,16 @@ def test_stream_join_kinds(spark):
     from tidemart.streaming import joins as SJ
     with pytest.raises(ValueError):
         SJ.join_within(None, None, None, "a", "b", "right")
+
+
+def test_first_of_day_out_of_order_days(spark):
+    """Day 2, day 1, day 2 again over three micro-batches: one row a day, as in the batch body."""
+    day = 86_400_000
+    rows = spark.createDataFrame([("u", 2 * day + 5, "a"), ("u", day + 5, "b"), ("u", 2 * day + 9, "c")],
+                                 "user_id string, ts_ms long, id string")
+    lines = [rows.where(F.col("id") == i).select(F.to_json(F.struct("*")).alias("value")) for i in "abc"]
+    cols = ["user_id", "ts_ms", "id"]
+    got = R.replay(spark, lines, lambda raw: J.first_of_day(
+        raw.select(F.from_json("value", "user_id string, ts_ms long, id string").alias("r")).select("r.*"),
+        "user_id", "ts_ms", ["ts_ms", "id"], cols), "fod-order")
+    assert sorted(r.id for r in got.collect()) == ["a", "b"]

@@ -848,3 +848,7 @@ SELECT wstart, n FROM w WHERE wstart < (SELECT max(wstart) FROM w)"""
 # inside the join bound, so the bounded joins give the batch rows (the bound itself is tested on planted records)
 for _n in ("order_detail", "order_cancel", "pay_success", "order_refund", "refund_pay_success"):
     ORACLE[f"dwd_{_n}_stream"] = ORACLE[f"dwd_{_n}"]
+
+# stream forms of the windows: the feeds arrive in record-time order, a heartbeat closes the last window
+for _n in ("cart_uu", "home_detail_uv", "traffic_dims", "user_login"):
+    ORACLE[f"dws_{_n}_stream"] = ORACLE[f"dws_{_n}"]

@@ -818,6 +818,53 @@ def q_dwd_refund_pay_success_stream(spark, sf_dir):
                        SJ.refund_pay_success)
 
 
+@query("dws_cart_uu_stream")
+def q_dws_cart_uu_stream(spark, sf_dir):
+    from .streaming import dws as SD
+    return _dwd_stream(spark, sf_dir, "dws_cart_uu", ("cart_info",), lambda t: SD.cart_uu(t, EVENT_WINDOW))
+
+
+def _log_stream(spark, sf_dir, name, build):
+    """[S] form of a page-log job: raw records in two halves by record time (records whose time can't be read come
+    first), then a heartbeat; parsed as they arrive."""
+    from .streaming import dws as SD
+    from .streaming import runners as R
+    raw = fx.page_log_topic(spark, sf_dir).withColumn(
+        "_ts", F.coalesce(F.get_json_object("value", "$.ts").cast("long"), F.lit(0)))
+    lo, hi = raw.where("_ts > 0").agg(F.min("_ts"), F.max("_ts")).first()
+    lo, hi = lo or 0, hi or 0
+    mid = (lo + hi) // 2
+    beat = raw.sparkSession.range(1).select(F.lit(-1).cast("long").alias("offset"),
+                                            F.lit(SD.log_heartbeat(hi + 30 * 86_400_000)).alias("value"))
+    parts = [raw.where(F.col("_ts") <= mid), raw.where(F.col("_ts") > mid), beat]
+    lines = [p.select(F.to_json(F.struct("offset", "value")).alias("value")) for p in parts]
+
+    def run(line):
+        rec = line.select(F.from_json("value", "offset long, value string").alias("r")).select("r.*")
+        return build(lg.parse_logs(rec)[0])
+    return R.replay(spark, lines, run, name)
+
+
+@query("dws_home_detail_uv_stream")
+def q_dws_home_detail_uv_stream(spark, sf_dir):
+    from .streaming import dws as SD
+    return _log_stream(spark, sf_dir, "dws_home_detail_uv",
+                       lambda logs: SD.home_detail_uv(lg.split_logs(logs)["page"], EVENT_WINDOW))
+
+
+@query("dws_traffic_dims_stream")
+def q_dws_traffic_dims_stream(spark, sf_dir):
+    from .streaming import dws as SD
+    return _log_stream(spark, sf_dir, "dws_traffic_dims", lambda logs: SD.traffic_dims(logs, EVENT_WINDOW))
+
+
+@query("dws_user_login_stream")
+def q_dws_user_login_stream(spark, sf_dir):
+    from .streaming import dws as SD
+    return _log_stream(spark, sf_dir, "dws_user_login",
+                       lambda logs: SD.user_login(lg.split_logs(logs)["page"], EVENT_WINDOW))
+
+
 @query("late_drop")
 def q_late_drop(spark, sf_dir):
     """T16 [S]: events arrive as three files -- days 15-30, then days 3-14, then

@@ -40,7 +40,9 @@ def apply(df: DataFrame, keys: list[str], processor: StatefulProcessor, out_sche
 
 class FirstOfDay(StatefulProcessor):
     """The first row of each key per day (``flag=False``), or every row with
-    a ``first_flag`` column (``flag=True``). State: last date seen, 1-day TTL."""
+    a ``first_flag`` column (``flag=True``). State: the days seen, so that a day
+    that comes again out of order is not counted twice; with an event-time
+    watermark, days before it are let go (their rows are dropped as late). 1-day TTL."""
 
     def __init__(self, ts: str, order: list[str], columns: list[str], flag: bool = False, tz_offset_ms: int = 0,
                  ttl_ms: int | None = DAY_MS):
@@ -48,21 +50,23 @@ class FirstOfDay(StatefulProcessor):
         self.tz_offset_ms, self.ttl_ms = tz_offset_ms, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last_date", "d string", self.ttl_ms)
+        self.days = handle.getValueState("days", "d array<string>", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _rows(rows, self.order)
         if df.empty:
             return
-        last = self.last.get()[0] if self.last.exists() else None
+        days = set(self.days.get()[0]) if self.days.exists() else set()
         keep = []
         for ts in df[self.ts]:
             d = _day(ts, self.tz_offset_ms)
-            first = d != last
-            if first:
-                last = d
-            keep.append(first)
-        self.last.update((last,))
+            keep.append(d not in days)
+            days.add(d)
+        mark = timerValues.getCurrentWatermarkInMs()
+        if mark > 0:
+            oldest = _day(mark, self.tz_offset_ms)
+            days = {d for d in days if d >= oldest}
+        self.days.update((sorted(days),))
         out = df[self.columns].copy()
         if self.flag:
             out["first_flag"] = [1 if k else 0 for k in keep]
@@ -74,6 +78,38 @@ class FirstOfDay(StatefulProcessor):
         pass
 
 
+class ReturningUser(StatefulProcessor):
+    """The first login of each user and day, with ``back`` = 1 when the login
+    day before it lies ``back_days`` or more days back. State: the last login day."""
+
+    def __init__(self, back_days: int = 8):
+        self.back_days = back_days
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last_day", "d string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = _rows(rows, ["ts"])
+        if df.empty:
+            return
+        last = self.last.get()[0] if self.last.exists() else None
+        keep, back = [], []
+        for ts in df["ts"]:
+            day = _day(ts)
+            new = last is None or day > last
+            keep.append(new)
+            back.append(int(new and last is not None
+                            and int(ts) - pd.Timestamp(last).value // 1_000_000 >= self.back_days * DAY_MS))
+            last = day if new else last
+        self.last.update((last,))
+        out = df[["uid", "ts", "et"]].copy()
+        out["back"] = back
+        yield out[pd.Series(keep, index=out.index)]
+
+    def close(self) -> None:
+        pass
+
+
 class FixIsNew(StatefulProcessor):
     """The first record of a mid fixes its visit day (its date if it says
     new, else the day before); later 'new' records on another date become old."""
