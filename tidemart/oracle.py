@@ -852,3 +852,11 @@ for _n in ("order_detail", "order_cancel", "pay_success", "order_refund", "refun
 # stream forms of the windows: the feeds arrive in record-time order, a heartbeat closes the last window
 for _n in ("cart_uu", "home_detail_uv", "traffic_dims", "user_login"):
     ORACLE[f"dws_{_n}_stream"] = ORACLE[f"dws_{_n}"]
+ORACLE["interval_join_stream"] = ORACLE["interval_join"]
+
+_SINK = {"page": ("mid", "is_new", "NULL"), "start": ("mid", "is_new", "NULL"), "err": ("mid", "NULL", "NULL"),
+         "display": ("mid", "NULL", "display_item"), "action": ("mid", "NULL", "action_item")}
+ORACLE["log_split_stream"] = "\nUNION ALL\n".join(
+    [f"""SELECT '{n}' AS sink, "offset", {m} AS mid, CAST({i} AS VARCHAR) AS is_new, CAST({x} AS VARCHAR) AS item
+FROM ({ORACLE['log_split_' + n]})""" for n, (m, i, x) in _SINK.items()]
+    + [f"""SELECT 'dirty', "offset", NULL, NULL, NULL FROM ({ORACLE['log_dirty_split']})"""])

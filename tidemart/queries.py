@@ -6,6 +6,7 @@ driver tables (or data Spark derives from them).
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -769,6 +770,14 @@ def q_src_file_stream(spark, sf_dir):
     return R.run_available_now(flat, "src_file_stream")
 
 
+def _lines(df):
+    return df.select(F.to_json(F.struct("*")).alias("value"))
+
+
+def _records(raw, schema):
+    return raw.select(F.from_json("value", schema).alias("r")).select("r.*")
+
+
 def _dwd_stream(spark, sf_dir, name, tables, build):
     """[S] form of a DWD job over the whole change topic of ``tables``: JSON records in two halves by record time,
     then a heartbeat beyond every bound, each half drained before the next arrives."""
@@ -824,25 +833,68 @@ def q_dws_cart_uu_stream(spark, sf_dir):
     return _dwd_stream(spark, sf_dir, "dws_cart_uu", ("cart_info",), lambda t: SD.cart_uu(t, EVENT_WINDOW))
 
 
-def _log_stream(spark, sf_dir, name, build):
-    """[S] form of a page-log job: raw records in two halves by record time (records whose time can't be read come
-    first), then a heartbeat; parsed as they arrive."""
+def _log_phases(spark, sf_dir):
+    """The raw page-log topic in two halves by record time (records whose time can't be read come first), then a
+    heartbeat; JSON lines of (offset, value)."""
     from .streaming import dws as SD
-    from .streaming import runners as R
-    raw = fx.page_log_topic(spark, sf_dir).withColumn(
-        "_ts", F.coalesce(F.get_json_object("value", "$.ts").cast("long"), F.lit(0)))
-    lo, hi = raw.where("_ts > 0").agg(F.min("_ts"), F.max("_ts")).first()
+    raw = fx.page_log_topic(spark, sf_dir)
+    ts = F.coalesce(F.get_json_object("value", "$.ts").cast("long"), F.lit(0))
+    lo, hi = raw.where(ts > 0).agg(F.min(ts), F.max(ts)).first()
     lo, hi = lo or 0, hi or 0
     mid = (lo + hi) // 2
-    beat = raw.sparkSession.range(1).select(F.lit(-1).cast("long").alias("offset"),
-                                            F.lit(SD.log_heartbeat(hi + 30 * 86_400_000)).alias("value"))
-    parts = [raw.where(F.col("_ts") <= mid), raw.where(F.col("_ts") > mid), beat]
-    lines = [p.select(F.to_json(F.struct("offset", "value")).alias("value")) for p in parts]
+    beat = spark.range(1).select(F.lit(-1).cast("long").alias("offset"),
+                                 F.lit(SD.log_heartbeat(hi + 30 * 86_400_000)).alias("value"))
+    return [_lines(p) for p in (raw.where(ts <= mid), raw.where(ts > mid), beat)]
+
+
+RAW_LOG = "offset long, value string"
+
+
+def _log_stream(spark, sf_dir, name, build):
+    """[S] form of a page-log job, records parsed as they arrive."""
+    from .streaming import runners as R
+    return R.replay(spark, _log_phases(spark, sf_dir),
+                    lambda line: build(lg.parse_logs(_records(line, RAW_LOG))[0]), name)
+
+
+@query("log_split_stream")
+def q_log_split_stream(spark, sf_dir):
+    """L2/P13 [S]: raw log -> flag repair -> page, start, err, display, action and dirty sinks, read back."""
+    from .streaming import logs as SL
+    from .streaming import runners as R
+    out = R.replay_path(spark, _log_phases(spark, sf_dir)[:2], lambda line: SL.repaired(_records(line, RAW_LOG)),
+                        "log_split", SL.split_sinks)
+    none, mid = F.lit(None).cast("string"), F.col("common.mid")
+    is_new = F.col("common.is_new")
+    cols = {"page": (mid, is_new, none), "start": (mid, is_new, none), "err": (mid, none, none),
+            "display": (mid, none, F.col("display.item")), "action": (mid, none, F.col("action.item")),
+            "dirty": (none, none, none)}
+    parts = [spark.read.parquet(f"{out}/{n}").select(F.lit(n).alias("sink"), "offset", m.alias("mid"),
+                                                     i.alias("is_new"), x.alias("item"))
+             for n, (m, i, x) in cols.items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@query("interval_join_stream")
+def q_interval_join_stream(spark, sf_dir):
+    """J5 [S]: ``interval_join`` over the events as they arrive."""
+    from .streaming import joins as SJ
+    from .streaming import runners as R
+    ev = fx.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type",
+                                                  sc.epoch_ms(F.col("ts")).alias("ms"))
+    lo, hi = ev.agg(F.min("ms"), F.max("ms")).first()
+    mid = ((lo or 0) + (hi or 0)) // 2
 
-    def run(line):
-        rec = line.select(F.from_json("value", "offset long, value string").alias("r")).select("r.*")
-        return build(lg.parse_logs(rec)[0])
-    return R.replay(spark, lines, run, name)
+    def build(raw):
+        e = _records(raw, ev.schema)
+        buy = e.where(F.col("event_type") == "purchase").select(
+            F.col("event_id").alias("purchase_id"), F.col("user_id").alias("uid"), F.col("ms").alias("buy_ms"))
+        view = e.where(F.col("event_type") == "view").select(
+            F.col("event_id").alias("view_id"), F.col("user_id").alias("v_uid"), F.col("ms").alias("view_ms"))
+        j = SJ.interval_join(buy, view, "uid", "v_uid", "buy_ms", "view_ms", -6 * 3_600_000, 0)
+        return j.select("purchase_id", "view_id", "uid", (F.col("buy_ms") - F.col("view_ms")).alias("lag_ms"))
+    return R.replay(spark, [_lines(ev.where(F.col("ms") <= mid)), _lines(ev.where(F.col("ms") > mid))], build,
+                    "interval_join")
 
 
 @query("dws_home_detail_uv_stream")
@@ -867,24 +919,21 @@ def q_dws_user_login_stream(spark, sf_dir):
 
 @query("late_drop")
 def q_late_drop(spark, sf_dir):
-    """T16 [S]: events arrive as three files -- days 15-30, then days 3-14, then
+    """T16 [S]: events arrive as three phases -- days 15-30, then days 3-14, then
     days 1-2 -- with a 0 s watermark. Spark filters late rows with the
-    watermark of the previous micro-batch, so the second file still counts and
+    watermark of the previous micro-batch, so the second phase still counts and
     the third (behind a watermark already at day 30) is dropped, as the
     reference drops late data (no allowed lateness, no late side output)."""
     from .streaming import jobs as J
     from .streaming import runners as R
     ev = fx.table(spark, sf_dir, "events").select("event_id", sc.epoch_ms(F.col("ts")).alias("ts"))
-    path = _scratch(spark, "late_events")
-    day = 86_400_000
-    parts = [("a", F.col("ts") >= fx.T0_MS + 14 * day),
-             ("b", (F.col("ts") >= fx.T0_MS + 2 * day) & (F.col("ts") < fx.T0_MS + 14 * day)),
-             ("c", F.col("ts") < fx.T0_MS + 2 * day)]
-    for name, cond in parts:
-        ev.where(cond).coalesce(1).write.mode("overwrite").json(f"{path}/{name}")
-    stream = (spark.readStream.schema("event_id long, ts long").option("maxFilesPerTrigger", 1)
-              .option("recursiveFileLookup", "true").json(path))
-    return R.run_available_now(J.window_counts(stream, "ts", "1 hour"), "late_drop")
+    day, ts = 86_400_000, F.col("ts")
+    parts = [ev.where(ts >= fx.T0_MS + 14 * day),
+             ev.where((ts >= fx.T0_MS + 2 * day) & (ts < fx.T0_MS + 14 * day)),
+             ev.where(ts < fx.T0_MS + 2 * day)]
+    return R.replay(spark, [_lines(p) for p in parts],
+                    lambda raw: J.window_counts(_records(raw, "event_id long, ts long"), "ts", "1 hour"),
+                    "late_drop", no_data_batches=False)
 
 
 @query("sink_jsonl_roundtrip")

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import joins as ij
 from ..plans import dwd
 
 BOUND_MS = 1_805_000
@@ -54,6 +55,17 @@ def join_within(left: DataFrame, right: DataFrame, on: Column, left_et: str, rig
     return left.join(right, on & near, how).drop(right_et)
 
 
+def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_ts: str, right_ts: str,
+                  lower_ms: int, upper_ms: int, delay: str = "0 seconds") -> DataFrame:
+    """J5/J6 stream (inner): the batch operator's time buckets spread a hot key over its time span, and the same
+    bounds on event times release the state."""
+    j = ij.interval_join(timed(left, left_ts, "_let", delay), timed(right, right_ts, "_ret", delay), left_key,
+                         right_key, left_ts, right_ts, lower_ms, upper_ms)
+    near = (f"_ret >= _let + INTERVAL '{lower_ms / 1000:.3f}' SECOND"
+            f" AND _ret <= _let + INTERVAL '{upper_ms / 1000:.3f}' SECOND")
+    return j.where(F.expr(near)).drop("_let", "_ret")
+
+
 def _detail(topic: DataFrame, delay: str, bound_ms: int) -> DataFrame:
     od = timed(dwd.detail_side(branch(topic, "order_detail")), "ts_ms", "od_et", delay)
     oi = timed(dwd.order_side(branch(topic, "order_info")), "oi_ts", "oi_et", delay)

@@ -26,7 +26,9 @@ def _rows(batches: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
     return df.sort_values(order, kind="stable").reset_index(drop=True)
 
 
-def _day(ms: int, offset_ms: int = 0) -> str:
+def _day(ms: int | None, offset_ms: int = 0) -> str | None:
+    if pd.isna(ms):
+        return None
     return pd.Timestamp(int(ms) + offset_ms, unit="ms").strftime("%Y-%m-%d")
 
 

@@ -90,20 +90,36 @@ def run_available_now(stream: DataFrame, name: str, fmt: str = "parquet", mode:
     return spark.read.format(fmt).load(os.path.join(base, "out"))
 
 
-def replay(spark: SparkSession, phases: list[DataFrame], build: Callable[[DataFrame], DataFrame],
-           name: str) -> DataFrame:
+def replay_path(spark: SparkSession, phases: list[DataFrame], build: Callable[[DataFrame], DataFrame], name: str,
+                sink: Callable[[str], Callable[[DataFrame, int], None]] | None = None,
+                no_data_batches: bool = True) -> str:
     """Drain a topic that arrives in ``phases`` (frames of one text column ``value``): each is appended to the
     topic's folder by as many tasks as it has, then the query resumes from its checkpoint and takes it as one
-    micro-batch. State and watermarks live across the restarts. Returns the stream's rows as a batch frame."""
+    micro-batch. State and watermarks live across the restarts. Rows go to Parquet, or to the foreachBatch body that
+    ``sink`` makes for the output folder, which is returned. Without ``no_data_batches`` a watermark acts on the next
+    phase only."""
     base = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
     topic, out = os.path.join(base, "topic"), os.path.join(base, "out")
+    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(setting, "true")
     for i, part in enumerate(phases):
         part.write.text(os.path.join(topic, f"p{i:03d}"))
-        q = (build(spark.readStream.text(os.path.join(topic, "*"))).writeStream.format("parquet").outputMode("append")
-             .option("path", out).option("checkpointLocation", os.path.join(base, "ckpt"))
-             .trigger(availableNow=True).start())
+        w = (build(spark.readStream.text(os.path.join(topic, "*"))).writeStream.outputMode("append")
+             .option("checkpointLocation", os.path.join(base, "ckpt")).trigger(availableNow=True))
+        w = w.foreachBatch(sink(out)) if sink else w.format("parquet").option("path", out)
+        spark.conf.set(setting, str(no_data_batches).lower())
+        try:
+            q = w.start()
+        finally:
+            spark.conf.set(setting, before)
         q.awaitTermination()
-    return spark.read.parquet(out)
+    return out
+
+
+def replay(spark: SparkSession, phases: list[DataFrame], build: Callable[[DataFrame], DataFrame], name: str,
+           no_data_batches: bool = True) -> DataFrame:
+    """``replay_path`` into Parquet; the stream's rows as a batch frame."""
+    return spark.read.parquet(replay_path(spark, phases, build, name, no_data_batches=no_data_batches))
 
 
 class UpsertTable:
