@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidemart.queries import REGISTRY  # noqa: E402
 from tidemart.session import build_session, scratch_path  # noqa: E402
-from tidemart.sources.fixtures import materialize_topics  # noqa: E402
+from tidemart.sources.fixtures import TABLES, materialize_topics, table  # noqa: E402
 
 HEADLINE = [
     "dwd_order_detail", "dwd_pay_success", "order_retraction", "dws_province_order", "dws_sku_order",
@@ -34,9 +34,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", str(os.cpu_count() or 4)))
     names = sys.argv[1:] or HEADLINE
     spark = build_session(f"local[{cpus}]", app="tidemart-bench", shuffle_partitions=max(cpus * 2, 8),
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "6g"),
-                                 # the test tables are single-row-group files: spread each scan over the cores
-                                 "spark.tidemart.scan.minPartitions": str(cpus * 2)})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "6g")})
     spark.sparkContext.setLogLevel("ERROR")
     # warm-up: JVM, parquet footers, codegen caches
     REGISTRY["fn_time_slot"](spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -45,13 +43,21 @@ def main() -> None:
     # ingest: the change topic and the page-log topic are derived from the
     # tables once and written to the shared folder (as the upstream capture
     # would), then every pipeline reads them; the ingest time is part of the total
+    # the test tables are files of one row group, which one task reads: they are split at ingest too
     t0 = time.perf_counter()
-    materialize_topics(spark, sf_dir, scratch_path(spark, f"topics-{uuid.uuid4().hex[:8]}"))
+    base = scratch_path(spark, f"ingest-{uuid.uuid4().hex[:8]}")
+    for name in ("customer", "orders", "lineitem", "events"):
+        table(spark, sf_dir, name).repartition(cpus * 2).write.parquet(os.path.join(base, f"{name}.parquet"))
+    for name in TABLES:
+        if not os.path.exists(os.path.join(base, f"{name}.parquet")):
+            os.symlink(os.path.join(os.path.abspath(sf_dir), f"{name}.parquet"), os.path.join(base, f"{name}.parquet"))
+    src = base
+    materialize_topics(spark, src, os.path.join(base, "topics"))
     times["ingest_topics"] = cold["ingest_topics"] = round(time.perf_counter() - t0, 3)
     for name in names:
         for run in range(2):
             t0 = time.perf_counter()
-            REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            REGISTRY[name](spark, src).write.format("noop").mode("overwrite").save()
             (cold if run == 0 else times)[name] = round(time.perf_counter() - t0, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_sec_headline_queries", "value": round(sum(times.values()), 3), "unit": "sec",

@@ -188,3 +188,26 @@ def test_strictly_newer_with_long_offsets_and_null_keys(spark):
     a = strictly_newer(df, "k", "ts", "seq", chunk=arrival_chunk("seq")).collect()
     b = strictly_newer(df, "k", "ts", "seq").collect()
     assert sorted(map(tuple, a), key=str) == sorted(map(tuple, b), key=str) and len(a) == 6
+
+
+def test_running_profile_keeps_records_of_one_millisecond(spark):
+    """Records of one uid at equal times each get a row, in arrival order, across and inside the time chunks; a third
+    of all rows may share a uid."""
+    h = 3_600_000
+    recs = [("u", 5, 2, "b"), ("u", 5, 1, "a"), ("u", 5, 3, None), ("u", h + 1, 4, "a"), ("u", 3 * h, 5, "c,d"),
+            ("v", 5, 6, "z")]
+    df = spark.createDataFrame(recs, "uid string, ts long, offset long, search_item string").withColumn(
+        "deviceInfo", F.struct(*[F.lit("x").alias(c) for c in ("os", "ch", "md", "ba")]))
+    got = labels.running_profile_records(df, "1 hour")
+    assert sorted((r.uid, r.ts_ms, r.pv, r.search_item, r.os) for r in got.collect()) == [
+        ("u", 5, 1, "a", "x"), ("u", 5, 2, "a,b", "x"), ("u", 5, 3, "a,b", "x"), ("u", h + 1, 4, "a,b", "x"),
+        ("u", 3 * h, 5, "a,b,c,d", "x"), ("v", 5, 1, "z", "x")]
+
+
+def test_running_profile_hot_uid_is_split_by_time(spark):
+    df = spark.range(300).select(
+        F.when(F.col("id") % 3 == 0, "-1").otherwise(F.col("id").cast("string")).alias("uid"),
+        (F.col("id") * 60_000).alias("ts"), F.col("id").alias("offset"), F.lit("w").alias("search_item"),
+        F.struct(*[F.lit("x").alias(c) for c in ("os", "ch", "md", "ba")]).alias("deviceInfo"))
+    hot = labels.running_profile_records(df).where("uid = '-1'")
+    assert sorted(r.pv for r in hot.collect()) == list(range(1, 101))

@@ -94,12 +94,12 @@ def test_is_new_and_profile_stream(spark):
                                       F.col("common.is_new").alias("is_new"))
     assert _rows(got, ["offset", "is_new"]) == _rows(want, ["offset", "is_new"])
 
-    rows = labels.device_rows(_pages(spark, SF)).select(
-        "uid", "ts", *[F.col(f"deviceInfo.{c}").alias(c) for c in ("os", "ch", "md", "ba")], "search_item")
+    rows = labels.device_rows(_pages(spark, SF), keep_offset=True).select(
+        "uid", "ts", "offset", *[F.col(f"deviceInfo.{c}").alias(c) for c in ("os", "ch", "md", "ba")], "search_item")
     path = _chunks(rows, "ts", 3, "profile", spark)
-    s = _stream(spark, path, "uid string, ts long, os string, ch string, md string, ba string, search_item string")
+    s = _stream(spark, path, "uid string, ts long, offset long, os string, ch string, md string, ba string, search_item string")
     got = R.run_available_now(J.running_profile(s), "rp")
-    want = labels.running_profile(labels.device_rows(_pages(spark, SF)), 1).drop("wstart")
+    want = labels.running_profile_records(labels.device_rows(_pages(spark, SF), keep_offset=True))
     cols = ["uid", "ts_ms", "pv", "os", "ch", "md", "ba", "search_item"]
     assert _rows(got, cols) == _rows(want, cols)
 

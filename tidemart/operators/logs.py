@@ -58,7 +58,7 @@ def split_logs(logs: DataFrame, err_only: bool = False) -> dict[str, DataFrame]:
     return {"err": err, "start": start, "page": page, "display": display, "action": action}
 
 
-def device_search_flatten(logs: DataFrame) -> DataFrame:
+def device_search_flatten(logs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Uid defaulted to -1, os = first token, search item only for keyword pages."""
     c = F.col("common")
     return logs.select(
@@ -68,4 +68,5 @@ def device_search_flatten(logs: DataFrame) -> DataFrame:
                  first_token(c["os"], " ").alias("os"), c["uid"].alias("uid"), c["vc"].alias("vc"))
         .alias("deviceInfo"),
         F.when(F.col("page.item_type") == "keyword", F.col("page.item")).alias("search_item"),
+        *keep,
     )

@@ -503,8 +503,9 @@ CTE.update({
          array_to_string(list_sort(list_distinct(list(md) OVER w)), ',') AS md,
          array_to_string(list_sort(list_distinct(list(ba) OVER w)), ',') AS ba,
          array_to_string(list_sort(list_distinct(list(search_item) OVER w)), ',') AS search_item
-  FROM (SELECT DISTINCT uid, ts, ar, ba, ch, md, os, dev_uid, vc, search_item FROM dev)
-  WINDOW w AS (PARTITION BY uid ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+  FROM (SELECT uid, ts, ar, ba, ch, md, os, dev_uid, vc, search_item, min("offset") AS first_offset
+        FROM dev GROUP BY ALL)
+  WINDOW w AS (PARTITION BY uid ORDER BY ts, first_offset ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
     "prof2": """
   SELECT uid, ws AS wstart, ts AS ts_ms, pv, os, ch, md, ba, search_item FROM (
     SELECT *, ts - ts % 120000 AS ws, row_number() OVER (PARTITION BY uid, ts - ts % 120000 ORDER BY ts DESC) AS rn

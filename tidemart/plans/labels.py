@@ -122,24 +122,29 @@ def base4(spark: SparkSession, topic: DataFrame, sku_wide: DataFrame, tree: Data
 PROFILE_FIELDS = ["os", "ch", "md", "ba", "search_item"]
 
 
-def device_rows(pages: DataFrame) -> DataFrame:
-    """P15 then T13: device/search rows with a non-empty uid, exact duplicates removed."""
-    d = device_search_flatten(pages).where(~sc.empty_or_null(F.col("uid")))
+def device_rows(pages: DataFrame, keep_offset: bool = False) -> DataFrame:
+    """P15 then T13: device/search rows with a non-empty uid, exact duplicates removed.
+
+    ``keep_offset`` carries the arrival position past the dedup (the first of the duplicates)."""
+    flat = device_search_flatten(pages, keep=("offset",) if keep_offset else ())
+    d = flat.where(~sc.empty_or_null(F.col("uid")))
+    if keep_offset:
+        return d.groupBy(*[c for c in d.columns if c != "offset"]).agg(F.min("offset").alias("offset"))
     return dedup_exact(d)
 
 
-def running_profile(rows: DataFrame, width="2 minutes") -> DataFrame:
-    """A8 + A9 + A10: per uid and window, the last running state -- records
-    seen so far (pv) and the sorted sets of os / ch / md / ba / search words.
+def _profile_input(rows: DataFrame, *extra: str) -> DataFrame:
+    return rows.select("uid", "ts", *[F.col(f"deviceInfo.{c}").alias(c) for c in ("os", "ch", "md", "ba")],
+                       "search_item", *extra)
+
 
-    Skew-safe form: the records are first reduced to (uid, window) counts and
-    to the first window of each (uid, field, value); the running totals are
-    then window functions over those reduced rows, whose number per uid is
-    bounded by its active windows and distinct values, not by its records.
+def _profile_states(r: DataFrame) -> DataFrame:
+    """Per (uid, wstart): last ``ts_ms``, records so far (pv) and the distinct values so far of each field (arrays).
+
+    The records are first reduced to (uid, window) counts and to the first window of each (uid, field, value); the
+    running totals are then window functions over those reduced rows, whose number per uid is bounded by its active
+    windows and distinct values, not by its records.
     """
-    r = rows.select("uid", "ts", F.col("deviceInfo.os").alias("os"), F.col("deviceInfo.ch").alias("ch"),
-                    F.col("deviceInfo.md").alias("md"), F.col("deviceInfo.ba").alias("ba"), "search_item") \
-        .withColumn("wstart", window_start("ts", width))
     per_win = r.groupBy("uid", "wstart").agg(F.count(F.lit(1)).alias("cnt"), F.max("ts").alias("ts_ms"))
     vals = (r.select("uid", "wstart", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value"))
                                                          for f in PROFILE_FIELDS])).alias("fv"))
@@ -153,9 +158,36 @@ def running_profile(rows: DataFrame, width="2 minutes") -> DataFrame:
     w = Window.partitionBy("uid").orderBy("wstart", "kind").rowsBetween(Window.unboundedPreceding, 0)
     cols = [F.sum("cnt").over(w).alias("pv")]
     for f in PROFILE_FIELDS:
-        cols.append(sc.join_set(F.collect_set(F.when(F.col("field") == f, F.col("value"))).over(w)).alias(f))
-    prof = u.select("uid", "wstart", "ts_ms", "kind", *cols).where(F.col("kind") == 1).drop("kind")
-    return prof
+        cols.append(F.collect_set(F.when(F.col("field") == f, F.col("value"))).over(w).alias(f))
+    return u.select("uid", "wstart", "ts_ms", "kind", *cols).where(F.col("kind") == 1).drop("kind")
+
+
+def running_profile(rows: DataFrame, width="2 minutes") -> DataFrame:
+    """A8 + A9 + A10: per uid and window, the last running state -- records
+    seen so far (pv) and the sorted sets of os / ch / md / ba / search words."""
+    s = _profile_states(_profile_input(rows).withColumn("wstart", window_start("ts", width)))
+    return s.select("uid", "wstart", "ts_ms", "pv", *[sc.join_set(F.col(f)).alias(f) for f in PROFILE_FIELDS])
+
+
+def running_profile_records(rows: DataFrame, chunk="1 hour") -> DataFrame:
+    """A8 + A9 per record, in the order (ts, offset): every record gets its uid's running state, also when several
+    share a millisecond.
+
+    Two levels, so that no uid goes through one task: the state before each (uid, time chunk) comes from the reduced
+    rows of ``_profile_states``; the running state inside a chunk is a window over (uid, chunk) alone. ``chunk``
+    should hold a hot uid's records of that time in one task's memory.
+    """
+    r = _profile_input(rows, "offset").withColumn("wstart", window_start("ts", chunk))
+    prev = Window.partitionBy("uid").orderBy("wstart")
+    before = _profile_states(r).select("uid", "wstart", F.lag("pv", 1, 0).over(prev).alias("_pv"),
+                                       *[F.lag(f).over(prev).alias(f"_{f}") for f in PROFILE_FIELDS])
+    w = Window.partitionBy("uid", "wstart").orderBy("ts", "offset").rowsBetween(Window.unboundedPreceding, 0)
+    inside = r.select("uid", "wstart", F.col("ts").alias("ts_ms"), F.count(F.lit(1)).over(w).alias("pv"),
+                      *[F.collect_set(f).over(w).alias(f) for f in PROFILE_FIELDS])
+    return inside.join(before, ["uid", "wstart"]).select(
+        "uid", "ts_ms", (F.col("pv") + F.col("_pv")).alias("pv"),
+        *[sc.join_set(F.concat(F.coalesce(F.col(f"_{f}"), F.array().cast("array<string>")), F.col(f))).alias(f)
+          for f in PROFILE_FIELDS])
 
 
 def base2(spark: SparkSession, pages: DataFrame, tree: DataFrame, compare: DataFrame, width="2 minutes") -> DataFrame:

@@ -463,7 +463,7 @@ def q_dedup_exact(spark, sf_dir):
 
 @query("label_running_profile")
 def q_label_running_profile(spark, sf_dir):
-    return lb.running_profile(lb.device_rows(_pages(spark, sf_dir)), 1).drop("wstart")
+    return lb.running_profile_records(lb.device_rows(_pages(spark, sf_dir), keep_offset=True))
 
 
 @query("label_profile_2min")

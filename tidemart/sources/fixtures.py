@@ -33,24 +33,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-SCAN_MIN_PARTITIONS = "spark.tidemart.scan.minPartitions"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of a driver table.
-
-    Parquet splits at row groups: a file written as one row group is read by
-    one task however many cores there are. When ``spark.tidemart.scan.minPartitions``
-    is set and the scan has fewer splits, the rows are hash-spread on the
-    table's leading key column (no sort, unlike round-robin; column pruning and
-    filters still reach the scan below the exchange). On a cluster reading many
-    files this knob stays unset.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    want = spark.conf.get(SCAN_MIN_PARTITIONS, None)
-    if want and df.rdd.getNumPartitions() < int(want):
-        df = df.repartition(int(want), df.columns[0])
-    return df
+    """Parquet scan of a driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _s(c: Column) -> Column:

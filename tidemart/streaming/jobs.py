@@ -53,9 +53,10 @@ def fix_is_new(flat: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def running_profile(rows: DataFrame) -> DataFrame:
-    """A8/A9 stream over (uid, ts, os, ch, md, ba, search_item)."""
+    """A8/A9 stream over (uid, ts, os, ch, md, ba, search_item) and, to order equal times, offset."""
     schema = ("uid string, ts_ms long, pv long, os string, ch string, md string, ba string, search_item string")
-    return P.apply(rows, ["uid"], P.RunningProfile(), schema)
+    order = [c for c in ("ts", "offset") if c in rows.columns]
+    return P.apply(rows, ["uid"], P.RunningProfile(order), schema)
 
 
 def keyword_counts(search_rows: DataFrame, width: str, watermark: str = "0 seconds") -> DataFrame:

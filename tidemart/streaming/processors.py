@@ -248,16 +248,19 @@ class LatestAfterWait(StatefulProcessor):
 
 
 class RunningProfile(StatefulProcessor):
-    """Running record count and sorted distinct value sets per uid."""
+    """Running record count and sorted distinct value sets per uid, in the order of ``order``."""
 
     FIELDS = ["os", "ch", "md", "ba", "search_item"]
 
+    def __init__(self, order: list[str]):
+        self.order = order
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.pv = handle.getValueState("pv", "n long")
         self.sets = handle.getMapState("sets", "field string", "vals array<string>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _rows(rows, ["ts"])
+        df = _rows(rows, self.order)
         if df.empty:
             return
         pv = self.pv.get()[0] if self.pv.exists() else 0
