@@ -8,7 +8,7 @@ row per map task, never a whole group in one task).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as sc
@@ -127,11 +127,10 @@ def tag_height(readings: DataFrame, mean: bool = False) -> DataFrame:
     v = F.col("value").cast("decimal(10,2)")
     cm = F.when(F.col("unit") == "in", v * F.lit(IN_TO_CM).cast("decimal(4,2)")).otherwise(v)
     r = readings.withColumn("height", F.round(cm, 0).cast("int")).where(F.col("height").between(*HEIGHT_RANGE))
-    last3 = (r.groupBy("user_id")
-             .agg(F.slice(F.sort_array(F.collect_list(F.struct("ts", "height", "data_source")), asc=False), 1, 3)
-                  .alias("l3")))
-    # collect_list is bounded: a partial top-3 would be the scalable form; readings per user are few by nature
-    x = last3.select("user_id", F.explode("l3").alias("r")).select("user_id", "r.*")
+    # row_number() <= 3 cuts each map task to three readings a user before the shuffle
+    latest = Window.partitionBy("user_id").orderBy(F.desc("ts"), F.desc("height"), F.desc("data_source"))
+    x = (r.select("user_id", "ts", "height", "data_source", F.row_number().over(latest).alias("_n"))
+         .where(F.col("_n") <= 3).drop("_n"))
     if mean:
         return x.groupBy("user_id").agg(F.round(F.avg("height")).cast("int").alias("height"),
                                         F.max_by("data_source", "ts").alias("data_source"))

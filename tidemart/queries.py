@@ -678,6 +678,21 @@ def q_dim_build(spark, sf_dir):
     return out.select("sink_table", "row_key", _kv(F.col("data")).alias("cells"))
 
 
+@query("dim_build_stream")
+def q_dim_build_stream(spark, sf_dir):
+    """L1 [S]: the change topic as JSON lines in two halves by record time, merged batch by batch, read back."""
+    from .streaming import dimbuild as SB
+    from .streaming import runners as R
+    t = _dim_topic(spark, sf_dir)
+    cfg = db.config_feed(t)
+    lo, hi = t.agg(F.min("ts_ms"), F.max("ts_ms")).first()
+    mid = ((lo or 0) + (hi or 0)) // 2
+    cells = R.UpsertTable(_scratch(spark, "dim_cells"), SB.CELL_KEYS, "seq")
+    R.replay_path(spark, [_lines(t.where(F.col("ts_ms") <= mid)), _lines(t.where(F.col("ts_ms") > mid))],
+                  lambda raw: _records(raw, t.schema), "dim_build", lambda _: SB.merge_into(cells, lambda: cfg, fx.DB))
+    return SB.dimension_rows(cells.read(spark)).select("sink_table", "row_key", _kv(F.col("data")).alias("cells"))
+
+
 # ---------------------------------------------------------------- design-note tags
 
 def _users(spark, sf_dir, as_of=None):
