@@ -93,6 +93,20 @@ def test_near_duplicates_odd_rows(make, odd):
     assert M.near_duplicates(make([])).count() == 0
 
 
+def test_null_and_repeated_ids_stay_apart(make):
+    r = random.Random(3)
+    clean = [" ".join(r.choices(WORDS, k=60)) for _ in range(9)]
+    near = [t + " tail" for t in clean]
+    rows = [(1, clean[0]), (None, near[0]), (None, clean[1]), (None, clean[2]), (None, near[2]), (None, clean[2]),
+            (2, clean[3]), (9, near[3]), (9, clean[4]), (9, clean[5]), (9, near[5]), (None, near[5]), (None, None), (None, "")]
+    got = {(x.doc_id, x.th): (x.component_id, x.kept) for x in M.near_duplicates(make(rows), k=5).collect()}
+    assert sorted(map(str, got.values())) == sorted(map(str, [
+        (1, True), (1, False), (None, True), (None, True), (None, False), (2, True), (2, False), (9, True), (9, True), (9, False), (9, False), (None, True), (None, True)]))
+    stay = [x.text for x in M.one_of_each(make(rows), k=5).collect()]
+    groups = [{clean[0]}, {clean[1]}, {clean[2], near[2]}, {clean[3]}, {clean[4]}, {clean[5], near[5]}, {None}, {""}]
+    assert len(stay) == len(groups) and all(sum(t in g for t in stay) == 1 for g in groups)
+
+
 def test_components_of_a_long_chain(spark):
     from tidemart.llm.common import work_dir
     links = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))

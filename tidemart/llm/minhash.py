@@ -114,9 +114,9 @@ def _signatures_agree(threshold: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, HASHES) for i in (4, 5))
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, HASHES) for i in (2, 3))
             same = (x == y).mean(axis=1) >= floor
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(same)) for i in range(4)], names=["a", "ath", "b", "bth"])
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(same)) for i in range(2)], names=["a", "b"])
 
     return run
 
@@ -127,22 +127,21 @@ def _confirm(k: int, threshold: int):
     def run(batches):
         last, sets = None, None
         for batch in batches:
-            ids = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()))
             hit = []
-            for i, (a, ath, _) in enumerate(ids):
-                if (a, ath) != last:
-                    last, sets = (a, ath), shingle_set(batch.column(3)[i].as_py(), k)
-                other = shingle_set(batch.column(4)[i].as_py(), k)
+            for i, a in enumerate(batch.column(0).to_pylist()):
+                if a != last:
+                    last, sets = a, shingle_set(batch.column(2)[i].as_py(), k)
+                other = shingle_set(batch.column(3)[i].as_py(), k)
                 both = len(sets & other)
                 hit.append(100 * both >= threshold * (len(sets) + len(other) - both))
             m = pa.array(hit, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(m), batch.column(2).filter(m)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(m), batch.column(1).filter(m)], names=["a", "b"])
 
     return run
 
 
 def components(links: DataFrame, path: str) -> DataFrame:
-    """(node, comp) of every linked node by alternating large-star and small-star; comp is the smallest node.
+    """(node, comp) of every linked node but comp itself by alternating large-star and small-star; comp is the smallest node.
 
     Both steps attach neighbours to the smallest neighbour; minima are pre-aggregated, so a node with very many
     neighbours reaches its task as one row from each map task, and the join that follows can be split. Each round
@@ -239,8 +238,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
 
     Words are split at space and \\t to \\r, A-Z in lower case. A text with fewer than k words is one shingle; a null
     text, or one without words, has none and is linked with nothing. Returns (doc_id, n_shingles, component_id,
-    kept, th) for every row; component_id is the smallest doc_id reachable. Rows that share a doc_id are one node. A
-    null doc_id counts as the largest id and comes back as null. Other columns are ignored.
+    kept, th) for every row; component_id is the smallest doc_id reachable. Rows are linked by their texts alone, so
+    rows that share a doc_id, or have none, stay apart unless their texts are similar. Of a component the
+    rows with the smallest (doc_id, th) are kept, a row without shingles always. A null doc_id counts as the largest
+    id and comes back as null. Other columns are ignored.
 
     A pair at the threshold shares no band with probability below 3e-7, so recall isn't exact but above 0.999999;
     every link is confirmed on the full sets.
@@ -250,10 +251,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
     rows = docs.select(id_in().alias("id"), F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("text"))
     sketch = saved(rows.mapInArrow(_sketcher(k), SKETCH), f"{path}/sketch")
 
-    # classes of equal sets; the row with the smallest id stands for its class
+    # classes of equal sets, numbered as they are written; the row with the smallest id stands for its class
     one = sketch.where("n > 0").groupBy("fp").agg(F.min(F.struct("id", "th", "sig", "bands")).alias("r"))
-    classes = saved(one.select("fp", F.col("r.id").alias("node"), F.col("r.th").alias("th"), F.col("r.sig").alias("sig"), F.col("r.bands").alias("bands")), f"{path}/classes")
-    nodes = classes.select("node", "th", "sig")
+    classes = saved(one.select("fp", F.monotonically_increasing_id().alias("node"), F.col("r.id").alias("id"), F.col("r.th").alias("th"), F.col("r.sig").alias("sig"), F.col("r.bands").alias("bands")), f"{path}/classes")
+    nodes = classes.select("node", "sig")
 
     # buckets with two classes or more
     slots = classes.select("node", F.explode("bands").alias("key"))
@@ -261,18 +262,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
     slots = saved(slots.join(shared, "key").select("key", "node", "size", "low"), f"{path}/slots")
 
     # texts of the documents that any bucket proposes
-    wanted = slots.select("node").distinct().join(nodes.select("node", "th"), "node").select(F.col("node").alias("id"), "th")
+    wanted = slots.select("node").distinct().join(classes.select("node", "id", "th"), "node")
     wanted = saved(wanted, f"{path}/wanted")
-    texts = rows.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, ["id", "th"], "left_semi")
-    texts = saved(texts.dropDuplicates(["id", "th"]), f"{path}/texts")
+    texts = rows.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, ["id", "th"]).select("node", "text")
+    texts = saved(texts.dropDuplicates(["node"]), f"{path}/texts")
 
     def confirmed(pairs: DataFrame, check: bool, name: str) -> DataFrame:
-        n = nodes if check else nodes.drop("sig")
-        p = pairs.join(n.toDF("a", "ath", *["asig"] * check), "a").join(n.toDF("b", "bth", *["bsig"] * check), "b")
+        p = pairs
         if check:
-            p = p.select("a", "ath", "b", "bth", "asig", "bsig").mapInArrow(_signatures_agree(threshold), "a long, ath long, b long, bth long")
-        p = p.join(texts.toDF("a", "ath", "atext"), ["a", "ath"]).join(texts.toDF("b", "bth", "btext"), ["b", "bth"])
-        found = p.select("a", "ath", "b", "atext", "btext").sortWithinPartitions("a", "ath").mapInArrow(_confirm(k, threshold), "a long, b long")
+            p = p.join(nodes.toDF("a", "asig"), "a").join(nodes.toDF("b", "bsig"), "b")
+            p = p.select("a", "b", "asig", "bsig").mapInArrow(_signatures_agree(threshold), "a long, b long")
+        p = p.join(texts.toDF("a", "atext"), "a").join(texts.toDF("b", "btext"), "b")
+        found = p.select("a", "b", "atext", "btext").sortWithinPartitions("a").mapInArrow(_confirm(k, threshold), "a long, b long")
         return saved(found, f"{path}/{name}")
 
     links = confirmed(slots.where("node > low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct(), True, "links0")
@@ -297,21 +298,25 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
     left = left.withColumn("blocks", blocks).withColumn("block", block)
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     left = left.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "comp")
-    open_nodes = left.select("node").distinct().join(classes.select("node", "th", "sig", "bands"), "node")
-    low = open_nodes.join(texts.withColumnRenamed("id", "node"), ["node", "th"]).select("node", "text").mapInArrow(_sketch_of(k), "node long, low binary")
+    open_nodes = left.select("node").distinct().join(classes.select("node", "sig", "bands"), "node")
+    low = open_nodes.join(texts, "node").select("node", "text").mapInArrow(_sketch_of(k), "node long, low binary")
     known = saved(open_nodes.select("node", "sig", "bands").join(low, "node"), f"{path}/known")
     left = left.join(known, "node").select("key", "i", "j", "block", "node", "comp", "sig", "bands", "low").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     rest = left.mapInArrow(_pairs_in_blocks(threshold), "a long, b long").distinct()
     links = links.union(confirmed(rest, False, "links2"))
     comp = saved(components(links, f"{path}/cc2"), f"{path}/comp2")
 
-    # every row takes its class's component
-    by_class = classes.select("fp", "node").join(comp, "node", "left").select("fp", F.coalesce("comp", "node").alias("comp"))
-    got = sketch.select("id", "th", "n", "fp").join(by_class, "fp", "left").withColumn("comp", F.coalesce("comp", "id"))
-    return got.select(id_out(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), id_out(F.col("comp")).alias("component_id"), (F.col("id") == F.col("comp")).alias("kept"), "th")
+    # a component's first row by id and text stands for it; every row takes that of its class
+    own = F.struct("id", "th")
+    comp = comp.union(comp.select("comp", "comp").distinct())
+    first = saved(comp.join(classes.select("node", "id", "th"), "node").groupBy("comp").agg(F.min(own).alias("first")), f"{path}/first")
+    linked = comp.join(first, "comp").select("node", "first")
+    by_class = classes.select("fp", "node", "id", "th").join(linked, "node", "left").select("fp", F.coalesce("first", own).alias("first"))
+    got = sketch.select("id", "th", "n", "fp").join(by_class, "fp", "left").withColumn("first", F.coalesce("first", own))
+    return got.select(id_out(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), id_out(F.col("first.id")).alias("component_id"), (own == F.col("first")).alias("kept"), "th")
 
 
 def one_of_each(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay: the smallest doc_id of each component, one row for it."""
+    """The rows of ``docs`` that stay: one of each component, that with the smallest doc_id (then hash of the text)."""
     found = near_duplicates(docs.select("doc_id", "text"), k, threshold).where("kept")
     return first_of_copies(docs, found.select(id_in().alias("id"), "th"))
