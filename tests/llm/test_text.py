@@ -152,6 +152,16 @@ def test_main_text():
     assert H.main_text("<article>" + "<p>x</p>" * 5000 + "</article>").count("\n") == 4999
 
 
+def test_attributes_mark_by_name():
+    for a in ('style="overflow:hidden"', 'aria-hidden="false"', 'title="a hidden gem"', "data-id=menu data-role='nav'", 'title=it\'s', 'data-x="id=nav"'):
+        assert H.main_text(f"<div {a}><article><p>Body.</p></article></div>") == "Body.", a
+    for a in ("hidden", 'HIDDEN=""', "class=menu", "id='side-nav' title=x", 'x="a" role="navigation"'):
+        assert H.main_text(f"<div {a}><p>Gone.</p></div><p>Body.</p>") == "Body.", a
+    kept = '<h2 id="related-work">Related work</h2><div class="entry-header">By us.</div><p class="notice-period">A month.</p><h3 class="menu">Menu</h3><div class="header">Top.</div>'
+    gone = '<div class="cookie-notice">No</div><section id="comments">No</section><ul class="big related-posts"><li>No</ul><p hidden>No</p>'
+    assert H.main_text(f"<article>{kept}{gone}<p>End.</p></article>") == "Related work\nBy us.\nA month.\nMenu\nTop.\nEnd."
+
+
 def test_extract_rows(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", PAGE), (3, "u", PAGE), (None, "u", "<p>x")]
     pages = spark.createDataFrame([(*r, "c") for r in rows], "page_id long, url string, html string, text string")

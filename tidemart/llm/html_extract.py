@@ -30,13 +30,17 @@ BLOCK = {
 } | AROUND
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: Words in class, id or role that mark such parts, whole words between separators.
-MARKED = re.compile(
-    r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|aside|widget|ads?|advert|adverts|advertisement|banner|promo|sponsor|sponsored|cookies?|consent|"
-    r"notice|popup|modal|overlay|newsletter|subscribe|signup|login|search|share|sharing|social|related|recommended|comments?|commentlist|disqus|replies|respond|pagination|pager|complementary|contentinfo)(?:[\s_-]|$)", re.I)
+WORDS = (
+    r"nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|aside|widget|ads?|advert|adverts|advertisement|banner|promo|sponsor|sponsored|cookies?|consent|"
+    r"notice|popup|modal|overlay|newsletter|subscribe|signup|login|search|share|sharing|social|related|recommended|comments?|commentlist|disqus|replies|respond|pagination|pager|complementary|contentinfo")
+MARKED = re.compile(rf"(?:^|[\s_-])(?:{WORDS})(?:[\s_-]|$)", re.I)
+#: Inside an article or main element only a name made of such words counts, and only on these elements; a header there holds a title.
+MARKED_INSIDE = re.compile(rf"(?:^|\s)(?!header|masthead)(?:{WORDS})(?:[_-](?:{WORDS}|posts|articles|stories|links|buttons|list|box|slot|container|wrapper))*(?:\s|$)", re.I)
+CONTAINER = {"div", "section", "ul", "ol", "dl", "table", "figure", "details", "center", "search"}
 CONTENT = {"article", "main"}
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?")
 
 
 def lines(page: str):
@@ -95,7 +99,7 @@ def lines(page: str):
                     around -= a
                     content -= c
                 del stack[i:]
-        marked = name in AROUND or name in SKIP or _marked(attributes, name)
+        marked = name in AROUND or name in SKIP or _marked(attributes, name, content > 0)
         # a header of an article holds its title
         if name == "header" and content and not around:
             marked = False
@@ -106,11 +110,13 @@ def lines(page: str):
     return out
 
 
-def _marked(attributes: str, name: str) -> bool:
+def _marked(attributes: str, name: str, inside: bool) -> bool:
     if name in ("body", "html", "article", "main") or not attributes:
         return False
+    words = MARKED if not inside else MARKED_INSIDE if name in CONTAINER else None
     for key, value in ATTRIBUTE.findall(attributes):
-        if key.lower() == "hidden" or MARKED.search(value.strip("\"'")):
+        key = key.lower()
+        if key == "hidden" or words and key in ("class", "id", "role") and words.search(value.strip("\"'")):
             return True
     return False
 
