@@ -152,6 +152,22 @@ def test_main_text():
     assert H.main_text("<article>" + "<p>x</p>" * 5000 + "</article>").count("\n") == 4999
 
 
+def test_surges_decide_with_and_without_an_article():
+    long, ads = "A long sentence of the main text, which goes on for a while. " * 3, "<aside>x</aside><aside>y</aside><aside>z</aside>"
+    body = f"<h1>Title</h1><p>{long}</p>{ads}<p>Short end.</p>"
+    want = f"Title\n{long.strip()}\nShort end."
+    # a teaser card doesn't hide a main text in other elements, nor a short line cut off by empty ones
+    assert H.main_text(f"<div>{body}</div><article><p>Read this too</p></article>") == want
+    assert H.main_text(f"<div>{body}</div>{ads}<div>Imprint</div>") == want
+    # beside a main text in an article, other lines stay out unless they surge themselves
+    assert H.main_text(f"<div>Start</div><div>We write for you.</div><article>{body}</article><div>Follow us on all channels</div>") == want
+    other = "Another text outside of the article. " * 20
+    assert H.main_text(f"<article><p>{long * 9}</p></article><div>{other}</div>") == f"{(long * 9).strip()}\n{other.strip()}"
+    # short first and last lines of an article belong to it
+    few = "<p>a</p><p>b</p><p>c</p><p>d</p>"
+    assert H.main_text(f"<article>{few}<p>{long}</p>{ads}{few}</article>") == f"a\nb\nc\nd\n{long.strip()}\na\nb\nc\nd"
+
+
 def test_attributes_mark_by_name():
     for a in ('style="overflow:hidden"', 'aria-hidden="false"', 'title="a hidden gem"', "data-id=menu data-role='nav'", 'title=it\'s', 'data-x="id=nav"'):
         assert H.main_text(f"<div {a}><article><p>Body.</p></article></div>") == "Body.", a

@@ -1,9 +1,11 @@
 """Main text of HTML pages by the distribution of text over line blocks.
 
 Markup is stripped into lines, one for each block element. Lines inside menus, headers, footers, sidebars,
-notices, adverts, forms and comments count as empty. Over the text lengths of the lines a window slides; where its
-sum rises from nothing to a surge the main text begins, where it dives to nothing it ends, and what lies
-between is kept. Lines next to such a stretch that are prose themselves belong to it as well.
+notices, adverts, forms and comments count as empty. Over the text lengths of the lines a window slides, once over the
+lines of article and main elements and once over the others; where its sum rises from nothing to a surge the
+main text begins, where it dives to nothing it ends, and what lies between is kept. The others need a larger
+surge if a window inside is the largest. The next lines before and after such a stretch, empty ones aside, belong
+to it as well if they are prose themselves or of the same article or main element.
 """
 
 from __future__ import annotations
@@ -17,8 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 3
-#: Text length of a window from which lines without an article or main element surge.
+#: Text length of a window from which lines surge.
 SURGE = 60
+#: Share at which lines outside of article and main elements count where a window inside is the largest.
+OUTSIDE = 0.25
+#: The end of a sentence.
+PROSE = re.compile(r"[.!?…:;。！？][\"'»”’)\]]*$")
 
 #: Elements whose text never shows, or is never main text (fixed values of HTML).
 SKIP = {"script", "style", "noscript", "template", "head", "title", "iframe", "svg", "object", "canvas", "audio", "video", "math", "map", "select", "textarea", "button", "datalist"}
@@ -44,12 +50,12 @@ ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\
 
 
 def lines(page: str):
-    """(text, around, content) of each block in page order: raw text with references decoded and white space folded.
+    """(text, around, element) of each block in page order: raw text with references decoded and white space folded.
 
-    around: inside a part that isn't main text; content: inside an article or main element.
+    around: inside a part that isn't main text; element: number of the outermost article or main element around, or 0.
     """
     stack: list[tuple[str, bool, bool]] = []
-    around, content, at = 0, 0, 0
+    around, content, element, at = 0, 0, 0, 0
     held: list[str] = []
     out = []
 
@@ -57,7 +63,7 @@ def lines(page: str):
         text = " ".join(entities.unescape("".join(held)).split())
         held.clear()
         if text:
-            out.append((text, around > 0, content > 0))
+            out.append((text, around > 0, element if content else 0))
 
     n = len(page)
     while at < n:
@@ -105,6 +111,7 @@ def lines(page: str):
             marked = False
         stack.append((name, marked, name in CONTENT))
         around += marked
+        element += name in CONTENT and not content
         content += name in CONTENT
     close()
     return out
@@ -121,17 +128,8 @@ def _marked(attributes: str, name: str, inside: bool) -> bool:
     return False
 
 
-def main_text(page: str) -> str:
-    """The lines between surges and dives, joined by line feeds; empty if there are none."""
-    found = lines(page)
-    if not found:
-        return ""
-    inside = any(c and not a for _, a, c in found)
-    size = np.array([len(t) if not a and (c or not inside) else 0 for t, a, c in found])
-    sums = np.convolve(size, np.ones(WINDOW, int))[: len(size) + WINDOW - 1]
-    # the window that begins at line i
-    ahead = sums[WINDOW - 1 :]
-    need = 1 if inside else SURGE
+def _stretches(size: np.ndarray, ahead: np.ndarray, need: float) -> np.ndarray:
+    """Whether a line lies between a surge, a window of at least ``need``, and the next dive to nothing."""
     keep = np.zeros(len(size), bool)
     i = 0
     while i < len(size):
@@ -139,13 +137,48 @@ def main_text(page: str) -> str:
             j = i
             while j < len(size) and ahead[j] > 0:
                 j += 1
-            keep[i:j] = True
+            keep[i:j] = size[i:j] > 0
             i = j
         else:
             i += 1
+    return keep
+
+
+def _grow(keep: np.ndarray, size: np.ndarray, found: list, order: range) -> None:
+    """Add the lines that follow a kept one in ``order`` while they are prose or of its element."""
+    last = None
+    for k in order:
+        if keep[k]:
+            last = found[k][2]
+        elif size[k]:
+            text, _, element = found[k]
+            if last is not None and (PROSE.search(text) or element and element == last):
+                keep[k], last = True, element
+            else:
+                last = None
+
+
+def main_text(page: str) -> str:
+    """The lines between surges and dives and their neighbours, joined by line feeds; all lines if nothing surges."""
+    found = lines(page)
+    if not found:
+        return ""
+    size = np.array([0 if a else len(t) for t, a, _ in found])
+    element = np.array([e for _, _, e in found])
+    sizes = [np.where(element > 0, size, 0), np.where(element > 0, 0, size)]
+    # the window that begins at line i
+    inside, outside = (np.convolve(s, np.ones(WINDOW, int))[WINDOW - 1 : len(s) + WINDOW - 1] for s in sizes)
+    need = SURGE / (OUTSIDE if inside.max() >= outside.max() else 1)
+    keep = np.zeros(len(size), bool)
+    for s, ahead, n in ((sizes[0], inside, SURGE), (sizes[1], outside, need)):
+        part = _stretches(s, ahead, n)
+        if part.any() and (part < (s > 0)).any():
+            _grow(part, s, found, range(len(s)))
+            _grow(part, s, found, range(len(s) - 1, -1, -1))
+        keep |= part
     if not keep.any():
-        keep[:] = True
-    return "\n".join(t for k, (t, _, _), n in zip(keep, found, size) if k and n)
+        keep = size > 0
+    return "\n".join(t for k, (t, _, _) in zip(keep, found) if k)
 
 
 def extract(pages: DataFrame) -> DataFrame:
