@@ -58,6 +58,18 @@ def test_redaction(make, odd):
     assert I.redact(make(odd)).count() == len(odd)
 
 
+def test_iban_ends_at_its_country_length(make):
+    ibans = ["BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332", "SE45 5000 0000 0583 9825 7466", "AT61 1904 3002 3457 3201", "PL61 1090 1014 0000 0712 1981 2874",
+             "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "NO93 8601 1117 947", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"]
+    after = [" BIC GEBABEBB", " EUR 500", " 12 X", " REF1 2345", "", ", and"]
+    texts = [i + a for i in ibans for a in after] + [" ".join(ibans), "RF18 5390 0754 7034 " + ibans[0], "BE68 5390 0754 7035 BIC"]
+    got = {r.doc_id: [tuple(map(int, x.split(":")[1:])) for x in r.spans.split(",") if x.startswith("iban")] for r in I.report(make(texts)).collect()}
+    for n, t in enumerate(texts[:-3]):
+        assert got[n] == [(0, len(ibans[n // len(after)]))], t
+    places = [(texts[-3].index(i), texts[-3].index(i) + len(i)) for i in ibans]
+    assert got[len(texts) - 3] == places and (20, 39) in got[len(texts) - 2] and got[len(texts) - 1] == []
+
+
 def test_measures_match_brute_force():
     for t in ["a b\na b\n \n\na b", "x " * 30, "# $ é\xa0ü |\n#", "", "one two three four five six seven eight nine " * 3, "\x1c a\x1d"]:
         w = re.findall(r"[^\x20\x09-\x0D]+", t)

@@ -9,6 +9,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Countries by the length of their IBAN (the registry's).
+IBAN_LENGTH = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """A listed country's IBAN ends at its length, whatever follows; another code's at the last group, or before a listed one."""
+    listed = "|".join(IBAN_LENGTH.values()).replace(" ", "|")
+    each = []
+    for n, codes in IBAN_LENGTH.items():
+        groups, rest = divmod(n - 4, 4)
+        each.append(f"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}" + (f" ?[A-Z0-9]{{{rest}}}" if rest else ""))
+    other = f"(?!{listed})[A-Z]{{2}}[0-9]{{2}}(?:(?! (?:{listed})[0-9]{{2}} ?[A-Z0-9]{{4}}) ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"
+    return f"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join(each)}|{other})(?![A-Za-z0-9])"
+
+
 #: In order of their number. A repeated part never gives back what it took (++), and a run is tried at its first
 #: character only, so the time is linear in the text; the matches are those of the plain expressions.
 PATTERNS = {
@@ -16,7 +35,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": _iban(),
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
 }
 BASE_KINDS = 4
