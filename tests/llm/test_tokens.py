@@ -93,6 +93,24 @@ def test_packing_covers_every_token_once(make, odd):
     assert K.pack(make([])).count() == 0
 
 
+def test_packing_deals_by_content(make):
+    topics = ["river stone water bridge valley mountain forest lake field road", "bread cheese butter sugar kitchen dinner salt soup fruit plate",
+              "music piano song voice dance concert singer stage guitar drum", "court judge law trial lawyer police prison crime witness jury"]
+    r = random.Random(11)
+    rows = [(i, " ".join(r.choices(topics[i % 4].split(), k=40) + r.choices(["the", "and", "with", "from"], k=8))) for i in range(480)]
+    got = K.pack(make(rows), shard_bytes=9_000).collect()
+    shards = {}
+    for doc, shard in {(x.doc_id, x.sequence_id >> 32) for x in got}:
+        shards.setdefault(shard, []).append(doc % 4)
+    assert len(shards) >= 8 and sum(map(len, shards.values())) == len(rows)
+    assert sum(max(s.count(t) for t in range(4)) for s in shards.values()) > 0.8 * len(rows)
+    # a shard weighs terms by their frequency in the whole table
+    df = np.zeros(K.IDS, np.int64)
+    df[[5, 6]] = 90, 2
+    index = K.Index([np.array([5, 6], np.uint16)] * 2, K.Corpus(100, df, 2.0))
+    assert index.own_weight[1] > 5 * index.own_weight[0] > 0
+
+
 def test_packing_puts_neighbours_together():
     r = random.Random(5)
     a, b = list(range(1000, 1200)), list(range(2000, 2200))
