@@ -142,6 +142,15 @@ def test_chat_round_trip(spark):
     assert rendered(spark, []).count() == 0
 
 
+def test_rows_become_logs_that_fold_back(spark):
+    rows = [(1, i, "user", t) for i, t in enumerate(["one two three", "é😀x", "", None, "a", "ab", "last text"])]
+    log = T.as_events(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert {r.kind for r in log.collect()} == {"delta", "edit", "regenerate"}
+    assert min(r["count"] for r in log.groupBy("message").count().collect()) == 4
+    got = sorted((r.message, r.role, r.text) for r in T.fold(log).collect())
+    assert got == [(i + 1, "user", t or "") for _, i, _, t in rows]
+
+
 def test_events_fold(spark):
     e = [(1, 0, 0, "delta", "user", "he"), (1, 1, 0, "delta", None, "llo"), (1, 2, 1, "delta", "assistant", "old"), (1, 3, 1, "regenerate", None, None), (1, 4, 1, "delta", None, "new"),
          (1, 5, 0, "edit", None, "hi"), (1, 6, 0, "delta", None, "!")]

@@ -96,11 +96,22 @@ def read_back(rendered: DataFrame) -> DataFrame:
 def as_events(rows: DataFrame) -> DataFrame:
     """Rows (conv_id, turn, role, text) as a log: each row is one message, in order of turn, role and text.
 
-    So rows that repeat a turn stay messages of their own. A null turn comes first.
+    So rows that repeat a turn stay messages of their own. A null turn comes first. A message's log folds back to its
+    text: a draft is regenerated in two deltas, and every third message is edited instead and goes on with a delta.
     """
-    n = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
+    n = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")).cast("long")
     r = rows.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
-    return r.select("conv_id", n.cast("long").alias("seq"), n.cast("long").alias("message"), F.lit("delta").alias("kind"), "role", "text")
+    half = F.ceil(F.length("text") / 2).cast("int")
+    head, tail = F.substring(F.col("text"), F.lit(1), half), F.substring(F.col("text"), half + 1, F.lit(2**31 - 1))
+    draft, third = F.concat(F.lit("draft "), F.substring("text", 1, 20)), F.col("message") % 3 == 0
+
+    def event(i, kind, role, text):
+        return F.struct((F.col("message") * 4 + i).alias("seq"), kind.alias("kind"), role.cast("string").alias("role"), text.alias("text"))
+
+    log = F.array(
+        event(0, F.lit("delta"), F.col("role"), draft), event(1, F.when(third, "edit").otherwise("regenerate"), F.lit(None), F.when(third, head)),
+        event(2, F.lit("delta"), F.lit(None), F.when(third, tail).otherwise(head)), event(3, F.lit("delta"), F.lit(None), F.when(~third, tail)))
+    return r.withColumn("message", n).select("conv_id", "message", F.explode(log).alias("e")).select("conv_id", "e.seq", "message", "e.kind", "e.role", "e.text")
 
 
 def format_conversations(rows: DataFrame) -> DataFrame:
