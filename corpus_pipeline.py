@@ -47,7 +47,8 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: SQL cannot express the classifier or the tokenizer; tests compare run() with a brute-force version.
+#: SQL cannot express the classifier or the tokenizer; a test compares run() on a small table without labels, so without
+#: the classifier, with a brute-force version.
 ORACLE_SQL = None
 
 
