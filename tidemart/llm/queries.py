@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, html_extract, minhash, packing, pii, quality, sharding, token_counts
+from . import bpe, chat, collocations, exact_dedup, html_extract, line_dedup, minhash, packing, pii, quality, sharding, spelling, token_counts
 from .common import table
 
 
@@ -53,8 +53,22 @@ def op10_html_extract(spark, sf_dir):
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_line_dedup(spark, sf_dir):
+    out = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_pii, op3_packing, op4_sharding, op5_exact_dedup, op6_token_counts, op7_minhash_dedup, op8_chat_format, op9_byte_bpe, op10_html_extract)}
+    op1_quality_rules, op2_pii, op3_packing, op4_sharding, op5_exact_dedup, op6_token_counts, op7_minhash_dedup, op8_chat_format, op9_byte_bpe, op10_html_extract,
+    op11_spelling_variants, op12_line_dedup, op13_collocations)}
 
 ORACLE = {
     "op4_sharding": sharding.ORACLE,
@@ -82,4 +96,7 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(m.comp, s.doc_
 FROM s LEFT JOIN c ON list_sort(s.s) = c.s LEFT JOIN m ON m.node = c.node
 """,
     "op8_chat_format": chat.ORACLE,
+    "op11_spelling_variants": spelling.ORACLE,
+    "op12_line_dedup": line_dedup.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }
