@@ -211,3 +211,78 @@ def test_running_profile_hot_uid_is_split_by_time(spark):
         F.struct(*[F.lit("x").alias(c) for c in ("os", "ch", "md", "ba")]).alias("deviceInfo"))
     hot = labels.running_profile_records(df).where("uid = '-1'")
     assert sorted(r.pv for r in hot.collect()) == list(range(1, 101))
+
+
+# ---------------------------------------------------------------- dictionary segmentation (U1), word list (S8), J12
+
+def _longest_match(text, words):
+    import re
+    known = {w.lower() for w in words if len(w) > 1}
+    longest = max(map(len, known), default=1)
+    out = []
+    for piece in re.findall(r"[一-鿿]+|[a-z]+|[0-9]+", text.lower()):
+        if not "一" <= piece[0] <= "鿿":
+            out.append(piece)
+            continue
+        at = 0
+        while at < len(piece):
+            n = max((k for k in range(2, longest + 1) if at + k <= len(piece) and piece[at:at + k] in known), default=1)
+            out.append(piece[at:at + n])
+            at += n
+    return out
+
+
+def test_dictionary_segmentation_matches_brute_force(spark):
+    import random
+
+    from tidemart.operators import text as tx
+    r = random.Random(2)
+    han = "小米手机京东自营移动联通电信"
+    words = ["小米", "手机", "小米手", "京东自营", "自营", "移动", "联通", "电信", "移动联通", "米", "5G", "东自营移"] + ["".join(r.choices(han, k=r.randint(2, 4))) for _ in range(40)]
+    texts = ["小米手机京东自营5G移动联通电信", "", None, "no han 12", "机" * 300] + ["".join(r.choices(han + " aB1,", k=r.randint(1, 40))) for _ in range(150)]
+    texts += ["小米手机"] * 30
+    df = spark.createDataFrame([(i, t, "x", 7) for i, t in enumerate(texts)], "id int, t string, run string, word int")
+    got = {}
+    for row in tx.explode_segments(df, "t", spark.createDataFrame([(w,) for w in words], "word string")).orderBy("id", "pos").collect():
+        got.setdefault(row.id, []).append(row.keyword)
+    assert got == {i: _longest_match(t, words) for i, t in enumerate(texts) if t and _longest_match(t, words)}
+    empty = spark.createDataFrame([], "word string")
+    assert [x.keyword for x in tx.explode_segments(df.where("id = 30"), "t", empty).orderBy("pos").collect()] == _longest_match(texts[30], [])
+    assert tx.explode_segments(df.limit(0), "t", empty).count() == 0
+
+
+def test_word_list_file_hits_misses_and_reload(spark, tmp_path):
+    from tidemart.operators import text as tx
+    path = f"{tmp_path}/words"
+    spark.createDataFrame([("bad",), (" spaced",), ("",), ("bad",)], "value string").coalesce(1).write.text(path)
+    said = spark.createDataFrame([("fine,bad",), ("bad,fine",), ("a, spaced",), ("a,spaced",), ("bad,,",), (None,), ("",)], "t string")
+
+    def hits():
+        return [r.is_violation for r in tx.flag_last_word(said.coalesce(1).withColumn("i", F.monotonically_increasing_id()), "t", tx.word_list(spark, path)).orderBy("i").collect()]
+    assert hits() == [1, 0, 1, 0, 1, 0, 0]
+    spark.createDataFrame([("spaced",)], "value string").coalesce(1).write.mode("append").text(path)
+    assert hits() == [1, 0, 1, 1, 1, 0, 0]
+
+
+def test_lookup_of_a_dimension_with_duplicate_keys(spark):
+    """List scans take the first match, map loads the last; no row is multiplied."""
+    from tidemart.operators import dims as D
+    dim = spark.createDataFrame([("a", "one", 1), ("a", "two", 2), ("b", "three", 3), (None, "none", 4)], "k string, v string, loaded int")
+    for keep, want in (("first", "one"), ("last", "two")):
+        one = D.dedup_dim(dim, "k", keep, ["loaded"])
+        assert sorted((r.k or "", r.v) for r in one.collect()) == [("", "none"), ("a", want), ("b", "three")]
+        rows = spark.createDataFrame([("a",)] * 5 + [("z",), (None,)], "key string")
+        out = D.enrich(rows, one, "key", "k", {"v": "v"}).collect()
+        assert len(out) == 7 and sorted(r.v or "" for r in out) == ["", ""] + [want] * 5
+
+
+def test_label_lookups_multiply_no_row(spark):
+    from tidemart.plans import labels as lb
+    from tidemart.queries import _dims, _topic, _tree
+    from tidemart.operators import dims as D
+    sf = "/root/testdata/sf0.001"
+    d = _dims(spark, sf)
+    wide, tree = D.sku_wide(d["sku"], d["spu"], d["tm"]), _tree(spark, sf)
+    plain = lb.base4(spark, _topic(spark, sf), wide, tree)
+    twice = lb.base4(spark, _topic(spark, sf), wide.union(wide.withColumn("tname", F.lit("\uffff later"))), tree.union(tree))
+    assert plain.count() == twice.count() and twice.where(F.col("tname") == "\uffff later").count() == 0

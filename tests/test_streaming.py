@@ -173,3 +173,332 @@ def test_first_of_day_out_of_order_days(spark):
         raw.select(F.from_json("value", "user_id string, ts_ms long, id string").alias("r")).select("r.*"),
         "user_id", "ts_ms", ["ts_ms", "id"], cols), "fod-order")
     assert sorted(r.id for r in got.collect()) == ["a", "b"]
+
+
+# ---------------------------------------------------------------- settings, state lifetime (T6), processing time
+
+DAY = 86_400_000
+
+
+def _plain_conf(spark):
+    """The session as a user finds it: default state store, a zone that isn't UTC."""
+    spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+
+
+@pytest.fixture
+def plain(spark):
+    before = {k: spark.conf.get(k) for k in R.STREAM_CONF}
+    _plain_conf(spark)
+    yield spark
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def _topic_of(spark, rows, schema):
+    return spark.createDataFrame(rows, schema).select(F.to_json(F.struct("*")).alias("value"))
+
+
+def _from_json(raw, schema):
+    return raw.select(F.from_json("value", schema).alias("r")).select("r.*")
+
+
+LOGIN = "uid string, ts long"
+
+
+def _logins(rows):
+    from tidemart.operators.logs import LOG_SCHEMA  # noqa: F401
+    return [(f'{{"common":{{"mid":"{u}","uid":"{u}"}},"page":{{}},"ts":{t}}}',) for u, t in rows]
+
+
+def test_streams_bring_their_own_settings(plain):
+    """Event times around the zone's daylight-saving change, in a session without the RocksDB store and not at UTC."""
+    from tidemart.operators import logs as lg
+    from tidemart.streaming import dws as SD
+    gap = 1_710_064_800_000  # 2024-03-10 10:00 UTC: 02:00 of the zone's missing hour
+    rows = [("a", gap - 1), ("a", gap + 1), ("b", gap + 1), ("a", gap + DAY), ("b", gap + 9 * DAY)]
+    phases = [plain.createDataFrame(_logins(p), "value string") for p in (rows[:3], rows[3:], [("~heartbeat", gap + 40 * DAY)])]
+    raw = "offset long, value string"
+    lines = [p.select(F.to_json(F.struct(F.lit(0).cast("long").alias("offset"), "value")).alias("value")) for p in phases]
+    out = R.replay(plain, lines, lambda line: SD.user_login(lg.split_logs(lg.parse_logs(_from_json(line, raw))[0])["page"], "1 hour"), "dst")
+    got = sorted((r.stt, r.back_ct, r.uu_ct) for r in out.collect())
+    assert got == [("2024-03-10 09:00:00", 0, 1), ("2024-03-10 10:00:00", 0, 1), ("2024-03-11 10:00:00", 0, 1),
+                   ("2024-03-19 10:00:00", 1, 1)]
+    assert plain.conf.get("spark.sql.session.timeZone") == "America/Los_Angeles"
+
+
+def _state_rows(progress):
+    return sum(op["numRowsTotal"] for op in progress["stateOperators"])
+
+
+def test_state_stays_flat_over_thirty_days(plain):
+    """Every day brings new keys; idle ones leave by timer, so no state grows with the days."""
+    schema = "key string, ts long, offset long, is_new string"
+    start = 1_704_067_200_000
+    days = [[(f"{d}-{i}", start + d * DAY + i * 1000, i, "1") for i in range(20)] for d in range(30)]
+    forms = {
+        "first": lambda ev: J.P.apply(ev, ["key"], J.P.FirstOfDay("ts", ["ts"], ["key", "ts"], timers=True), "key string, ts long", "EventTime", ""),
+        "back": lambda ev: J.P.apply(ev.withColumnRenamed("key", "uid"), ["uid"], J.P.ReturningUser(8, 2 * DAY), "uid string, ts long, et timestamp, back long", "EventTime", "et"),
+        "fixed": lambda ev: J.P.apply(ev, ["key"], J.P.FixIsNew(["key", "ts"], idle_ms=2 * DAY), "key string, ts long, is_new string", "EventTime", ""),
+        "newer": lambda ev: J.P.apply(ev, ["key"], J.P.StrictlyNewer("ts", "offset", ["key", "ts"], idle_ms=2 * DAY), "key string, ts long", "EventTime", ""),
+    }
+    for name, form in forms.items():
+        seen = []
+        R.replay_path(plain, [_topic_of(plain, d, schema) for d in (sum(days[i:i + 6], []) for i in range(0, 30, 6))],
+                      lambda raw: form(_from_json(raw, schema).withColumn("et", F.timestamp_millis("ts")).withWatermark("et", "0 seconds")),
+                      f"flat-{name}", watch=lambda p: seen.append(_state_rows(p)))
+        assert max(seen[1:]) <= seen[1] and seen[-1] == seen[1], (name, seen)
+
+
+def test_a_key_that_stays_active_keeps_its_state(plain):
+    schema = "uid string, ts long"
+    start = 1_704_067_200_000
+    # logins 9 days apart, then one after 12: idle time starts anew with every record
+    rows = [[("u", start + d * DAY)] for d in (0, 9, 18)] + [[("u", start + 30 * DAY)], [("~", start + 90 * DAY)]]
+    out = R.replay(plain, [_topic_of(plain, r, schema) for r in rows],
+                   lambda raw: J.P.apply(_from_json(raw, schema).withColumn("et", F.timestamp_millis("ts")).withWatermark("et", "0 seconds"),
+                                         ["uid"], J.P.ReturningUser(8, 15 * DAY), "uid string, ts long, et timestamp, back long", "EventTime", "et"), "active")
+    assert sum(r.back for r in out.where("uid = 'u'").collect()) == 3
+
+
+def test_processing_time_state_ends_by_ttl(plain):
+    """A mid whose state's TTL has run out is met as a new one."""
+    import time
+    schema = "mid string, ts long, offset long, is_new string"
+    start = 1_704_067_200_000
+    phases = [[("m", start, 0, "1")], [("m", start + DAY, 1, "1")], [("m", start + 2 * DAY, 2, "1")]]
+    for ttl, want in ((3_600_000, ["1", "0", "0"]), (3_000, ["1", "1", "1"])):
+        out = R.replay(plain, [_topic_of(plain, p, schema) for p in phases],
+                       lambda raw: J.fix_is_new(_from_json(raw, schema), ["mid", "ts", "offset"], ttl), "ttl", no_data_batches=False,
+                       before=lambda i: time.sleep(4 if i and ttl == 3_000 else 0))
+        assert [r.is_new for r in out.orderBy("offset").collect()] == want
+
+
+# ---------------------------------------------------------------- trade windows (L11, L12: A4, A11, T10, W4)
+
+VERSION = "id string, order_id string, province_id string, split_total_amount string, ts_ms long, seq string"
+
+
+def test_province_orders_under_retraction(plain):
+    from tidemart.streaming import dws as SD
+    t = 1_704_067_200_000
+    province = plain.createDataFrame([("1", "north")], "id string, name string")
+    phases = [
+        # two details of one order, one of another; detail d1 in two versions within a batch
+        [("d1", "o1", "1", "10.00", t, "1"), ("d1", "o1", "1", "12.50", t + 1, "2"), ("d2", "o1", "1", "5.00", t + 2, "3"),
+         ("d3", "o2", "2", None, t + 3, "4")],
+        # the next batch takes back d2 in the same open window, and counts the order again in a later one
+        [("d2", "o1", "1", "7.00", t + 9_000, "5"), ("d1", "o1", "1", "1.00", t + 11_000, "6")],
+        # the window of d1's last version has closed: its retraction is late (Q8), so both amounts stay
+        [("d9", "o9", "1", "100.00", t + 30_000, "7")],
+        [("d1", "o1", "1", "2.00", t + 31_000, "8")],
+        [("~", "~", "~", None, t + 900_000, "9")],
+    ]
+    out = R.replay(plain, [_topic_of(plain, p, VERSION) for p in phases],
+                   lambda raw: SD.province_order(_from_json(raw, VERSION), province, "10 seconds", keep_ms=3_600_000), "province")
+    got = sorted((r.stt[-8:], r.province_id, r.province_name, r.order_count, str(r.order_amount)) for r in out.where("province_id <> '~'").collect())
+    assert got == [("00:00:00", "1", "north", 1, "7.00"),    # 10 - 10 + 12.5 + 5 - 5 + 7 - 12.5
+                   ("00:00:00", "2", None, 1, "0.00"),
+                   ("00:00:10", "1", "north", 1, "1.00"),
+                   ("00:00:30", "1", "north", 2, "102.00")]
+
+
+SKU = "id string, sku_id string, split_original_amount string, split_activity_amount string, split_coupon_amount string, split_total_amount string, ts_ms long, seq string"
+
+
+def test_processing_time_timer_and_window(plain):
+    """T10/W4 on the machine's clock: nothing leaves before 5 s, then the latest version does, once; its window comes out
+    when that has ended."""
+    import time
+    from tidemart.streaming import dws as SD
+
+    def row(i, sku, amount, ts, seq):
+        return (i, sku, amount, "0", "0", amount, ts, seq)
+    phases = [[row("d1", "s", "1.00", 5, "1"), row("d2", "s", "10.00", 5, "2")],
+              [row("d1", "s", "2.00", 6, "3")], [row("d1", "s", "0.50", 4, "4")], [row("x", "other", "0", 9, "5")],
+              [row("y", "other", "0", 9, "6")]]
+    waits, seen = [0, 0, 6, 0, 8], []
+    for form, want in ((lambda d: SD.waited_versions(d, 5000, processing=True).select("id", "split_total_amount"),
+                        [("d1", "2.00"), ("d2", "10.00")]),
+                       (lambda d: SD.sku_order_by_clock(d, "2 seconds").select("sku_id", "order_amount"),
+                        [("s", "12.0000")])):
+        out = R.replay_path(plain, [_topic_of(plain, p, SKU) for p in phases], lambda raw: form(_from_json(raw, SKU)), "clock",
+                            no_data_batches=False, before=lambda i: time.sleep(waits[i]))
+        got = plain.read.parquet(out)
+        seen.append(sorted((a, str(b)) for a, b in got.where(f"{got.columns[0]} not in ('x', 'y', 'other')").collect()))
+        assert seen[-1] == want
+
+
+# ---------------------------------------------------------------- stream-static dictionary (J4), live config
+
+def _change(tbl, op, seq, before=None, after=None, ts=0):
+    return (before, after, {"db": "shop", "table": tbl}, op, ts, seq)
+
+
+ENV = "before map<string,string>, after map<string,string>, source map<string,string>, op string, ts_ms long, seq string"
+
+
+def _envelopes(spark, rows):
+    return spark.createDataFrame(rows, ENV).select(F.to_json(F.struct("*")).alias("value"))
+
+
+def test_dictionary_changes_between_batches(plain):
+    from tidemart.streaming import comments as SC
+    base = scratch_path(plain, f"dic-{uuid.uuid4().hex[:6]}")
+    dic = R.UpsertTable(f"{base}/dic", SC.DIC_KEYS, "seq", buckets=1)
+    changes = [[_change("base_dic", "r", "1", after={"dic_code": "1201", "dic_name": "good"}), _change("base_dic", "r", "1", after={"dic_code": "1202", "dic_name": "fair"})],
+               [_change("base_dic", "u", "2", after={"dic_code": "1201", "dic_name": "very good"}), _change("base_dic", "d", "3", before={"dic_code": "1202", "dic_name": "fair"}),
+                _change("base_dic", "c", "4", after={"dic_code": "1203", "dic_name": "bad"})]]
+
+    def merge(i):
+        if 0 < i <= len(changes):
+            SC.keep_dictionary(dic)(plain.createDataFrame(changes[i - 1], ENV), i)
+    said = [[_change("comment_info", "r", f"{i}{code}", after={"id": f"{i}{code}", "appraise": code}) for code in ("1201", "1202", "1203")] for i in range(3)]
+    pins = R.Pinned(dic, f"{base}/pins")
+    sink = SC.comment_facts(pins)
+    out = R.replay_path(plain, [_envelopes(plain, p) for p in said], lambda raw: _from_json(raw, ENV), "facts", sink, before=merge)
+    rows = sorted((r.id, r.appraise_name, r.dic_version) for r in plain.read.parquet(out).collect())
+    assert rows == [("11201", "good", 1), ("11202", "fair", 1), ("21201", "very good", 2), ("21203", "bad", 2)]
+    # a retry of an old micro-batch sees the dictionary that the first attempt saw
+    sink(out)(plain.createDataFrame(said[1], ENV), 1)
+    assert sorted((r.id, r.appraise_name, r.dic_version) for r in plain.read.parquet(out).collect()) == rows
+
+
+def test_config_changes_the_routing_between_batches(plain):
+    from tidemart.streaming import dimbuild as SB
+    base = scratch_path(plain, f"cfg-{uuid.uuid4().hex[:6]}")
+    config, cells = R.UpsertTable(f"{base}/config", SB.CONFIG_KEYS, "seq", buckets=1), R.UpsertTable(f"{base}/cells", SB.CELL_KEYS, "seq")
+
+    def cfg(tbl, cols, op, seq):
+        return (tbl, f"dim_{tbl}", cols, "info", "id", op, seq)
+    feed = ",".join(f"{c} string" for c in SB.CONFIG_COLUMNS)
+    changes = [[cfg("a", "id,x", "r", "1"), cfg("b", "id,x", "r", "1"), cfg("c", "id,x", "r", "1")],
+               [cfg("b", "id,y", "u", "2"), cfg("c", "id,x", "d", "2"), cfg("d", "id,x", "c", "2")],
+               [cfg("c", "id,y", "c", "3")]]
+
+    def put(tbl, key, n):
+        return _change(tbl, "c", f"{n:04d}", after={"id": key, "x": f"x{n}", "y": f"y{n}"}, ts=n)
+    data = [[put(t, "1", n) for n, t in enumerate("abcd")], [put(t, "2", n + 10) for n, t in enumerate("abcd")], [put(t, "3", n + 20) for n, t in enumerate("abcd")]]
+    pins = R.Pinned(config, f"{base}/pins")
+    seen = []
+
+    def before(i):
+        if i:
+            seen.append(rows())
+        SB.keep_config(config, f"{base}/ddl")(plain.createDataFrame(changes[i], feed), i)
+
+    def rows():
+        got = SB.dimension_rows(cells.read(plain), config.read(plain))
+        return sorted((r.sink_table, r.row_key, tuple(sorted(r.data.items()))) for r in got.collect())
+    R.replay_path(plain, [_envelopes(plain, p) for p in data], lambda raw: _from_json(raw, ENV), "cells", lambda _: SB.merge_into(cells, pins, "shop"), before=before)
+    seen.append(rows())
+
+    def row(tbl, key, col, n):
+        return (f"dim_{tbl}", key, (("id", key), (col, f"{col}{n}")))
+    assert seen[0] == [row("a", "1", "x", 0), row("b", "1", "x", 1), row("c", "1", "x", 2)]
+    # b was dropped and created anew with another column, c dropped, d created
+    assert seen[1] == [row("a", "1", "x", 0), row("a", "2", "x", 10), row("b", "2", "y", 11), row("d", "2", "x", 13)]
+    # c comes back empty
+    assert seen[2] == [row("a", "1", "x", 0), row("a", "2", "x", 10), row("a", "3", "x", 20), row("b", "2", "y", 11), row("b", "3", "y", 21),
+                       row("c", "3", "y", 22), row("d", "2", "x", 13), row("d", "3", "x", 23)]
+    ddl = plain.read.parquet(f"{base}/ddl")
+    assert sorted((r.batch, r.seq, r.step, r.action, r.sink_table) for r in ddl.where("batch > 0").collect()) == [
+        (1, "2", 0, "create", "dim_d"), (1, "2", 0, "drop", "dim_b"), (1, "2", 0, "drop", "dim_c"), (1, "2", 1, "create", "dim_b"), (2, "3", 0, "create", "dim_c")]
+    # a retried batch gives the same table
+    SB.merge_into(cells, pins, "shop")(plain.createDataFrame(data[2], ENV), 2)
+    assert rows() == seen[2]
+
+
+# ---------------------------------------------------------------- dedup streams (T13, T14), event-time policies
+
+def test_exact_dedup_across_batches_and_its_state(plain):
+    from tidemart.streaming import dedup as SX
+    schema = "uid string, v string, ts long"
+    t = 1_704_067_200_000
+    phases = [[("a", "x", t), ("a", "x", t), ("a", "y", t)], [("a", "x", t), ("b", "x", t + 1000)], [("~", "~", t + DAY)]]
+    seen = []
+    out = R.replay(plain, [_topic_of(plain, p, schema) for p in phases],
+                   lambda raw: SX.exact(_from_json(raw, schema), "ts", ["uid", "v", "ts"], "5 seconds"), "exact", watch=lambda p: seen.append(_state_rows(p)))
+    assert sorted((r.uid, r.v) for r in out.where("uid <> '~'").collect()) == [("a", "x"), ("a", "y"), ("b", "x")]
+    assert seen[-1] == 1
+
+
+def test_bloom_dedup_keeps_its_rate(plain):
+    """Twice as many keys as the filter was sized for: repeats always go, other rows at most at the given rate."""
+    from tidemart.streaming import dedup as SX
+    schema = "order_id long, ts_ms long, seq string"
+    n, fpp = 4000, 0.02
+    rows = [(i, 7 * i + 1, f"{i:06d}") for i in range(n)]
+    phases = [rows[: n // 2] + rows[:50], rows[n // 2:] + rows[100:300], rows[::3]]
+    cols = ["order_id", "ts_ms", "seq"]
+    out = R.replay(plain, [_topic_of(plain, p, schema) for p in phases],
+                   lambda raw: SX.bloom_first(_from_json(raw, schema), cols[:2], "seq", cols, n // 2, fpp, 3), "bloom")
+    got = [r.order_id for r in out.collect()]
+    assert len(got) == len(set(got))
+    lost = n - len(got)
+    assert 0 <= lost <= fpp * n, lost
+    exact = R.replay(plain, [_topic_of(plain, p, schema) for p in phases],
+                     lambda raw: SX.first_arrival(_from_json(raw, schema), cols[:2], "seq", "ts_ms", cols), "first")
+    assert sorted(r.order_id for r in exact.collect()) == list(range(n))
+
+
+def test_event_time_policies_on_both_sides_of_their_bounds(plain):
+    """A record exactly the bound before the newest of earlier batches counts, one a millisecond earlier is late."""
+    from tidemart.streaming import eventtime as E
+    t = 1_704_067_200_000
+    for policy, ms in ((E.ASCENDING, 0), (E.LABEL_SOURCE, 3_000), (E.JOINED, 5_000), (E.FIRST_PRESENT, 3_000)):
+        key = "ts" if policy is E.FIRST_PRESENT else "ts_ms"
+
+        def said(*times):
+            return plain.createDataFrame([(f'{{"{key}":{x},"v":1}}',) for x in times], "value string")
+        phases = [said(t), said(t - ms, t - ms - 1), said(t + 20_000)]
+        out = R.replay(plain, phases, lambda raw: policy.apply(raw).groupBy(F.window("et", "1 millisecond")).count()
+                       .select(F.unix_millis("window.start").alias("at"), "count"), "policy")
+        assert t - ms in [r["at"] for r in out.collect()] or ms == 0
+        assert t - ms - 1 not in [r["at"] for r in out.collect()]
+
+
+def test_event_time_of_odd_records(plain):
+    from tidemart.streaming import eventtime as E
+    odd = ["no json", "{}", '{"ts_ms":"soon"}', '{"ts_ms":null,"ts":5}', '{"ts_ms":"7"}', '{"ts_ms":9}', None]
+    df = plain.createDataFrame([(x,) for x in odd], "value string")
+    got = [r[0] for r in df.select(F.unix_millis(E.LABEL_SOURCE.column())).collect()]
+    assert got == [0, 0, 0, 0, 7, 9, 0]
+    assert [r[0] for r in df.select(F.unix_millis(E.FIRST_PRESENT.column())).collect()] == [0, 0, 0, 5, 7, 9, 0]
+
+
+def test_record_time_from_the_source(plain):
+    """S3: the source's own time column is the event time, whatever the record says."""
+    import time
+    from tidemart.streaming import eventtime as E
+    path = scratch_path(plain, f"stamped-{uuid.uuid4().hex[:6]}")
+    start = time.time()
+    plain.createDataFrame([('{"ts_ms":1}',)], "value string").write.text(path)
+    out = R.run_available_now(E.RECORD_TIME.apply(R.stamped_file_topic(plain, path)).select(F.unix_millis("et").alias("at")), "stamped")
+    assert abs(out.first()[0] / 1000 - start) < 120
+
+
+def test_label_merge_within_a_day(plain):
+    from tidemart.streaming import labels as SL
+    h = 3_600_000
+    t = 1_704_067_200_000
+    b2, b4, b6 = "uid long, ts_ms long, pv long", "uid long, ts_ms long, detail_id string", "uid long, ts_ms long, gender string"
+    rows = {"base2": ([(1, t, 1), (1, t + 30 * h, 2), (2, t, 3)], b2),
+            "base4": ([(1, t + 24 * h, "in"), (1, t + 24 * h + 1, "out"), (2, t - h, "early")], b4),
+            "base6": ([(1, t + 48 * h, "F"), (2, t + 23 * h, "M"), (2, t + 23 * h + 1, "M")], b6)}
+    frames = {n: plain.createDataFrame(*x) for n, x in rows.items()}
+
+    def phase(lo, hi):
+        parts = [SL.records(df.where(f"ts_ms >= {lo} AND ts_ms < {hi}"), n) for n, df in frames.items()]
+        return parts[0].union(parts[1]).union(parts[2])
+    beat = [SL.records(SL.heartbeat(df, n, t + 900 * h), n) for n, df in frames.items()]
+    seen = []
+    out = R.replay(plain, [phase(0, t + 10 * h), phase(t + 10 * h, t + 800 * h), beat[0].union(beat[1]).union(beat[2])],
+                   lambda raw: SL.merge(*[SL.branch(raw, n, df.schema) for n, df in frames.items()]), "merge", watch=lambda p: seen.append(_state_rows(p)))
+    got = sorted((r.uid, r.pv, r.detail_id, r.gender, (r.base6_ts_ms - t) // h) for r in out.collect())
+    want = sorted((u, pv, d, g, (t6 - t) // h) for u, t2, pv in rows["base2"][0] for u4, t4, d in rows["base4"][0] for u6, t6, g in rows["base6"][0]
+                  if u == u4 == u6 and abs(t2 - t4) <= 24 * h and abs(t6 - t4) <= 24 * h)
+    assert got == want and len(want) >= 3
+    assert seen[-1] < seen[1]

@@ -36,9 +36,10 @@ def enrich(df: DataFrame, dim: DataFrame, left_key: str, right_key: str, cols: d
     return j
 
 
-def dedup_dim(dim: DataFrame, key: str, keep: str = "first", order: str | None = None) -> DataFrame:
-    """One row per key; list scans keep the first match, map loads the last."""
-    o = F.col(order or key)
+def dedup_dim(dim: DataFrame, key: str, keep: str = "first", order: list[str] | None = None) -> DataFrame:
+    """One row per key, so that a join with it multiplies no row; list scans keep the first match, map loads the
+    last, by ``order`` (the load order; all columns if the dimension has none)."""
+    o = F.struct(*[F.col(c) for c in (order or dim.columns)])
     payload = F.struct(*[F.col(c) for c in dim.columns])
     agg = F.min_by(payload, o) if keep == "first" else F.max_by(payload, o)
     return dim.groupBy(key).agg(agg.alias("_r")).select("_r.*")
@@ -81,14 +82,14 @@ def latest_config(cfg_feed: DataFrame, key: str = "source_table", seq: str = "se
     return last.where(F.col("op") != "d")
 
 
-def route(env: DataFrame, cfg: DataFrame) -> DataFrame:
+def route(env: DataFrame, cfg: DataFrame, carry: list[str] = ()) -> DataFrame:
     """J13 + P8: envelopes of configured tables joined to their config row
     (config is one row per source table: bounded, broadcast), with the image
-    pruned to the configured columns."""
-    c = cfg.select("source_table", "sink_table", "sink_columns", "sink_row_key")
+    pruned to the configured columns. ``carry``: further config columns to keep."""
+    c = cfg.select("source_table", "sink_table", "sink_columns", "sink_row_key", *carry)
     j = env.join(bounded(c), env["source"]["table"] == c["source_table"], "inner")
     return j.select(
-        F.col("source")["table"].alias("source_table"), "sink_table", "sink_row_key", "op", "ts_ms", "seq",
+        F.col("source")["table"].alias("source_table"), "sink_table", "sink_row_key", "op", "ts_ms", "seq", *carry,
         prune_columns(F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after")),
                       F.col("sink_columns")).alias("data"),
     )

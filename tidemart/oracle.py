@@ -96,7 +96,7 @@ CTE = {
   SELECT conv_id || '-' || turn AS id, {s('conv_id')} AS user_id, {s('turn')} AS sku_id,
          {s('conv_id % 5 + 1201')} AS appraise, text AS comment_txt,
          {T0} + conv_id * 1000 + turn * 10 AS create_ms, {T0} + conv_id * 1000 + turn * 10 + 1 AS ts_ms
-  FROM conversations WHERE role = 'user'""",
+  FROM conversations""",
     "base_dic": """
   SELECT * FROM (VALUES ('1201', '好评'), ('1202', '中评'), ('1203', '差评'), ('1204', '自动')) AS t(dic_code, dic_name)""",
 }
@@ -370,10 +370,6 @@ def zodiac_sql(md: str, english: bool = False) -> str:
 
 
 ORACLE.update({
-    "cdc_parse": with_ctes("order_info", "cart_info") + """
-SELECT 'order_info' AS source_table, 'r' AS op, ts_ms, id, 9 AS n_after, 0 AS n_before FROM order_info
-UNION ALL SELECT 'cart_info', 'r', ts_ms, id, 5, 0 FROM cart_info
-UNION ALL SELECT 'cart_info', 'u', ts_ms + 1000, id, 5, 5 FROM cart_info WHERE k % 7 = 0""",
     "cdc_gate": with_ctes("mixed") + """
 SELECT CAST(s_suppkey AS VARCHAR) AS id, op FROM mixed WHERE db = 'shop' AND op IN ('c', 'u', 'r')""",
     "cdc_gate_deletes": with_ctes("mixed") + """
@@ -382,13 +378,6 @@ SELECT CAST(s_suppkey AS VARCHAR) AS id, op FROM mixed WHERE db = 'shop' AND op
 SELECT order_id AS id, order_id, payment_status, ts_ms FROM payment_info""",
     "cdc_image": with_ctes("mixed") + """
 SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name_by_op, op, s_name AS name_nonempty, ts_ms FROM mixed""",
-    "ods_snapshot_envelope": """
-SELECT 'shop' AS db, 'supplier' AS tbl, 'r' AS op, CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name,
-       CAST(s_nationkey AS VARCHAR) AS s_nationkey, 3 AS n_fields FROM supplier""",
-    "event_time_pick": with_ctes("cart_info") + f"""
-SELECT 'cdc' AS src, id, ts_ms AS event_ms FROM cart_info
-UNION ALL SELECT 'cdc', id, ts_ms + 1000 FROM cart_info WHERE k % 7 = 0
-UNION ALL SELECT 'log', CAST(event_id AS VARCHAR), CASE WHEN event_id % 97 = 0 THEN 0 ELSE {ms('ts')} END FROM events""",
     "fn_datetime": with_ctes("oms") + f"""
 SELECT id, ms, {dstr('ms')} AS date_id, {dtstr('ms')} AS dt, strftime(make_timestamp(ms * 1000), '%Y%m%d') AS ds,
        {dstr('ms')} AS date_from_str, ms AS dt_ms, ms - ms % 86400000 AS d_ms,
@@ -621,18 +610,8 @@ CTE["cwide"] = """
   FROM comments c JOIN order_info o ON c.order_n = CAST(o.id AS BIGINT)
    AND o.ts_ms BETWEEN c.ts_ms - 60000 AND c.ts_ms + 60000"""
 CTE["swords"] = """
-  SELECT DISTINCT list_extract(string_split(rtrim(comment_txt, ','), ','), -1) AS word FROM comment_info
-  WHERE coalesce(list_extract(string_split(rtrim(comment_txt, ','), ','), -1), '') <> ''"""
-CTE["cfg"] = """
-  SELECT * FROM (VALUES
-    ('user_info', 'dim_user_info', 'birthday,email,gender,id,login_name,name,phone_num,user_level', 'r', '1'),
-    ('payment_info', 'dim_payment_info', 'callback_time,id,order_id,payment_status,payment_type,user_id', 'r', '1'),
-    ('payment_info', 'dim_payment_info', 'id,payment_type', 'u', '2'),
-    ('cart_info', 'dim_cart_info', 'create_time,id,sku_id,sku_num,user_id', 'r', '1'),
-    ('cart_info', 'dim_cart_info', 'create_time,id,sku_id,sku_num,user_id', 'd', '3'),
-    ('comment_info', 'dim_comment_info', 'appraise,comment_txt,create_time,id,order_id,sku_id,spu_id,user_id', 'r', '1'),
-    ('supplier', 'dim_supplier', 'id,s_name,s_nationkey,s_suppkey', 'r', '1'))
-  AS t(source_table, sink_table, sink_columns, op, seq)"""
+  SELECT DISTINCT word FROM (SELECT unnest(string_split(replace(text, chr(10), ','), ',')) AS word FROM documents)
+  WHERE word <> ''"""
 CTE["sfeed"] = f"""
   SELECT CAST(s_suppkey AS VARCHAR) AS id, 'r' AS op, 1 AS n, s_name, CAST(s_nationkey AS VARCHAR) AS nk,
          s_suppkey, {T0} + s_suppkey * 1000 AS ts FROM supplier
@@ -642,22 +621,6 @@ CTE["sfeed"] = f"""
     {T0} + s_suppkey * 1000 FROM supplier WHERE s_suppkey % 5 = 0
   UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 'c', 4, 'reborn ' || CAST(s_suppkey AS VARCHAR), '', s_suppkey,
     {T0} + s_suppkey * 1000 FROM supplier WHERE s_suppkey % 10 = 0"""
-CTE["routed"] = """
-  SELECT 'user_info' AS source_table, 'dim_user_info' AS sink_table, 'r' AS op,
-         lpad(CAST(ts_ms AS VARCHAR), 16, '0') AS seq, uid AS row_key, 8 AS n_cols,
-         'birthday,email,gender,id,login_name,name,phone_num,user_level' AS columns FROM users
-  UNION ALL SELECT 'payment_info', 'dim_payment_info', 'r', lpad(CAST(ts_ms AS VARCHAR), 16, '0'), order_id, 2,
-         'id,payment_type' FROM payment_info
-  UNION ALL SELECT 'comment_info', 'dim_comment_info', 'r', lpad(CAST(ts_ms AS VARCHAR), 16, '0'), id, 8,
-         'appraise,comment_txt,create_time,id,order_id,sku_id,spu_id,user_id' FROM comment_info
-  UNION ALL SELECT 'supplier', 'dim_supplier', op, lpad(CAST(ts AS VARCHAR), 16, '0') || '-' || CAST(n AS VARCHAR),
-         id, 4, 'id,s_name,s_nationkey,s_suppkey' FROM sfeed"""
-CTE["sup_live"] = """
-  SELECT f.* FROM sfeed f LEFT JOIN (SELECT id, max(n) AS dn FROM sfeed WHERE op = 'd' GROUP BY id) d ON f.id = d.id
-  WHERE (d.dn IS NULL OR f.n > d.dn) AND f.op <> 'd'"""
-
-DIMS_BASE = ("users", "payment_info", "comment_info", "sfeed")
-
 ORACLE.update({
     "keyword_tokenize": with_ctes(*LOGS, "search_pages", "tokens") + 'SELECT "offset", fullword, keyword FROM tokens',
     "dws_keyword": with_ctes(*LOGS, "search_pages", "tokens") + f"""
@@ -687,43 +650,156 @@ WITH ev AS (SELECT event_id, user_id, event_type, {ms('ts')} AS ms FROM events)
 SELECT b.event_id AS purchase_id, v.event_id AS view_id, b.user_id AS uid, b.ms - v.ms AS lag_ms
 FROM ev b JOIN ev v ON b.user_id = v.user_id AND v.ms BETWEEN b.ms - 21600000 AND b.ms
 WHERE b.event_type = 'purchase' AND v.event_type = 'view'""",
+})
+
+# ------------------------------------------------------------------ the whole change topic, as lists of keys and values
+
+
+def _pad16(expr: str) -> str:
+    return f"lpad(CAST({expr} AS VARCHAR), 16, '0')"
+
+
+_ORDER_MS = f"{ms('o_orderdate')} + (o_orderkey % 24) * 3600000"
+_LINE = "l_orderkey || '-' || l_linenumber"
+_CART = {"id": "event_id", "user_id": "user_id", "sku_id": "CAST(json_extract(props, '$.k') AS BIGINT)", "create_time": ms("ts")}
+_K = "CAST(json_extract(props, '$.k') AS BIGINT)"
+_SUP = {"id": "s_suppkey", "s_suppkey": "s_suppkey", "s_name": "s_name", "s_nationkey": "s_nationkey"}
+#: (table, op, image, record time, arrival position, rows, columns of the image before)
+CHANGES = [
+    ("order_info", "r", {"id": "o_orderkey", "user_id": "o_custkey", "province_id": "c_nationkey",
+                         "order_status": "CASE o_orderstatus WHEN 'F' THEN '1003' WHEN 'O' THEN '1006' WHEN 'P' THEN '1001' END",
+                         "consignee": "c_name", "create_time": _ORDER_MS, "operate_time": f"{_ORDER_MS} + 1800000",
+                         "total_amount": dec("o_totalprice"), "original_total_amount": dec("o_totalprice")},
+     f"{T0} + o_orderkey * 1000", None, "orders LEFT JOIN customer ON o_custkey = c_custkey", 0),
+    ("payment_info", "r", {"id": "o_orderkey", "user_id": "o_custkey", "order_id": "o_orderkey",
+                           "payment_type": "'110' || (o_orderkey % 3 + 1)", "callback_time": f"{_ORDER_MS} + 600000",
+                           "payment_status": "CASE WHEN o_orderkey % 50 = 0 THEN NULL WHEN o_orderpriority IN "
+                                             "('1-URGENT', '2-HIGH', '3-MEDIUM') THEN '1602' ELSE '1601' END"},
+     f"{T0} + o_orderkey * 1000 + 500", None, "orders", 0),
+    ("order_detail", "r", {"id": _LINE, "order_id": "l_orderkey", "sku_id": "l_partkey", "sku_name": "'sku ' || l_partkey",
+                           "create_time": ms("l_shipdate"), "source_type": "'2401'", "sku_num": "CAST(l_quantity AS INTEGER)",
+                           "order_price": dec("l_extendedprice"),
+                           "split_total_amount": money(f"{dec('l_extendedprice')} * (1 - {dec('l_discount')})"),
+                           "split_activity_amount": money(f"{dec('l_extendedprice')} * {dec('l_discount')}"),
+                           "split_coupon_amount": money(f"{dec('l_extendedprice')} * {dec('l_tax')}")},
+     f"{T0} + l_orderkey * 1000 + l_linenumber * 10", LSEQ, "lineitem", 0),
+    ("order_detail_activity", "r", {"id": _LINE, "order_detail_id": _LINE, "activity_id": "l_partkey % 4 + 1",
+                                    "activity_rule_id": "l_suppkey % 6 + 1"},
+     f"{T0} + l_orderkey * 1000 + l_linenumber * 10 + 1", None, "latest_line WHERE l_discount >= 0.05", 0),
+    ("order_detail_coupon", "r", {"id": _LINE, "order_detail_id": _LINE, "coupon_id": "l_orderkey % 9 + 1"},
+     f"{T0} + l_orderkey * 1000 + l_linenumber * 10 + 2", None, "latest_line WHERE l_tax >= 0.04", 0),
+    ("order_refund_info", "r", {"id": _LINE, "user_id": "l_suppkey", "order_id": "l_orderkey", "sku_id": "l_partkey",
+                                "refund_type": "CASE WHEN l_linestatus = 'F' THEN '1502' ELSE '1501' END",
+                                "refund_num": "CAST(l_quantity AS INTEGER)", "refund_amount": dec("l_extendedprice"),
+                                "refund_reason_type": "'130' || (l_linenumber % 5 + 1)", "refund_reason_txt": "'reason ' || l_linenumber",
+                                "create_time": f"{ms('l_shipdate')} + 86400000",
+                                "refund_status": "CASE WHEN l_suppkey % 2 = 0 THEN '0705' ELSE '0701' END"},
+     f"{T0} + l_orderkey * 1000 + l_linenumber * 10 + 5", LSEQ, "lineitem WHERE l_returnflag = 'R'", 0),
+    ("refund_payment", "r", {"id": f"'rp' || {_LINE}", "order_id": "l_orderkey", "sku_id": "l_partkey", "payment_type": "'1102'",
+                             "callback_time": f"{ms('l_shipdate')} + 86400000 + 3600000", "total_amount": dec("l_extendedprice"),
+                             "refund_status": "CASE WHEN l_suppkey % 3 <> 0 THEN '1602' ELSE '1601' END"},
+     f"{T0} + l_orderkey * 1000 + l_linenumber * 10 + 7", LSEQ, "lineitem WHERE l_returnflag = 'R'", 0),
+    ("cart_info", "r", {**_CART, "sku_num": f"{_K} % 5 + 1"}, ms("ts"), None, "events WHERE event_type = 'purchase'", 0),
+    ("cart_info", "u", {**_CART, "sku_num": f"{_K} % 5 + 3"}, f"{ms('ts')} + 1000", None,
+     f"events WHERE event_type = 'purchase' AND {_K} % 7 = 0", 5),
+    ("comment_info", "r", {"id": "conv_id || '-' || turn", "user_id": "conv_id", "sku_id": "turn", "spu_id": "turn",
+                           "order_id": "conv_id", "appraise": "conv_id % 5 + 1201", "comment_txt": "text",
+                           "create_time": f"{T0} + conv_id * 1000 + turn * 10"},
+     f"{T0} + conv_id * 1000 + turn * 10 + 1", None, "conversations", 0),
+    ("user_info", "r", {"id": "c_custkey", "name": "' ' || lower(c_name) || ' '", "user_level": "c_custkey % 3 + 1",
+                        "login_name": "'user' || c_custkey", "phone_num": "'138' || lpad(CAST(c_custkey AS VARCHAR), 8, '0')",
+                        "email": "'user' || c_custkey || '@example.com'",
+                        "gender": "CASE WHEN c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END",
+                        "birthday": "(c_custkey * 13) % 16000"}, f"{T0} + c_custkey * 1000", None, "customer", 0),
+    ("user_info_sup_msg", "r", {"uid": "c_custkey", "height": "c_custkey % 180 + 90",
+                                "unit_height": "CASE WHEN c_custkey % 2 = 0 THEN 'cm' ELSE 'in' END",
+                                "weight": "c_custkey % 190 + 25", "unit_weight": "CASE WHEN c_custkey % 3 = 0 THEN 'lb' ELSE 'kg' END",
+                                "create_ts": f"{T0} + c_custkey * 1000 + 60000"},
+     f"{T0} + c_custkey * 1000 + 60000", None, "customer", 0),
+]
+_SUP_TS = f"{T0} + s_suppkey * 1000"
+SUPPLIER_CHANGES = [
+    ("supplier", op, image, f"{_SUP_TS} + {n}", f"{_pad16(_SUP_TS)} || '-{n}'", rows, 0)
+    for n, op, image, rows in (
+        (1, "r", _SUP, "supplier"),
+        (2, "u", {**_SUP, "s_name": "upper(s_name)", "s_nationkey": "''"}, "supplier WHERE s_suppkey % 2 = 0"),
+        (3, "d", _SUP, "supplier WHERE s_suppkey % 5 = 0"),
+        (4, "c", {**_SUP, "s_name": "'reborn ' || s_suppkey", "s_nationkey": "''"}, "supplier WHERE s_suppkey % 10 = 0"))]
+
+
+def _change_sql(changes) -> str:
+    """(tbl, op, ts_ms, seq, kv, n_before): kv is the image, for deletes the one before."""
+    return "\nUNION ALL ".join(
+        f"SELECT '{t}' AS tbl, '{op}' AS op, {at} AS ts_ms, {seq or _pad16(at)} AS seq, "
+        f"[{', '.join('{' + repr('k') + f': {c!r}, ' + repr('v') + f': CAST({e} AS VARCHAR)' + '}' for c, e in image.items())}] AS kv, "
+        f"{n} AS n_before FROM {rows}" for t, op, image, at, seq, rows, n in changes)
+
+
+def _config_sql() -> str:
+    images = {t: sorted(image) for t, _, image, *_ in CHANGES + SUPPLIER_CHANGES}
+    rows = []
+    for t, cols in images.items():
+        key = "id" if "id" in cols else cols[0]
+        rows.append((t, ",".join(cols), key, "r", "1"))
+        if "payment" in t:
+            rows.append((t, f"{key},payment_type", key, "u", "2"))
+        if t == "cart_info":
+            rows.append((t, ",".join(cols), key, "d", "3"))
+    return "SELECT * FROM (VALUES " + ", ".join(f"('{t}', 'dim_{t}', '{c}', '{k}', '{op}', '{q}')" for t, c, k, op, q in rows) + \
+        ") AS t(source_table, sink_table, sink_columns, sink_row_key, op, seq)"
+
+
+CTE["topic"] = _change_sql(CHANGES)
+CTE["change"] = "SELECT * FROM topic UNION ALL " + _change_sql(SUPPLIER_CHANGES)
+CTE["cfg"] = _config_sql()
+CTE["routed"] = """
+  SELECT c.tbl AS source_table, g.sink_table, c.op, c.ts_ms, c.seq, kv_key.v AS row_key, d AS data
+  FROM (SELECT *, list_filter(kv, lambda x: list_contains(string_split(sink_columns, ','), x.k)) AS d FROM change c
+        JOIN (SELECT * FROM cfg QUALIFY row_number() OVER (PARTITION BY source_table ORDER BY seq DESC) = 1) g
+          ON g.source_table = c.tbl AND g.op <> 'd') x,
+  LATERAL (SELECT x.tbl, x.op, x.ts_ms, x.seq) c, LATERAL (SELECT x.sink_table) g,
+  LATERAL (SELECT list_filter(x.d, lambda y: y.k = x.sink_row_key)[1].v AS v) kv_key"""
+CTE["live"] = """
+  SELECT r.* FROM routed r LEFT JOIN (SELECT sink_table, row_key, max(seq) AS gone FROM routed WHERE op = 'd' GROUP BY 1, 2) d
+    ON d.sink_table = r.sink_table AND d.row_key = r.row_key
+  WHERE r.op <> 'd' AND (d.gone IS NULL OR r.seq > d.gone)"""
+CTE["cell"] = "SELECT sink_table, row_key, ts_ms, seq, unnest(data).k AS k, unnest(data).v AS v FROM live"
+DIMS = ("latest_line", "topic", "change", "cfg", "routed")
+_ROWS_SQL = """
+SELECT sink_table, row_key, string_agg(k || '=' || v, ';' ORDER BY k || '=' || v) AS cells
+FROM (SELECT sink_table, row_key, k, arg_max(v, seq) AS v FROM cell WHERE coalesce(v, '') <> '' {more} GROUP BY ALL) GROUP BY ALL"""
+#: Columns of the wide dimension rows (K6, K7).
+WIDE = ("id", "uid", "user_id", "order_id", "sku_id", "payment_type", "s_name", "s_nationkey")
+
+ORACLE.update({
+    "cdc_parse": with_ctes("latest_line", "topic") + """
+SELECT tbl AS source_table, op, ts_ms, list_filter(kv, lambda x: x.k = 'id')[1].v AS id, len(kv) AS n_after, n_before FROM topic""",
+    "event_time_pick": with_ctes("latest_line", "topic") + f"""
+SELECT 'cdc' AS src, list_filter(kv, lambda x: x.k = 'id')[1].v AS id, ts_ms AS event_ms FROM topic
+UNION ALL SELECT 'log', CAST(event_id AS VARCHAR), CASE WHEN event_id % 97 = 0 THEN 0 ELSE {ms('ts')} END FROM events""",
+    "src_file_stream": with_ctes("latest_line", "topic") + """
+SELECT tbl AS source_table, list_filter(kv, lambda x: x.k = 'id')[1].v AS id, op, len(kv) AS n_after, ts_ms FROM topic""",
+    "sink_dynamic_topic": with_ctes("latest_line", "topic") + "SELECT 'dwd_' || tbl AS topic, count(*) AS records FROM topic GROUP BY ALL",
     "dim_config_scan": with_ctes("cfg") + """
 SELECT source_table AS "sourceTable", sink_table AS "sinkTable", sink_columns AS "sinkColumns",
-       'info' AS "sinkFamily", 'id' AS "sinkRowKey"
+       'info' AS "sinkFamily", sink_row_key AS "sinkRowKey"
 FROM (SELECT *, row_number() OVER (PARTITION BY source_table ORDER BY seq DESC) AS rn FROM cfg)
 WHERE rn = 1 AND op <> 'd'""",
     "dim_table_plan": with_ctes("cfg") + """
 SELECT seq, 0 AS step, CASE WHEN op IN ('r', 'c') THEN 'create' ELSE 'drop' END AS action, sink_table,
        'info' AS sink_family, CASE WHEN op IN ('r', 'c') THEN sink_columns END AS columns FROM cfg
 UNION ALL SELECT seq, 1, 'create', sink_table, 'info', sink_columns FROM cfg WHERE op = 'u'""",
-    "dim_route": with_ctes(*DIMS_BASE, "routed") + "SELECT source_table, sink_table, op, seq, row_key, n_cols FROM routed",
-    "dim_column_prune": with_ctes(*DIMS_BASE, "routed") + "SELECT sink_table, seq, columns FROM routed",
-    "dim_upsert_merge": with_ctes("sfeed", "sup_live") + """
-SELECT 'dim_supplier' AS sink_table, id AS row_key, id, arg_max(s_name, n) AS s_name,
-       arg_max(nk, n) FILTER (WHERE nk <> '') AS s_nationkey
-FROM sup_live GROUP BY id""",
-    "dim_upsert_md5": with_ctes("sfeed") + """
-SELECT 'dim_supplier' AS sink_table, md5(id) AS row_key, id, arg_max(s_name, n) AS s_name, arg_max(nk, n) AS s_nationkey
-FROM sfeed WHERE op <> 'd' GROUP BY id""",
-    "dim_build": with_ctes("users", "payment_info", "comment_info", "sfeed", "sup_live") + """, cells AS (
-  SELECT 'dim_user_info' AS sink_table, uid AS row_key, k, v FROM (
-    SELECT uid, unnest(['birthday', 'email', 'gender', 'id', 'login_name', 'name', 'phone_num', 'user_level']) AS k,
-           unnest([CAST((CAST(uid AS BIGINT) * 13) % 16000 AS VARCHAR), email,
-                   CASE WHEN gender = 'home' THEN NULL ELSE gender END, uid, login_name, uname, phone_num,
-                   user_level]) AS v
-    FROM users)
-  UNION ALL SELECT 'dim_payment_info', order_id, 'id', order_id FROM payment_info
-  UNION ALL SELECT 'dim_payment_info', order_id, 'payment_type', payment_type FROM payment_info
-  UNION ALL SELECT 'dim_comment_info', id, unnest(['appraise', 'comment_txt', 'create_time', 'id', 'order_id',
-                   'sku_id', 'spu_id', 'user_id']),
-                   unnest([appraise, comment_txt, CAST(create_ms AS VARCHAR), id, user_id, sku_id, sku_id, user_id])
-            FROM comment_info
-  UNION ALL SELECT 'dim_supplier', id, 'id', id FROM sup_live
-  UNION ALL SELECT 'dim_supplier', id, 's_suppkey', CAST(s_suppkey AS VARCHAR) FROM sup_live
-  UNION ALL SELECT 'dim_supplier', id, 's_name', arg_max(s_name, n) FROM sup_live GROUP BY id
-  UNION ALL SELECT 'dim_supplier', id, 's_nationkey', arg_max(nk, n) FILTER (WHERE nk <> '') FROM sup_live GROUP BY id)
-SELECT sink_table, row_key, string_agg(k || '=' || v, ';' ORDER BY k || '=' || v) AS cells
-FROM (SELECT DISTINCT * FROM cells WHERE coalesce(v, '') <> '') GROUP BY sink_table, row_key""",
+    "dim_route": with_ctes(*DIMS) + "SELECT source_table, sink_table, op, seq, row_key, len(data) AS n_cols FROM routed",
+    "dim_column_prune": with_ctes(*DIMS) + """
+SELECT sink_table, seq, array_to_string(list_sort(list_transform(data, lambda x: x.k)), ',') AS columns FROM routed""",
+    "dim_upsert_merge": with_ctes(*DIMS, "live", "cell") + "SELECT sink_table, row_key, " + ", ".join(
+        f"arg_max(v, seq) FILTER (WHERE k = '{c}' AND coalesce(v, '') <> '') AS {c}" for c in WIDE) + " FROM cell GROUP BY ALL",
+    "dim_upsert_md5": with_ctes(*DIMS) + ", last AS (SELECT sink_table, md5(row_key) AS row_key, arg_max(data, seq) AS d FROM routed WHERE op <> 'd' GROUP BY ALL) "
+        "SELECT sink_table, row_key, " + ", ".join(f"list_filter(d, lambda x: x.k = '{c}')[1].v AS {c}" for c in WIDE) + " FROM last",
+    "dim_build": with_ctes(*DIMS, "live", "cell") + _ROWS_SQL.format(more=""),
+    # tables whose config was updated between the halves hold the second half only
+    "dim_build_stream": with_ctes(*DIMS, "live", "cell") + _ROWS_SQL.format(
+        more="AND (sink_table NOT LIKE '%payment%' OR ts_ms > (SELECT (min(ts_ms) + max(ts_ms)) // 2 FROM change))"),
 })
 
 # ------------------------------------------------------------------ design-note tags
@@ -829,14 +905,6 @@ SELECT coalesce(u.uid, b.uid) AS user_id,
 FROM users u FULL JOIN beh b ON u.uid = b.uid""")
 
 ORACLE.update({
-    "src_file_stream": with_ctes("cart_info") + """
-SELECT id, 'r' AS op, CAST(k % 5 + 1 AS VARCHAR) AS sku_num, ts_ms FROM cart_info
-UNION ALL SELECT id, 'u', CAST(k % 5 + 3 AS VARCHAR), ts_ms + 1000 FROM cart_info WHERE k % 7 = 0""",
-    "sink_dynamic_topic": with_ctes("cart_info", "comment_info", "payment_info") + """
-SELECT 'dwd_cart_info' AS topic, (SELECT count(*) FROM cart_info) + (SELECT count(*) FROM cart_info WHERE k % 7 = 0)
-       AS records
-UNION ALL SELECT 'dwd_comment_info', count(*) FROM comment_info
-UNION ALL SELECT 'dwd_payment_info', count(*) FROM payment_info""",
 })
 ORACLE["sink_jsonl_roundtrip"] = ORACLE["dws_cart_uu"]
 
@@ -853,6 +921,33 @@ for _n in ("order_detail", "order_cancel", "pay_success", "order_refund", "refun
 # stream forms of the windows: the feeds arrive in record-time order, a heartbeat closes the last window
 for _n in ("cart_uu", "home_detail_uv", "traffic_dims", "user_login"):
     ORACLE[f"dws_{_n}_stream"] = ORACLE[f"dws_{_n}"]
+ORACLE["dedup_exact_stream"] = ORACLE["dedup_exact"]
+ORACLE["dedup_composite_stream"] = ORACLE["dedup_composite"]
+ORACLE["label_merge_stream"] = ORACLE["label_merge_2_4_6"]
+# forward longest match as a walk over each title's places
+ORACLE["keyword_segment"] = "WITH RECURSIVE " + ", ".join(f"{n} AS ({CTE[n]}\n)" for n in ("parts", "c1", "tree")) + """,
+dict AS (SELECT DISTINCT lower(w) AS word FROM (SELECT tname AS w FROM parts UNION ALL SELECT name FROM c1) WHERE length(w) > 1),
+titles AS (SELECT CAST(p.p_partkey AS VARCHAR) AS sku_id, lower(coalesce(p.tname, '') || coalesce(c1.name, '') || '专卖 ' || p.p_name) AS t
+  FROM parts p LEFT JOIN c1 ON p.p_type = c1.id),
+pieces AS (SELECT sku_id, unnest(ps) AS piece, generate_subscripts(ps, 1) AS i FROM (SELECT sku_id, regexp_extract_all(t, '""" + TOKEN_RE2 + """') AS ps FROM titles)),
+runs AS (SELECT DISTINCT piece AS run FROM pieces WHERE regexp_full_match(piece, '\\p{Han}+')),
+best AS (SELECT run, place, max(length(word)) AS n FROM (SELECT run, unnest(range(1, length(run) + 1)) AS place FROM runs), dict
+  WHERE substr(run, place, length(word)) = word GROUP BY 1, 2),
+walk AS (SELECT run, 1::BIGINT AS place FROM runs
+  UNION ALL SELECT w.run, w.place + coalesce(b.n, 1) FROM walk w LEFT JOIN best b ON b.run = w.run AND b.place = w.place WHERE w.place + coalesce(b.n, 1) <= length(w.run)),
+toks AS (SELECT p.sku_id, p.i, w.place, substr(w.run, w.place, coalesce(b.n, 1)) AS keyword FROM pieces p JOIN walk w ON w.run = p.piece LEFT JOIN best b ON b.run = w.run AND b.place = w.place
+  UNION ALL SELECT sku_id, i, 0, piece FROM pieces WHERE NOT regexp_full_match(piece, '\\p{Han}+'))
+SELECT sku_id, row_number() OVER (PARTITION BY sku_id ORDER BY i, place) - 1 AS pos, keyword FROM toks"""
+ORACLE["ods_snapshot_envelope"] = "\nUNION ALL ".join(
+    f"SELECT 'shop' AS db, '{t}' AS tbl, 'r' AS op, CAST({k} AS VARCHAR) AS id, len(json_keys(to_json({t}))) AS n_fields, "
+    f"len(list_filter(list_transform(json_keys(to_json({t})), lambda c: to_json({t})->>c), lambda x: x IS NOT NULL)) AS n_set FROM {t}"
+    for t, k in (("region", "r_regionkey"), ("nation", "n_nationkey"), ("customer", "c_custkey"), ("supplier", "s_suppkey"),
+                 ("part", "p_partkey"), ("orders", "o_orderkey"), ("lineitem", "l_orderkey")))
+ORACLE["dwd_comment_info_stream"] = ORACLE["dwd_comment_info"]
+ORACLE["dws_province_order_stream"] = ORACLE["dws_province_order"]
+# the windows run on the clock that ends the wait of 5 s after a detail's first version
+ORACLE["dws_sku_order_stream"] = ORACLE["dws_sku_order"].replace(
+    "SELECT ts_ms - ts_ms % 10000 AS ws", "SELECT (ts_ms + 5000) - (ts_ms + 5000) % 10000 AS ws")
 ORACLE["interval_join_stream"] = ORACLE["interval_join"]
 
 _SINK = {"page": ("mid", "is_new", "NULL"), "start": ("mid", "is_new", "NULL"), "err": ("mid", "NULL", "NULL"),
@@ -861,4 +956,3 @@ ORACLE["log_split_stream"] = "\nUNION ALL\n".join(
     [f"""SELECT '{n}' AS sink, "offset", {m} AS mid, CAST({i} AS VARCHAR) AS is_new, CAST({x} AS VARCHAR) AS item
 FROM ({ORACLE['log_split_' + n]})""" for n, (m, i, x) in _SINK.items()]
     + [f"""SELECT 'dirty', "offset", NULL, NULL, NULL FROM ({ORACLE['log_dirty_split']})"""])
-ORACLE["dim_build_stream"] = ORACLE["dim_build"]

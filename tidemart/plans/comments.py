@@ -62,12 +62,3 @@ def sensitive_check(wide: DataFrame, words: DataFrame) -> DataFrame:
     f = flag_last_word(wide, "commentTxt", words)
     return f.select("user_id", F.col("info_consignee").alias("consignee"), "ts_ms", "ds",
                     F.col("commentTxt").alias("msg"), "is_violation", "violation_grade", "violation_msg")
-
-
-def derived_sensitive_words(topic: DataFrame) -> DataFrame:
-    """Word list derived from the comments themselves: the last comma token of
-    every comment."""
-    c = cdc_demux(topic, "comment_info")
-    a = F.col("after")
-    return (c.select(F.coalesce(sc.last_token(a["comment_txt"], ","), F.lit("")).alias("word"))
-            .where(F.col("word") != "").distinct())

@@ -33,18 +33,14 @@ def province_order(detail: DataFrame, province: DataFrame, width="10 seconds", t
     return out.select(*label_columns(width, tz), "province_id", "province_name", "order_count", "order_amount")
 
 
-def sku_order(detail: DataFrame, sku: DataFrame, spu: DataFrame, tm: DataFrame, c3: DataFrame, c2: DataFrame,
-              c1: DataFrame, width="10 seconds", tz: str = "UTC") -> DataFrame:
-    """Latest version per detail id, sums per (window, sku), then
-    sku -> spu / trademark / category3 -> 2 -> 1 names."""
-    latest = dedup_latest(detail.select("id", "sku_id", "split_original_amount", "split_activity_amount",
-                                        "split_coupon_amount", "split_total_amount", "ts_ms", "seq"),
-                          "id", "ts_ms", "seq")
-    amt = {"original_amount": "split_original_amount", "activity_reduce_amount": "split_activity_amount",
-           "coupon_reduce_amount": "split_coupon_amount", "order_amount": "split_total_amount"}
-    agg = (latest.withColumn("wstart", window_start("ts_ms", width)).groupBy("wstart", "sku_id")
-           .agg(*[F.sum(F.coalesce(F.col(src).cast("decimal(18,4)"), F.lit(0))).cast("decimal(22,4)").alias(dst)
-                  for dst, src in amt.items()]))
+#: Amounts of the sku windows and the detail columns they sum.
+SKU_AMOUNTS = {"original_amount": "split_original_amount", "activity_reduce_amount": "split_activity_amount",
+               "coupon_reduce_amount": "split_coupon_amount", "order_amount": "split_total_amount"}
+
+
+def sku_names(agg: DataFrame, sku: DataFrame, spu: DataFrame, tm: DataFrame, c3: DataFrame, c2: DataFrame,
+              c1: DataFrame, width, tz: str = "UTC") -> DataFrame:
+    """Window sums per sku -> sku -> spu / trademark / category3 -> 2 -> 1 names."""
     out = D.enrich(agg, sku, "sku_id", "id", {"sku_name": "sku_name", "spu_id": "spu_id", "trademark_id": "tm_id",
                                              "category3_id": "category3_id"})
     out = D.enrich(out, spu, "spu_id", "id", {"spu_name": "spu_name"})
@@ -52,7 +48,18 @@ def sku_order(detail: DataFrame, sku: DataFrame, spu: DataFrame, tm: DataFrame,
     out = D.category_cascade(out, "category3_id", c3, c2, c1)
     return out.select(*label_columns(width, tz), "trademark_id", "trademark_name", "category1_id", "category1_name",
                       "category2_id", "category2_name", "category3_id", "category3_name", "sku_id", "sku_name",
-                      "spu_id", "spu_name", *amt.keys())
+                      "spu_id", "spu_name", *SKU_AMOUNTS)
+
+
+def sku_order(detail: DataFrame, sku: DataFrame, spu: DataFrame, tm: DataFrame, c3: DataFrame, c2: DataFrame,
+              c1: DataFrame, width="10 seconds", tz: str = "UTC") -> DataFrame:
+    """Latest version per detail id, sums per (window, sku), then
+    sku -> spu / trademark / category3 -> 2 -> 1 names."""
+    latest = dedup_latest(detail.select("id", "sku_id", *SKU_AMOUNTS.values(), "ts_ms", "seq"), "id", "ts_ms", "seq")
+    agg = (latest.withColumn("wstart", window_start("ts_ms", width)).groupBy("wstart", "sku_id")
+           .agg(*[F.sum(F.coalesce(F.col(src).cast("decimal(18,4)"), F.lit(0))).cast("decimal(22,4)").alias(dst)
+                  for dst, src in SKU_AMOUNTS.items()]))
+    return sku_names(agg, sku, spu, tm, c3, c2, c1, width, tz)
 
 
 def cart_uu(cart: DataFrame, width="2 seconds", tz: str = "UTC") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as sc
 from ..functions import weights as W
 from ..operators.dedup import arrival_chunk, dedup_exact, strictly_newer
+from ..operators.dims import dedup_dim
 from ..operators.envelope import cdc_demux
 from ..operators.joins import interval_join
 from ..operators.logs import device_search_flatten
@@ -106,9 +107,10 @@ def base4(spark: SparkSession, topic: DataFrame, sku_wide: DataFrame, tree: Data
     brand / category scores."""
     j = strictly_newer(order_detail_join(topic, tz), "detail_id", "create_time", "seq",
                        chunk=arrival_chunk("seq"))
-    sw = sku_wide.select(F.col("skuid").alias("_skuid"), "c3id", "tname")
+    # list lookups of the reference: the first match counts
+    sw = dedup_dim(sku_wide.select(F.col("skuid").alias("_skuid"), "c3id", "tname"), "_skuid")
     j = j.join(sw, j.sku_id == sw._skuid, "left").drop("_skuid")
-    tr = tree.select(F.col("id").alias("_c3"), F.col("b1name").alias("b1_name"))
+    tr = dedup_dim(tree.select(F.col("id").alias("_c3"), F.col("b1name").alias("b1_name")), "_c3")
     j = j.join(tr, j.c3id == tr._c3, "left").drop("_c3")
     j = W.score(j, spark, "pay_time", F.col("pay_time_slot"), ~sc.empty_or_null(F.col("pay_time_slot")))
     j = W.score(j, spark, "amount", W.amount_class(F.col("total_amount")))
@@ -194,8 +196,8 @@ def base2(spark: SparkSession, pages: DataFrame, tree: DataFrame, compare: DataF
     """Running profile per 2-minute window, os / search-class scoring."""
     p = running_profile(device_rows(pages), width)
     p = p.withColumn("judge_os", sc.first_token(F.col("os"), ","))
-    # search words -> top category by category3 name (map load: last duplicate wins; names are unique here)
-    tr = tree.select(F.col("b3name").alias("_b3"), F.col("b1name").alias("b1_category"))
+    # search words -> top category by category3 name (map load: the last duplicate wins, J12)
+    tr = dedup_dim(tree.select(F.col("b3name").alias("_b3"), F.col("b1name").alias("b1_category")), "_b3", "last")
     p = p.join(tr, (p.search_item == tr._b3) & (F.col("search_item") != ""), "left").drop("_b3")
     # top category -> search class (first match of the compare list)
     cmp = (compare.groupBy("category_name").agg(F.min_by("search_category", "id").alias("_sc"))

@@ -283,7 +283,7 @@ def q_rollup_uv_by_channel(spark, sf_dir):
 
 @query("cdc_parse")
 def q_cdc_parse(spark, sf_dir):
-    raw = env_ops.envelope_to_json(_topic(spark, sf_dir, "order_info", "cart_info"))
+    raw = env_ops.envelope_to_json(_topic(spark, sf_dir))
     env = env_ops.parse_cdc(raw)
     return env.select(F.col("source")["table"].alias("source_table"), "op", "ts_ms",
                       F.col("after")["id"].alias("id"), F.size("after").alias("n_after"),
@@ -317,18 +317,24 @@ def q_cdc_image(spark, sf_dir):
             .join(b.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name_nonempty"), "ts_ms"), "id"))
 
 
+ODS_KEYS = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey",
+            "part": "p_partkey", "orders": "o_orderkey", "lineitem": "l_orderkey"}
+
+
 @query("ods_snapshot_envelope")
 def q_ods_snapshot_envelope(spark, sf_dir):
-    sup = fx.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    env = env_ops.snapshot_to_envelope(sup, fx.DB, "supplier")
-    return env.select(F.col("source")["db"].alias("db"), F.col("source")["table"].alias("tbl"), "op",
-                      F.col("after")["s_suppkey"].alias("s_suppkey"), F.col("after")["s_name"].alias("s_name"),
-                      F.col("after")["s_nationkey"].alias("s_nationkey"), F.size("after").alias("n_fields"))
+    """Every row and column of the shop's tables as snapshot records of one topic."""
+    def records(tbl, key):
+        env = env_ops.snapshot_to_envelope(fx.table(spark, sf_dir, tbl), fx.DB, tbl)
+        return env.select(F.col("source")["db"].alias("db"), F.col("source")["table"].alias("tbl"), "op",
+                          F.col("after")[key].alias("id"), F.size("after").alias("n_fields"),
+                          F.size(F.map_filter("after", lambda _, v: v.isNotNull())).alias("n_set"))
+    return functools.reduce(DataFrame.unionByName, [records(t, k) for t, k in ODS_KEYS.items()])
 
 
 @query("event_time_pick")
 def q_event_time_pick(spark, sf_dir):
-    cdc = env_ops.envelope_to_json(_topic(spark, sf_dir, "cart_info")).select(
+    cdc = env_ops.envelope_to_json(_topic(spark, sf_dir)).select(
         F.lit("cdc").alias("src"), F.get_json_object("value", "$.after.id").alias("id"), "value")
     logs = fx.page_log_topic(spark, sf_dir).select(F.lit("log").alias("src"), F.col("offset").cast("string")
                                                    .alias("id"), "value")
@@ -461,6 +467,33 @@ def q_dedup_exact(spark, sf_dir):
     return dd.dedup_exact(d.select("uid", day.alias("day"), *_device_cols(), "search_item"))
 
 
+@query("dedup_exact_stream")
+def q_dedup_exact_stream(spark, sf_dir):
+    """T13 [S]: page records as they arrive; one of those that agree in everything but the time within a day."""
+    from .streaming import dedup as SX
+
+    def build(logs):
+        d = lg.device_search_flatten(lg.split_logs(logs)["page"])
+        rows = d.select("uid", sc.ms_to_date_str(F.col("ts")).alias("day"), *_device_cols(), "search_item", "ts")
+        day = 86_400_000
+        return SX.exact(rows, "ts", [c for c in rows.columns if c != "ts"], until=F.col("ts") - F.pmod("ts", F.lit(day)) + day)
+    return _log_stream(spark, sf_dir, "dedup_exact", build, beat=False)
+
+
+@query("dedup_composite_stream")
+def q_dedup_composite_stream(spark, sf_dir):
+    """T14 [S], exact form, over every order detail version."""
+    from .streaming import dedup as SX
+    from .streaming import runners as R
+    cols = ["order_id", "ts_ms", "id", "sku_id", "seq"]
+    v = _detail_versions(spark, sf_dir).select(*cols)
+    lo, hi = v.agg(F.min("ts_ms"), F.max("ts_ms")).first()
+    mid = ((lo or 0) + (hi or 0)) // 2
+    return R.replay(spark, [_lines(v.where(F.col("ts_ms") <= mid)), _lines(v.where(F.col("ts_ms") > mid))],
+                    lambda raw: SX.first_arrival(_records(raw, v.schema), ["order_id", "ts_ms"], "seq", "ts_ms", cols),
+                    "dedup_composite")
+
+
 @query("label_running_profile")
 def q_label_running_profile(spark, sf_dir):
     return lb.running_profile_records(lb.device_rows(_pages(spark, sf_dir), keep_offset=True))
@@ -533,6 +566,35 @@ def q_label_merge_2_4_6(spark, sf_dir):
                     "pay_time_slot", "tname", "b1_name", "gender", "age", "zodiac_sign")
 
 
+MERGED = ["uid", "base2_ts_ms", "detail_id", "ts_ms", "base6_ts_ms", "pv", "judge_os", "search_category", "pay_time_slot",
+          "tname", "b1_name", "gender", "age", "zodiac_sign"]
+
+
+@query("label_merge_stream")
+def q_label_merge_stream(spark, sf_dir):
+    """L22/J6 [S]: the three label topics in two halves by record time, merged as they arrive."""
+    from .streaming import labels as SL
+    from .streaming import runners as R
+    b2, b4, b6 = q_label_base2(spark, sf_dir), q_label_base4(spark, sf_dir), q_label_base6(spark, sf_dir)
+    topics = {"base2": b2.select("uid", "ts_ms", "pv", "judge_os", "search_category"),
+              "base4": b4.select("uid", "ts_ms", "detail_id", "pay_time_slot", "tname", "b1_name"),
+              "base6": b6.select("uid", "ts_ms", "gender", "age", "zodiac_sign")}
+    path = _scratch(spark, "label_topics")
+    for name, df in topics.items():
+        df.write.parquet(f"{path}/{name}")
+    topics = {n: spark.read.schema(df.schema).parquet(f"{path}/{n}") for n, df in topics.items()}
+    ends = [df.agg(F.min("ts_ms"), F.max("ts_ms")).first() for df in topics.values()]
+    lo, hi = min(e[0] or 0 for e in ends), max(e[1] or 0 for e in ends)
+    mid = (lo + hi) // 2
+
+    def phase(pick):
+        return functools.reduce(DataFrame.unionByName, [SL.records(pick(n, df), n) for n, df in topics.items()])
+    phases = [phase(lambda _, df: df.where(F.col("ts_ms") <= mid)), phase(lambda _, df: df.where(F.col("ts_ms") > mid)),
+              phase(lambda n, df: SL.heartbeat(df, n, hi + 7 * 86_400_000))]
+    return R.replay(spark, phases, lambda raw: SL.merge(*[SL.branch(raw, n, df.schema) for n, df in topics.items()]).select(*MERGED),
+                    "label_merge")
+
+
 @query("label_age_band")
 def q_label_age_band(spark, sf_dir):
     return lb.age_band(_b24(spark, sf_dir))
@@ -552,6 +614,19 @@ def q_keyword_tokenize(spark, sf_dir):
     return tx.explode_tokens(_search_pages(spark, sf_dir), "fullword").select("offset", "fullword", "keyword")
 
 
+@query("keyword_segment")
+def q_keyword_segment(spark, sf_dir):
+    """U1 with a dictionary: sku titles, brand and category run together as shops write them, cut by the names that the
+    trademark and category tables hold."""
+    d = _dims(spark, sf_dir)
+    brand, kind = d["tm"].select("id", "tm_name"), _tree(spark, sf_dir).select(F.col("id").alias("c3"), "b1name")
+    sku = D.enrich(d["sku"], brand, "tm_id", "id", {"tm_name": "tm_name"})
+    sku = D.enrich(sku, kind, "category3_id", "c3", {"b1name": "b1name"})
+    title = sku.select(F.col("id").alias("sku_id"), F.concat(F.coalesce("tm_name", F.lit("")), F.coalesce("b1name", F.lit("")), F.lit("专卖 "), "sku_name").alias("title"))
+    words = brand.select(F.col("tm_name").alias("word")).union(d["c1"].select("name"))
+    return tx.explode_segments(title, "title", words).select("sku_id", F.col("pos").cast("long").alias("pos"), "keyword")
+
+
 @query("dws_keyword")
 def q_dws_keyword(spark, sf_dir):
     return dws.keyword(tx.explode_tokens(_search_pages(spark, sf_dir), "fullword"), EVENT_WINDOW)
@@ -583,8 +658,11 @@ def q_comment_wide(spark, sf_dir):
 
 @query("comment_sensitive")
 def q_comment_sensitive(spark, sf_dir):
-    t = _comment_topic(spark, sf_dir)
-    return cm.sensitive_check(cm.comment_wide(t, fx.base_dic(spark)), cm.derived_sensitive_words(t))
+    """L18 against a word list file that is not made of the comments."""
+    path = _scratch(spark, "sensitive_words")
+    fx.sensitive_word_file(spark, sf_dir, path)
+    wide = cm.comment_wide(_comment_topic(spark, sf_dir), fx.base_dic(spark))
+    return cm.sensitive_check(wide, tx.word_list(spark, path))
 
 
 # ---------------------------------------------------------------- generic joins / lookups
@@ -619,8 +697,7 @@ def q_interval_join(spark, sf_dir):
 # ---------------------------------------------------------------- config-driven dims (L1: J13, P8, K6, K7, K10, S5)
 
 def _dim_topic(spark, sf_dir):
-    return _topic(spark, sf_dir, "user_info", "payment_info", "cart_info", "comment_info").unionByName(
-        fx.supplier_change_feed(spark, sf_dir))
+    return _topic(spark, sf_dir).unionByName(fx.supplier_change_feed(spark, sf_dir))
 
 
 def _routed(spark, sf_dir):
@@ -659,16 +736,18 @@ def q_dim_column_prune(spark, sf_dir):
     return r.select("sink_table", "seq", F.array_join(F.array_sort(F.map_keys("data")), ",").alias("columns"))
 
 
+#: Columns of the wide dimension rows: a sink table has null where it lacks one.
+WIDE = ["id", "uid", "user_id", "order_id", "sku_id", "payment_type", "s_name", "s_nationkey"]
+
+
 @query("dim_upsert_merge")
 def q_dim_upsert_merge(spark, sf_dir):
-    r = _routed(spark, sf_dir).where(F.col("sink_table") == "dim_supplier")
-    return D.upsert_merge(r, ["id", "s_name", "s_nationkey"])
+    return D.upsert_merge(_routed(spark, sf_dir), WIDE)
 
 
 @query("dim_upsert_md5")
 def q_dim_upsert_md5(spark, sf_dir):
-    r = _routed(spark, sf_dir).where(F.col("sink_table") == "dim_supplier")
-    return D.upsert_md5(r, ["id", "s_name", "s_nationkey"])
+    return D.upsert_md5(_routed(spark, sf_dir), WIDE)
 
 
 @query("dim_build")
@@ -680,17 +759,28 @@ def q_dim_build(spark, sf_dir):
 
 @query("dim_build_stream")
 def q_dim_build_stream(spark, sf_dir):
-    """L1 [S]: the change topic as JSON lines in two halves by record time, merged batch by batch, read back."""
+    """L1 [S]: the change topic as JSON lines in two halves by record time, merged batch by batch, read back. The config
+    topic's snapshot is there before the first half; its updates and deletes arrive between the halves, so tables with
+    an updated config hold the second half only, and those with a deleted one are gone."""
     from .streaming import dimbuild as SB
     from .streaming import runners as R
     t = _dim_topic(spark, sf_dir)
-    cfg = db.config_feed(t)
+    feed = db.config_feed(t).select(*SB.CONFIG_COLUMNS)
+    base = _scratch(spark, "dim_build_stream")
+    config = R.UpsertTable(f"{base}/config", SB.CONFIG_KEYS, "seq", buckets=1)
+    cells = R.UpsertTable(f"{base}/cells", SB.CELL_KEYS, "seq")
+    changes = [_lines(feed.where("op = 'r'")), _lines(feed.where("op <> 'r'"))]
+
+    def before(i):
+        R.replay_path(spark, changes[i:i + 1], lambda raw: _records(raw, feed.schema), f"dim_config{i}",
+                      lambda _: lambda batch, n: SB.keep_config(config, f"{base}/ddl")(batch, i))
     lo, hi = t.agg(F.min("ts_ms"), F.max("ts_ms")).first()
     mid = ((lo or 0) + (hi or 0)) // 2
-    cells = R.UpsertTable(_scratch(spark, "dim_cells"), SB.CELL_KEYS, "seq")
     R.replay_path(spark, [_lines(t.where(F.col("ts_ms") <= mid)), _lines(t.where(F.col("ts_ms") > mid))],
-                  lambda raw: _records(raw, t.schema), "dim_build", lambda _: SB.merge_into(cells, lambda: cfg, fx.DB))
-    return SB.dimension_rows(cells.read(spark)).select("sink_table", "row_key", _kv(F.col("data")).alias("cells"))
+                  lambda raw: _records(raw, t.schema), "dim_build",
+                  lambda _: SB.merge_into(cells, R.Pinned(config, f"{base}/pins"), fx.DB), before=before)
+    rows = SB.dimension_rows(cells.read(spark), config.read(spark))
+    return rows.select("sink_table", "row_key", _kv(F.col("data")).alias("cells"))
 
 
 # ---------------------------------------------------------------- design-note tags
@@ -773,15 +863,16 @@ def _scratch(spark, name):
 
 @query("src_file_stream")
 def q_src_file_stream(spark, sf_dir):
-    """S1 [S]: the cart change topic written as JSON lines, consumed as a file
+    """S1 [S]: the change topic written as JSON lines, consumed as a file
     stream (several micro-batches), parsed and projected."""
     from .streaming import runners as R
-    path = _scratch(spark, "topic_cart")
-    raw = env_ops.envelope_to_json(_topic(spark, sf_dir, "cart_info"))
+    path = _scratch(spark, "topic_db")
+    raw = env_ops.envelope_to_json(_topic(spark, sf_dir))
     R.write_jsonl(raw, path)
     stream = spark.readStream.option("maxFilesPerTrigger", 2).text(path)
     env = env_ops.parse_cdc(stream)
-    flat = env.select(F.col("after")["id"].alias("id"), "op", F.col("after")["sku_num"].alias("sku_num"), "ts_ms")
+    flat = env.select(F.col("source")["table"].alias("source_table"), F.col("after")["id"].alias("id"), "op",
+                      F.size("after").alias("n_after"), "ts_ms")
     return R.run_available_now(flat, "src_file_stream")
 
 
@@ -842,12 +933,59 @@ def q_dwd_refund_pay_success_stream(spark, sf_dir):
                        SJ.refund_pay_success)
 
 
+@query("dwd_comment_info_stream")
+def q_dwd_comment_info_stream(spark, sf_dir):
+    """L3/J4 [S]: the comment topic in two halves by record time, each joined to the dictionary of its moment."""
+    from .streaming import comments as SC
+    from .streaming import runners as R
+    base = _scratch(spark, "dwd_comment_stream")
+    dic = R.UpsertTable(f"{base}/dic", SC.DIC_KEYS, "seq", buckets=1)
+    codes = fx.base_dic(spark)
+    own = env_ops.snapshot_to_envelope(codes, fx.DB, "base_dic").withColumn("seq", F.lit("1"))
+    R.replay_path(spark, [_lines(own)], lambda raw: _records(raw, own.schema), "dic", lambda _: SC.keep_dictionary(dic))
+    t = _topic(spark, sf_dir, "comment_info").drop("seq")
+    lo, hi = t.agg(F.min("ts_ms"), F.max("ts_ms")).first()
+    mid = ((lo or 0) + (hi or 0)) // 2
+    parts = [t.where(F.col("ts_ms") <= mid), t.where(F.col("ts_ms") > mid)]
+    out = R.replay_path(spark, [env_ops.envelope_to_json(p) for p in parts], env_ops.parse_cdc, "dwd_comment",
+                        SC.comment_facts(R.Pinned(dic, f"{base}/pins")))
+    return spark.read.parquet(out).drop("batch", "dic_version")
+
+
 @query("dws_cart_uu_stream")
 def q_dws_cart_uu_stream(spark, sf_dir):
     from .streaming import dws as SD
     return _dwd_stream(spark, sf_dir, "dws_cart_uu", ("cart_info",), lambda t: SD.cart_uu(t, EVENT_WINDOW))
 
 
+def _detail_stream(spark, sf_dir, name, build):
+    """[S] form of a job on the order detail topic (L5's output, every version): two halves by record time, then a
+    heartbeat beyond every window and timer."""
+    from .streaming import dws as SD
+    from .streaming import runners as R
+    detail = dwd.order_detail(_topic(spark, sf_dir), keep_seq=True)
+    lo, hi = detail.agg(F.min("ts_ms"), F.max("ts_ms")).first()
+    lo, hi = lo or 0, hi or 0
+    mid = (lo + hi) // 2
+    parts = [detail.where(F.col("ts_ms") <= mid), detail.where(F.col("ts_ms") > mid),
+             SD.detail_heartbeat(detail, hi + 3_600_000)]
+    return R.replay(spark, [_lines(p) for p in parts], lambda raw: build(_records(raw, detail.schema)), name)
+
+
+@query("dws_province_order_stream")
+def q_dws_province_order_stream(spark, sf_dir):
+    from .streaming import dws as SD
+    province = fx.province_dim(spark, sf_dir)
+    return _detail_stream(spark, sf_dir, "dws_province_order", lambda d: SD.province_order(d, province, "10 seconds"))
+
+
+@query("dws_sku_order_stream")
+def q_dws_sku_order_stream(spark, sf_dir):
+    from .streaming import dws as SD
+    dims = _dims(spark, sf_dir)
+    return _detail_stream(spark, sf_dir, "dws_sku_order", lambda d: SD.sku_order(d, dims, "10 seconds"))
+
+
 def _log_phases(spark, sf_dir):
     """The raw page-log topic in two halves by record time (records whose time can't be read come first), then a
     heartbeat; JSON lines of (offset, value)."""
@@ -865,10 +1003,10 @@ def _log_phases(spark, sf_dir):
 RAW_LOG = "offset long, value string"
 
 
-def _log_stream(spark, sf_dir, name, build):
+def _log_stream(spark, sf_dir, name, build, beat=True):
     """[S] form of a page-log job, records parsed as they arrive."""
     from .streaming import runners as R
-    return R.replay(spark, _log_phases(spark, sf_dir),
+    return R.replay(spark, _log_phases(spark, sf_dir)[:3 if beat else 2],
                     lambda line: build(lg.parse_logs(_records(line, RAW_LOG))[0]), name)
 
 
@@ -878,7 +1016,7 @@ def q_log_split_stream(spark, sf_dir):
     from .streaming import logs as SL
     from .streaming import runners as R
     out = R.replay_path(spark, _log_phases(spark, sf_dir)[:2], lambda line: SL.repaired(_records(line, RAW_LOG)),
-                        "log_split", SL.split_sinks)
+                        "log_split", SL.split_sinks, no_data_batches=False)
     none, mid = F.lit(None).cast("string"), F.col("common.mid")
     is_new = F.col("common.is_new")
     cols = {"page": (mid, is_new, none), "start": (mid, is_new, none), "err": (mid, none, none),
@@ -967,7 +1105,7 @@ def q_sink_dynamic_topic(spark, sf_dir):
     """K2: each record routed to the topic named by its config (dwd_<table>),
     written one folder per topic; read back as (topic, records)."""
     from .streaming import runners as R
-    t = _topic(spark, sf_dir, "cart_info", "comment_info", "payment_info")
+    t = _topic(spark, sf_dir)
     routed = t.select(F.concat(F.lit("dwd_"), F.col("source")["table"]).alias("topic"),
                       F.to_json(F.struct("after", "op", "ts_ms")).alias("value"))
     path = _scratch(spark, "sink_topics")

@@ -223,7 +223,7 @@ def cart_info_env(spark, sf_dir) -> DataFrame:
 
 
 def comment_info_env(spark, sf_dir) -> DataFrame:
-    cv = table(spark, sf_dir, "conversations").where(F.col("role") == "user")
+    cv = table(spark, sf_dir, "conversations")
     create = F.lit(T0_MS) + F.col("conv_id") * 1000 + F.col("turn") * 10
     return to_envelope(cv, "comment_info", {
         "id": F.concat_ws("-", _s(F.col("conv_id")), _s(F.col("turn"))),
@@ -531,6 +531,12 @@ def supplier_change_feed(spark, sf_dir) -> DataFrame:
     ])
 
 
+def sensitive_word_file(spark, sf_dir, path: str) -> None:
+    """The external word list (S8): a text folder with what stands between commas and line ends in ``documents``."""
+    d = table(spark, sf_dir, "documents")
+    d.select(F.explode(F.split("text", "[,\n]")).alias("value")).where("value <> ''").distinct().write.text(path)
+
+
 def jdbc_scan(spark: SparkSession, url: str, query: str, properties: dict | None = None,
               camel_case: bool = False, partition_column: str | None = None, lower: int = 0, upper: int = 0,
               num_partitions: int = 1) -> DataFrame:

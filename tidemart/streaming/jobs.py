@@ -24,9 +24,12 @@ def first_of_day(df: DataFrame, key: str, ts: str, order: list[str], columns: li
                    time_mode="ProcessingTime" if ttl_ms else "None")
 
 
-def strictly_newer(df: DataFrame, key: str, ts: str, seq: str, columns: list[str]) -> DataFrame:
-    """T12 stream."""
-    return P.apply(df, [key], P.StrictlyNewer(ts, seq, columns), _schema(df, columns))
+def strictly_newer(df: DataFrame, key: str, ts: str, seq: str, columns: list[str],
+                   ttl_ms: int | None = None) -> DataFrame:
+    """T12 stream; a key is forgotten ``ttl_ms`` of processing time after its last row (1 day by ts_ms, 1 h by
+    create_time in the reference)."""
+    return P.apply(df, [key], P.StrictlyNewer(ts, seq, columns, ttl_ms), _schema(df, columns),
+                   time_mode="ProcessingTime" if ttl_ms else "None")
 
 
 def retract_versions(df: DataFrame, key: str, seq: str, columns: list[str], amount: str) -> DataFrame:
@@ -37,19 +40,26 @@ def retract_versions(df: DataFrame, key: str, seq: str, columns: list[str], amou
 
 
 def latest_after_wait(df: DataFrame, key: str, ts: str, seq: str, columns: list[str], wait_ms: int = 5000,
-                      watermark: str = "0 seconds") -> DataFrame:
-    """T10 stream: latest version emitted when the event-time timer fires."""
+                      watermark: str = "0 seconds", processing: bool = False) -> DataFrame:
+    """T10 stream: latest version emitted when the event-time timer fires, or with ``processing`` the timer of the
+    machine's clock."""
+    if processing:
+        schema = StructType([StructField(c, StringType()) for c in columns])
+        return P.apply(df.select(*[F.col(c).cast("string") for c in columns]), [key],
+                       P.LatestAfterWait(ts, seq, columns, wait_ms, processing=True), schema, time_mode="ProcessingTime")
     ev = df.withColumn("_et", F.timestamp_millis(F.col(ts))).withWatermark("_et", watermark)
     schema = StructType([StructField(c, StringType()) for c in columns])
     return P.apply(ev.select("_et", *[F.col(c).cast("string").alias(c) if c != ts else F.col(c) for c in columns]),
                    [key], P.LatestAfterWait(ts, seq, columns, wait_ms), schema, time_mode="EventTime")
 
 
-def fix_is_new(flat: DataFrame, columns: list[str]) -> DataFrame:
+def fix_is_new(flat: DataFrame, columns: list[str], ttl_ms: int | None = None) -> DataFrame:
     """T8 stream over flat page rows (mid, ts, offset, is_new, ...); emits
-    ``columns`` plus the repaired ``is_new``."""
+    ``columns`` plus the repaired ``is_new``. No record is dropped as late, so state ends by ``ttl_ms`` of processing
+    time after a mid's last record (``run_available_now`` and ``replay`` end such a query with its data)."""
     cols = [c for c in columns if c != "is_new"]
-    return P.apply(flat, ["mid"], P.FixIsNew(cols), _schema(flat, cols + ["is_new"]))
+    return P.apply(flat, ["mid"], P.FixIsNew(cols, ttl_ms), _schema(flat, cols + ["is_new"]),
+                   time_mode="ProcessingTime" if ttl_ms else "None")
 
 
 def running_profile(rows: DataFrame) -> DataFrame:

@@ -12,6 +12,9 @@ from ..operators.envelope import dirty_split
 from ..operators.logs import LOG_SCHEMA, split_logs
 from .jobs import fix_is_new
 
+#: A mid without records for this long (processing time) is met as a new one.
+FORGET_MS = 90 * 86_400_000
+
 
 def repaired(raw: DataFrame) -> DataFrame:
     """Raw records (offset, value) -> (offset, value, is_new, dirty): the new-visitor flag repaired by keyed state;
@@ -20,7 +23,7 @@ def repaired(raw: DataFrame) -> DataFrame:
     rows = ok.select("offset", "value", F.get_json_object("value", "$.common.mid").alias("mid"),
                      F.get_json_object("value", "$.ts").cast("long").alias("ts"),
                      F.get_json_object("value", "$.common.is_new").alias("is_new"))
-    fixed = fix_is_new(rows, ["offset", "value", "mid", "ts"])
+    fixed = fix_is_new(rows, ["offset", "value", "mid", "ts"], FORGET_MS)
     return (fixed.select("offset", "value", "is_new", F.lit(False).alias("dirty"))
             .unionByName(dirty.select("offset", "value", F.lit(None).cast("string").alias("is_new"),
                                       F.lit(True).alias("dirty"))))

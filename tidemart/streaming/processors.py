@@ -5,12 +5,17 @@ micro-batch's rows of one key sorted by (event time, arrival sequence), so the
 result matches the batch body in ``tidemart.operators.dedup`` whatever the
 micro-batch boundaries are. Per-key work is a small pandas loop over that key's
 rows in the batch; state stays O(1) per key (O(distinct values) for sets).
+
+State ends (T6): by an event-time timer once the watermark has left a key's last record ``idle_ms`` behind, or, where
+late records must not be dropped and so no watermark is set, by a processing-time TTL.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -23,7 +28,7 @@ def _rows(batches: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
     if not frames:
         return pd.DataFrame()
     df = pd.concat(frames, ignore_index=True)
-    return df.sort_values(order, kind="stable").reset_index(drop=True)
+    return df.sort_values(order, kind="stable").reset_index(drop=True) if order else df
 
 
 def _day(ms: int | None, offset_ms: int = 0) -> str | None:
@@ -40,35 +45,80 @@ def apply(df: DataFrame, keys: list[str], processor: StatefulProcessor, out_sche
         eventTimeColumnName=event_time_column)
 
 
+class KeyLife:
+    """Lets all state of an idle key go. A key has one timer; when it fires too early, because records came since,
+    it is set again for the key's last record plus ``idle_ms``. Without ``idle_ms`` a key lives on."""
+
+    idle_ms: int | None = None
+
+    def live(self, handle: StatefulProcessorHandle, *states) -> None:
+        self.handle, self.states = handle, states
+        self.seen = handle.getValueState("last_seen", "ms long") if self.idle_ms else None
+
+    def touch(self, newest, timerValues) -> bool:
+        """Notes the key's newest record; whether the key is new."""
+        if not self.idle_ms:
+            return False
+        newest = max(0 if pd.isna(newest) else int(newest), timerValues.getCurrentWatermarkInMs())
+        seen = self.seen.get()
+        if seen is None:
+            self.handle.registerTimer(newest + self.idle_ms)
+        if seen is None or seen[0] < newest:
+            self.seen.update((newest,))
+        return seen is None
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        seen = self.seen.get() if self.idle_ms else None
+        if seen is not None:
+            due = seen[0] + self.idle_ms
+            if due > timerValues.getCurrentWatermarkInMs():
+                self.handle.registerTimer(due)
+            else:
+                for state in (*self.states, self.seen):
+                    state.clear()
+        return iter([])
+
+
 class FirstOfDay(StatefulProcessor):
     """The first row of each key per day (``flag=False``), or every row with
     a ``first_flag`` column (``flag=True``). State: the days seen, so that a day
-    that comes again out of order is not counted twice; with an event-time
-    watermark, days before it are let go (their rows are dropped as late). 1-day TTL."""
+    that comes again out of order is not counted twice. With ``timers`` (event time) a day
+    is let go once the watermark has passed its end, as its rows are dropped as late from
+    then on; a key without days has no state. Else a processing-time TTL, 1 day by default."""
 
     def __init__(self, ts: str, order: list[str], columns: list[str], flag: bool = False, tz_offset_ms: int = 0,
-                 ttl_ms: int | None = DAY_MS):
+                 ttl_ms: int | None = DAY_MS, timers: bool = False):
         self.ts, self.order, self.columns, self.flag = ts, order, columns, flag
-        self.tz_offset_ms, self.ttl_ms = tz_offset_ms, ttl_ms
+        self.tz_offset_ms, self.ttl_ms, self.timers = tz_offset_ms, None if timers else ttl_ms, timers
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.days = handle.getValueState("days", "d array<string>", self.ttl_ms)
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if (held := self.days.get()) is not None:
+            oldest = _day(timerValues.getCurrentWatermarkInMs(), self.tz_offset_ms)
+            days = [d for d in held[0] if d is not None and d >= oldest]
+            if days:
+                self.days.update((days,))
+            else:
+                self.days.clear()
+        return iter([])
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _rows(rows, self.order)
         if df.empty:
             return
-        days = set(self.days.get()[0]) if self.days.exists() else set()
+        days = set((self.days.get() or [()])[0])
         keep = []
         for ts in df[self.ts]:
             d = _day(ts, self.tz_offset_ms)
             keep.append(d not in days)
+            if self.timers and d not in days:
+                end = DAY_MS if d is None else pd.Timestamp(d).value // 1_000_000 + DAY_MS - self.tz_offset_ms
+                self.handle.registerTimer(max(end, timerValues.getCurrentWatermarkInMs() + 1))
             days.add(d)
-        mark = timerValues.getCurrentWatermarkInMs()
-        if mark > 0:
-            oldest = _day(mark, self.tz_offset_ms)
-            days = {d for d in days if d >= oldest}
-        self.days.update((sorted(days),))
+        self.days.update((sorted(days, key=str),))
         out = df[self.columns].copy()
         if self.flag:
             out["first_flag"] = [1 if k else 0 for k in keep]
@@ -80,21 +130,23 @@ class FirstOfDay(StatefulProcessor):
         pass
 
 
-class ReturningUser(StatefulProcessor):
+class ReturningUser(KeyLife, StatefulProcessor):
     """The first login of each user and day, with ``back`` = 1 when the login
-    day before it lies ``back_days`` or more days back. State: the last login day."""
+    day before it lies ``back_days`` or more days back. State: the last login day; a user who stays
+    away for longer than ``idle_ms`` comes back as a new one."""
 
-    def __init__(self, back_days: int = 8):
-        self.back_days = back_days
+    def __init__(self, back_days: int = 8, idle_ms: int | None = None):
+        self.back_days, self.idle_ms = back_days, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last_day", "d string")
+        self.live(handle, self.last)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _rows(rows, ["ts"])
         if df.empty:
             return
-        last = self.last.get()[0] if self.last.exists() else None
+        last = (self.last.get() or [None])[0]
         keep, back = [], []
         for ts in df["ts"]:
             day = _day(ts)
@@ -104,6 +156,7 @@ class ReturningUser(StatefulProcessor):
                             and int(ts) - pd.Timestamp(last).value // 1_000_000 >= self.back_days * DAY_MS))
             last = day if new else last
         self.last.update((last,))
+        self.touch(df["ts"].max(), timerValues)
         out = df[["uid", "ts", "et"]].copy()
         out["back"] = back
         yield out[pd.Series(keep, index=out.index)]
@@ -112,21 +165,23 @@ class ReturningUser(StatefulProcessor):
         pass
 
 
-class FixIsNew(StatefulProcessor):
+class FixIsNew(KeyLife, StatefulProcessor):
     """The first record of a mid fixes its visit day (its date if it says
-    new, else the day before); later 'new' records on another date become old."""
+    new, else the day before); later 'new' records on another date become old. A mid that is idle for ``idle_ms`` of
+    event time, or ``ttl_ms`` of processing time, is met as a new one."""
 
-    def __init__(self, columns: list[str], ttl_ms: int | None = None):
-        self.columns, self.ttl_ms = columns, ttl_ms
+    def __init__(self, columns: list[str], ttl_ms: int | None = None, idle_ms: int | None = None):
+        self.columns, self.ttl_ms, self.idle_ms = columns, ttl_ms, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.d0 = handle.getValueState("first_day", "d string", self.ttl_ms)
+        self.live(handle, self.d0)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _rows(rows, ["ts", "offset"])
         if df.empty:
             return
-        d0 = self.d0.get()[0] if self.d0.exists() else None
+        d0 = (self.d0.get() or [None])[0]
         fixed = []
         for ts, isn in zip(df["ts"], df["is_new"]):
             day = _day(ts)
@@ -138,6 +193,7 @@ class FixIsNew(StatefulProcessor):
             else:
                 fixed.append(isn)
         self.d0.update((d0,))
+        self.touch(df["ts"].max(), timerValues)
         out = df[self.columns].copy()
         out["is_new"] = fixed
         yield out
@@ -146,20 +202,21 @@ class FixIsNew(StatefulProcessor):
         pass
 
 
-class StrictlyNewer(StatefulProcessor):
+class StrictlyNewer(KeyLife, StatefulProcessor):
     """Pass a row only when its time is greater than every earlier one of the key."""
 
-    def __init__(self, ts: str, seq: str, columns: list[str], ttl_ms: int | None = None):
-        self.ts, self.seq, self.columns, self.ttl_ms = ts, seq, columns, ttl_ms
+    def __init__(self, ts: str, seq: str, columns: list[str], ttl_ms: int | None = None, idle_ms: int | None = None):
+        self.ts, self.seq, self.columns, self.ttl_ms, self.idle_ms = ts, seq, columns, ttl_ms, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.max_ts = handle.getValueState("max_ts", "m long", self.ttl_ms)
+        self.live(handle, self.max_ts)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _rows(rows, [self.seq])
         if df.empty:
             return
-        m = self.max_ts.get()[0] if self.max_ts.exists() else None
+        m = (self.max_ts.get() or [None])[0]
         keep = []
         for t in df[self.ts]:
             ok = m is None or t > m
@@ -167,38 +224,64 @@ class StrictlyNewer(StatefulProcessor):
                 m = int(t)
             keep.append(ok)
         self.max_ts.update((m,))
+        self.touch(df[self.ts].max(), timerValues)
         yield df.loc[keep, self.columns]
 
     def close(self) -> None:
         pass
 
 
-class RetractVersions(StatefulProcessor):
-    """On a new version emit the previous one with negated amounts, then the new one."""
+class RetractVersions(KeyLife, StatefulProcessor):
+    """On a new version emit the previous one with negated amounts, then the new one.
+
+    With ``window_ms`` (event time, ``ts`` in millis) rows carry their event time ``et``: a retraction has that of the
+    row it takes back, and is dropped as late if that row's window has closed (Q8); the amount then stays counted. A
+    version is remembered for ``idle_ms``."""
 
-    def __init__(self, seq: str, columns: list[str], amount: str):
+    def __init__(self, seq: str, columns: list[str], amount: str, ts: str | None = None, window_ms: int | None = None,
+                 idle_ms: int | None = None):
         self.seq, self.columns, self.amount = seq, columns, amount
+        self.ts, self.window_ms, self.idle_ms = ts, window_ms, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", ", ".join(f"{c} string" for c in self.columns))
+        self.live(handle, self.last)
+
+    def _event_time(self, ms: int, mark: int) -> int | None:
+        """After the watermark, but in the same window; none if that has closed."""
+        return None if ms - ms % self.window_ms + self.window_ms <= mark + 1 else max(ms, mark + 1)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _rows(rows, [self.seq])
         if df.empty:
             return
-        prev = list(self.last.get()) if self.last.exists() else None
-        out = []
+        held = self.last.get()
+        prev = None if held is None else list(held)
+        out, times = [], []
+        mark = max(0, timerValues.getCurrentWatermarkInMs())
         idx = self.columns.index(self.amount)
+        at = self.columns.index(self.ts) if self.window_ms else None
         for rec in df[self.columns].astype(object).itertuples(index=False):
             rec = [None if v is None else str(v) for v in rec]
-            if prev is not None:
-                neg = list(prev)
-                neg[idx] = None if prev[idx] is None else _negate(prev[idx])
-                out.append(neg + [True])
-            out.append(rec + [False])
+            for row, back in ((prev, True), (rec, False)):
+                if row is None:
+                    continue
+                if back:
+                    row = [*row[:idx], None if row[idx] is None else _negate(row[idx]), *row[idx + 1:]]
+                if self.window_ms:
+                    et = self._event_time(int(row[at]), mark)
+                    if et is None:
+                        continue
+                    times.append(et)
+                out.append([*row, back])
             prev = rec
         self.last.update(tuple(prev))
-        yield pd.DataFrame(out, columns=self.columns + ["is_retraction"])
+        if self.window_ms:
+            self.touch(df[self.ts].astype("int64").max(), timerValues)
+        got = pd.DataFrame(out, columns=[*self.columns, "is_retraction"])
+        if self.window_ms:
+            got["et"] = pd.to_datetime(pd.Series(times, dtype="int64"), unit="ms")
+        yield got
 
     def close(self) -> None:
         pass
@@ -209,13 +292,128 @@ def _negate(x: str) -> str:
     return str((-Decimal(x)).quantize(Decimal("0.01")))
 
 
+class FirstInWindow(StatefulProcessor):
+    """A4: each row with ``first`` = 1 when its key had no row in the same tumbling window of ``et`` before, else 0; so
+    a sum of ``first`` by window is the exact number of distinct keys, with no set of them anywhere. State: the windows
+    with rows; a window's end is a timer that lets it go."""
+
+    def __init__(self, window_ms: int, columns: list[str]):
+        self.window_ms, self.columns = window_ms, columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", "w array<bigint>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = _rows(rows, ["et"])
+        if df.empty:
+            return
+        known = set((self.open.get() or [()])[0])
+        first = []
+        for ms in df["et"].astype("datetime64[ms]").astype("int64"):
+            start = int(ms) - int(ms) % self.window_ms
+            first.append(int(start not in known))
+            if start not in known:
+                known.add(start)
+                self.handle.registerTimer(max(start + self.window_ms, timerValues.getCurrentWatermarkInMs() + 1))
+        self.open.update((sorted(known),))
+        out = df[self.columns].copy()
+        out["first"] = first
+        yield out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if (held := self.open.get()) is not None:
+            mark = timerValues.getCurrentWatermarkInMs()
+            known = [w for w in held[0] if w + self.window_ms > mark]
+            if known:
+                self.open.update((known,))
+            else:
+                self.open.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+class FirstArrival(KeyLife, StatefulProcessor):
+    """T14, exact: the first row of a key; nothing more while the key is remembered. State: its last time alone."""
+
+    def __init__(self, seq: str, ts: str, columns: list[str], idle_ms: int):
+        self.seq, self.ts, self.columns, self.idle_ms = seq, ts, columns, idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.live(handle)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = _rows(rows, [self.seq])
+        if not df.empty and self.touch(df[self.ts].max(), timerValues):
+            yield df[self.columns].head(1)
+
+    def close(self) -> None:
+        pass
+
+
+class BloomFirst(StatefulProcessor):
+    """T14 by a scalable Bloom filter: rows whose hash pair (bloom_h1, bloom_h2) no filter of the key's series holds. Filter g holds
+    ``expected`` * 2^g hashes at a rate of ``fpp`` / 2^(g+1), so the series stays below ``fpp``."""
+
+    def __init__(self, seq: str, columns: list[str], expected: int, fpp: float):
+        self.seq, self.columns, self.expected, self.fpp = seq, columns, max(1, expected), fpp
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.bits = handle.getMapState("bits", "g int", "b binary")
+        self.count = handle.getValueState("count", "last int, n long")
+
+    def shape(self, g: int) -> tuple[int, int, int]:
+        """Bits (a multiple of 8), hashes a key and keys of filter ``g``."""
+        n, p = self.expected << g, self.fpp / 2 ** (g + 1)
+        m = -(-math.ceil(-n * math.log(p) / math.log(2) ** 2) // 8) * 8
+        return m, max(1, round(m / n * math.log(2))), n
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = _rows(rows, [self.seq])
+        if df.empty:
+            return
+        last, n = self.count.get() if self.count.exists() else (0, 0)
+        filters = [np.frombuffer(self.bits.getValue((g,))[0], np.uint8).copy() if self.bits.containsKey((g,))
+                   else np.zeros(self.shape(g)[0] // 8, np.uint8) for g in range(last + 1)]
+        h1, h2 = (df[c].to_numpy(np.int64).view(np.uint64) for c in ("bloom_h1", "bloom_h2"))
+        at, touched = [self._places(h1, h2, g) for g in range(last + 1)], {last}
+        keep = np.zeros(len(df), bool)
+        for i in range(len(df)):
+            if any(((f[a[i] >> np.uint64(3)] >> (a[i] & np.uint64(7)).astype(np.uint8)) & 1).all() for f, a in zip(filters, at)):
+                continue
+            keep[i] = True
+            if n == self.shape(last)[2]:
+                last, n = last + 1, 0
+                filters.append(np.zeros(self.shape(last)[0] // 8, np.uint8))
+                at.append(self._places(h1, h2, last))
+                touched.add(last)
+            np.bitwise_or.at(filters[last], at[last][i] >> np.uint64(3), np.uint8(1) << (at[last][i] & np.uint64(7)).astype(np.uint8))
+            n += 1
+        for g in touched:
+            self.bits.updateValue((g,), (filters[g].tobytes(),))
+        self.count.update((last, n))
+        yield df.loc[keep, self.columns]
+
+    def _places(self, h1: np.ndarray, h2: np.ndarray, g: int) -> np.ndarray:
+        m, k, _ = self.shape(g)
+        return (h1[:, None] + np.arange(k, dtype=np.uint64) * (h2[:, None] | np.uint64(1))) % np.uint64(m)
+
+    def close(self) -> None:
+        pass
+
+
 class LatestAfterWait(StatefulProcessor):
     """Keep the latest version per key (max time as text, ties to the later
-    arrival) and emit it when an event-time timer ``wait_ms`` after the first
-    version fires (the reference waits 5 s of processing time)."""
+    arrival) and emit it when a timer ``wait_ms`` after the first version fires, then forget it. The clock is event time
+    (``ts``), or with ``processing`` the machine's, as in the reference. With ``stamped`` a row carries the moment its
+    timer was set for as ``et``."""
 
-    def __init__(self, ts: str, seq: str, columns: list[str], wait_ms: int = 5000):
+    def __init__(self, ts: str, seq: str, columns: list[str], wait_ms: int = 5000, processing: bool = False,
+                 stamped: bool = False):
         self.ts, self.seq, self.columns, self.wait_ms = ts, seq, columns, wait_ms
+        self.processing, self.stamped = processing, stamped
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -224,13 +422,15 @@ class LatestAfterWait(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _rows(rows, [self.seq])
         if df.empty:
-            return
-        cur = list(self.last.get()) if self.last.exists() else None
+            return iter([])
+        held = self.last.get()
+        cur = None if held is None else list(held)
         ts_i = self.columns.index(self.ts)
         for rec in df[self.columns].astype(object).itertuples(index=False):
             rec = [None if v is None else str(v) for v in rec]
             if cur is None:
-                self.handle.registerTimer(int(rec[ts_i]) + self.wait_ms)
+                now = timerValues.getCurrentProcessingTimeInMs() if self.processing else int(rec[ts_i])
+                self.handle.registerTimer(now + self.wait_ms)
                 cur = rec
             elif rec[ts_i] >= cur[ts_i]:
                 cur = rec
@@ -238,10 +438,53 @@ class LatestAfterWait(StatefulProcessor):
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.last.exists():
-            rec = list(self.last.get())
+        if (held := self.last.get()) is not None:
+            rec = list(held)
             self.last.clear()
-            yield pd.DataFrame([rec], columns=self.columns)
+            out = pd.DataFrame([rec], columns=self.columns)
+            if self.stamped:
+                out["et"] = pd.to_datetime(pd.Series([expiredTimerInfo.getExpiryTimeInMs()]), unit="ms")
+            yield out
+
+    def close(self) -> None:
+        pass
+
+
+class ClockWindowSums(StatefulProcessor):
+    """Sums of decimal columns per key in tumbling windows of the machine's clock; a window comes out by a
+    processing-time timer at its end. State: the sums of the open windows, as text."""
+
+    def __init__(self, window_ms: int, columns: list[str]):
+        self.window_ms, self.columns = window_ms, columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.sums = handle.getMapState("sums", "w bigint", ", ".join(f"{c} string" for c in self.columns))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        from decimal import Decimal
+        df = _rows(rows, [])
+        if df.empty:
+            return iter([])
+        now = timerValues.getCurrentProcessingTimeInMs()
+        start = now - now % self.window_ms
+        if self.sums.containsKey((start,)):
+            total = [Decimal(x) for x in self.sums.getValue((start,))]
+        else:
+            total = [Decimal(0)] * len(self.columns)
+            self.handle.registerTimer(start + self.window_ms)
+        for i, c in enumerate(self.columns):
+            total[i] += sum((Decimal(x) for x in df[c] if x is not None), Decimal(0))
+        self.sums.updateValue((start,), tuple(str(x) for x in total))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        from decimal import Decimal
+        start = expiredTimerInfo.getExpiryTimeInMs() - self.window_ms
+        if self.sums.containsKey((start,)):
+            total = [Decimal(x) for x in self.sums.getValue((start,))]
+            self.sums.removeKey((start,))
+            yield pd.DataFrame([[start, key[0], *total]])
 
     def close(self) -> None:
         pass

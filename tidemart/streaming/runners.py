@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,32 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
+#: What every stream of this library runs under, whatever its session says: keyed state with several variables and
+#: timers needs the RocksDB store, and times cross the state processors as wall clocks of the session's zone.
+STREAM_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+@contextmanager
+def stream_conf(spark: SparkSession, **more: str) -> Iterator[None]:
+    """Build and start a stream inside: a query keeps the settings it was started with, the session gets its own back."""
+    conf = {**STREAM_CONF, **more}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 # ------------------------------------------------------------------ sources
 
 def kafka_source(spark: SparkSession, servers: str, topic: str, starting: str = "earliest",
@@ -40,6 +67,11 @@ def file_topic(spark: SparkSession, path: str, schema: str = "offset long, value
     return r.json(path)
 
 
+def stamped_file_topic(spark: SparkSession, path: str) -> DataFrame:
+    """S3: a folder of lines as a topic, each with the ``timestamp`` at which its file was written."""
+    return spark.readStream.text(path).select("value", F.col("_metadata.file_modification_time").alias("timestamp"))
+
+
 # ------------------------------------------------------------------ sinks (K1-K5)
 
 def to_value(df: DataFrame, key_cols: list[str] | None = None) -> DataFrame:
@@ -64,7 +96,8 @@ def kafka_sink(df: DataFrame, servers: str, topic: str | None, checkpoint: str,
          .option("checkpointLocation", checkpoint))
     if topic is not None:
         w = w.option("topic", topic)
-    return w.start()
+    with stream_conf(df.sparkSession):
+        return w.start()
 
 
 def write_jsonl(df: DataFrame, path: str, partition_by: str | None = None) -> None:
@@ -79,47 +112,64 @@ def write_jsonl(df: DataFrame, path: str, partition_by: str | None = None) -> No
         w.json(path)
 
 
-def run_available_now(stream: DataFrame, name: str, fmt: str = "parquet", mode: str = "append") -> DataFrame:
+def run_available_now(stream: DataFrame, name: str, fmt: str = "parquet", mode: str = "append",
+                      no_data_batches: bool = True) -> DataFrame:
     """Drain a stream once (trigger availableNow) into ``fmt`` files in the shared
-    folder and return them as a batch DataFrame."""
+    folder and return them as a batch DataFrame. A stream with processing-time state ends only without
+    ``no_data_batches``."""
     spark = stream.sparkSession
     base = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
-    q = (stream.writeStream.format(fmt).outputMode(mode).option("path", os.path.join(base, "out"))
-         .option("checkpointLocation", os.path.join(base, "ckpt")).trigger(availableNow=True).start())
+    with stream_conf(spark, **{"spark.sql.streaming.noDataMicroBatches.enabled": str(no_data_batches).lower()}):
+        q = (stream.writeStream.format(fmt).outputMode(mode).option("path", os.path.join(base, "out"))
+             .option("checkpointLocation", os.path.join(base, "ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.format(fmt).load(os.path.join(base, "out"))
 
 
 def replay_path(spark: SparkSession, phases: list[DataFrame], build: Callable[[DataFrame], DataFrame], name: str,
                 sink: Callable[[str], Callable[[DataFrame, int], None]] | None = None,
-                no_data_batches: bool = True) -> str:
+                no_data_batches: bool = True, before: Callable[[int], None] | None = None,
+                watch: Callable[[dict], None] | None = None) -> str:
     """Drain a topic that arrives in ``phases`` (frames of one text column ``value``): each is appended to the
     topic's folder by as many tasks as it has, then the query resumes from its checkpoint and takes it as one
     micro-batch. State and watermarks live across the restarts. Rows go to Parquet, or to the foreachBatch body that
-    ``sink`` makes for the output folder, which is returned. Without ``no_data_batches`` a watermark acts on the next
-    phase only."""
+    ``sink`` makes for the output folder, which is returned. Without ``no_data_batches`` a watermark or a
+    processing-time timer acts on the next phase only, and a query in processing time ends with its data. ``before``
+    is called ahead of each phase with its number, ``watch`` gets the last progress of each."""
     base = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
     topic, out = os.path.join(base, "topic"), os.path.join(base, "out")
-    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(setting, "true")
+    more = {"spark.sql.streaming.noDataMicroBatches.enabled": str(no_data_batches).lower()}
     for i, part in enumerate(phases):
+        if before:
+            before(i)
         part.write.text(os.path.join(topic, f"p{i:03d}"))
-        w = (build(spark.readStream.text(os.path.join(topic, "*"))).writeStream.outputMode("append")
-             .option("checkpointLocation", os.path.join(base, "ckpt")).trigger(availableNow=True))
-        w = w.foreachBatch(sink(out)) if sink else w.format("parquet").option("path", out)
-        spark.conf.set(setting, str(no_data_batches).lower())
-        try:
+        with stream_conf(spark, **more):
+            w = (build(spark.readStream.text(os.path.join(topic, "*"))).writeStream.outputMode("append")
+                 .option("checkpointLocation", os.path.join(base, "ckpt")).trigger(availableNow=True))
+            w = w.foreachBatch(sink(out)) if sink else w.format("parquet").option("path", out)
             q = w.start()
-        finally:
-            spark.conf.set(setting, before)
         q.awaitTermination()
+        if watch:
+            watch(q.lastProgress)
     return out
 
 
 def replay(spark: SparkSession, phases: list[DataFrame], build: Callable[[DataFrame], DataFrame], name: str,
-           no_data_batches: bool = True) -> DataFrame:
+           **how) -> DataFrame:
     """``replay_path`` into Parquet; the stream's rows as a batch frame."""
-    return spark.read.parquet(replay_path(spark, phases, build, name, no_data_batches=no_data_batches))
+    return spark.read.parquet(replay_path(spark, phases, build, name, **how))
+
+
+def complete_versions(spark: SparkSession, base: str) -> list[int]:
+    """The numbers of the folders v<n> below ``base`` whose write has ended."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    done = []
+    for st in fs.listStatus(fs_path(base)) if fs.exists(fs_path(base)) else []:
+        n = st.getPath().getName()
+        if n.startswith("v") and fs.exists(fs_path(st.getPath(), "_SUCCESS")):
+            done.append(int(n[1:]))
+    return done
 
 
 class UpsertTable:
@@ -134,25 +184,23 @@ class UpsertTable:
 
     def _manifest(self, spark: SparkSession, below: int | None = None) -> dict[int, int]:
         """Bucket -> version of the last complete batch (before ``below``); at most ``buckets`` rows."""
-        base = os.path.join(self.path, "manifest")
-        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(base)
-        fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-        done = []
-        for st in fs.listStatus(jvm_path) if fs.exists(jvm_path) else []:
-            n = st.getPath().getName()
-            if n.startswith("v") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                done.append(int(n[1:]))
-        done = [v for v in done if below is None or v < below]
+        done = [v for v in complete_versions(spark, os.path.join(self.path, "manifest")) if below is None or v < below]
         if not done:
             return {}
-        return {r.bucket: r.version for r in spark.read.parquet(os.path.join(base, f"v{max(done)}")).collect()}
+        rows = spark.read.parquet(os.path.join(self.path, "manifest", f"v{max(done)}")).collect()
+        return {r.bucket: r.version for r in rows}
 
     def _rows(self, spark: SparkSession, manifest: dict[int, int]) -> DataFrame | None:
         paths = [os.path.join(self.path, "data", f"v{v}", f"bucket={b}") for b, v in sorted(manifest.items())]
         return spark.read.parquet(*paths) if paths else None
 
-    def read(self, spark: SparkSession) -> DataFrame | None:
-        return self._rows(spark, self._manifest(spark))
+    def version(self, spark: SparkSession) -> int | None:
+        """The last complete batch."""
+        return max(complete_versions(spark, os.path.join(self.path, "manifest")), default=None)
+
+    def read(self, spark: SparkSession, version: int | None = None) -> DataFrame | None:
+        """The rows as of a version, the last one by default; none before the first."""
+        return self._rows(spark, self._manifest(spark, None if version is None else version + 1))
 
     def merge_batch(self, batch: DataFrame, batch_id: int) -> None:
         from ..operators.dedup import latest_per_key
@@ -178,7 +226,30 @@ class UpsertTable:
         w = stream.writeStream.foreachBatch(self.merge_batch).option("checkpointLocation", checkpoint)
         if available_now:
             w = w.trigger(availableNow=True)
-        return w.start()
+        with stream_conf(stream.sparkSession):
+            return w.start()
+
+
+class Pinned:
+    """The static side of a stream-static join (J4, J13): an ``UpsertTable`` that another stream keeps, read anew for
+    every micro-batch. The version that a batch saw first is noted below ``path``, so that a retry of the batch sees the
+    same one, whatever has been merged since."""
+
+    def __init__(self, table: UpsertTable, path: str):
+        self.table, self.path = table, path
+
+    def version(self, spark: SparkSession, batch_id: int) -> int:
+        """-1 where the table had no version yet."""
+        at = os.path.join(self.path, f"v{batch_id}")
+        if batch_id not in complete_versions(spark, self.path):
+            now = self.table.version(spark)
+            (spark.createDataFrame([(-1 if now is None else now,)], "version long").coalesce(1)
+             .write.mode("overwrite").parquet(at))
+        return spark.read.parquet(at).first()[0]
+
+    def at(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        version = self.version(spark, batch_id)
+        return None if version < 0 else self.table.read(spark, version)
 
 
 def olap_sink(stream: DataFrame, url: str, table: str, checkpoint: str, properties: dict | None = None,
@@ -191,5 +262,6 @@ def olap_sink(stream: DataFrame, url: str, table: str, checkpoint: str, properti
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").jdbc(url, table, properties=props)
 
-    return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-            .trigger(processingTime=processing_time).start())
+    with stream_conf(stream.sparkSession):
+        return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+                .trigger(processingTime=processing_time).start())
