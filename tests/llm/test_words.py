@@ -189,33 +189,51 @@ def test_collocations_of_an_empty_table(spark):
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"] and got.collect() == []
 
 
-def routed_rows(rows):
-    return [pa.RecordBatch.from_pylist([dict(zip(("kind", "bucket", "lang", "words", "ids", "counts"), x)) for x in rows])]
+def in_one_batch(rows, names):
+    return [pa.RecordBatch.from_pylist([dict(zip(names, x)) for x in rows])]
+
+
+def rows_of(batches):
+    return [tuple(c[i].as_py() for c in b.columns) for b in batches for i in range(b.num_rows)]
+
+
+def filter_of(counts, every):
+    """A filter that lets all phrases pass, or those with 10 occurrences."""
+    bits = np.full(1024, 255 if every else 0, np.uint8)
+    for k, _, _, _, route, _ in counts:
+        if k > 0:
+            bits[route % 8192 // 8] |= 1 << route % 8
+    return bits.tobytes()
 
 
 def test_a_bucket_tells_of_two_words_with_one_hash():
-    out = list(collocations._bucket_counts(10)(routed_rows([(1, 0, b"en", b"one\ntwo", np.array([5, 5]).tobytes(), np.array([20, 30]).tobytes())])))
-    assert -1 in out[0].column(0).to_pylist()
+    seed = 2
+    rows = [(0, b"en", b"one\ntwo", np.array([5, 5]).tobytes(), bytes([20, 30]))]
+    out = rows_of(collocations._of_buckets(collocations._count_words(10, seed))(in_one_batch(rows, ("bucket", "lang", "words", "hashes", "counts"))))
+    assert -1 in [x[0] for x in out]
 
 
+@pytest.mark.parametrize("every, seed", [(True, 0), (False, 1), (False, 5)])
 @pytest.mark.parametrize("block, chunk, buckets", [(1 << 21, 1 << 20, 1), (50, 20, 7)])
-def test_blocks_and_chunks_lose_no_phrase(monkeypatch, block, chunk, buckets):
+def test_blocks_and_chunks_lose_no_phrase(monkeypatch, block, chunk, buckets, every, seed):
     monkeypatch.setattr(collocations, "BLOCK", block)
     monkeypatch.setattr(collocations, "CHUNK", chunk)
     r = random.Random(block)
-    rows = [(i, talk(r), "en") for i in range(80)] + [(99, "of the a b c d. " * 50, "en")]
-    routed = collocations._block_counts(3, buckets, 0)(routed_text(rows))
-    parts = sorted((tuple(c[i].as_py() for c in b.columns) for b in routed for i in range(b.num_rows)), key=lambda x: (x[1], x[0]))
-    counts = [tuple(c[i].as_py() for c in b.columns) for b in collocations._bucket_counts(10)(routed_rows(parts)) for i in range(b.num_rows)]
-    names = {h[0]: w.decode() for k, _, w, h, _ in counts if k == 1}
-    got = sorted((" ".join(names[x] for x in h), f) for k, _, _, h, f in counts if k > 0)
+    rows = [(i, talk(r), "en") for i in range(80)] + [(99, "of the a b c d. " * 50, "en"), (100, "common " * 700, "en")]
+    texts = [pa.RecordBatch.from_pydict({"lang": [x.encode() for _, _, x in rows[i : i + 9]], "text": [t.encode() for _, t, _ in rows[i : i + 9]]}) for i in range(0, len(rows), 9)]
+    routed = sorted(rows_of(collocations._route_words(buckets, seed)(texts)))
+    counts = rows_of(collocations._of_buckets(collocations._count_words(10, seed))(in_one_batch(routed, ("bucket", "lang", "words", "hashes", "counts"))))
+    names = {h[0]: w.decode() for k, _, w, h, _, _ in counts if k == 1}
+    kept = words_kept = filter_of(counts, every)
+    for d in (2, 3):
+        routed = sorted(rows_of(collocations._route_phrases(d, buckets, seed, words_kept, kept)(texts)))
+        found = rows_of(collocations._of_buckets(collocations._count_phrases(d, 10, seed))(in_one_batch(routed, ("bucket", "hashes", "ids", "counts"))))
+        kept = filter_of(found, every)
+        counts += found
+    got = sorted((" ".join(names[x] for x in h), f) for k, _, _, h, _, f in counts if k > 0)
     want = Counter()
     for _, t, _ in rows:
         for piece in re.split("[.,;:!?\n-\r]", "".join(c.lower() if "A" <= c <= "Z" else c for c in t)):
             w = [x for x in re.split("[ \t]+", piece) if x]
             want.update(" ".join(w[i : i + d]) for d in (1, 2, 3) for i in range(len(w) - d + 1))
     assert got == sorted((p, n) for p, n in want.items() if n >= 10)
-
-
-def routed_text(rows):
-    return [pa.RecordBatch.from_pydict({"lang": [x.encode() for _, _, x in rows[i : i + 9]], "text": [t.encode() for _, t, _ in rows[i : i + 9]]}) for i in range(0, len(rows), 9)]

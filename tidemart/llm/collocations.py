@@ -1,10 +1,12 @@
 r"""Phrase collocations: multikey three-way quicksort of suffix pointers, routed by leading words, scored by exact counts.
 
-A map task sorts the suffix pointers of a block of words; the equal partitions at depth d are the block's phrases of d
-words, their sizes the counts. Each phrase goes with its count to the bucket of its leading words, so a phrase that
-fills a third of the table reaches its bucket as one entry of each block. The bucket's task sorts what it got once
-more and abandons every partition whose counts sum to less than the least count. Words travel as 64-bit hashes of
-(lang, word); a bucket compares the words themselves, and if two share a hash, all is done anew with another seed.
+One pass over the texts for each number of words: a map task sorts the suffix pointers of a block of words; the equal
+partitions at depth d are the block's phrases of d words, their sizes the counts. Each phrase goes with its count to the
+bucket of its leading words, so a phrase that fills a third of the table reaches its bucket as one entry of each block.
+The bucket's task sorts what it got once more and abandons every partition whose counts sum to less than the least count;
+the next pass leaves out the suffixes that begin with an abandoned phrase, but for those that a filter of bounded size
+mistakes. Words travel as hashes of (lang, word) of 48 bits; a bucket of words compares the words themselves, and if two
+share a hash, all is done anew with another seed and 8 bits more, up to 64.
 """
 
 from __future__ import annotations
@@ -20,19 +22,24 @@ from .common import saved, work_dir
 from .minhash import mixed
 
 #: Words of a block that a map task sorts at once.
-BLOCK = 1 << 21
+BLOCK = 3 << 19
 #: Bytes of text whose phrases share a bucket, on average.
-BUCKET_BYTES = 4_000_000
+BUCKET_BYTES = 16_000_000
 #: A longer text is cut at the next end of a piece.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 #: The characters of ``[.,;:!?\x0A-\x0D]`` end a piece: all become the full stop. A tab becomes a space.
 PIECES = bytes.maketrans(b",;:!?\n\x0b\x0c\r\t", b"......... ")
 
-#: kind is the depth: 1 carries words, deeper ones the hashes of their words, numbers into these, and counts.
-ROUTED = "kind int, bucket long, lang binary, words binary, ids binary, counts binary"
+#: Bits of the filter of frequent phrases at most (32 MB); beyond 10^8 of them it lets more and more infrequent ones pass.
+FILTER_BITS = 1 << 28
+
+#: Words of one lang, their hashes and counts.
+ROUTED_WORDS = "bucket long, lang binary, words binary, hashes binary, counts binary"
+#: Hashes of words, phrases as places in these, and counts.
+ROUTED_PHRASES = "bucket long, hashes binary, ids binary, counts binary"
 #: kind 0 are the words of a lang, a greater one the phrases of so many words, -1 two words with one hash.
-COUNTED = "kind int, lang binary, word binary, h array<long>, f long"
+COUNTED = "kind int, lang binary, word binary, h array<long>, route long, f long"
 
 
 def chunks(text: bytes):
@@ -116,126 +123,209 @@ class _Numbers(dict):
         return n
 
 
-def _runs(bucket: np.ndarray, rows: np.ndarray):
-    """(bucket, its rows) of rows in order of their buckets."""
-    edges = np.flatnonzero(np.diff(bucket)) + 1
-    for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(rows)]):
-        if a < b:
-            yield int(bucket[a]), rows[a:b]
+def _small(x: np.ndarray) -> bytes:
+    """Unsigned integers in the least number of bytes that holds the largest one."""
+    return x.astype(np.min_scalar_type(int(x.max()) if len(x) else 0)).tobytes()
+
+
+def _large(x: bytes, n: int) -> np.ndarray:
+    """``n`` numbers of ``_small``."""
+    return np.frombuffer(x, f"u{len(x) // n}").astype(np.int64) if n else np.empty(0, np.int64)
+
+
+def _width(seed: int) -> int:
+    """Bytes of a word's hash: a collision means another seed and a byte more."""
+    return min(8, 6 + seed)
+
+
+def _packed(hashes: np.ndarray, seed: int) -> bytes:
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : _width(seed)].tobytes()
+
 
+def _unpacked(hashes: bytes, seed: int) -> np.ndarray:
+    out = np.zeros((len(hashes) // _width(seed), 8), np.uint8)
+    out[:, : _width(seed)] = np.frombuffer(hashes, np.uint8).reshape(len(out), -1)
+    return out.view("<u8").ravel()
 
-def _routed(langs: dict, words: list, parts: list, depth: int, buckets: int, seed: int):
-    """ROUTED rows of one block: its phrases of 1 to ``depth`` words with their counts, by bucket."""
+
+def _hashes(langs: dict, words: list, seed: int) -> np.ndarray:
     import xxhash
 
-    text = np.concatenate([*parts, np.zeros(depth, np.int32)])
-    hashes = np.zeros(len(words) + 1, np.uint64)
+    out = np.zeros(len(words) + 1, np.uint64)
     for lang, numbers in langs.items():
         salt = xxhash.xxh64_intdigest(lang, seed)
         for word, n in numbers.items():
-            hashes[n] = xxhash.xxh64_intdigest(word, salt)
-    counts = equal_partitions(text, np.flatnonzero(text).astype(np.int32), depth)
-    total = np.zeros(len(words) + 1, np.int64)
-    total[text[counts[0][0]]] = counts[0][1]
-    bucket = routes(hashes[:, None]) % np.uint64(buckets)
-    for lang, numbers in langs.items():
-        own = np.fromiter(numbers.values(), np.int64, len(numbers))
-        own = own[own > 0]
-        own = own[np.argsort(bucket[own], kind="stable")]
-        for b, x in _runs(bucket[own], own):
-            yield 1, b, lang, b"\n".join([words[i - 1] for i in x.tolist()]), hashes[x].tobytes(), total[x].tobytes()
-    rank = np.zeros(len(words) + 1, np.int32)
-    for d in range(2, depth + 1):
-        p, n = counts[d - 1]
-        bucket = np.zeros(len(p), np.uint64)
-        for i in range(0, len(p), 1 << 18):
-            ids = np.stack([text[p[i : i + (1 << 18)] + j] for j in range(d)], axis=1)
-            bucket[i : i + (1 << 18)] = routes(hashes[ids]) % np.uint64(buckets)
-        order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")
-        for b, x in _runs(bucket[order], order):
-            ids = np.stack([text[p[x] + j] for j in range(d)], axis=1)
-            if 20 * ids.size < len(words):
-                own = np.unique(ids)
-            else:
-                seen = np.zeros(len(words) + 1, bool)
+            if n:
+                out[n] = xxhash.xxh64_intdigest(word, salt)
+    return out & np.uint64((1 << (8 * _width(seed))) - 1)
+
+
+def _blocks(batches, size: int):
+    """(langs, words, text) of blocks of about ``size`` words: numbers of words by lang, 0 between pieces."""
+    langs, words, parts, n = {}, [], [], 0
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for chunk in chunks((text.as_py() or b"").lower().translate(PIECES)):
+                tokens = chunk.replace(b".", b" . ").split()
+                numbers = langs.setdefault(lang, _Numbers(words))
+                parts += np.fromiter(map(numbers.__getitem__, tokens), np.int32, len(tokens)), np.zeros(1, np.int32)
+                n += len(tokens)
+                if n >= size:
+                    yield langs, words, np.concatenate(parts)
+                    langs, words, parts, n = {}, [], [], 0
+    if parts:
+        yield langs, words, np.concatenate(parts)
+
+
+def _in_batches(rows, schema: pa.Schema, size: int):
+    rows = iter(rows)
+    while some := list(itertools.islice(rows, size)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*some), schema)], schema=schema)
+
+
+def _route_words(buckets: int, seed: int):
+    """(lang, text) to ROUTED_WORDS: the words of a block with their counts, by bucket and lang."""
+    schema = pa.schema([("bucket", pa.int64()), *[(c, pa.binary()) for c in ("lang", "words", "hashes", "counts")]])
+
+    def rows(batches):
+        for langs, words, text in _blocks(batches, BLOCK):
+            hashes = _hashes(langs, words, seed)
+            bucket = routes(hashes[:, None]) % np.uint64(buckets)
+            count = np.bincount(text, minlength=len(hashes))
+            for lang, numbers in langs.items():
+                own = np.fromiter(numbers.values(), np.int64, len(numbers))[1:]
+                own = own[np.argsort(bucket[own], kind="stable")]
+                for x in np.split(own, np.flatnonzero(np.diff(bucket[own])) + 1):
+                    if len(x):
+                        yield int(bucket[x[0]]), lang, b"\n".join([words[i - 1] for i in x.tolist()]), _packed(hashes[x], seed), _small(count[x])
+
+    return lambda batches: _in_batches(rows(batches), schema, 64)
+
+
+def _passes(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which hashes have their bit set."""
+    at = h & np.uint64(8 * len(bits) - 1)
+    return ((bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+
+
+def _each(text: np.ndarray, hashes: np.ndarray, p: np.ndarray, d: int) -> np.ndarray:
+    """Route hashes of the ``d`` words at each pointer."""
+    out = np.zeros(len(p), np.uint64)
+    for i in range(0, len(p), 1 << 18):
+        out[i : i + (1 << 18)] = routes(hashes[np.stack([text[p[i : i + (1 << 18)] + j] for j in range(d)], axis=1)])
+    return out
+
+
+def _route_phrases(d: int, buckets: int, seed: int, words_kept: bytes, kept: bytes):
+    """(lang, text) to ROUTED_PHRASES: a block's phrases of ``d`` words with their counts, by bucket.
+
+    ``words_kept`` and ``kept`` are the filters of frequent words and of frequent phrases of d - 1 words."""
+    schema = pa.schema([("bucket", pa.int64()), *[(c, pa.binary()) for c in ("hashes", "ids", "counts")]])
+
+    def rows(batches):
+        for langs, words, text in _blocks(batches, BLOCK):
+            hashes = _hashes(langs, words, seed)
+            stay = _passes(np.frombuffer(words_kept, np.uint8), hashes)
+            stay[0] = False
+            text = np.concatenate([np.where(stay[text], text, 0).astype(np.int32), np.zeros(d, np.int32)])
+            whole = text[:-d] != 0
+            for j in range(1, d):
+                whole &= text[j : j - d] != 0
+            p = np.flatnonzero(whole).astype(np.int32)
+            if d > 2:
+                bits = np.frombuffer(kept, np.uint8)
+                p = p[_passes(bits, _each(text, hashes, p, d - 1))]
+                p = p[_passes(bits, _each(text, hashes, p + 1, d - 1))]
+            p, n = equal_partitions(text, p, d)[d - 1]
+            bucket = _each(text, hashes, p, d) % np.uint64(buckets)
+            order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")
+            p, n, bucket = p[order], n[order], bucket[order]
+            edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(p)]
+            rank, seen = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+            for x in (slice(*e) for e in itertools.pairwise(edges) if e[0] < e[1]):
+                ids = np.concatenate([text[p[x] + j] for j in range(d)])
                 seen[ids] = True
                 own = np.flatnonzero(seen)
-            rank[own] = np.arange(len(own))
-            yield d, b, None, hashes[own].tobytes(), rank[ids].astype(np.uint32).tobytes(), n[x].tobytes()
+                seen[own] = False
+                rank[own] = np.arange(len(own))
+                yield int(bucket[x.start]), _packed(hashes[own], seed), rank[ids].astype(np.min_scalar_type(len(own))).tobytes(), _small(n[x])
 
+    return lambda batches: _in_batches(rows(batches), schema, 32)
 
-def _block_counts(depth: int, buckets: int, seed: int):
-    """(lang, text) to ROUTED rows, a block of words at a time."""
 
-    def batches_of(rows):
-        schema = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), *[(c, pa.binary()) for c in ("lang", "words", "ids", "counts")]])
-        while some := list(itertools.islice(rows, 64)):
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*some), schema)], schema=schema)
-
-    def run(batches):
-        langs, words, parts, size = {}, [], [], 0
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for chunk in chunks((text.as_py() or b"").lower().translate(PIECES)):
-                    tokens = chunk.replace(b".", b" . ").split()
-                    numbers = langs.setdefault(lang, _Numbers(words))
-                    parts += np.fromiter(map(numbers.__getitem__, tokens), np.int32, len(tokens)), np.zeros(1, np.int32)
-                    size += len(tokens)
-                    if size >= BLOCK:
-                        yield from batches_of(_routed(langs, words, parts, depth, buckets, seed))
-                        langs, words, parts, size = {}, [], [], 0
-        yield from batches_of(_routed(langs, words, parts, depth, buckets, seed))
+def _of_buckets(count):
+    """Rows in order of bucket to COUNTED rows, by ``count`` of each bucket's rows."""
+    schema = pa.schema([("kind", pa.int32()), ("lang", pa.binary()), ("word", pa.binary()), ("h", pa.list_(pa.int64())), ("route", pa.int64()), ("f", pa.int64())])
 
-    return run
+    def rows(batches):
+        all_rows = (row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns]))
+        for _, own in itertools.groupby(all_rows, key=lambda row: row[0]):
+            yield from count(list(own))
 
+    return lambda batches: _in_batches(rows(batches), schema, 50_000)
 
-def _bucket_counts(least: int):
-    """ROUTED rows in order of bucket and kind to COUNTED rows: phrases with ``least`` occurrences in all, words of a lang."""
 
-    def words_of(rows):
+def _count_words(least: int, seed: int):
+    def count(rows):
         names, sums, totals = {}, {}, {}
-        for _, _, lang, words, ids, counts in rows:
-            n = np.frombuffer(counts, np.int64)
-            totals[lang] = totals.get(lang, 0) + int(n.sum())
-            for word, h, c in zip(words.split(b"\n"), np.frombuffer(ids, np.int64).tolist(), n.tolist()):
+        for _, lang, words, hashes, counts in rows:
+            hashes = _unpacked(hashes, seed).view(np.int64).tolist()
+            n = _large(counts, len(hashes)).tolist()
+            totals[lang] = totals.get(lang, 0) + sum(n)
+            for word, h, c in zip(words.split(b"\n"), hashes, n):
                 if names.setdefault(h, (lang, word)) != (lang, word):
-                    yield -1, lang, word, [h], c
+                    yield -1, lang, word, [h], h, c
                 sums[h] = sums.get(h, 0) + c
         for lang, n in totals.items():
-            yield 0, lang, None, None, n
+            yield 0, lang, None, None, None, n
         for h, n in sums.items():
             if n >= least:
-                yield 1, *names[h], [h], n
-
-    def phrases_of(d, rows):
-        known, place = np.unique(np.concatenate([np.frombuffer(r[3], np.int64) for r in rows]), return_inverse=True)
-        shift = np.cumsum([0, *[len(r[3]) // 8 for r in rows[:-1]]])
-        text = np.concatenate([place[np.frombuffer(r[4], np.uint32) + s] + 1 for r, s in zip(rows, shift)]).astype(np.int32)
-        n = np.concatenate([np.frombuffer(r[5], np.int64) for r in rows])
-        text = np.concatenate([text, np.zeros(d, np.int32)])
-        p, total = equal_partitions(text, np.arange(len(n)) * d, d, n, least)[d - 1]
-        for h, f in zip(known[np.stack([text[p + j] for j in range(d)], axis=1) - 1].tolist(), total.tolist()):
-            yield d, None, None, h, f
-
-    def batches_of(kind, rows):
-        found = words_of(rows) if kind == 1 else phrases_of(kind, rows)
-        while some := list(itertools.islice(found, 50_000)):
-            types = (pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), types)], names=["kind", "lang", "word", "h", "f"])
-
-    def run(batches):
-        held, at = [], None
+                yield 1, *names[h], [h], h, n
+
+    return count
+
+
+def _count_phrases(d: int, least: int, seed: int):
+    def count(rows):
+        parts = [_unpacked(r[1], seed) for r in rows]
+        known, place = np.unique(np.concatenate(parts), return_inverse=True)
+        text, n, shift = [], [], 0
+        for (_, _, ids, counts), size in zip(rows, map(len, parts)):
+            at = np.frombuffer(ids, np.min_scalar_type(size)).astype(np.int64).reshape(d, -1)
+            text.append(place[at + shift].T)
+            n.append(_large(counts, at.shape[1]))
+            shift += size
+        text, n = np.concatenate(text).astype(np.int32) + 1, np.concatenate(n)
+        p, total = equal_partitions(np.concatenate([text.ravel(), np.zeros(d, np.int32)]), np.arange(len(n)) * d, d, n, least)[d - 1]
+        h = known[text[p // d] - 1]
+        for *row, f in zip(h.view(np.int64).tolist(), routes(h).view(np.int64).tolist(), total.tolist()):
+            yield d, None, None, *row, f
+
+    return count
+
+
+def _filter(phrases: DataFrame) -> bytes:
+    """A bit for every ``route`` of COUNTED rows, by its lowest bits; two bytes a phrase, FILTER_BITS in all at most."""
+    size, n = 1 << 15, phrases.count()
+    while size < FILTER_BITS and size < 16 * n:
+        size *= 2
+    byte = phrases.selectExpr(f"shiftright(route & {size - 1}L, 3) AS byte", "shiftleft(1, cast(route & 7 AS int)) AS bit")
+    parts = byte.groupBy("byte").agg(F.bit_or("bit").alias("bits")).groupBy(F.shiftright("byte", 12).alias("part"))
+    parts = parts.agg(F.array_sort(F.collect_list(F.struct("byte", "bits"))).alias("own")).select("part", "own.byte", "own.bits")
+
+    def blocks(batches):
         for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns]):
-                if row[1::-1] != at:
-                    if held:
-                        yield from batches_of(at[1], held)
-                    held, at = [], row[1::-1]
-                held.append(row)
-        if held:
-            yield from batches_of(at[1], held)
+            found = []
+            for at, bits in zip(batch.column(1), batch.column(2)):
+                block = np.zeros(1 << 12, np.uint8)
+                block[at.values.to_numpy() & 4095] = bits.values.to_numpy()
+                found.append(block.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["part", "block"])
 
-    return run
+    out = bytearray(size // 8)
+    for part, block in parts.mapInArrow(blocks, "part long, block binary").collect():
+        out[part << 12 : part + 1 << 12] = block
+    return bytes(out)
 
 
 def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10) -> DataFrame:
@@ -245,14 +335,28 @@ def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10) -> DataFra
     """
     spark, path = docs.sparkSession, work_dir(docs.sparkSession, "collocations")
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).cast("binary").alias("lang"), F.col("text").cast("binary").alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = size // BUCKET_BYTES + 1
+    buckets = (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES + 1
+
+    def dealt(routed):
+        return routed.repartition(int(min(buckets, 1 << 20)), "bucket").sortWithinPartitions("bucket")
+
     for seed in itertools.count():
-        routed = rows.mapInArrow(_block_counts(longest, buckets, seed), ROUTED)
-        dealt = routed.repartition(int(min(buckets, 1 << 20)), "bucket").sortWithinPartitions("bucket", "kind")
-        counted = saved(dealt.mapInArrow(_bucket_counts(least), COUNTED), f"{path}/counted{seed}")
-        if counted.where("kind = -1").isEmpty():
-            return counted
+        words = dealt(rows.mapInArrow(_route_words(buckets, seed), ROUTED_WORDS)).mapInArrow(_of_buckets(_count_words(least, seed)), COUNTED)
+        words = saved(words, f"{path}/words{seed}")
+        if words.where("kind = -1").isEmpty():
+            break
+    counted, kept = words, spark.sparkContext.broadcast(_filter(words.where("kind = 1")))
+    words_kept = kept
+    for d in range(2, longest + 1):
+        def phrases(batches, d=d, kept=kept):
+            return _route_phrases(d, buckets, seed, words_kept.value, kept.value)(batches)
+
+        found = dealt(rows.mapInArrow(phrases, ROUTED_PHRASES)).mapInArrow(_of_buckets(_count_phrases(d, least, seed)), COUNTED)
+        found = saved(found, f"{path}/phrases{d}")
+        counted = counted.union(found)
+        if d < longest:
+            kept = spark.sparkContext.broadcast(_filter(found))
+    return counted
 
 
 def collocations(docs: DataFrame, longest: int = 3, least: int = 10, covered: int = 50, top: int = 2000) -> DataFrame:
