@@ -31,6 +31,23 @@ def _rows(batches: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
     return df.sort_values(order, kind="stable").reset_index(drop=True) if order else df
 
 
+def _records(batches: Iterator[pd.DataFrame], columns: list[str], order: str | None = None) -> list[tuple]:
+    """A key's rows as tuples of ``columns``, by ``order``: for keys of a few rows, where frames cost more than the work."""
+    out = [r for f in batches for r in zip(*[f[c].tolist() for c in columns])]
+    if order is not None and len(out) > 1:
+        at = columns.index(order)
+        out.sort(key=lambda r: r[at])
+    return out
+
+
+def _text(record: tuple) -> list:
+    return [None if v is None or v != v else str(v) for v in record]
+
+
+def _moments(ms: list[int]) -> np.ndarray:
+    return np.array(ms, "datetime64[ms]")
+
+
 def _day(ms: int | None, offset_ms: int = 0) -> str | None:
     if pd.isna(ms):
         return None
@@ -231,12 +248,12 @@ class StrictlyNewer(KeyLife, StatefulProcessor):
         pass
 
 
-class RetractVersions(KeyLife, StatefulProcessor):
+class RetractVersions(StatefulProcessor):
     """On a new version emit the previous one with negated amounts, then the new one.
 
     With ``window_ms`` (event time, ``ts`` in millis) rows carry their event time ``et``: a retraction has that of the
     row it takes back, and is dropped as late if that row's window has closed (Q8); the amount then stays counted. A
-    version is remembered for ``idle_ms``."""
+    version is remembered until the watermark is ``idle_ms`` past it."""
 
     def __init__(self, seq: str, columns: list[str], amount: str, ts: str | None = None, window_ms: int | None = None,
                  idle_ms: int | None = None):
@@ -244,25 +261,25 @@ class RetractVersions(KeyLife, StatefulProcessor):
         self.ts, self.window_ms, self.idle_ms = ts, window_ms, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.last = handle.getValueState("last", ", ".join(f"{c} string" for c in self.columns))
-        self.live(handle, self.last)
 
     def _event_time(self, ms: int, mark: int) -> int | None:
         """After the watermark, but in the same window; none if that has closed."""
         return None if ms - ms % self.window_ms + self.window_ms <= mark + 1 else max(ms, mark + 1)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _rows(rows, [self.seq])
-        if df.empty:
+        records = _records(rows, self.columns, self.seq)
+        if not records:
             return
-        held = self.last.get()
-        prev = None if held is None else list(held)
+        prev = self.last.get()
+        if self.idle_ms and prev is None:
+            self.handle.registerTimer(self._due(records[-1], timerValues))
         out, times = [], []
         mark = max(0, timerValues.getCurrentWatermarkInMs())
         idx = self.columns.index(self.amount)
-        at = self.columns.index(self.ts) if self.window_ms else None
-        for rec in df[self.columns].astype(object).itertuples(index=False):
-            rec = [None if v is None else str(v) for v in rec]
+        at = self.columns.index(self.ts) if self.ts else None
+        for rec in map(_text, records):
             for row, back in ((prev, True), (rec, False)):
                 if row is None:
                     continue
@@ -276,13 +293,24 @@ class RetractVersions(KeyLife, StatefulProcessor):
                 out.append([*row, back])
             prev = rec
         self.last.update(tuple(prev))
-        if self.window_ms:
-            self.touch(df[self.ts].astype("int64").max(), timerValues)
         got = pd.DataFrame(out, columns=[*self.columns, "is_retraction"])
         if self.window_ms:
-            got["et"] = pd.to_datetime(pd.Series(times, dtype="int64"), unit="ms")
+            got["et"] = _moments(times)
         yield got
 
+    def _due(self, version, timerValues) -> int:
+        return max(int(version[self.columns.index(self.ts)]), timerValues.getCurrentWatermarkInMs()) + self.idle_ms
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        last = self.last.get()
+        if last is not None:
+            due = int(last[self.columns.index(self.ts)]) + self.idle_ms
+            if due > timerValues.getCurrentWatermarkInMs():
+                self.handle.registerTimer(due)
+            else:
+                self.last.clear()
+        return iter([])
+
     def close(self) -> None:
         pass
 
@@ -305,18 +333,18 @@ class FirstInWindow(StatefulProcessor):
         self.open = handle.getValueState("open", "w array<bigint>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _rows(rows, ["et"])
-        if df.empty:
-            return
+        df = pd.concat(list(rows), ignore_index=True)
         known = set((self.open.get() or [()])[0])
-        first = []
-        for ms in df["et"].astype("datetime64[ms]").astype("int64"):
-            start = int(ms) - int(ms) % self.window_ms
+        first, fresh = [], False
+        for ms in df["et"].to_numpy().astype("datetime64[ms]").astype("int64").tolist():
+            start = ms - ms % self.window_ms
             first.append(int(start not in known))
             if start not in known:
                 known.add(start)
+                fresh = True
                 self.handle.registerTimer(max(start + self.window_ms, timerValues.getCurrentWatermarkInMs() + 1))
-        self.open.update((sorted(known),))
+        if fresh:
+            self.open.update((sorted(known),))
         out = df[self.columns].copy()
         out["first"] = first
         yield out
@@ -345,9 +373,10 @@ class FirstArrival(KeyLife, StatefulProcessor):
         self.live(handle)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _rows(rows, [self.seq])
-        if not df.empty and self.touch(df[self.ts].max(), timerValues):
-            yield df[self.columns].head(1)
+        records = _records(rows, self.columns, self.seq)
+        at = self.columns.index(self.ts)
+        if records and self.touch(max(r[at] for r in records), timerValues):
+            yield pd.DataFrame(records[:1], columns=self.columns)
 
     def close(self) -> None:
         pass
@@ -420,21 +449,17 @@ class LatestAfterWait(StatefulProcessor):
         self.last = handle.getValueState("last", ", ".join(f"{c} string" for c in self.columns))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _rows(rows, [self.seq])
-        if df.empty:
-            return iter([])
-        held = self.last.get()
-        cur = None if held is None else list(held)
+        cur = self.last.get()
         ts_i = self.columns.index(self.ts)
-        for rec in df[self.columns].astype(object).itertuples(index=False):
-            rec = [None if v is None else str(v) for v in rec]
+        for rec in map(_text, _records(rows, self.columns, self.seq)):
             if cur is None:
                 now = timerValues.getCurrentProcessingTimeInMs() if self.processing else int(rec[ts_i])
                 self.handle.registerTimer(now + self.wait_ms)
                 cur = rec
             elif rec[ts_i] >= cur[ts_i]:
                 cur = rec
-        self.last.update(tuple(cur))
+        if cur is not None:
+            self.last.update(tuple(cur))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -443,7 +468,7 @@ class LatestAfterWait(StatefulProcessor):
             self.last.clear()
             out = pd.DataFrame([rec], columns=self.columns)
             if self.stamped:
-                out["et"] = pd.to_datetime(pd.Series([expiredTimerInfo.getExpiryTimeInMs()]), unit="ms")
+                out["et"] = _moments([expiredTimerInfo.getExpiryTimeInMs()])
             yield out
 
     def close(self) -> None:
