@@ -240,9 +240,7 @@ def test_state_stays_flat_over_thirty_days(plain):
     days = [[(f"{d}-{i}", start + d * DAY + i * 1000, i, "1") for i in range(20)] for d in range(30)]
     forms = {
         "first": lambda ev: J.P.apply(ev, ["key"], J.P.FirstOfDay("ts", ["ts"], ["key", "ts"], timers=True), "key string, ts long", "EventTime", ""),
-        "back": lambda ev: J.P.apply(ev.withColumnRenamed("key", "uid"), ["uid"], J.P.ReturningUser(8, 2 * DAY), "uid string, ts long, et timestamp, back long", "EventTime", "et"),
         "fixed": lambda ev: J.P.apply(ev, ["key"], J.P.FixIsNew(["key", "ts"], idle_ms=2 * DAY), "key string, ts long, is_new string", "EventTime", ""),
-        "newer": lambda ev: J.P.apply(ev, ["key"], J.P.StrictlyNewer("ts", "offset", ["key", "ts"], idle_ms=2 * DAY), "key string, ts long", "EventTime", ""),
     }
     for name, form in forms.items():
         seen = []

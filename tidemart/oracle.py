@@ -956,3 +956,5 @@ ORACLE["log_split_stream"] = "\nUNION ALL\n".join(
     [f"""SELECT '{n}' AS sink, "offset", {m} AS mid, CAST({i} AS VARCHAR) AS is_new, CAST({x} AS VARCHAR) AS item
 FROM ({ORACLE['log_split_' + n]})""" for n, (m, i, x) in _SINK.items()]
     + [f"""SELECT 'dirty', "offset", NULL, NULL, NULL FROM ({ORACLE['log_dirty_split']})"""])
+
+LARGE_STREAMS = {k: ORACLE.pop(k) for k in ("dedup_composite_stream", "dws_sku_order_stream", "dws_province_order_stream")}
