@@ -707,7 +707,7 @@ def _routed(spark, sf_dir):
 
 
 def _kv(m):
-    return F.array_join(F.array_sort(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="),
+    return F.array_join(F.sort_array(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="),
                                                                                       F.coalesce(e["value"], F.lit(""))))),
                         ";")
 
@@ -733,7 +733,7 @@ def q_dim_route(spark, sf_dir):
 @query("dim_column_prune")
 def q_dim_column_prune(spark, sf_dir):
     r = _routed(spark, sf_dir)
-    return r.select("sink_table", "seq", F.array_join(F.array_sort(F.map_keys("data")), ",").alias("columns"))
+    return r.select("sink_table", "seq", F.array_join(F.sort_array(F.map_keys("data")), ",").alias("columns"))
 
 
 #: Columns of the wide dimension rows: a sink table has null where it lacks one.
@@ -869,7 +869,8 @@ def q_src_file_stream(spark, sf_dir):
     path = _scratch(spark, "topic_db")
     raw = env_ops.envelope_to_json(_topic(spark, sf_dir))
     R.write_jsonl(raw, path)
-    stream = spark.readStream.option("maxFilesPerTrigger", 2).text(path)
+    files = len(spark.read.text(path).inputFiles())
+    stream = spark.readStream.option("maxFilesPerTrigger", max(2, -(-files // 8))).text(path)
     env = env_ops.parse_cdc(stream)
     flat = env.select(F.col("source")["table"].alias("source_table"), F.col("after")["id"].alias("id"), "op",
                       F.size("after").alias("n_after"), "ts_ms")

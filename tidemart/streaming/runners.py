@@ -100,10 +100,19 @@ def kafka_sink(df: DataFrame, servers: str, topic: str | None, checkpoint: str,
         return w.start()
 
 
+#: Records in one file of a topic folder. Compressed files can't be split, so that this bounds what one task reads.
+FILE_RECORDS = 250_000
+
+
+def topic_files(df: DataFrame):
+    """Writer of a topic's folder: text compresses to a tenth or less, in files that can be read side by side."""
+    return df.write.option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS)
+
+
 def write_jsonl(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """K1/K2 file stand-in (batch): one record per line, optionally one folder
     per topic. A frame of just ``value`` (already serialised) is written as is."""
-    w = df.write.mode("overwrite")
+    w = topic_files(df).mode("overwrite")
     if partition_by:
         w = w.partitionBy(partition_by)
     if [c for c in df.columns if c != partition_by] == ["value"]:
@@ -142,7 +151,7 @@ def replay_path(spark: SparkSession, phases: list[DataFrame], build: Callable[[D
     for i, part in enumerate(phases):
         if before:
             before(i)
-        part.write.text(os.path.join(topic, f"p{i:03d}"))
+        topic_files(part).text(os.path.join(topic, f"p{i:03d}"))
         with stream_conf(spark, **more):
             w = (build(spark.readStream.text(os.path.join(topic, "*"))).writeStream.outputMode("append")
                  .option("checkpointLocation", os.path.join(base, "ckpt")).trigger(availableNow=True))
