@@ -106,15 +106,17 @@ def retract_versions(df: DataFrame, key: str, seq: str, amount_cols: list[str])
     """Every superseded version is emitted again with negated amounts.
 
     Output = all versions + negated copies of all but the last one; so the sum
-    of the output equals the sum of the latest versions. The "is superseded"
-    test is an anti-join against the per-key latest ``seq`` (a partial
-    aggregate), so a hot key never lands whole in one task.
+    of the output equals the sum of the latest versions. One pass: the last
+    ``seq`` of a key is a window over its rows (which spill), and a superseded
+    row comes out twice; a frame that lies by ``key`` is not shuffled again.
     """
-    last = df.groupBy(key).agg(F.max(seq).alias("_last_seq"))
-    old = (df.join(last, on=key, how="inner").where(F.col(seq) < F.col("_last_seq")).drop("_last_seq"))
-    neg = old.select(*[(-F.col(c).cast("decimal(38,2)")).cast("string").alias(c) if c in amount_cols else F.col(c)
-                       for c in df.columns]).withColumn("_retract", F.lit(True))
-    return df.withColumn("_retract", F.lit(False)).unionByName(neg)
+    last = F.max(seq).over(Window.partitionBy(key))
+    old = F.col(key).isNotNull() & (F.col(seq) < last)
+    copies = F.when(old, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    out = df.withColumn("_copies", copies).withColumn("_retract", F.explode("_copies")).drop("_copies")
+    return out.select(*[F.when(F.col("_retract"), (-F.col(c).cast("decimal(38,2)")).cast("string"))
+                        .otherwise(F.col(c).cast("string")).alias(c) if c in amount_cols else F.col(c)
+                        for c in df.columns], "_retract")
 
 
 def fix_is_new(log: DataFrame, mid: Column, ts: str, offset: str, is_new: Column, day: Column,

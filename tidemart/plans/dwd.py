@@ -132,19 +132,22 @@ def refund_pay_shape(j: DataFrame, tz: str) -> DataFrame:
                     "refund_num", F.col("total_amount").alias("refund_amount"), "ts_ms")
 
 
-def order_detail(topic: DataFrame, tz: str = "UTC", keep_seq: bool = False) -> DataFrame:
+def order_detail(topic: DataFrame, tz: str = "UTC", keep_seq: bool = False, by_order: bool = False) -> DataFrame:
     """order_detail ⋈ order_info ⟕ activity ⟕ coupon (snapshot rows).
 
-    ``keep_seq`` carries the arrival position for downstream version handling.
+    ``keep_seq`` carries the arrival position for downstream version handling. ``by_order`` joins the orders last (the
+    joins commute), so that the rows lie by order id for a further join on it; else they lie by detail id.
     """
     seq = ("seq",) if keep_seq else ()
     od = detail_side(cdc_demux(topic, "order_detail", "r"), *seq)
     oi = order_side(cdc_demux(topic, "order_info", "r"))
     act = activity_side(cdc_demux(topic, "order_detail_activity", "r"))
     cou = coupon_side(cdc_demux(topic, "order_detail_coupon", "r"))
-    j = (od.join(oi, od.order_id == oi.oi_id, "inner")
-         .join(act, od.id == act.act_detail_id, "left")
-         .join(cou, od.id == cou.cou_detail_id, "left"))
+    of_order, of_act, of_cou = ((oi, od.order_id == oi.oi_id, "inner"), (act, od.id == act.act_detail_id, "left"),
+                                (cou, od.id == cou.cou_detail_id, "left"))
+    j = od
+    for side in (of_act, of_cou, of_order) if by_order else (of_order, of_act, of_cou):
+        j = j.join(*side)
     return detail_shape(j, tz, *seq)
 
 

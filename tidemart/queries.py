@@ -52,13 +52,13 @@ def q_dwd_order_detail(spark, sf_dir):
 @query("dwd_order_cancel")
 def q_dwd_order_cancel(spark, sf_dir):
     t = _topic(spark, sf_dir)
-    return dwd.order_cancel(t, dwd.order_detail(t))
+    return dwd.order_cancel(t, dwd.order_detail(t, by_order=True))
 
 
 @query("dwd_pay_success")
 def q_dwd_pay_success(spark, sf_dir):
     t = _topic(spark, sf_dir)
-    return dwd.pay_success(t, dwd.order_detail(t))
+    return dwd.pay_success(t, dwd.order_detail(t, by_order=True))
 
 
 @query("dwd_order_refund")
