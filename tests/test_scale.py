@@ -61,3 +61,39 @@ def test_dimension_merges_with_deletes_empty_cells_and_no_key(spark):
     wide = {(x.sink_table, x.row_key): (x.x, x.y) for x in D.upsert_merge(r, ["x", "y"]).collect()}
     assert wide == {("t", "a"): ("1", "3"), ("t", "b"): (None, None), ("t", "c"): (None, "9"), ("u", "a"): ("7", None),
                     ("t", None): ("6", None)}
+
+
+def _exchanges(spark, key):
+    return _plan(spark, E.queries()[key](spark, SF)).split("@@")[1]
+
+
+def test_line_versions_are_shuffled_once(spark):
+    assert "ReusedExchange" in _exchanges(spark, "dwd_order_detail")
+
+
+def test_retraction_reads_the_details_once(spark):
+    plan = _exchanges(spark, "order_retraction")
+    assert plan.count("FileScan parquet") == 4       # details, orders, and the two feeds of line versions
+
+
+def test_base4_reads_details_and_orders_once(spark):
+    plan = _exchanges(spark, "label_base4")
+    assert sum("FileScan parquet [l_" in line or "FileScan parquet [o_" in line for line in plan.splitlines()) == 2
+
+
+def test_orders_joined_last_are_the_same_details(spark):
+    from tidemart.plans import dwd
+    from tidemart.sources import fixtures as fx
+    t = fx.topic_db(spark, SF)
+    a, b = dwd.order_detail(t, keep_seq=True), dwd.order_detail(t, keep_seq=True, by_order=True)
+    assert a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_retraction_keeps_rows_without_a_key_and_ties(spark):
+    from tidemart.operators import dedup as dd
+    df = spark.createDataFrame([("a", "1", "5.00"), ("a", "2", "6.00"), ("a", "2", "7.00"), (None, "1", "1.00"),
+                                (None, "2", "2.00"), ("b", "1", None), ("b", "2", "3.00")], "id string, seq string, amt string")
+    got = sorted((r.id or "", r.seq, r.amt or "", r._retract) for r in dd.retract_versions(df, "id", "seq", ["amt"]).collect())
+    assert got == sorted([("a", "1", "5.00", False), ("a", "1", "-5.00", True), ("a", "2", "6.00", False), ("a", "2", "7.00", False),
+                          ("", "1", "1.00", False), ("", "2", "2.00", False), ("b", "1", "", False), ("b", "1", "", True),
+                          ("b", "2", "3.00", False)])
