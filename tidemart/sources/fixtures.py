@@ -428,6 +428,9 @@ def page_log_struct(spark, sf_dir) -> DataFrame:
     ev = table(spark, sf_dir, "events").withColumn("k", _k()).withColumn("ts_ms", epoch_ms(F.col("ts")))
     part = table(spark, sf_dir, "part").select("p_partkey", _c3_name().alias("search_word"))
     ev = ev.join(part, ev.k == part.p_partkey, "left")
+    # A record of the log is many times its event's size, and there are few values of k: the rows are spread anew by
+    # their own key before they grow, else a few tasks build and parse the whole log.
+    ev = ev.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id")
     k, uid = F.col("k"), F.col("user_id")
     page_id = F.when(F.lit(False), F.lit(None).cast("string"))
     for et, pid in PAGE_BY_EVENT:
