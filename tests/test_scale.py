@@ -97,3 +97,17 @@ def test_retraction_keeps_rows_without_a_key_and_ties(spark):
     assert got == sorted([("a", "1", "5.00", False), ("a", "1", "-5.00", True), ("a", "2", "6.00", False), ("a", "2", "7.00", False),
                           ("", "1", "1.00", False), ("", "2", "2.00", False), ("b", "1", "", False), ("b", "1", "", True),
                           ("b", "2", "3.00", False)])
+
+
+def test_folded_texts_leave_in_small_batches():
+    import pyarrow as pa
+    from tidemart.llm import exact_dedup as X
+    n = 40
+    texts = [b"%05d" % (i % 30) + b"x" * 200_000 for i in range(n)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array(range(n), pa.int64()), pa.array(texts, pa.binary()),
+                                        pa.array([len(t) for t in texts], pa.int64())], names=["id", "th", "text", "n_chars"])
+    out = [b for b in X._fold([batch])]
+    entries = [b for b in out if b.column(4).null_count == 0]
+    assert max(b.nbytes for b in entries) < 3 << 20
+    assert sum(b.num_rows for b in entries) == 30 and sum(sum(b.column(6).to_pylist()) for b in entries) == n
+    assert sum(b.num_rows for b in out) == 30 + n

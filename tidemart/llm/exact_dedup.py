@@ -25,7 +25,9 @@ from .bpe import release_encoders
 from .common import DOC_COLUMNS, SPACES, first_of_copies, id_in, id_out, saved, work_dir
 
 KEY_BITS = 63
-FOLD_BYTES = 32 << 20
+FOLD_BYTES = 16 << 20
+#: What one Arrow batch of entries holds: it lies in the task's Python worker, on its way and in the JVM at a time.
+BATCH_BYTES = 2 << 20
 BUCKET_BYTES = 1 << 20
 MAX_BUCKETS = 1 << 17
 
@@ -38,10 +40,22 @@ def _better(a, b):
     return a if (-a[0], a[1], a[2]) <= (-b[0], b[1], b[2]) else b
 
 
+def _slices(held: dict):
+    """The held texts in lists of about ``BATCH_BYTES``; they leave ``held`` as they go."""
+    rows, size = [], 0
+    while held:
+        rows.append(held.popitem())
+        size += len(rows[-1][0])
+        if size > BATCH_BYTES:
+            yield rows
+            rows, size = [], 0
+    if rows:
+        yield rows
+
+
 def _fold(batches):
-    def flush(held):
-        n = len(held)
-        rows = list(held.items())
+    def flush(rows):
+        n = len(rows)
         return pa.RecordBatch.from_arrays(
             [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array([_key(h[0]) for _, h in rows], pa.int64()), pa.array([h[0] for _, h in rows], pa.binary()),
              pa.array([t for t, _ in rows], pa.binary()), pa.array([len(t) for t, _ in rows], pa.int64()), pa.array([h[1] for _, h in rows], pa.int64()),
@@ -66,13 +80,12 @@ def _fold(batches):
             keys.append(_key(at[0]))
             shas.append(at[0])
             if size > FOLD_BYTES:
-                yield flush(held)
+                yield from map(flush, _slices(held))
                 held, size = {}, 0
         n = len(ids)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(keys, pa.int64()), pa.array(shas, pa.binary()), pa.nulls(n, pa.binary()), *[pa.nulls(n, pa.int64())] * 5], names=names)
-    if held:
-        yield flush(held)
+    yield from map(flush, _slices(held))
 
 
 def _key(sha: bytes) -> int:
