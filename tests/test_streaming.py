@@ -499,3 +499,24 @@ def test_label_merge_within_a_day(plain):
                   if u == u4 == u6 and abs(t2 - t4) <= 24 * h and abs(t6 - t4) <= 24 * h)
     assert got == want and len(want) >= 3
     assert seen[-1] < seen[1]
+
+
+# ---------------------------------------------------------------- settings of drained streams
+
+def test_joins_keep_one_store_and_count_for_a_watcher_only(spark):
+    from tidemart.streaming import joins as SJ
+    key = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    before, counted = spark.conf.get(key, None), []
+
+    def build(raw):
+        counted.append(spark.conf.get(key))
+        e = _from_json(raw, "k string, ms long")
+        return SJ.interval_join(e.toDF("a", "a_ms"), e.toDF("b", "b_ms"), "a", "b", "a_ms", "b_ms", -10, 0)
+    rows = spark.createDataFrame([("x", 100), ("x", 95), ("y", 100)], "k string, ms long")
+    lines = rows.select(F.to_json(F.struct("*")).alias("value"))
+    out = R.replay_path(spark, [lines], build, "one-store")
+    assert _rows(spark.read.parquet(out)) == [("x", 95, "x", 95), ("x", 100, "x", 95), ("x", 100, "x", 100), ("y", 100, "y", 100)]
+    stores = os.listdir(os.path.join(os.path.dirname(out), "ckpt", "state", "0", "0"))
+    assert not [s for s in stores if "keyToNumValues" in s or "keyWithIndexToValue" in s]
+    R.replay_path(spark, [lines], build, "one-store", watch=lambda p: None)
+    assert counted == ["false", "true"] and spark.conf.get(key, None) == before
