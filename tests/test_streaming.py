@@ -408,6 +408,28 @@ def test_config_changes_the_routing_between_batches(plain):
     assert rows() == seen[2]
 
 
+def test_dimension_rows_travel_whole_and_fold_in_any_order(spark):
+    from tidemart.streaming import dimbuild as SB
+    schema = "sink_table string, epoch long, sink_row_key string, op string, seq string, data map<string,string>"
+
+    def rec(key, op, seq, **data):
+        return ("t", 0, "id", op, seq, {**({"id": key} if key else {}), **data})
+    recs = [rec("1", "r", "1", x="a", y="b"), rec("1", "u", "3", x="c", y=""), rec("2", "r", "1", x="a"), rec("2", "d", "4"),
+            rec("2", "c", "6", y="z"), rec("3", "r", "2", x="a"), rec("3", "d", "5"), rec(None, "c", "1", x="n"), rec("4", "d", "1"),
+            rec("5", "r", "1", x="a", y="b"), rec("5", "u", "3", x="c"), rec("5", "d", "2"), rec("1", "u", "4", y="e"), rec(None, "c", "2", y="m"),
+            rec("6", "c", "9", x="", y="")]
+    want = [(None, (("x", "n"), ("y", "m"))), ("1", (("id", "1"), ("x", "c"), ("y", "e"))), ("2", (("id", "2"), ("y", "z"))),
+            ("5", (("id", "5"), ("x", "c"))), ("6", (("id", "6"),))]
+    assert SB.cells(spark.createDataFrame(recs, schema)).count() == len(recs)
+    config = spark.createDataFrame([("t", 0, "r")], "sink_table string, epoch long, op string")
+    for order in (recs, recs[::-1], recs[1::2] + recs[::2]):
+        table = R.UpsertTable(scratch_path(spark, f"fold-{uuid.uuid4().hex[:6]}"), SB.CELL_KEYS, "seq", buckets=2)
+        for i in range(3):
+            table.merge_batch(SB.cells(spark.createDataFrame(order[i * 5:i * 5 + 5], schema)), i, SB.fold)
+        got = SB.dimension_rows(table.read(spark), config).collect()
+        assert sorted(((r.row_key, tuple(sorted(r.data.items()))) for r in got), key=str) == sorted(want, key=str)
+
+
 # ---------------------------------------------------------------- dedup streams (T13, T14), event-time policies
 
 def test_exact_dedup_across_batches_and_its_state(plain):
