@@ -204,3 +204,22 @@ def test_extract_rows(spark):
     pages = spark.createDataFrame([(*r, "c") for r in rows], "page_id long, url string, html string, text string")
     got = H.extract(pages).collect()
     assert len(got) == 5 and {r.n_chars for r in got if r.page_id == 3} == {len(H.main_text(PAGE))}
+
+
+def test_quality_model_is_the_same_in_blocks_of_any_size(spark, monkeypatch):
+    """Blocks bound what the fit holds in the driver; the weights don't depend on them."""
+    import tracemalloc
+
+    from tidemart.llm import quality as Q
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    models, peaks = [], []
+    for rows in (10, 10**6):
+        monkeypatch.setattr(Q, "BLOCK_ROWS", rows)
+        tracemalloc.start()
+        models.append(Q.fit(docs, labels))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    a, b = models
+    assert (a.weights == b.weights).all() and (a.bias, a.slope, a.shift) == (b.bias, b.slope, b.shift)
+    assert peaks[0] < peaks[1]

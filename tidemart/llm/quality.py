@@ -28,6 +28,8 @@ SYMBOLS = b"#*$%&|<>"
 
 FEATURES = 4
 EPOCHS, RATE, DECAY = 80, 0.5, 1e-5
+#: Rows whose features are held as float64 at a time while the model is fitted.
+BLOCK_ROWS = 100
 #: Weight of the pull of the calibration to the logit itself, so that a fifth that is fully separated has an optimum.
 PULL = 1.0
 #: Shares are small numbers: they are scaled so that weights stay near one.
@@ -93,37 +95,49 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     sample = docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(chosen), "id").select("y", "text", "h")
     # a doc_id that repeats in the documents counts once
     sample = sample.groupBy("h").agg(F.min(F.struct("text", "y")).alias("r")).select("r.y", "r.text", "h")
-    rows = sample.mapInArrow(_sparse, "y int, idx binary, val binary, h long").toPandas().sort_values("h")
-    if rows["y"].nunique() < 2:
+    rows = sample.mapInArrow(_sparse, "y int, idx binary, val binary, h long").toArrow()
+    order = np.argsort(rows["h"].to_numpy())
+    y = rows["y"].to_numpy().astype(np.float64)[order]
+    if len(set(y)) < 2:
         return None
-    y = rows["y"].to_numpy(np.float64)
-    idx = [np.frombuffer(x, np.int32) for x in rows["idx"]]
-    val = [np.frombuffer(x, np.float32) for x in rows["val"]]
+    # views of the table's buffers, not copies
+    idx, val = ([np.frombuffer(x.as_buffer(), kind) for x in rows[name]] for name, kind in (("idx", np.int32), ("val", np.float32)))
+    idx, val = [idx[i] for i in order], [val[i] for i in order]
     held = np.arange(len(y)) % 5 == 4
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         held[:] = False
 
-    def flat(which):
+    def logits(at):
+        """Logits of a few rows, the row of each of their features, the features and their values."""
+        row = np.repeat(np.arange(len(at)), [len(idx[i]) for i in at])
+        col, x = np.concatenate([idx[i] for i in at]), np.concatenate([val[i] for i in at]) * SCALE
+        return bias + np.bincount(row, x * w[col], len(at)), row, col, x
+
+    def blocks(which):
         at = np.flatnonzero(which)
-        return np.repeat(np.arange(len(at)), [len(idx[i]) for i in at]), np.concatenate([idx[i] for i in at]), np.concatenate([val[i] for i in at]) * SCALE, y[at]
+        return [at[i : i + BLOCK_ROWS] for i in range(0, len(at), BLOCK_ROWS)]
 
-    row, col, x, t = flat(~held)
-    # classes weigh the same; Adagrad on the full sample
-    each = np.where(t == 1, 0.5 / (t == 1).mean(), 0.5 / (t == 0).mean())
+    # classes weigh the same; Adagrad on the full sample, whose features are widened a block of rows at a time
+    t = y[~held]
+    each = np.where(y == 1, 0.5 / (t == 1).mean(), 0.5 / (t == 0).mean())
     w, g2, bias, b2 = np.zeros(FEATURES << BITS), np.full(FEATURES << BITS, 1e-8), 0.0, 1e-8
     for _ in range(EPOCHS):
-        p = 1 / (1 + np.exp(-np.clip(bias + np.bincount(row, x * w[col], len(t)), -30, 30)))
-        e = (p - t) * each / len(t)
-        g = np.bincount(col, x * e[row], len(w)) + DECAY * w
+        g, es = np.zeros(len(w)), []
+        for at in blocks(~held):
+            z, row, col, x = logits(at)
+            e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[at]) * each[at] / len(t)
+            np.add.at(g, col, x * e[row])
+            es.append(e)
+        g += DECAY * w
         g2 += g * g
         w -= RATE * g / np.sqrt(g2)
-        gb = e.sum()
+        gb = np.concatenate(es).sum()
         b2 += gb * gb
         bias -= RATE * gb / np.sqrt(b2)
     slope, shift = 1.0, 0.0
     if held.any():
-        row, col, x, t = flat(held)
-        z = bias + np.bincount(row, x * w[col], len(t))
+        t = y[held]
+        z = np.concatenate([logits(at)[0] for at in blocks(held)])
         # Platt scaling with smoothed targets and a weak pull to (1, 0), by damped Newton steps
         good, bad = (t == 1).sum(), (t == 0).sum()
         target = np.where(t == 1, (good + 1) / (good + 2), 1 / (bad + 2))
