@@ -6,6 +6,10 @@ result matches the batch body in ``tidemart.operators.dedup`` whatever the
 micro-batch boundaries are. Per-key work is a small pandas loop over that key's
 rows in the batch; state stays O(1) per key (O(distinct values) for sets).
 
+The processors on the page log and the carts (``Dealt``) meet many keys of a few rows each: there a call a key costs
+milliseconds in frames and messages, whatever the rows. Their keys are dealt by hash to ``GROUPS`` groups; a call works
+on a group's rows at once, while the state stays one entry a key.
+
 State ends (T6): by an event-time timer once the watermark has left a key's last record ``idle_ms`` behind, or, where
 late records must not be dropped and so no watermark is set, by a processing-time TTL.
 """
@@ -18,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 DAY_MS = 86_400_000
@@ -48,15 +53,26 @@ def _moments(ms: list[int]) -> np.ndarray:
     return np.array(ms, "datetime64[ms]")
 
 
-def _day(ms: int | None, offset_ms: int = 0) -> str | None:
-    if pd.isna(ms):
-        return None
-    return pd.Timestamp(int(ms) + offset_ms, unit="ms").strftime("%Y-%m-%d")
+#: Groups of the keys of a ``Dealt`` processor: a call holds a group's rows of one micro-batch. As with the state's
+#: partitions, a checkpoint keeps the number it began with.
+GROUPS = 8192
+#: The day of records without a time.
+NO_DAY = -(1 << 62)
+
+
+def _days(ms: pd.Series, offset_ms: int = 0) -> np.ndarray:
+    """Numbers of the days since 1970."""
+    known = ms.notna().to_numpy()
+    return np.where(known, (ms.fillna(0).to_numpy().astype("int64") + offset_ms) // DAY_MS, NO_DAY)
 
 
 def apply(df: DataFrame, keys: list[str], processor: StatefulProcessor, out_schema: str,
           time_mode: str = "None", event_time_column: str = "") -> DataFrame:
-    """groupBy(keys).transformWithStateInPandas in append mode."""
+    """groupBy(keys).transformWithStateInPandas in append mode; for a ``Dealt`` processor by groups of the keys."""
+    if isinstance(processor, Dealt):
+        df = (df.withColumn("state_key", F.to_json(F.struct(*keys)))
+              .withColumn("state_group", F.pmod(F.xxhash64("state_key"), F.lit(GROUPS))))
+        keys = ["state_group"]
     return df.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=out_schema, outputMode="Append", timeMode=time_mode,
         eventTimeColumnName=event_time_column)
@@ -96,7 +112,49 @@ class KeyLife:
         return iter([])
 
 
-class FirstOfDay(StatefulProcessor):
+class Dealt(StatefulProcessor):
+    """A processor of many keys at a time: it is called with the rows of a group of keys, each with its key as ``state_key``,
+    and keeps a map entry for a key. A group has one timer at a time, noted as ``due``; when it fires, ``ended`` says
+    what is left of each entry and when to look again."""
+
+    def open(self, handle: StatefulProcessorHandle, schema: str, ttl_ms: int | None = None) -> None:
+        self.handle = handle
+        self.entries = handle.getMapState("entries", "k string", schema, ttl_ms)
+        self.due = handle.getValueState("due", "ms long")
+
+    def wake(self, at: int, timerValues) -> None:
+        """A timer at ``at`` at the earliest, unless one is set for then or before."""
+        at, due = max(at, timerValues.getCurrentWatermarkInMs() + 1), self.due.get()
+        if due is None or at < due[0]:
+            if due is not None:
+                self.handle.deleteTimer(due[0])
+            self.handle.registerTimer(at)
+            self.due.update((at,))
+
+    def ended(self, entry: tuple, mark: int) -> tuple[tuple | None, int]:
+        """What is left of an entry at the watermark, and the moment at which that ends."""
+        raise NotImplementedError
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        mark, at = timerValues.getCurrentWatermarkInMs(), None
+        for k, entry in list(self.entries.iterator()):
+            left, end = self.ended(tuple(entry), mark)
+            if left is None:
+                self.entries.removeKey(tuple(k))
+                continue
+            at = end if at is None else min(at, end)
+            if left != tuple(entry):
+                self.entries.updateValue(tuple(k), left)
+        self.due.clear()
+        if at is not None:
+            self.wake(at, timerValues)
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+class FirstOfDay(Dealt):
     """The first row of each key per day (``flag=False``), or every row with
     a ``first_flag`` column (``flag=True``). State: the days seen, so that a day
     that comes again out of order is not counted twice. With ``timers`` (event time) a day
@@ -109,45 +167,76 @@ class FirstOfDay(StatefulProcessor):
         self.tz_offset_ms, self.ttl_ms, self.timers = tz_offset_ms, None if timers else ttl_ms, timers
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.days = handle.getValueState("days", "d array<string>", self.ttl_ms)
+        self.open(handle, "d array<bigint>", self.ttl_ms)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if (held := self.days.get()) is not None:
-            oldest = _day(timerValues.getCurrentWatermarkInMs(), self.tz_offset_ms)
-            days = [d for d in held[0] if d is not None and d >= oldest]
-            if days:
-                self.days.update((days,))
-            else:
-                self.days.clear()
-        return iter([])
+    def _end(self, day: int) -> int:
+        return DAY_MS if day == NO_DAY else (day + 1) * DAY_MS - self.tz_offset_ms
+
+    def ended(self, entry: tuple, mark: int) -> tuple[tuple | None, int]:
+        left = [d for d in entry[0] if self._end(d) > mark]
+        return ((left,), min(map(self._end, left))) if left else (None, 0)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _rows(rows, self.order)
         if df.empty:
             return
-        days = set((self.days.get() or [()])[0])
-        keep = []
-        for ts in df[self.ts]:
-            d = _day(ts, self.tz_offset_ms)
-            keep.append(d not in days)
-            if self.timers and d not in days:
-                end = DAY_MS if d is None else pd.Timestamp(d).value // 1_000_000 + DAY_MS - self.tz_offset_ms
-                self.handle.registerTimer(max(end, timerValues.getCurrentWatermarkInMs() + 1))
-            days.add(d)
-        self.days.update((sorted(days, key=str),))
+        codes, keys = pd.factorize(df["state_key"])
+        days = _days(df[self.ts], self.tz_offset_ms)
+        first = ~pd.DataFrame({"k": codes, "d": days}).duplicated().to_numpy()
+        met: dict[int, list[int]] = {}
+        for i in np.flatnonzero(first).tolist():
+            met.setdefault(codes[i], []).append(i)
+        fresh = []
+        for c, at in met.items():
+            held = self.entries.getValue((keys[c],))
+            known = set(held[0]) if held else set()
+            new = {int(days[i]) for i in at} - known
+            first[[i for i in at if days[i] in known]] = False
+            if new or self.ttl_ms:
+                self.entries.updateValue((keys[c],), (sorted(known | new),))
+            fresh.extend(new)
+        if self.timers and fresh:
+            self.wake(self._end(min(fresh)), timerValues)
         out = df[self.columns].copy()
         if self.flag:
-            out["first_flag"] = [1 if k else 0 for k in keep]
+            out["first_flag"] = first.astype("int64")
             yield out
         else:
-            yield out[pd.Series(keep, index=out.index)]
+            yield out[first]
 
-    def close(self) -> None:
-        pass
 
+class Idle(Dealt):
+    """Entries end with the time of the key's last record, ``seen``, and are let go once it lies ``idle_ms`` behind
+    the watermark: the key is new from then on. A group is swept for such entries at most eight times in that span, as
+    a sweep reads them all. Without ``idle_ms`` a key lives on."""
+
+    idle_ms: int | None = None
+
+    def held(self, key: str, timerValues) -> tuple | None:
+        entry = self.entries.getValue((key,))
+        if entry is None or (self.idle_ms and entry[-1] + self.idle_ms <= timerValues.getCurrentWatermarkInMs()):
+            return None
+        return tuple(entry)
+
+    def ended(self, entry: tuple, mark: int) -> tuple[tuple | None, int]:
+        end = entry[-1] + self.idle_ms
+        return (entry, max(end, mark + self.idle_ms // 8)) if end > mark else (None, 0)
+
+    def newest(self, codes: np.ndarray, n: int, ts: pd.Series, timerValues) -> list[int]:
+        """Of each key, the time of its newest record, the watermark at the least."""
+        out = np.full(n, max(0, timerValues.getCurrentWatermarkInMs()))
+        np.maximum.at(out, codes, ts.fillna(0).to_numpy().astype("int64"))
+        return out.tolist()
+
+    def keep(self, key: str, held: tuple | None, value: tuple, newest: int) -> None:
+        self.entries.updateValue((key,), (*value, max(newest, held[-1]) if held else newest))
 
-class ReturningUser(KeyLife, StatefulProcessor):
+    def sweep(self, newest: list[int], timerValues) -> None:
+        if self.idle_ms and self.due.get() is None:
+            self.wake(min(newest) + self.idle_ms, timerValues)
+
+
+class ReturningUser(Idle):
     """The first login of each user and day, with ``back`` = 1 when the login
     day before it lies ``back_days`` or more days back. State: the last login day; a user who stays
     away for longer than ``idle_ms`` comes back as a new one."""
@@ -156,33 +245,36 @@ class ReturningUser(KeyLife, StatefulProcessor):
         self.back_days, self.idle_ms = back_days, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last_day", "d string")
-        self.live(handle, self.last)
+        self.open(handle, "d long, seen long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _rows(rows, ["ts"])
         if df.empty:
             return
-        last = (self.last.get() or [None])[0]
-        keep, back = [], []
-        for ts in df["ts"]:
-            day = _day(ts)
-            new = last is None or day > last
-            keep.append(new)
-            back.append(int(new and last is not None
-                            and int(ts) - pd.Timestamp(last).value // 1_000_000 >= self.back_days * DAY_MS))
-            last = day if new else last
-        self.last.update((last,))
-        self.touch(df["ts"].max(), timerValues)
+        codes, keys = pd.factorize(df["state_key"])
+        days, newest = _days(df["ts"]), self.newest(codes, len(keys), df["ts"], timerValues)
+        first = ~pd.DataFrame({"k": codes, "d": days}).duplicated().to_numpy()
+        met: list[list[int]] = [[] for _ in keys]
+        for i in np.flatnonzero(first).tolist():
+            met[codes[i]].append(i)
+        back = np.zeros(len(df), np.int64)
+        for k, at, seen in zip(keys, met, newest):
+            held = self.held(k, timerValues)
+            last = held[0] if held else None
+            for i in at:
+                if last is None or days[i] > last:
+                    back[i] = last is not None and int(df["ts"].iat[i]) - last * DAY_MS >= self.back_days * DAY_MS
+                    last = int(days[i]) if days[i] != NO_DAY else None
+                else:
+                    first[i] = False
+            self.keep(k, held, (last,), seen)
+        self.sweep(newest, timerValues)
         out = df[["uid", "ts", "et"]].copy()
         out["back"] = back
-        yield out[pd.Series(keep, index=out.index)]
-
-    def close(self) -> None:
-        pass
+        yield out[first]
 
 
-class FixIsNew(KeyLife, StatefulProcessor):
+class FixIsNew(Idle):
     """The first record of a mid fixes its visit day (its date if it says
     new, else the day before); later 'new' records on another date become old. A mid that is idle for ``idle_ms`` of
     event time, or ``ttl_ms`` of processing time, is met as a new one."""
@@ -191,33 +283,31 @@ class FixIsNew(KeyLife, StatefulProcessor):
         self.columns, self.ttl_ms, self.idle_ms = columns, ttl_ms, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.d0 = handle.getValueState("first_day", "d string", self.ttl_ms)
-        self.live(handle, self.d0)
+        self.open(handle, "d long, seen long", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _rows(rows, ["ts", "offset"])
         if df.empty:
             return
-        d0 = (self.d0.get() or [None])[0]
-        fixed = []
-        for ts, isn in zip(df["ts"], df["is_new"]):
-            day = _day(ts)
-            if d0 is None:
-                d0 = day if isn == "1" else _day(ts, -DAY_MS)
-                fixed.append(isn)
-            elif isn == "1" and d0 != day:
-                fixed.append("0")
-            else:
-                fixed.append(isn)
-        self.d0.update((d0,))
-        self.touch(df["ts"].max(), timerValues)
+        codes, keys = pd.factorize(df["state_key"])
+        days, newest = _days(df["ts"]), self.newest(codes, len(keys), df["ts"], timerValues)
+        isnew = (df["is_new"] == "1").to_numpy()
+        starts = np.unique(codes, return_index=True)[1]
+        fixed = np.full(len(keys), NO_DAY)
+        for c, i in enumerate(starts.tolist()):
+            held = self.held(keys[c], timerValues)
+            day = held[0] if held else None
+            if day is None and days[i] != NO_DAY:
+                day = int(days[i]) - (0 if isnew[i] else 1)
+            if day is not None:
+                fixed[c] = day
+            self.keep(keys[c], held, (day,), newest[c])
+        self.sweep(newest, timerValues)
+        day = fixed[codes]
         out = df[self.columns].copy()
-        out["is_new"] = fixed
+        out["is_new"] = df["is_new"].where(~(isnew & (day != NO_DAY) & (day != days)), "0")
         yield out
 
-    def close(self) -> None:
-        pass
-
 
 class StrictlyNewer(KeyLife, StatefulProcessor):
     """Pass a row only when its time is greater than every earlier one of the key."""
