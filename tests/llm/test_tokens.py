@@ -61,6 +61,27 @@ def test_encode_decode_rows(make, odd):
         assert np.frombuffer(r.ids, "<u4").tolist() == ids
 
 
+def test_word_encoder_looks_a_known_run_up():
+    w = B.WordBpe(P.path("word_bpe_49k.json"))
+    text = 'A known word, and "one" more: x.y 2024!\nÉté. l\'eau ... don\'t; (end). 漢字, Σ. ' + "long-" * 40
+    first = w.encode(text)
+    assert np.frombuffer(first, "<u2").tolist() == w.library.encode(text, add_special_tokens=False).ids
+    assert not any(len(k) > 64 for k in w.cache)
+    w.pieces = None  # words and their marks need no pattern any more
+    assert w.encode("A known word, and more: Été.") == B.word_bpe("word_bpe_49k.json").encode("a known word , and more : été .")
+
+
+def test_terms_and_weights_as_plain_sorting_has_them():
+    r = np.random.default_rng(5)
+    for n in (0, 1, 2, 3000):
+        ids = r.integers(0, 700, n).astype("<u2")
+        for a, b in zip(K.terms(ids), np.unique(ids, return_counts=True)):
+            assert a.tolist() == b.tolist()
+        w = r.integers(0, 20, n).astype(np.float32)
+        top = np.argsort(-w, kind="stable")[:K.QUERY_TERMS]
+        assert K.heaviest(w).tolist() == top[w[top] > 0].tolist()
+
+
 def test_packing_covers_every_token_once(make, odd):
     w = B.word_bpe("word_bpe_49k.json")
     rows = odd + [(100 + i, " ".join(random.Random(i).choices(["red", "green", "blue", "stone", "river"], k=700))) for i in range(60)]

@@ -34,17 +34,20 @@ CACHE_ENTRIES = 100_000
 
 
 class Memo(dict):
-    """Results of ``make`` in two generations of ``size``: what was used in the last one outlives the next."""
+    """Results of ``make`` in two generations of ``size``: what was used in the last one outlives the next.
 
-    def __init__(self, make, size=CACHE_ENTRIES):
+    Only what ``keep`` holds true of, if given, is remembered."""
+
+    def __init__(self, make, size=CACHE_ENTRIES, keep=None):
         super().__init__()
-        self.make, self.size, self.old = make, size, {}
+        self.make, self.size, self.keep, self.old = make, size, keep, {}
 
     def __missing__(self, key):
         value = self.old.pop(key, None)
         if value is None:
             value = self.make(key)
-        self.put(key, value)
+        if self.keep is None or self.keep(key):
+            self.put(key, value)
         return value
 
     def put(self, key, value):
@@ -291,7 +294,8 @@ class ByteBpe:
 class WordBpe:
     """Encoder for a tokenizers file: lower case, white space dropped, BPE with word ends.
 
-    Pre-tokens are remembered; a new one goes to the model of the tokenizers library. Runs with letters beyond the
+    No pre-token goes on over white space, so the runs between it are encoded, and remembered, one by one, and the
+    pre-tokens of a new run among them. A new one goes to the model of the tokenizers library. Runs with letters beyond the
     Latin blocks, and texts with the separators U+001C to U+001F, go through the whole library, whose normaliser
     then decides.
     """
@@ -311,9 +315,11 @@ class WordBpe:
         self.library.encode_special_tokens = True
         self.model = self.library.model
         self.pieces = re.compile(self.PIECES)
+        # a mark between a letter and white space is a pre-token by itself: parted from its word, it spares a run of its own
+        self.mark = re.compile(rf"[.,;:!?](?<=[{self.LETTERS}].)(?!\S)")
         # a text whose lower case stays within the Latin blocks is in normal form C but for Kelvin and Angstrom signs
         self.beyond = re.compile("[^\0-\u024f]")
-        self.cache = Memo(self._piece, 200_000)
+        self.cache = Memo(self._run, 200_000, self._common)
 
     def forget(self) -> int:
         """Drop what is remembered; returns how much it was."""
@@ -322,18 +328,28 @@ class WordBpe:
     def _whole(self, text: str) -> bytes:
         return array("H", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        if not piece.isascii() and self.beyond.search(piece.lower()):
-            return self._whole(piece)
-        units = piece.encode().decode("latin-1").translate(self.alphabet)
+    @staticmethod
+    def _common(run: str) -> bool:
+        return len(run) <= 64
+
+    def _run(self, run: str) -> bytes:
+        """Ids of a run in lower case, or of one with letters beyond the Latin blocks as it is."""
+        plain = run.isascii()
+        if not plain and self.beyond.search(run.lower()):
+            return self._whole(run)
+        if not run.isalpha():
+            pieces = self.pieces.findall(run)
+            if len(pieces) > 1:
+                return b"".join(map(self.cache.__getitem__, pieces))
+        units = run if plain and run.isalpha() else run.encode().decode("latin-1").translate(self.alphabet)
         return array("H", [t.id for t in self.model.tokenize(units)]).tobytes()
 
     def _split(self, text: str) -> list[str]:
-        """Pre-tokens in lower case; a run with letters beyond the Latin blocks stays whole."""
+        """Runs between white space in lower case, without the mark that ends them; one with letters beyond the Latin blocks stays as it is."""
         low = text.lower()
         if low.isascii() or not self.beyond.search(low):
-            return self.pieces.findall(low)
-        return [p for r in text.split() for p in ([r] if self.beyond.search(r.lower()) else self.pieces.findall(r.lower()))]
+            return self.mark.sub(r" \g<0>", low).split()
+        return [r if self.beyond.search(r.lower()) else r.lower() for r in text.split()]
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 16-bit numbers."""

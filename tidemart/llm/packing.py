@@ -39,6 +39,27 @@ PART_BITS = 12
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long, ids binary"
 
 
+def terms(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids in order and how often each occurs: the stable sort of 16-bit numbers is a radix sort."""
+    at = np.sort(ids, kind="stable")
+    new = np.ones(len(at), bool)
+    np.not_equal(at[1:], at[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    end = np.full(len(first), len(at))
+    end[:-1] = first[1:]
+    return at[first], end - first
+
+
+def heaviest(weight: np.ndarray) -> np.ndarray:
+    """Places of the ``QUERY_TERMS`` largest weights above 0, largest first, ties in order."""
+    some = np.arange(len(weight))
+    if len(weight) > 4 * QUERY_TERMS:
+        least = np.partition(weight, len(weight) - QUERY_TERMS)[len(weight) - QUERY_TERMS]
+        some = np.flatnonzero(weight >= least)
+    top = some[np.argsort(-weight[some], kind="stable")[:QUERY_TERMS]]
+    return top[weight[top] > 0]
+
+
 class Corpus:
     """Document frequencies and the mean length of a whole table, and the BM25 weights that follow from them."""
 
@@ -55,14 +76,14 @@ class Index:
 
     def __init__(self, docs: list[np.ndarray], corpus: Corpus | None = None):
         self.n = len(docs)
-        terms, counts, sizes = [], [], []
+        own, counts, sizes = [], [], []
         for ids in docs:
-            t, c = np.unique(ids, return_counts=True)
-            terms.append(t)
+            t, c = terms(ids)
+            own.append(t)
             counts.append(c)
             sizes.append(len(t))
         length = np.array([max(1, len(d)) for d in docs], np.float32)
-        term, tf = np.concatenate(terms), np.concatenate(counts).astype(np.float32)
+        term, tf = np.concatenate(own), np.concatenate(counts).astype(np.float32)
         doc = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
         df = np.bincount(term, minlength=IDS)
         weight = (corpus or Corpus(self.n, df, length.mean())).weight(term, tf, length[doc]).astype(np.float32)
@@ -75,11 +96,8 @@ class Index:
     def neighbours(self, seed: int, used: np.ndarray) -> np.ndarray:
         """Unused documents that share a query term with ``seed``, best first (ties in order of the shard)."""
         a, b = self.own[seed], self.own[seed + 1]
-        w = self.own_weight[a:b]
-        top = np.argsort(-w, kind="stable")[:QUERY_TERMS]
-        terms = self.own_term[a:b][top[w[top] > 0]]
         score = np.zeros(self.n, np.float32)
-        for t in terms:
+        for t in self.own_term[a:b][heaviest(self.own_weight[a:b])]:
             at = slice(self.first[t], self.first[t + 1])
             score[self.doc[at]] += self.weight[at]
         score[used] = 0
@@ -133,7 +151,7 @@ def _encode(tokenizer: str):
         for batch in batches:
             ids = [bpe.encode(t or "") + end for t in batch.column(3).to_pylist()]
             for i in ids:
-                df[np.unique(np.frombuffer(i, "<u2"))] += 1
+                df[terms(np.frombuffer(i, "<u2"))[0]] += 1
             yield batch_of(batch.column(0), batch.column(1), batch.column(2), ids, [None] * len(ids))
         none = pa.array([None], pa.int64())
         yield batch_of(none, none, none, [None], [df])
@@ -152,10 +170,9 @@ def _key(corpus: Corpus, fits: float, cuts: list[tuple[bytes, int]]):
 
     def key(ids: bytes) -> bytes:
         at = np.frombuffer(ids, "<u2")
-        term, tf = np.unique(at, return_counts=True)
+        term, tf = terms(at)
         w = np.where(df[term] > 1, corpus.weight(term, tf, len(at)), 0)
-        top = np.argsort(-w, kind="stable")[:QUERY_TERMS]
-        return np.sort(rank[term[top[w[top] > 0]]])[:KEY_TERMS].astype(">u2").tobytes()
+        return np.sort(rank[term[heaviest(w)]])[:KEY_TERMS].astype(">u2").tobytes()
 
     def run(batches):
         release_encoders()
