@@ -111,3 +111,34 @@ def test_folded_texts_leave_in_small_batches():
     assert max(b.nbytes for b in entries) < 3 << 20
     assert sum(b.num_rows for b in entries) == 30 and sum(sum(b.column(6).to_pylist()) for b in entries) == n
     assert sum(b.num_rows for b in out) == 30 + n
+
+
+def test_page_log_is_made_and_parsed_behind_the_spread(spark):
+    plan = E.queries()["label_base2"](spark, SF)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    spread = [i for i, x in enumerate(plan) if "RepartitionByExpression" in x]
+    assert spread
+    for i in spread:
+        assert not any(w in x for x in plan[i:i + 4] for w in ("parseJson", "JsonEvaluator", "from_json"))
+
+
+def test_time_slot_works_the_hour_out_once(spark):
+    from tidemart.functions import scalars as sc
+
+    df = spark.range(1).select(sc.time_slot(F.col("id")).alias("s"), sc.time_slot(F.lit(None).cast("long")).alias("n"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("hour(") == 1
+    assert tuple(df.first()) == ("凌晨", None)
+
+
+def test_interval_join_copies_either_side(spark):
+    import pytest
+
+    from tidemart.operators.joins import interval_join
+
+    left = spark.createDataFrame([("a", t) for t in (-7, 0, 5, 10, 11, 39)] + [(None, 3), ("b", None)], "k string, t long")
+    right = spark.createDataFrame([("a", t) for t in (-20, -2, 3, 8, 10, 20, 40)] + [("b", 1)], "rk string, rt long")
+    for lower, upper in ((-3, 5), (0, 0), (-10, -2)):
+        one, two = (sorted(map(tuple, interval_join(left, right, "k", "rk", "t", "rt", lower, upper, copied=c).collect())) for c in ("right", "left"))
+        assert one == two == sorted((k, t, rk, rt) for k, t in map(tuple, left.collect()) for rk, rt in map(tuple, right.collect())
+                                    if k == rk and t is not None and t + lower <= rt <= t + upper)
+    with pytest.raises(ValueError):
+        interval_join(left, right, "k", "rk", "t", "rt", 0, 1, "left", copied="left")
