@@ -586,3 +586,52 @@ def test_keys_of_one_group_stay_apart(plain, monkeypatch):
         "uid string, ts long, et timestamp, back long", "EventTime", "et"), "group-back")
     got = sorted((r.uid or "", r.ts // DAY, r.back) for r in back.collect())
     assert got == [("", 1, 0), ("", 2, 0), ("a", 1, 0), ("a", 2, 0), ("b", 1, 0), ("b", 2, 0), ("b", 12, 1), ("c", 9, 0), ("c", 12, 1)]
+
+
+def _topic_of(spark, times):
+    return spark.createDataFrame([(t, {"k": str(i)}, None) for i, t in enumerate(times)],
+                                 "ts_ms long, after map<string,string>, before map<string,string>")
+
+
+def test_a_long_topic_arrives_in_bounded_parts(spark, monkeypatch):
+    monkeypatch.setattr(R, "ARRIVAL_RECORDS", 100)
+    # most records lie early: halves of the time alone would be 990 and 10
+    times = [*range(990), *range(100_000, 200_000, 10_000), None]
+    topic = _topic_of(spark, times)
+    parts, hi = R.arrivals(topic, "bounded")
+    assert hi == 190_000 and topic.columns == parts[0].columns == ["ts_ms", "after", "before"]
+    sizes = [p.count() for p in parts]
+    assert sum(sizes) == 1000 and max(sizes) <= 130
+    ends = [p.agg(F.min("ts_ms"), F.max("ts_ms")).first() for p in parts]
+    ends = [e for e in ends if e[0] is not None]
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+    assert sorted(r.after["k"] for p in parts for r in p.collect()) == sorted(str(i) for i in range(1000))
+
+
+def test_arrivals_of_odd_topics(spark, monkeypatch):
+    parts, hi = R.arrivals(_topic_of(spark, [5, 1, 9]), "halves")
+    assert hi == 9 and [sorted(r.ts_ms for r in p.collect()) for p in parts] == [[1, 5], [9]]
+    monkeypatch.setattr(R, "ARRIVAL_RECORDS", 2)
+    assert sum(p.count() for p in R.arrivals(_topic_of(spark, [7] * 9), "one")[0]) == 9
+    empty, hi = R.arrivals(_topic_of(spark, []), "empty")
+    assert hi == 0 and sum(p.count() for p in empty) == 0
+
+
+def test_a_stream_join_over_many_arrivals_holds_little(spark, monkeypatch):
+    from tidemart.queries import REGISTRY, _dwd_stream, DETAIL_TABLES
+    from tidemart.streaming import joins as SJ
+    held = []
+    plain = R.replay
+    monkeypatch.setattr(R, "replay", lambda *a, **k: plain(*a, watch=lambda p: held.append(
+        max(o["numRowsTotal"] for o in p["stateOperators"])), **k))
+    monkeypatch.setattr(R, "ARRIVAL_RECORDS", 4000)
+    monkeypatch.setattr(SJ, "BOUND_MS", 60_000)
+    got = _dwd_stream(spark, SF, "dwd_order_detail", DETAIL_TABLES, lambda t: SJ.order_detail(t, bound_ms=60_000))
+    want = REGISTRY["dwd_order_detail"](spark, SF)
+    assert _text(got) == _text(want)
+    # of some 12,000 records, at most a part's and those of a minute before it; at the end the heartbeats
+    assert len(held) > 4 and max(held) < 2000 and held[-1] <= 4
+
+
+def _text(df):
+    return sorted(repr(tuple(r)) for r in df.collect())
