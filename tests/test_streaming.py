@@ -635,3 +635,14 @@ def test_a_stream_join_over_many_arrivals_holds_little(spark, monkeypatch):
 
 def _text(df):
     return sorted(repr(tuple(r)) for r in df.collect())
+
+
+def test_label_topics_arrive_in_bounded_parts(spark, monkeypatch):
+    from tidemart.queries import REGISTRY
+    taken = []
+    monkeypatch.setattr(R, "ARRIVAL_RECORDS", 1500)
+    monkeypatch.setattr(R, "replay", lambda s, phases, *a: taken.extend(phases))
+    REGISTRY["label_merge_stream"](spark, SF)
+    sizes = [p.count() for p in taken]
+    assert len(sizes) > 4 and max(sizes) < 2000 and sizes[-1] == 3
+    assert all(p.columns == ["value"] for p in taken)
