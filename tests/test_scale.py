@@ -142,3 +142,41 @@ def test_interval_join_copies_either_side(spark):
                                     if k == rk and t is not None and t + lower <= rt <= t + upper)
     with pytest.raises(ValueError):
         interval_join(left, right, "k", "rk", "t", "rt", 0, 1, "left", copied="left")
+
+
+def _odd_topic(spark):
+    """Change records of all four tables: versions, an order twice, details without an id, an order, or either."""
+    def rec(tbl, ts, **after):
+        return ({"db": "shop", "table": tbl}, "r", ts, {k: v for k, v in after.items()}, None, f"{ts:04d}")
+    rows = [rec("order_info", 1, id="o1", user_id="u1", province_id="p1"), rec("order_info", 2, id="o2", user_id="u2", province_id="p2"),
+            rec("order_info", 3, id="o2", user_id="u3", province_id=None), rec("order_info", 4, id=None, user_id="u4", province_id="p4"),
+            rec("order_info", 5, id="o5", user_id=None, province_id="p5")]
+    details = [("a", "o1"), ("a", "o1"), ("a", "o2"), ("b", "o2"), ("b", "gone"), (None, "o1"), (None, "o2"), (None, "o2"), (None, None),
+               ("c", None), ("", "o1"), ("d", "o5"), ("e", "gone")]
+    rows += [rec("order_detail", 10 + i, id=d, order_id=o, sku_id=f"s{i}", sku_num="2", order_price="1.50", create_time="0",
+                 split_total_amount=str(i)) for i, (d, o) in enumerate(details)]
+    rows += [rec("order_detail_activity", 40, order_detail_id="a", activity_id="x"), rec("order_detail_activity", 41, order_detail_id="a", activity_id="y"),
+             rec("order_detail_activity", 42, order_detail_id=None, activity_id="z"), rec("order_detail_coupon", 43, order_detail_id="b", coupon_id="k"),
+             rec("order_detail_coupon", 44, order_detail_id="", coupon_id="m")]
+    return spark.createDataFrame(rows, "source map<string,string>, op string, ts_ms long, after map<string,string>, "
+                                       "before map<string,string>, seq string")
+
+
+def test_details_shipped_once_are_the_same_details(spark):
+    from tidemart.plans import dwd
+    from tidemart.sources import fixtures as fx
+    for t in (_odd_topic(spark), fx.topic_db(spark, SF)):
+        a, b = dwd.order_detail(t, keep_seq=True), dwd.order_detail(t, keep_seq=True, by_detail=True)
+        assert a.columns == b.columns and a.count() == b.count() > 0
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    # two versions of a under o1, one under o2 (two orders): each with two activities; b, d, the empty id and those without
+    odd = dwd.order_detail(_odd_topic(spark), by_detail=True)
+    assert odd.count() == 8 + 2 + 1 + 1 + 5 and odd.where("id IS NULL").count() == 5
+
+
+def test_details_cross_one_shuffle(spark):
+    # the dimensions of the sku windows lie by an id too
+    for key, others in (("dwd_order_detail", 0), ("upsert_latest", 0), ("dws_sku_order", 4)):
+        plan = _exchanges(spark, key)
+        assert plan.count("Exchange hashpartitioning(id#") == 1 + others, key
+        assert "Exchange hashpartitioning(order_id#" not in plan, key

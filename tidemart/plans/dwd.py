@@ -132,17 +132,46 @@ def refund_pay_shape(j: DataFrame, tz: str) -> DataFrame:
                     "refund_num", F.col("total_amount").alias("refund_amount"), "ts_ms")
 
 
-def order_detail(topic: DataFrame, tz: str = "UTC", keep_seq: bool = False, by_order: bool = False) -> DataFrame:
+def _orders_of(details: DataFrame, oi: DataFrame) -> DataFrame:
+    """(detail id, its order, that order's columns), a row for each of the order's: two texts a detail cross a shuffle by
+    order id, its versions only once."""
+    pairs = (details.select(F.col("id").alias("p_id"), F.col("order_id").alias("p_order"))
+             .where(F.col("p_id").isNotNull() & F.col("p_order").isNotNull()).repartition("p_order").distinct())
+    return (pairs.join(oi, F.col("p_order") == F.col("oi_id"), "inner")
+            .select("p_id", "p_order", F.col("user_id").alias("p_user"), F.col("province_id").alias("p_province")))
+
+
+def _by_detail(od: DataFrame, oi: DataFrame, act: DataFrame, cou: DataFrame) -> DataFrame:
+    """The joins of L5 with the details shuffled once, by detail id: their orders are brought to them. Details without
+    an id, which no id brings anything to, are joined to their order first."""
+    none = F.lit(None).cast("string")
+    bare = od.where(F.col("id").isNull()).join(oi, F.col("order_id") == F.col("oi_id"), "inner")
+    whole = (od.where(F.col("id").isNotNull()).withColumn("user_id", none).withColumn("province_id", none)
+             .unionByName(bare.select(*od.columns, "user_id", "province_id")))
+    # ranges, since two equal columns would be keys of the join, and all its keys those of one more shuffle
+    own = ((F.col("id") == F.col("p_id")) & (F.col("order_id") >= F.col("p_order")) & (F.col("order_id") <= F.col("p_order")))
+    j = (whole.join(act, F.col("id") == F.col("act_detail_id"), "left").join(cou, F.col("id") == F.col("cou_detail_id"), "left")
+         .join(_orders_of(od, oi), own, "left").where(F.col("p_id").isNotNull() | F.col("id").isNull()))
+    pick = {"user_id": "p_user", "province_id": "p_province"}
+    return j.select(*[F.when(F.col("id").isNull(), F.col(c)).otherwise(F.col(pick[c])).alias(c) if c in pick else F.col(c)
+                      for c in j.columns])
+
+
+def order_detail(topic: DataFrame, tz: str = "UTC", keep_seq: bool = False, by_order: bool = False,
+                 by_detail: bool = False) -> DataFrame:
     """order_detail ⋈ order_info ⟕ activity ⟕ coupon (snapshot rows).
 
     ``keep_seq`` carries the arrival position for downstream version handling. ``by_order`` joins the orders last (the
-    joins commute), so that the rows lie by order id for a further join on it; else they lie by detail id.
+    joins commute), so that the rows lie by order id for a further join on it; else they lie by detail id. ``by_detail``
+    reads the details twice and ships their rows once instead of twice.
     """
     seq = ("seq",) if keep_seq else ()
     od = detail_side(cdc_demux(topic, "order_detail", "r"), *seq)
     oi = order_side(cdc_demux(topic, "order_info", "r"))
     act = activity_side(cdc_demux(topic, "order_detail_activity", "r"))
     cou = coupon_side(cdc_demux(topic, "order_detail_coupon", "r"))
+    if by_detail:
+        return detail_shape(_by_detail(od, oi, act, cou), tz, *seq)
     of_order, of_act, of_cou = ((oi, od.order_id == oi.oi_id, "inner"), (act, od.id == act.act_detail_id, "left"),
                                 (cou, od.id == cou.cou_detail_id, "left"))
     j = od

@@ -46,7 +46,7 @@ def _topic(spark, sf_dir, *tables):
 
 @query("dwd_order_detail")
 def q_dwd_order_detail(spark, sf_dir):
-    return dwd.order_detail(_topic(spark, sf_dir))
+    return dwd.order_detail(_topic(spark, sf_dir), by_detail=True)
 
 
 @query("dwd_order_cancel")
@@ -132,7 +132,7 @@ def q_order_retraction(spark, sf_dir):
 @query("upsert_latest")
 def q_upsert_latest(spark, sf_dir):
     t = _topic(spark, sf_dir)
-    return dd.upsert_latest(dwd.order_detail(t, keep_seq=True), "id", "seq").drop("seq")
+    return dd.upsert_latest(dwd.order_detail(t, keep_seq=True, by_detail=True), "id", "seq").drop("seq")
 
 
 # ---------------------------------------------------------------- dims
@@ -173,7 +173,7 @@ def q_dws_province_order(spark, sf_dir):
 def q_dws_sku_order(spark, sf_dir):
     t = _topic(spark, sf_dir)
     d = _dims(spark, sf_dir)
-    return dws.sku_order(dwd.order_detail(t, keep_seq=True), d["sku"], d["spu"], d["tm"], d["c3"], d["c2"], d["c1"],
+    return dws.sku_order(dwd.order_detail(t, keep_seq=True, by_detail=True), d["sku"], d["spu"], d["tm"], d["c3"], d["c2"], d["c1"],
                          "10 seconds")
 
 
