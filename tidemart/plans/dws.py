@@ -40,12 +40,14 @@ SKU_AMOUNTS = {"original_amount": "split_original_amount", "activity_reduce_amou
 
 def sku_names(agg: DataFrame, sku: DataFrame, spu: DataFrame, tm: DataFrame, c3: DataFrame, c2: DataFrame,
               c1: DataFrame, width, tz: str = "UTC") -> DataFrame:
-    """Window sums per sku -> sku -> spu / trademark / category3 -> 2 -> 1 names."""
-    out = D.enrich(agg, sku, "sku_id", "id", {"sku_name": "sku_name", "spu_id": "spu_id", "trademark_id": "tm_id",
-                                             "category3_id": "category3_id"})
-    out = D.enrich(out, spu, "spu_id", "id", {"spu_name": "spu_name"})
-    out = D.enrich(out, tm, "trademark_id", "id", {"trademark_name": "tm_name"})
-    out = D.category_cascade(out, "category3_id", c3, c2, c1)
+    """Window sums per sku -> sku -> spu / trademark / category3 -> 2 -> 1 names.
+
+    The names are looked up for the skus, of which there are fewer than sums: a sum crosses one shuffle, by its sku."""
+    names = sku.select(F.col("id").alias("_sku"), "sku_name", "spu_id", F.col("tm_id").alias("trademark_id"), "category3_id")
+    names = D.enrich(names, spu, "spu_id", "id", {"spu_name": "spu_name"})
+    names = D.enrich(names, tm, "trademark_id", "id", {"trademark_name": "tm_name"})
+    names = D.category_cascade(names, "category3_id", c3, c2, c1)
+    out = D.enrich(agg, names, "sku_id", "_sku", {c: c for c in names.columns if c != "_sku"})
     return out.select(*label_columns(width, tz), "trademark_id", "trademark_name", "category1_id", "category1_name",
                       "category2_id", "category2_name", "category3_id", "category3_name", "sku_id", "sku_name",
                       "spu_id", "spu_name", *SKU_AMOUNTS)
