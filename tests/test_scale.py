@@ -208,3 +208,25 @@ def test_base4_details_and_orders_cross_one_shuffle(spark):
     assert sum("FileScan parquet [l_" in x or "FileScan parquet [o_" in x for x in plan) == 2
     assert any("ReusedExchange" in x and "consignee" in x and "total_amount" in x for x in plan)
     assert any("ReusedExchange" in x and "sku_name" in x and "order_price" in x for x in plan)
+
+
+def test_dimension_images_are_made_once_a_reading(spark):
+    for key in ("dim_upsert_md5", "dim_upsert_merge", "dim_build", "dim_route"):
+        plan = _exchanges(spark, key).splitlines()
+        assert not any("Filter" in x and "size(map" in x for x in plan), key
+        assert sum("Exchange hashpartitioning(l_orderkey#" in x and "Reused" not in x for x in plan) == 1, key
+
+
+def test_gate_on_odd_images(spark):
+    from tidemart.operators import envelope as ev
+    m = {"id": "1"}
+    rows = [("shop", "r", None, m), ("shop", "u", m, m), ("shop", "d", m, {}), ("shop", "d", m, m), ("shop", "d", {}, m), ("shop", "d", None, m),
+            ("shop", "r", m, {}), ("shop", "r", m, None), ("other", "r", None, m), ("shop", "x", None, m), ("shop", None, None, m), (None, "r", m, m)]
+    env = spark.createDataFrame([(b, a, {"db": d} if d else None, op, str(i)) for i, (d, op, b, a) in enumerate(rows)],
+                                "before map<string,string>, after map<string,string>, source map<string,string>, op string, seq string")
+    for deletes, want in ((False, "01345"), (True, "0123")):
+        got = ev.cdc_gate(env, "shop", accept_deletes=deletes)
+        assert got.columns == env.columns
+        got = sorted(got.collect(), key=lambda r: r.seq)
+        assert "".join(r.seq for r in got) == want
+        assert [(r.before, r.after) for r in got] == [rows[int(r.seq)][2:] for r in got]
