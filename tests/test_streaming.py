@@ -646,3 +646,38 @@ def test_label_topics_arrive_in_bounded_parts(spark, monkeypatch):
     sizes = [p.count() for p in taken]
     assert len(sizes) > 4 and max(sizes) < 2000 and sizes[-1] == 3
     assert all(p.columns == ["value"] for p in taken)
+
+
+def test_a_batch_is_read_for_its_buckets_only_if_its_first_rows_leave_some_out(spark, monkeypatch):
+    df = spark.range(4000).select(F.col("id").cast("string").alias("k"), F.lit("1").alias("seq"), F.col("id").alias("v"))
+    few = df.where("k in ('1', '2', '3')")
+    plain, full = type(df).distinct, []
+    monkeypatch.setattr(type(df), "distinct", lambda d: full.append("Limit" not in d._jdf.queryExecution().logical().toString()) or plain(d))
+    table = R.UpsertTable(scratch_path(spark, f"probe-{uuid.uuid4().hex[:6]}"), ["k"], "seq", buckets=4)
+    table.merge_batch(df, 0)
+    assert full == [False]
+    table.merge_batch(few.withColumn("seq", F.lit("2")).withColumn("v", -F.col("v")), 1)
+    assert full[1:] == [False, True]
+    table.merge_batch(few.where("k = '9'"), 2)
+    assert table.version(spark) == 1 and sorted(r.v for r in table.read(spark).collect()) == sorted([0, -1, -2, -3, *range(4, 4000)])
+
+
+def test_a_batch_is_parsed_and_shuffled_once(spark):
+    from tidemart.operators import dims as D
+    from tidemart.operators.envelope import cdc_gate
+    from tidemart.queries import _records
+    from tidemart.streaming import dimbuild as SB
+    path = scratch_path(spark, f"lines-{uuid.uuid4().hex[:6]}")
+    spark.createDataFrame([('{"source":{"db":"d"},"op":"r","after":{"k":"1"}}',), ("{",)], "value string").write.text(path)
+    cfg = spark.createDataFrame([("a", "b", "c", "d", 1)], "source_table string, sink_table string, sink_columns string, sink_row_key string, epoch long")
+    env = cdc_gate(_records(spark.read.text(path), "before map<string,string>, after map<string,string>, source map<string,string>, op string, ts_ms long, seq string"),
+                   "d", accept_deletes=True)
+    assert [r.after for r in env.collect()] == [{"k": "1"}]
+    assert env._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = SB.fold(SB.cells(D.route(env, cfg, carry=["epoch"])))._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    own = [x for x in plan if "Exchange hashpartitioning(sink_table" in x]
+    assert len(own) == 2 and sum("ReusedExchange" in x for x in own) == 1
